@@ -425,3 +425,143 @@ ORACLES["run_summary"] = " UNION ALL ".join(
     f"SELECT {i} AS table_order, '{name}' AS table_name, (SELECT count(*) FROM ({sql})) AS rows"
     for i, name in enumerate(_TABLE_SQL) for sql in [_TABLE_SQL[name]]
 )
+
+# --- planning, coverage and DAX outcomes ------------------------------------------------------
+from lakecensus.operators.planning import ENTITY_URLS, WORKSPACE_ENDPOINTS  # noqa: E402
+
+BAD_T = f"SELECT doc_id // {X.DOCS_PER_MODEL} FROM labels WHERE toxic = 1 AND doc_id % {X.DOCS_PER_MODEL} = 0"
+BAD_P = f"SELECT doc_id // {X.DOCS_PER_MODEL} FROM labels WHERE quality = 0 AND doc_id % {X.DOCS_PER_MODEL} = 1"
+
+
+def _url1(template: str, a: str) -> str:
+    pre, post = template.split("%s")
+    return f"{_q(pre)} || {a} || {_q(post)}"
+
+
+def _url2(template: str, a: str, b: str) -> str:
+    pre, mid, post = template.split("%s")
+    return f"{_q(pre)} || {a} || {_q(mid)} || {b} || {_q(post)}"
+
+
+def _family(url_sql: str) -> str:
+    return f"CASE WHEN ({url_sql}) LIKE '%{K.WORKSPACE_API_HOST}%' THEN 'fabric' ELSE 'pbi' END"
+
+
+PLAN_WORKSPACE = " UNION ALL ".join(
+    f"""SELECT '{op}|ws-' || c_custkey AS request_id, '{op}' AS operation, 'ws-' || c_custkey AS workspace_id,
+      CAST(NULL AS VARCHAR) AS item_id, {_url1(t, "'ws-' || c_custkey")} AS url,
+      {_family(_url1(t, "'ws-' || c_custkey"))} AS api_family FROM customer"""
+    for op, t in WORKSPACE_ENDPOINTS
+)
+
+
+def _plan(op: str, src: str, ws: str, item: str) -> str:
+    url = _url2(ENTITY_URLS[op], ws, item)
+    return (f"SELECT '{op}|' || {ws} || '|' || {item} AS request_id, '{op}' AS operation, {ws} AS workspace_id, "
+            f"{item} AS item_id, {url} AS url, {_family(url)} AS api_family FROM {src}")
+
+
+_VIABLE = f"({MODELS_BASE}) WHERE viable"
+_REFRESHABLE = f"({MODELS_BASE}) WHERE refreshable"
+_FLOWS = f"(SELECT page_id AS d FROM pages)"
+PLAN_ENTITY = " UNION ALL ".join([
+    _plan(K.OP_MODEL_DATASOURCES, _VIABLE, "ws", "'sm-' || m"),
+    _plan(K.OP_DATAFLOW_DATASOURCES, _FLOWS, f"'ws-' || (d % {X.DATAFLOW_WORKSPACES})", "'df-' || d"),
+    _plan(K.OP_GEN2_DATASOURCES, f"({ITEMS_BASE}) WHERE item_type IN ({GEN2})", "workspace_id", "item_id"),
+    _plan(K.OP_SHORTCUTS, f"({ITEMS_BASE}) WHERE item_type = 'Lakehouse'", "workspace_id", "item_id"),
+    _plan(K.OP_REFRESH_SCHEDULE, _REFRESHABLE, "ws", "'sm-' || m"),
+    _plan(K.OP_REFRESH_HISTORY, _REFRESHABLE, "ws", "'sm-' || m"),
+    _plan(K.OP_DATAFLOW_SCHEDULE, _FLOWS, f"'ws-' || (d % {X.DATAFLOW_WORKSPACES})", "'df-' || d"),
+    _plan(K.OP_DAX_TABLES, _VIABLE, "ws", "'sm-' || m"),
+    _plan(K.OP_DAX_PARTITIONS, _VIABLE, "ws", "'sm-' || m"),
+])
+
+# Page-0 outcome of every planned request that did not return a body (fixture rules).
+NOT_OK = f"""
+SELECT 'GetWorkspaceRoleAssignments|ws-' || c_custkey AS request_id,
+       CASE WHEN c_custkey % 20 = 7 THEN 'logged' ELSE 'silent' END AS reason,
+       CASE WHEN c_custkey % 20 = 7 THEN 403 ELSE -1 END AS http_status_code
+FROM customer WHERE c_custkey % 20 IN (7, 13)
+UNION ALL
+SELECT 'GetSemanticModelDatasources|' || ws || '|sm-' || m, CASE WHEN m % 9 = 5 THEN 'silent' ELSE 'logged' END,
+       CASE m % 9 WHEN 2 THEN 403 WHEN 5 THEN 404 ELSE 500 END
+FROM {_VIABLE} AND m % 9 IN (2, 5, 7)
+UNION ALL
+SELECT 'GetDataflowDatasources|ws-' || (d % {X.DATAFLOW_WORKSPACES}) || '|df-' || d, 'logged', 401 FROM {_FLOWS} WHERE d % 5 = 4
+UNION ALL
+SELECT 'GetDataflowRefreshSchedule|ws-' || (d % {X.DATAFLOW_WORKSPACES}) || '|df-' || d,
+       CASE WHEN d % 4 = 2 THEN 'silent' ELSE 'logged' END, CASE WHEN d % 4 = 2 THEN 404 ELSE 403 END
+FROM {_FLOWS} WHERE d % 4 IN (2, 3)
+UNION ALL
+SELECT 'GetRefreshSchedule|' || ws || '|sm-' || m, 'silent', 404 FROM {_REFRESHABLE} AND m % 8 = 6
+UNION ALL
+SELECT 'GetRefreshHistory|' || ws || '|sm-' || m, 'missing', NULL FROM {_REFRESHABLE}
+  AND m NOT IN (SELECT DISTINCT CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey ELSE 1 END FROM lineitem WHERE l_shipdate <= {TS})
+UNION ALL
+SELECT 'ExecuteDaxTables|' || ws || '|sm-' || m, 'logged', 400 FROM {_VIABLE} AND m IN ({BAD_T})
+UNION ALL
+SELECT 'ExecuteDaxPartitions|' || ws || '|sm-' || m, 'logged', 403 FROM {_VIABLE} AND m IN ({BAD_P})"""
+
+UNCOVERED = f"""
+SELECT p.request_id, p.operation, p.workspace_id, p.item_id, n.reason, n.http_status_code::BIGINT AS http_status_code
+FROM ({PLAN_WORKSPACE} UNION ALL {PLAN_ENTITY}) p JOIN ({NOT_OK}) n USING (request_id)"""
+
+_FIRST_VIABLE = f"SELECT m FROM {_VIABLE} ORDER BY m % {X.MODEL_WORKSPACES}, rank LIMIT 1"
+DAX_OUTCOMES = f"""
+SELECT 'ExecuteDaxTables|' || ws || '|sm-' || m AS request_id, 'sm-' || m AS item_id,
+  CASE WHEN m IN ({BAD_T}) THEN 'logged' ELSE 'ok' END AS outcome,
+  CASE WHEN m IN ({BAD_T}) THEN 400 ELSE 200 END::BIGINT AS http_status_code, FALSE AS requires_admin,
+  {_dax_label(K.DAX_TABLES)} AS label
+FROM {_VIABLE}
+UNION ALL
+SELECT 'ExecuteDaxPartitions|' || ws || '|sm-' || m, 'sm-' || m, CASE WHEN m IN ({BAD_P}) THEN 'logged' ELSE 'ok' END,
+  CASE WHEN m IN ({BAD_P}) THEN 403 ELSE 200 END::BIGINT, m IN ({BAD_P}), {_dax_label(K.DAX_PARTITIONS)}
+FROM {_VIABLE}
+UNION ALL
+SELECT 'ExecuteDaxProbe|' || ws || '|sm-' || m, 'sm-' || m, 'ok', 200::BIGINT, FALSE, {_dax_label(K.DAX_PROBE)}
+FROM {_VIABLE} AND m IN ({_FIRST_VIABLE})"""
+
+DAX_ROWS = f"""
+SELECT 'sm-' || m AS model_id, (doc_id % {X.DOCS_PER_MODEL})::INTEGER AS row_pos,
+  CASE WHEN doc_id % 19 = 0 THEN -1 ELSE CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) END AS table_id,
+  CASE WHEN doc_id % 11 = 0 THEN '' ELSE 'Partition-' || doc_id END AS name,
+  CASE WHEN doc_id % 13 = 5 THEN NULL ELSE doc_id % 9 END AS type_code,
+  doc_id % 7 AS mode_code,
+  CASE WHEN doc_id % 17 = 3 THEN NULL ELSE length(text) END AS query_chars
+FROM (SELECT *, doc_id // {X.DOCS_PER_MODEL} AS m FROM documents)
+WHERE m IN (SELECT m FROM {_VIABLE}) AND m NOT IN ({BAD_P})"""
+
+PQ_COVERAGE = f"""
+SELECT count(*) AS models_total, count(*) FILTER (WHERE NOT viable) AS models_skipped_preflight,
+  count(*) FILTER (WHERE NOT viable OR m IN ({BAD_T}) OR m IN ({BAD_P})) AS models_skipped,
+  count(*) FILTER (WHERE viable AND m NOT IN ({BAD_T}) AND m NOT IN ({BAD_P})) AS models_succeeded,
+  count(*) FILTER (WHERE viable) > 0 AS probe_ok
+FROM ({MODELS_BASE})"""
+
+DS_COVERAGE = f"""
+SELECT count(*) FILTER (WHERE viable) AS tried,
+  count(*) FILTER (WHERE viable AND m % 9 NOT IN (2, 5, 7)) AS ok,
+  count(*) FILTER (WHERE viable AND m % 9 IN (2, 5, 7)) AS failed,
+  count(*) FILTER (WHERE NOT viable) AS skipped_preflight
+FROM ({MODELS_BASE})"""
+
+MODEL_NAME_LOOKUP = f"""
+SELECT 'rp-' || o_orderkey AS report_id, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'sm-' || (o_orderkey % 100) END AS model_id,
+  CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE coalesce(s.s_name, '') END AS model_name
+FROM orders LEFT JOIN supplier s ON s.s_suppkey = o_orderkey % 100"""
+
+FIND_ITEM = f"""
+SELECT item_id, workspace_id, item_name, item_type FROM ({ITEMS_BASE}) WHERE p_name = 'red widget' ORDER BY w, r LIMIT 1"""
+
+ORACLES.update({
+    "plan_workspace_requests": PLAN_WORKSPACE,
+    "plan_entity_requests": PLAN_ENTITY,
+    "uncovered_requests": UNCOVERED,
+    "classify_dax_outcomes": DAX_OUTCOMES,
+    "dax_rows": DAX_ROWS,
+    "pq_probe_gate": f"SELECT count(*) > 0 AS probe_ok FROM {_VIABLE}",
+    "pq_coverage": PQ_COVERAGE,
+    "ds_coverage": DS_COVERAGE,
+    "model_name_lookup": MODEL_NAME_LOOKUP,
+    "find_item": FIND_ITEM,
+})
