@@ -565,3 +565,39 @@ ORACLES.update({
     "model_name_lookup": MODEL_NAME_LOOKUP,
     "find_item": FIND_ITEM,
 })
+
+
+# --- helper-level projections ----------------------------------------------------------------
+SCAN_LANDING = f"""
+SELECT 'evt|' || req AS request_id, attempt, status, error_kind FROM ({EVENTS}) WHERE operation = '{K.OP_LIST_LAKEHOUSES}'"""
+
+STRIP_NAMES = f"""
+SELECT 'sm-' || m AS model_id, (doc_id % {X.DOCS_PER_MODEL})::INTEGER AS row_pos, k AS column_name
+FROM (SELECT *, doc_id // {X.DOCS_PER_MODEL} AS m FROM documents)
+CROSS JOIN (SELECT unnest(['TableID', 'Name', 'Type', 'Mode', 'QueryDefinition']) AS k)
+WHERE m IN (SELECT m FROM {_VIABLE}) AND m NOT IN ({BAD_P}) AND NOT (k = 'TableID' AND doc_id % 19 = 0)"""
+
+STABLE_IDS = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS rows, count(DISTINCT {key}) AS distinct_ids FROM ({sql})"
+    for name, sql, key in [
+        ("meta_workspace_users", USERS, "id"), ("meta_datasources", DATASOURCES_ALL, "datasource_id"),
+        ("meta_refresh_history", HISTORY, "refresh_id"), ("meta_power_queries", POWER_QUERIES, "query_id"),
+        ("meta_access_errors", ERRORS_RAW, "error_id"),
+    ]
+)
+
+ORACLES.update({
+    "scan_landing": SCAN_LANDING,
+    "json_get_default": f"SELECT item_id, created_by_email FROM ({ITEMS})",
+    "json_get_or": f"SELECT workspace_id, capacity_id, description FROM ({WORKSPACES})",
+    "first_truthy": f"SELECT id, user_email FROM ({USERS})",
+    "json_truthy": f"SELECT model_id, is_refreshable FROM ({MODELS})",
+    "json_dynamic_key": f"SELECT source_item_type, datasource_id, datasource_type, server, database, url, gateway_id FROM ({DATASOURCES_ALL})",
+    "service_exception": f"SELECT refresh_id, service_exception_code, service_exception_message FROM ({HISTORY})",
+    "array_csv": f"SELECT schedule_id, days, times FROM ({SCHEDULES})",
+    "parse_ts": f"SELECT item_id, created_date, last_modified_date FROM ({ITEMS})",
+    "partition_labels": f"SELECT query_id, partition_type, storage_mode FROM ({POWER_QUERIES})",
+    "strip_bracket_names": STRIP_NAMES,
+    "stable_ids": STABLE_IDS,
+    "sink_roundtrip": ORACLES["run_summary"],
+})

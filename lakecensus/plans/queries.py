@@ -258,3 +258,77 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_name_lookup": q_model_name_lookup,
     "find_item": q_find_item,
 }
+
+
+def _cols(attr: str, table: str, cols: list[str]):
+    """A focused projection of one output table: the columns one helper decides."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = for_compare(conform(getattr(inventory(spark, sf_dir), attr), OUTPUTS[table]))
+        return df.select(*cols)
+    return run
+
+
+def q_scan_landing(spark, sf_dir):
+    """The attempt log of one operation, read through the operation partition."""
+    lt = capture(spark, sf_dir, "attempts").landing
+    return lt.where(F.col("operation") == K.OP_LIST_LAKEHOUSES).select("request_id", "attempt", "status", "error_kind")
+
+
+def q_strip_bracket_names(spark, sf_dir):
+    """Normalised column names of every partition row (collisions collapsed)."""
+    cap = capture(spark, sf_dir)
+    rows = Q.dax_rows(cap, K.OP_DAX_PARTITIONS)
+    return rows.select("model_id", "row_pos", F.explode(F.map_keys("r")).alias("column_name"))
+
+
+def q_stable_ids(spark, sf_dir):
+    """Rows and distinct surrogate or given ids per table."""
+    inv = inventory(spark, sf_dir)
+    parts = [
+        ("meta_workspace_users", inv.users, "id"), ("meta_datasources", inv.datasources, "datasource_id"),
+        ("meta_refresh_history", inv.history, "refresh_id"), ("meta_power_queries", inv.power_queries, "query_id"),
+        ("meta_access_errors", inv.errors, "error_id"),
+    ]
+    out = None
+    for name, df, key in parts:
+        agg = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("distinct_ids")).select(
+            F.lit(name).alias("table_name"), "rows", "distinct_ids")
+        out = agg if out is None else out.unionByName(agg)
+    return out
+
+
+def q_sink_roundtrip(spark, sf_dir):
+    """K1-K4: write all twelve tables (errors last) to a fresh folder, read them back."""
+    import uuid
+
+    from lakecensus.session import ensure_checkpoint_dir
+    from lakecensus.sources.sink import write_tables
+
+    inv = inventory(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakecensus-sink-{uuid.uuid4().hex}"
+    written = write_tables(inv.tables(), root)
+    out = None
+    for i, (name, n) in enumerate(written.items()):
+        back = (spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("rows")) if n is not None
+                else spark.range(1).select(F.lit(0).cast("long").alias("rows")))
+        back = back.select(F.lit(i).alias("table_order"), F.lit(name).alias("table_name"), "rows")
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+QUERIES.update({
+    "scan_landing": q_scan_landing,
+    "json_get_default": _cols("items", "meta_workspace_items", ["item_id", "created_by_email"]),
+    "json_get_or": _cols("workspaces", "meta_workspaces", ["workspace_id", "capacity_id", "description"]),
+    "first_truthy": _cols("users", "meta_workspace_users", ["id", "user_email"]),
+    "json_truthy": _cols("models", "meta_semantic_models", ["model_id", "is_refreshable"]),
+    "json_dynamic_key": _cols("datasources", "meta_datasources",
+                              ["source_item_type", "datasource_id", "datasource_type", "server", "database", "url", "gateway_id"]),
+    "service_exception": _cols("history", "meta_refresh_history", ["refresh_id", "service_exception_code", "service_exception_message"]),
+    "array_csv": _cols("schedules", "meta_refresh_schedules", ["schedule_id", "days", "times"]),
+    "parse_ts": _cols("items", "meta_workspace_items", ["item_id", "created_date", "last_modified_date"]),
+    "partition_labels": _cols("power_queries", "meta_power_queries", ["query_id", "partition_type", "storage_mode"]),
+    "strip_bracket_names": q_strip_bracket_names,
+    "stable_ids": q_stable_ids,
+    "sink_roundtrip": q_sink_roundtrip,
+})

@@ -63,6 +63,19 @@ def _ts(base: str, seconds: Column) -> Column:
     return F.timestamp_seconds(F.lit(EPOCH[base]) + seconds)
 
 
+def _v(c: Column) -> Column:
+    return c.cast("variant")
+
+
+def _vnull() -> Column:
+    """An explicit JSON null inside ``_json`` (a SQL NULL field is omitted instead)."""
+    return F.parse_json(F.lit("null"))
+
+
+def _json(*fields: Column) -> Column:
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "true"})
+
+
 def _attempts(pattern: Column) -> Column:
     """array<struct<attempt, status, error_kind, err_body>> for a pattern name."""
     entries = []
@@ -194,17 +207,17 @@ class Fixture:
     def workspace_object(c: DataFrame) -> Column:
         k = F.col("c_custkey")
         cap = (
-            F.when(k % 4 == 0, J.null()).when(k % 4 == 2, J.lit_s(""))
-            .when(k % 4 == 3, J.s(F.concat(F.lit("cap-"), F.col("c_nationkey"))))
+            F.when(k % 4 == 0, _vnull()).when(k % 4 == 2, _v(F.lit("")))
+            .when(k % 4 == 3, _v(F.concat(F.lit("cap-"), F.col("c_nationkey"))))
         )
-        desc = F.when(k % 6 == 3, J.null()).when(k % 6 != 0, J.s(F.col("c_mktsegment")))
-        return J.obj(
-            J.field("id", J.s(F.concat(F.lit("ws-"), k))),
-            J.field("displayName", J.s(F.col("c_name"))),
-            J.field("type", J.s(F.when(k % 10 == 0, "Personal").otherwise("Workspace"))),
-            J.field("state", J.lit_s("Active")),
-            J.field("capacityId", cap),
-            J.field("description", desc),
+        desc = F.when(k % 6 == 3, _vnull()).when(k % 6 != 0, _v(F.col("c_mktsegment")))
+        return _json(
+            F.concat(F.lit("ws-"), k).alias("id"),
+            F.col("c_name").alias("displayName"),
+            F.when(k % 10 == 0, "Personal").otherwise("Workspace").alias("type"),
+            F.lit("Active").alias("state"),
+            cap.alias("capacityId"),
+            desc.alias("description"),
         )
 
     def workspaces(self) -> DataFrame:
@@ -241,20 +254,24 @@ class Fixture:
         j = F.col("o_orderkey")
         w = j % USER_WORKSPACES
         r = (j / USER_WORKSPACES).cast("long")
-        email = lambda prefix: J.s(F.concat(F.lit(prefix), j, F.lit("@example.com")))
-        details = (
-            F.when((j % 8) == 4, F.concat_ws(",", J.field("userDetails", J.obj(J.field("userPrincipalName", J.lit_s("")))),
-                                             J.field("groupDetails", J.obj(J.field("email", email("g"))))))
-            .when(j % 4 == 0, J.field("userDetails", J.obj(J.field("userPrincipalName", email("u")))))
-            .when(j % 4 == 1, J.field("servicePrincipalDetails", J.obj(J.field("aadAppId", J.s(F.concat(F.lit("app-"), j))))))
-            .when(j % 4 == 2, J.field("groupDetails", J.obj(J.field("email", email("g")))))
+
+        def email(prefix: str) -> Column:
+            return F.concat(F.lit(prefix), j, F.lit("@example.com"))
+
+        user = (
+            F.when(j % 8 == 4, F.struct(F.lit("").alias("userPrincipalName")))
+            .when(j % 4 == 0, F.struct(email("u").alias("userPrincipalName")))
         )
+        service = F.when(j % 4 == 1, F.struct(F.concat(F.lit("app-"), j).alias("aadAppId")))
+        group = F.when((j % 8 == 4) | (j % 4 == 2), F.struct(email("g").alias("email")))
         ptype = F.element_at(F.array(*[F.lit(t) for t in ("User", "ServicePrincipal", "Group", "User")]), (j % 4 + 1).cast("int"))
-        principal = J.obj(
-            J.field("id", F.when(j % 13 != 0, J.s(F.concat(F.lit("pr-"), j)))),
-            J.field("displayName", J.s(F.concat(F.lit("Principal "), j))),
-            J.field("type", J.s(ptype)),
-            details,
+        principal = F.struct(
+            F.when(j % 13 != 0, F.concat(F.lit("pr-"), j)).alias("id"),
+            F.concat(F.lit("Principal "), j).alias("displayName"),
+            ptype.alias("type"),
+            user.alias("userDetails"),
+            service.alias("servicePrincipalDetails"),
+            group.alias("groupDetails"),
         )
         pri = F.substring("o_orderpriority", 1, 1)
         role = F.when(pri == "1", "Admin").when(pri == "2", "Member").when(pri == "3", "Contributor").otherwise("Viewer")
@@ -262,7 +279,7 @@ class Fixture:
             F.concat(F.lit("ws-"), w).alias("workspace_id"),
             (r / PAGE_SIZE).cast("long").alias("page_no"),
             (r % PAGE_SIZE).alias("pos"),
-            J.obj(J.field("role", J.s(role)), J.field("principal", principal)).alias("elem"),
+            _json(role.alias("role"), principal.alias("principal")).alias("elem"),
         )
         wn = F.regexp_extract(F.col("workspace_id"), r"(\d+)$", 1).cast("long") % 20
         pattern = (
@@ -295,29 +312,20 @@ class Fixture:
         i = F.col("p_partkey")
         created = _ts("2020-01-01", i * 3607)
         modified = created + F.make_dt_interval(F.lit(0), F.lit(0), (i % 1000).cast("int"))
-        desc = F.when(i % 5 == 1, J.null()).when(i % 5 == 2, J.lit_s("")).when(i % 5 >= 3, J.s(F.col("p_type")))
-        created_f = F.concat_ws(
-            ",",
-            F.when(i % 4 == 0, J.field("createdDate", J.s(J.iso(created)))),
-            F.when(i % 4 == 1, J.field("createdDateTime", J.s(J.iso(created + F.make_dt_interval(F.lit(0), F.lit(2)), "+02:00")))),
-            F.when(i % 4 == 3, J.field("createdDate", J.lit_s(""))),
-            F.when(i % 4 == 3, J.field("createdDateTime", J.s(J.iso(created, ".1234567")))),
-        )
-        modified_f = (
-            F.when(i % 3 == 0, J.field("lastUpdatedDate", J.s(J.iso(modified))))
-            .when(i % 3 == 1, J.field("lastModifiedDateTime", J.s(J.iso(modified))))
-            .otherwise(J.field("lastUpdatedDate", J.lit_s("junk")))
-        )
-        by = F.when(i % 6 != 0, J.obj(J.field("userIdentity", J.obj(J.field(
-            "userPrincipalName", J.s(F.concat(F.lit("owner"), i % 50, F.lit("@example.com"))))))))
-        elem = J.obj(
-            J.field("id", J.s(F.col("item_id"))),
-            J.field("displayName", J.s(F.col("item_name"))),
-            J.field("type", J.s(F.col("item_type"))),
-            J.field("description", desc),
-            F.nullif(created_f, F.lit("")),
-            modified_f,
-            J.field("createdBy", by),
+        desc = F.when(i % 5 == 1, _vnull()).when(i % 5 == 2, _v(F.lit(""))).when(i % 5 >= 3, _v(F.col("p_type")))
+        elem = _json(
+            F.col("item_id").alias("id"),
+            F.col("item_name").alias("displayName"),
+            F.col("item_type").alias("type"),
+            desc.alias("description"),
+            F.when(i % 4 == 0, J.iso(created)).when(i % 4 == 3, F.lit("")).alias("createdDate"),
+            F.when(i % 4 == 1, J.iso(created + F.make_dt_interval(F.lit(0), F.lit(2)), "+02:00"))
+            .when(i % 4 == 3, J.iso(created, ".1234567")).alias("createdDateTime"),
+            F.when(i % 3 == 0, J.iso(modified)).when(i % 3 == 2, F.lit("junk")).alias("lastUpdatedDate"),
+            F.when(i % 3 == 1, J.iso(modified)).alias("lastModifiedDateTime"),
+            F.when(i % 6 != 0, F.struct(F.struct(
+                F.concat(F.lit("owner"), i % 50, F.lit("@example.com")).alias("userPrincipalName")
+            ).alias("userIdentity"))).alias("createdBy"),
         )
         el = p.select(
             "workspace_id",
@@ -344,22 +352,23 @@ class Fixture:
     def models(self) -> DataFrame:
         s = self.model_rows()
         m = F.col("s_suppkey")
-        tsm = F.when(m % 7 == 0, J.s(F.when(m % 2 == 0, "Abf").otherwise("ABF"))).when(m % 7 != 3, J.lit_s("PremiumFiles"))
+        tsm = F.when(m % 7 == 0, F.when(m % 2 == 0, "Abf").otherwise("ABF")).when(m % 7 != 3, F.lit("PremiumFiles"))
         refresh = (
-            F.when(m % 5 == 0, F.lit("false")).when(m % 17 == 6, F.lit(None))
-            .when(m % 11 == 3, J.lit_s("false")).when(m % 13 == 4, F.lit("1")).otherwise(F.lit("true"))
-        )
-        cpt = F.when(m % 3 == 0, J.lit_s("PbixInImportMode")).when(m % 3 == 1, J.lit_s("RealTimeInPushMode"))
-        last = J.s(J.iso(_ts("2001-09-01", m * 3600)))
-        elem = J.obj(
-            J.field("id", J.s(F.col("item_id"))),
-            J.field("name", J.s(F.col("item_name"))),
-            J.field("configuredBy", F.when(m % 4 == 0, J.null()).otherwise(J.s(F.concat(F.lit("owner"), m % 50, F.lit("@example.com"))))),
-            J.field("targetStorageMode", tsm),
-            J.field("isRefreshable", refresh),
-            J.field("contentProviderType", cpt),
-            J.field("createdDate", J.s(J.iso(_ts("2019-06-01", m * 86400), ".000Z"))),
-            F.when(m % 4 != 1, J.field("LastRefreshTime", last)).otherwise(J.field("lastRefreshTime", last)),
+            F.when(m % 5 == 0, _v(F.lit(False))).when(m % 17 == 6, F.lit(None).cast("variant"))
+            .when(m % 11 == 3, _v(F.lit("false"))).when(m % 13 == 4, _v(F.lit(1))).otherwise(_v(F.lit(True)))
+        )
+        cpt = F.when(m % 3 == 0, "PbixInImportMode").when(m % 3 == 1, "RealTimeInPushMode")
+        last = J.iso(_ts("2001-09-01", m * 3600))
+        elem = _json(
+            F.col("item_id").alias("id"),
+            F.col("item_name").alias("name"),
+            F.when(m % 4 == 0, _vnull()).otherwise(_v(F.concat(F.lit("owner"), m % 50, F.lit("@example.com")))).alias("configuredBy"),
+            tsm.alias("targetStorageMode"),
+            refresh.alias("isRefreshable"),
+            cpt.alias("contentProviderType"),
+            J.iso(_ts("2019-06-01", m * 86400), ".000Z").alias("createdDate"),
+            F.when(m % 4 != 1, last).alias("LastRefreshTime"),
+            F.when(m % 4 == 1, last).alias("lastRefreshTime"),
         )
         el = s.select(
             "workspace_id",
@@ -374,16 +383,16 @@ class Fixture:
         j = F.col("o_orderkey")
         w = j % USER_WORKSPACES
         r = (j / USER_WORKSPACES).cast("long")
-        elem = J.obj(
-            J.field("id", J.s(F.concat(F.lit("rp-"), j))),
-            J.field("name", J.s(F.concat(F.lit("Report "), j))),
-            J.field("reportType", J.s(F.when(j % 5 == 0, "PaginatedReport").otherwise("PowerBIReport"))),
-            J.field("datasetId", F.when(j % 7 == 0, J.null()).otherwise(J.s(F.concat(F.lit("sm-"), j % 100)))),
-            J.field("webUrl", J.s(F.concat(F.lit("https://app.example.com/reports/rp-"), j))),
-            J.field("embedUrl", F.when(j % 3 != 0, J.s(F.concat(F.lit("https://app.example.com/embed?r="), j)))),
-            J.field("createdBy", J.s(F.when(j % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("owner"), j % 50, F.lit("@example.com"))))),
-            J.field("createdDateTime", J.s(J.iso(F.col("o_orderdate")))),
-            J.field("modifiedDateTime", F.when(j % 2 == 0, J.s(J.iso(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"), "+00:00")))),
+        elem = _json(
+            F.concat(F.lit("rp-"), j).alias("id"),
+            F.concat(F.lit("Report "), j).alias("name"),
+            F.when(j % 5 == 0, "PaginatedReport").otherwise("PowerBIReport").alias("reportType"),
+            F.when(j % 7 == 0, _vnull()).otherwise(_v(F.concat(F.lit("sm-"), j % 100))).alias("datasetId"),
+            F.concat(F.lit("https://app.example.com/reports/rp-"), j).alias("webUrl"),
+            F.when(j % 3 != 0, F.concat(F.lit("https://app.example.com/embed?r="), j)).alias("embedUrl"),
+            F.when(j % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("owner"), j % 50, F.lit("@example.com"))).alias("createdBy"),
+            J.iso(F.col("o_orderdate")).alias("createdDateTime"),
+            F.when(j % 2 == 0, J.iso(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"), "+00:00")).alias("modifiedDateTime"),
         )
         el = o.select(
             F.concat(F.lit("ws-"), w).alias("workspace_id"),
@@ -407,12 +416,12 @@ class Fixture:
     def dataflows(self) -> DataFrame:
         pg = self.dataflow_rows()
         d = F.col("page_id")
-        elem = J.obj(
-            J.field("objectId", J.s(F.col("item_id"))),
-            J.field("name", J.s(F.col("item_name"))),
-            J.field("description", F.when(d % 3 == 0, J.null()).otherwise(J.s(F.col("url")))),
-            J.field("configuredBy", J.s(F.concat(F.lit("owner"), d % 50, F.lit("@example.com")))),
-            J.field("lastRefreshTime", F.when(d % 2 == 0, J.s(J.iso(_ts("2001-09-15", d * 60))))),
+        elem = _json(
+            F.col("item_id").alias("objectId"),
+            F.col("item_name").alias("name"),
+            F.when(d % 3 == 0, _vnull()).otherwise(_v(F.col("url"))).alias("description"),
+            F.concat(F.lit("owner"), d % 50, F.lit("@example.com")).alias("configuredBy"),
+            F.when(d % 2 == 0, J.iso(_ts("2001-09-15", d * 60))).alias("lastRefreshTime"),
         )
         el = pg.select(
             "workspace_id",
@@ -425,71 +434,64 @@ class Fixture:
     def dataflow_schedules(self) -> DataFrame:
         pg = self.dataflow_rows()
         d = F.col("page_id")
-        on = J.obj(
-            J.field("enabled", F.lit("true")),
-            J.field("days", J.arr_of(J.lit_s("Monday"), J.lit_s("Thursday"))),
-            J.field("times", J.arr_of(J.lit_s("06:00"), J.lit_s("18:00"))),
-            J.field("notifyOption", J.lit_s("MailOnFailure")),
-            J.field("notificationGroupMailAddress", J.lit_s("ops@example.com")),
-        )
-        off = J.obj(J.field("enabled", F.lit("false")), J.field("days", F.lit("[]")), J.field("times", F.lit("[]")),
-                    J.field("notifyOption", J.null()))
-        body = F.when(d % 4 == 0, on).otherwise(off)
+        on = d % 4 == 0
+        body = _json(
+            on.alias("enabled"),
+            F.when(on, F.array(F.lit("Monday"), F.lit("Thursday"))).otherwise(F.array().cast("array<string>")).alias("days"),
+            F.when(on, F.array(F.lit("06:00"), F.lit("18:00"))).otherwise(F.array().cast("array<string>")).alias("times"),
+            F.when(on, _v(F.lit("MailOnFailure"))).otherwise(_vnull()).alias("notifyOption"),
+            F.when(on, F.lit("ops@example.com")).alias("notificationGroupMailAddress"),
+        )
         pattern = F.when(d % 4 == 2, "notfound").when(d % 4 == 3, "forbidden").otherwise("ok")
         return self._entity_page(K.OP_DATAFLOW_SCHEDULE, pg, "Dataflow", body, pattern)
 
     def dataflow_datasources(self) -> DataFrame:
         pg = self.dataflow_rows()
         d = F.col("page_id")
-        ds = J.obj(
-            J.field("datasourceId", J.s(F.concat(F.lit("dfsrc-"), d))),
-            J.field("datasourceType", J.lit_s("Web")),
-            J.field("connectionDetails", J.obj(J.field("url", J.s(F.col("url"))))),
+        ds = F.struct(
+            F.concat(F.lit("dfsrc-"), d).alias("datasourceId"),
+            F.lit("Web").alias("datasourceType"),
+            F.struct(F.col("url").alias("url")).alias("connectionDetails"),
         )
-        body = J.obj(J.field("value", J.arr_of(ds)))
+        body = _json(F.array(ds).alias("value"))
         return self._entity_page(K.OP_DATAFLOW_DATASOURCES, pg, "Dataflow", body,
                                  F.when(d % 5 == 4, "unauthorized").otherwise("ok"))
 
     def model_datasources(self) -> DataFrame:
         s = self.model_rows().where("viable")
         m = F.col("s_suppkey")
-        first = J.obj(
-            J.field("datasourceId", F.when(m % 6 != 1, J.s(F.concat(F.lit("dsrc-"), m, F.lit("-0"))))),
-            J.field("datasourceType", J.lit_s("Sql")),
-            J.field("connectionDetails", J.obj(
-                J.field("server", J.s(F.concat(F.lit("sql"), m, F.lit(".example.net")))),
-                J.field("database", J.s(F.concat(F.lit("db"), m))),
-            )),
-            J.field("gatewayId", F.when(m % 2 == 0, J.s(F.concat(F.lit("gw-"), m % 7)))),
-            J.field("credentialDetails", J.obj(
-                J.field("credentialType", J.lit_s("OAuth2")),
-                J.field("username", J.s(F.concat(F.lit("svc"), m))),
-            )),
-        )
-        second = J.obj(
-            J.field("datasourceId", J.s(F.concat(F.lit("dsrc-"), m, F.lit("-1")))),
-            J.field("datasourceType", J.lit_s("Web")),
-            J.field("connectionDetails", J.obj(J.field("url", J.s(F.concat(F.lit("https://data.example.com/"), m))))),
-            J.field("gatewayId", J.null()),
-        )
-        values = F.when(m % 3 == 0, F.lit("[]")).when(m % 3 == 1, J.arr_of(first)).otherwise(J.arr_of(first, second))
+
+        def ds(k: int) -> Column:
+            return F.struct(
+                (F.when(m % 6 != 1, F.concat(F.lit("dsrc-"), m, F.lit("-0"))) if k == 0
+                 else F.concat(F.lit("dsrc-"), m, F.lit("-1"))).alias("datasourceId"),
+                F.lit("Sql" if k == 0 else "Web").alias("datasourceType"),
+                F.struct(
+                    (F.concat(F.lit("sql"), m, F.lit(".example.net")) if k == 0 else F.lit(None).cast("string")).alias("server"),
+                    (F.concat(F.lit("db"), m) if k == 0 else F.lit(None).cast("string")).alias("database"),
+                    (F.lit(None).cast("string") if k == 0 else F.concat(F.lit("https://data.example.com/"), m)).alias("url"),
+                ).alias("connectionDetails"),
+                (F.when(m % 2 == 0, _v(F.concat(F.lit("gw-"), m % 7))) if k == 0 else _vnull()).alias("gatewayId"),
+                (F.struct(F.lit("OAuth2").alias("credentialType"), F.concat(F.lit("svc"), m).alias("username")) if k == 0
+                 else F.lit(None).cast("struct<credentialType:string,username:string>")).alias("credentialDetails"),
+            )
+
+        values = F.slice(F.array(ds(0), ds(1)), 1, (m % 3).cast("int"))
+        body = F.when(m % 3 == 0, F.lit('{"value":[]}')).otherwise(_json(values.alias("value")))
         pattern = (
             F.when(m % 9 == 2, "forbidden").when(m % 9 == 5, "notfound").when(m % 9 == 7, "server_error").otherwise("ok")
         )
-        return self._entity_page(K.OP_MODEL_DATASOURCES, s, "SemanticModel", J.obj(J.field("value", values)), pattern)
+        return self._entity_page(K.OP_MODEL_DATASOURCES, s, "SemanticModel", body, pattern)
 
     def gen2_datasources(self) -> DataFrame:
         p = self.item_rows().where(F.col("item_type").isin(*K.DATAFLOW_GEN2_TYPES))
         i = F.col("p_partkey")
-        ds = J.obj(
-            J.field("datasourceId", J.s(F.concat(F.lit("g2src-"), i))),
-            J.field("datasourceType", J.lit_s("Lakehouse")),
-            J.field("connectionDetails", J.obj(
-                J.field("server", J.lit_s("onelake.example.com")),
-                J.field("database", J.s(F.concat(F.lit("lh"), i))),
-            )),
-        )
-        body = J.obj(J.field("value", F.when(i % 2 == 0, J.arr_of(ds)).otherwise(F.lit("[]"))))
+        ds = F.struct(
+            F.concat(F.lit("g2src-"), i).alias("datasourceId"),
+            F.lit("Lakehouse").alias("datasourceType"),
+            F.struct(F.lit("onelake.example.com").alias("server"), F.concat(F.lit("lh"), i).alias("database")).alias("connectionDetails"),
+        )
+        body = F.when(i % 2 == 0, _json(F.array(ds).alias("value"))).otherwise(F.lit('{"value":[]}'))
         return self._entity_page(K.OP_GEN2_DATASOURCES, p, "DataflowGen2", body, F.lit("ok"))
 
     def shortcuts(self) -> DataFrame:
@@ -498,42 +500,44 @@ class Fixture:
 
         def one(k: int) -> Column:
             t = (i + k) % 4
-            target = (
-                F.when(t == 0, J.obj(J.field("type", J.lit_s("adlsGen2")), J.field("adlsGen2", J.obj(
-                    J.field("location", J.s(F.concat(F.lit("https://acct"), i, F.lit(".dfs.core.windows.net")))),
-                    J.field("subpath", J.lit_s(f"/c{k}")),
-                    J.field("connectionId", J.s(F.concat(F.lit("conn-"), i)))))))
-                .when(t == 1, J.obj(J.field("type", J.lit_s("oneLake")), J.field("oneLake", J.obj(
-                    J.field("path", J.lit_s(f"Files/x{k}")), J.field("workspaceId", J.lit_s("ws-0"))))))
-                .when(t == 2, J.obj(J.field("type", J.lit_s("googleCloudStorage")), J.field("GoogleCloudStorage", J.obj(
-                    J.field("location", J.lit_s("https://gcs.example.com")), J.field("subpath", J.lit_s("/b"))))))
-                .otherwise(J.obj(J.field("type", J.lit_s("s3Compatible")), J.field("s3Compatible", J.obj(
-                    J.field("url", J.lit_s("https://s3.example.com")),
-                    J.field("bucket", J.s(F.concat(F.lit("bkt"), i))),
-                    J.field("connectionId", J.s(F.concat(F.lit("conn-"), i)))))))
+            target = F.struct(
+                F.element_at(F.array(*[F.lit(x) for x in ("adlsGen2", "oneLake", "googleCloudStorage", "s3Compatible")]),
+                             (t + 1).cast("int")).alias("type"),
+                F.when(t == 0, F.struct(
+                    F.concat(F.lit("https://acct"), i, F.lit(".dfs.core.windows.net")).alias("location"),
+                    F.lit(f"/c{k}").alias("subpath"),
+                    F.concat(F.lit("conn-"), i).alias("connectionId"))).alias("adlsGen2"),
+                F.when(t == 1, F.struct(F.lit(f"Files/x{k}").alias("path"), F.lit("ws-0").alias("workspaceId"))).alias("oneLake"),
+                F.when(t == 2, F.struct(F.lit("https://gcs.example.com").alias("location"), F.lit("/b").alias("subpath")))
+                .alias("GoogleCloudStorage"),
+                F.when(t == 3, F.struct(
+                    F.lit("https://s3.example.com").alias("url"),
+                    F.concat(F.lit("bkt"), i).alias("bucket"),
+                    F.concat(F.lit("conn-"), i).alias("connectionId"))).alias("s3Compatible"),
             )
-            return J.obj(J.field("name", J.lit_s(f"sc{k}")), J.field("path", J.lit_s(f"/Tables/t{k}")), J.field("target", target))
+            return F.struct(F.lit(f"sc{k}").alias("name"), F.lit(f"/Tables/t{k}").alias("path"), target.alias("target"))
 
-        values = F.when(i % 3 == 0, F.lit("[]")).when(i % 3 == 1, J.arr_of(one(0))).otherwise(J.arr_of(one(0), one(1)))
-        return self._entity_page(K.OP_SHORTCUTS, p, "Lakehouse", J.obj(J.field("value", values)), F.lit("ok"))
+        values = F.slice(F.array(one(0), one(1)), 1, (i % 3).cast("int"))
+        body = F.when(i % 3 == 0, F.lit('{"value":[]}')).otherwise(_json(values.alias("value")))
+        return self._entity_page(K.OP_SHORTCUTS, p, "Lakehouse", body, F.lit("ok"))
 
     def refresh_schedules(self) -> DataFrame:
         s = self.model_rows().where("refreshable")
         m = F.col("s_suppkey")
         days = (
-            F.when(m % 8 == 5, J.null())
-            .when(m % 2 == 0, J.arr_of(J.lit_s("Monday"), J.lit_s("Wednesday"), J.lit_s("Friday")))
-            .otherwise(F.lit("[]"))
-        )
-        tz = F.when(m % 5 == 2, J.lit_s("")).when(m % 5 != 1, J.lit_s("W. Europe Standard Time"))
-        full = J.obj(
-            J.field("enabled", J.boolean(m % 2 == 0)),
-            J.field("notifyOption", J.s(F.when(m % 3 == 0, "MailOnFailure").otherwise("NoNotification"))),
-            J.field("notificationGroupMailAddress",
-                    F.when(m % 3 == 0, J.s(F.concat(F.lit("team"), m, F.lit("@example.com")))).otherwise(J.null())),
-            J.field("days", days),
-            J.field("times", J.arr_of(J.lit_s("07:00"), J.lit_s("19:30"))),
-            J.field("localTimeZoneId", tz),
+            F.when(m % 8 == 5, _vnull())
+            .when(m % 2 == 0, _v(F.array(F.lit("Monday"), F.lit("Wednesday"), F.lit("Friday"))))
+            .otherwise(_v(F.array().cast("array<string>")))
+        )
+        tz = F.when(m % 5 == 2, F.lit("")).when(m % 5 != 1, F.lit("W. Europe Standard Time"))
+        full = _json(
+            (m % 2 == 0).alias("enabled"),
+            F.when(m % 3 == 0, "MailOnFailure").otherwise("NoNotification").alias("notifyOption"),
+            F.when(m % 3 == 0, _v(F.concat(F.lit("team"), m, F.lit("@example.com")))).otherwise(_vnull())
+            .alias("notificationGroupMailAddress"),
+            days.alias("days"),
+            F.array(F.lit("07:00"), F.lit("19:30")).alias("times"),
+            tz.alias("localTimeZoneId"),
         )
         body = F.when(m % 8 == 7, F.lit("{}")).otherwise(full)
         return self._entity_page(K.OP_REFRESH_SCHEDULE, s, "SemanticModel", body,
@@ -555,17 +559,17 @@ class Fixture:
         top = li.select("*", rn.alias("rn")).where(F.col("rn") <= HISTORY_CAPTURED)
         ln = F.col("l_linenumber")
         svc = (
-            F.when(ln % 3 == 0, J.s(J.obj(
-                J.field("errorCode", J.s(F.concat(F.lit("E"), F.col("l_partkey") % 10))),
-                J.field("errorDescription", J.s(F.concat(F.lit("Failure on line "), ln))))))
-            .when(ln % 3 == 1, J.lit_s("{not json"))
-        )
-        elem = J.obj(
-            J.field("startTime", F.when(F.col("start_ts").isNull(), J.null()).otherwise(J.s(J.iso(F.col("start_ts"))))),
-            J.field("endTime", J.s(J.iso(F.col("l_shipdate") + F.make_dt_interval(F.lit(0), ln)))),
-            J.field("status", J.s(F.col("l_returnflag"))),
-            J.field("refreshType", J.s(F.when(F.col("l_linestatus") == "O", "Scheduled").otherwise("OnDemand"))),
-            J.field("serviceExceptionJson", svc),
+            F.when(ln % 3 == 0, F.to_json(F.struct(
+                F.concat(F.lit("E"), F.col("l_partkey") % 10).alias("errorCode"),
+                F.concat(F.lit("Failure on line "), ln).alias("errorDescription"))))
+            .when(ln % 3 == 1, F.lit("{not json"))
+        )
+        elem = _json(
+            F.when(F.col("start_ts").isNull(), _vnull()).otherwise(_v(J.iso(F.col("start_ts")))).alias("startTime"),
+            J.iso(F.col("l_shipdate") + F.make_dt_interval(F.lit(0), ln)).alias("endTime"),
+            F.col("l_returnflag").alias("status"),
+            F.when(F.col("l_linestatus") == "O", "Scheduled").otherwise("OnDemand").alias("refreshType"),
+            svc.alias("serviceExceptionJson"),
         )
         pages = top.groupBy("mid").agg(F.array_sort(F.collect_list(F.struct("rn", elem.alias("elem")))).alias("items"))
         body = J.obj(J.field("value", J.arr(F.transform("items", lambda x: x["elem"]))))

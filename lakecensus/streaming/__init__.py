@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The extractor this engine re-expresses is a batch, full-refresh job (every run overwrites
+every table); it has no watermark, window, late data or state across runs. An incremental
+mode would be a new feature, not a re-expression, so none is built. A run over a landing
+table that grows by appending captures is a batch job per run_id (filter on run_id, which
+a landing partitioned by operation and run_id prunes).
+"""
