@@ -6,6 +6,7 @@ write order (access errors last).
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -20,6 +21,7 @@ from lakecensus.operators import refresh as R
 from lakecensus.operators import reporting as E
 from lakecensus.operators.outcomes import error_rows
 from lakecensus.operators.paging import Capture
+from lakecensus.session import ensure_checkpoint_dir
 from lakecensus.sources.schemas import OUTPUTS, conform
 from lakecensus.sources.sink import write_tables
 
@@ -35,7 +37,7 @@ class Inventory:
     """
 
     def __init__(self, capture: Capture, scope: str = "all", current_workspace_id: str | None = None,
-                 preflight: bool = True, case_insensitive_shortcuts: bool = False):
+                 preflight: bool = True, case_insensitive_shortcuts: bool = False, stage: bool = True):
         if scope not in SCOPES:
             raise ValueError(f"Invalid scope {scope!r}. Must be 'current' (testing) or 'all' (production).")
         if scope == "current" and not current_workspace_id:
@@ -45,13 +47,28 @@ class Inventory:
         self.current = current_workspace_id
         self.preflight = preflight
         self.case_insensitive_shortcuts = case_insensitive_shortcuts
+        self.stage = stage
+
+    def _staged(self, name: str, df: DataFrame) -> DataFrame:
+        """Write an entity table that several later tables read (workspaces, items, models,
+        dataflows) once, to the shared checkpoint folder, and read it back: every consumer
+        then scans a small parquet table (with statistics, so joins on it are planned from
+        its real size) instead of re-parsing the landing, and the lineage is cut."""
+        if not self.stage:
+            return df
+        spark = self.cap.spark
+        if not hasattr(self, "_stage_root"):
+            self._stage_root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakecensus-stage-{uuid.uuid4().hex}"
+        path = f"{self._stage_root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
 
     # --- entity tables (with listing-order columns) -------------------------------------
     @cached_property
     def workspaces(self) -> DataFrame:
         if self.scope == "current":
-            return N.norm_workspace_single(self.cap, self.current)
-        return N.norm_workspaces(self.cap)
+            return self._staged("workspaces", N.norm_workspace_single(self.cap, self.current))
+        return self._staged("workspaces", N.norm_workspaces(self.cap))
 
     @cached_property
     def users(self) -> DataFrame:
@@ -59,13 +76,18 @@ class Inventory:
 
     @cached_property
     def items(self) -> DataFrame:
-        return N.norm_items(self.cap, self.workspaces)
+        return self._staged("items", N.norm_items(self.cap, self.workspaces))
 
     @cached_property
     def models(self) -> DataFrame:
-        """Models with ``_ws_order`` (position of their workspace in the listing)."""
+        return self._staged("models", N.norm_models(self.cap, self.workspaces))
+
+    @cached_property
+    def ordered_models(self) -> DataFrame:
+        """Models with ``_ws_order``, the position of their workspace in the listing (for
+        "first viable model" in the extractor's iteration order)."""
         ws_order = self.workspaces.groupBy("workspace_id").agg(F.min(F.struct("_page", "_pos")).alias("_ws_order"))
-        return N.norm_models(self.cap, self.workspaces).join(ws_order, "workspace_id", "left")
+        return self.models.join(ws_order, "workspace_id", "left")
 
     @cached_property
     def reports(self) -> DataFrame:
@@ -73,7 +95,7 @@ class Inventory:
 
     @cached_property
     def dataflows(self) -> DataFrame:
-        return N.norm_dataflows(self.cap, self.workspaces)
+        return self._staged("dataflows", N.norm_dataflows(self.cap, self.workspaces))
 
     @cached_property
     def other_assets(self) -> DataFrame:
@@ -103,7 +125,7 @@ class Inventory:
 
     @cached_property
     def power_queries(self) -> DataFrame:
-        return Q.power_queries(self.cap, self.models)
+        return Q.power_queries(self.cap, self.ordered_models)
 
     @cached_property
     def errors(self) -> DataFrame:

@@ -28,6 +28,13 @@ from lakecensus.sources.schemas import OUTPUTS, conform
 
 _FIXTURES: dict[tuple[int, str], X.Fixture] = {}
 _CAPTURES: dict[tuple[int, str, str], Capture] = {}
+_INVENTORIES: dict[tuple[int, str, str], Inventory] = {}
+
+
+def reset() -> None:
+    """Forget resolved captures and staged runs (the stored landing tables are kept)."""
+    _CAPTURES.clear()
+    _INVENTORIES.clear()
 
 
 def fixture(spark: SparkSession, sf_dir: str) -> X.Fixture:
@@ -46,8 +53,11 @@ def capture(spark: SparkSession, sf_dir: str, kind: str = "inventory") -> Captur
 
 
 def inventory(spark: SparkSession, sf_dir: str, scope: str = "all") -> Inventory:
-    cur = X.CURRENT_WORKSPACE if scope == "current" else None
-    return Inventory(capture(spark, sf_dir), scope=scope, current_workspace_id=cur)
+    key = (id(spark), sf_dir, scope)
+    if key not in _INVENTORIES:
+        cur = X.CURRENT_WORKSPACE if scope == "current" else None
+        _INVENTORIES[key] = Inventory(capture(spark, sf_dir), scope=scope, current_workspace_id=cur)
+    return _INVENTORIES[key]
 
 
 def for_compare(df: DataFrame) -> DataFrame:
@@ -170,13 +180,13 @@ def q_dax_rows(spark, sf_dir):
 
 def q_pq_probe_gate(spark, sf_dir):
     inv = inventory(spark, sf_dir)
-    gate = Q.probe_gate(inv.cap, inv.models).agg(F.count(F.lit(1)).alias("_n"))
+    gate = Q.probe_gate(inv.cap, inv.ordered_models).agg(F.count(F.lit(1)).alias("_n"))
     return gate.select((F.col("_n") > 0).alias("probe_ok"))
 
 
 def q_pq_coverage(spark, sf_dir):
     inv = inventory(spark, sf_dir)
-    return Q.pq_coverage(inv.cap, inv.models)
+    return Q.pq_coverage(inv.cap, inv.ordered_models)
 
 
 def q_ds_coverage(spark, sf_dir):
@@ -201,7 +211,8 @@ def q_uncovered_requests(spark, sf_dir):
 def q_model_name_lookup(spark, sf_dir):
     """Model id -> name (a later listing row wins); reports keep "" for unknown ids."""
     inv = inventory(spark, sf_dir)
-    names = inv.models.groupBy("model_id").agg(F.max_by("model_name", F.struct("_ws_order", "_page", "_pos")).alias("model_name"))
+    names = inv.ordered_models.groupBy("model_id").agg(
+        F.max_by("model_name", F.struct("_ws_order", "_page", "_pos")).alias("model_name"))
     return inv.reports.select("report_id", F.col("linked_model_id").alias("model_id")).join(names, "model_id", "left").select(
         "report_id", "model_id", F.coalesce("model_name", F.lit("")).alias("model_name"))
 
