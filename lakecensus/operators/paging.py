@@ -95,20 +95,22 @@ class Capture:
         return classify_outcomes(self.resolved)
 
     def warm(self, operations=K.PAGED_OPERATIONS) -> "Capture":
-        """Compute the chain cuts of several paged endpoints in one pass (used by a full run)."""
-        self._all_cuts = self._cuts_for(tuple(operations))
-        return self
-
-    def _cuts_for(self, operations: tuple) -> DataFrame:
-        if getattr(self, "_all_cuts", None) is not None:
-            return self._all_cuts
+        """Compute the chain cuts of several paged endpoints in one job (one scan of their
+        pages), so that a plan reading several listings pays for one checkpoint, not one each."""
         cache = self.__dict__.setdefault("_cut_cache", {})
-        if operations not in cache:
+        missing = tuple(op for op in dict.fromkeys(operations) if op in K.PAGED_OPERATIONS and op not in cache)
+        if missing:
             ensure_checkpoint_dir(self.spark)
-            scoped = self.outcomes.where(F.col("operation").isin(*operations))
+            scoped = self.outcomes.where(F.col("operation").isin(*missing))
             cuts = chain_cuts(scoped).checkpoint(eager=True)
-            cache[operations] = F.broadcast(cuts) if cuts.count() <= BROADCAST_CUTS_MAX_ROWS else cuts
-        return cache[operations]
+            frame = F.broadcast(cuts) if cuts.count() <= BROADCAST_CUTS_MAX_ROWS else cuts
+            for op in missing:
+                cache[op] = frame
+        return self
+
+    def _cuts_for(self, operation: str) -> DataFrame:
+        self.warm((operation,))
+        return self._cut_cache[operation]
 
     def pages(self, operation: str, paged: bool | None = None) -> DataFrame:
         """OK pages of one endpoint, after stitching; ``v`` is the parsed body."""
@@ -117,7 +119,7 @@ class Capture:
         ok = self.outcomes.where((F.col("operation") == operation) & (F.col("outcome") == "ok"))
         if not paged:
             return ok.where(F.col("page_no") == 0)
-        cuts = self._cuts_for((operation,)).select(F.col("request_id").alias("_cut_req"), F.col("cut").alias("_cut"))
+        cuts = self._cuts_for(operation).select(F.col("request_id").alias("_cut_req"), F.col("cut").alias("_cut"))
         return ok.join(
             cuts,
             (F.col("request_id") == F.col("_cut_req")) & (F.col("page_no") > F.col("_cut")),

@@ -79,7 +79,7 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def run_duration_seconds(started, finished) -> DataFrame:
+def run_duration_seconds(started, finished):
     """Whole seconds between two timestamps (columns)."""
     return F.unix_timestamp(finished) - F.unix_timestamp(started)
 

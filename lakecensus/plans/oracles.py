@@ -587,6 +587,7 @@ STABLE_IDS = " UNION ALL ".join(
 )
 
 ORACLES.update({
+    "run_duration": f"SELECT {RUN} AS run_id, (floor(epoch(max(ts)))::BIGINT - floor(epoch(min(ts)))::BIGINT) AS duration_s FROM events",
     "scan_landing": SCAN_LANDING,
     "json_get_default": f"SELECT item_id, created_by_email FROM ({ITEMS})",
     "json_get_or": f"SELECT workspace_id, capacity_id, description FROM ({WORKSPACES})",

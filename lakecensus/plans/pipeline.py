@@ -66,20 +66,24 @@ class Inventory:
     # --- entity tables (with listing-order columns) -------------------------------------
     @cached_property
     def workspaces(self) -> DataFrame:
+        self.cap.warm((K.OP_LIST_WORKSPACES,))
         if self.scope == "current":
             return self._staged("workspaces", N.norm_workspace_single(self.cap, self.current))
         return self._staged("workspaces", N.norm_workspaces(self.cap))
 
     @cached_property
     def users(self) -> DataFrame:
+        self.cap.warm((K.OP_LIST_WORKSPACES, K.OP_ROLE_ASSIGNMENTS))
         return N.norm_users(self.cap, self.workspaces)
 
     @cached_property
     def items(self) -> DataFrame:
+        self.cap.warm((K.OP_LIST_WORKSPACES, K.OP_LIST_ITEMS))
         return self._staged("items", N.norm_items(self.cap, self.workspaces))
 
     @cached_property
     def models(self) -> DataFrame:
+        self.cap.warm((K.OP_LIST_WORKSPACES, K.OP_LIST_DATASETS))
         return self._staged("models", N.norm_models(self.cap, self.workspaces))
 
     @cached_property
@@ -91,10 +95,12 @@ class Inventory:
 
     @cached_property
     def reports(self) -> DataFrame:
+        self.cap.warm((K.OP_LIST_WORKSPACES, K.OP_LIST_REPORTS))
         return N.norm_reports(self.cap, self.workspaces)
 
     @cached_property
     def dataflows(self) -> DataFrame:
+        self.cap.warm((K.OP_LIST_WORKSPACES, K.OP_LIST_DATAFLOWS))
         return self._staged("dataflows", N.norm_dataflows(self.cap, self.workspaces))
 
     @cached_property
@@ -103,6 +109,7 @@ class Inventory:
 
     # --- derived tables -----------------------------------------------------------------
     def datasource_branches(self) -> dict[str, DataFrame]:
+        self.cap.warm((K.OP_LIST_WORKSPACES, K.OP_LIST_ITEMS, K.OP_LIST_DATASETS, K.OP_LIST_DATAFLOWS, K.OP_SHORTCUTS))
         models = N.viable_models(self.models) if self.preflight else self.models
         return {
             "SemanticModel": D.ds_models(self.cap, models),
@@ -136,12 +143,14 @@ class Inventory:
 
     @cached_property
     def planned(self) -> DataFrame:
+        self.cap.warm((K.OP_LIST_WORKSPACES, K.OP_LIST_ITEMS, K.OP_LIST_DATASETS, K.OP_LIST_DATAFLOWS))
         return P.plan_workspace_requests(self.workspaces).unionByName(
             P.plan_entity_requests(self.models, self.dataflows, self.items, self.preflight)
         )
 
     # --- run ----------------------------------------------------------------------------
     def tables(self) -> dict[str, DataFrame]:
+        self.cap.warm(K.PAGED_OPERATIONS)
         frames = {
             "meta_workspaces": self.workspaces,
             "meta_workspace_users": self.users,
@@ -163,5 +172,4 @@ class Inventory:
         return E.table_counts(self.tables())
 
     def write(self, root: str, fmt: str = "parquet", on_empty: str = "skip") -> dict[str, int | None]:
-        self.cap.warm(K.PAGED_OPERATIONS)
         return write_tables(self.tables(), root, fmt, on_empty)

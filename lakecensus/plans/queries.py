@@ -327,7 +327,15 @@ def q_sink_roundtrip(spark, sf_dir):
     return out
 
 
+def q_run_duration(spark, sf_dir):
+    """Whole seconds from a run's first to its last request."""
+    lt = capture(spark, sf_dir, "attempts").landing
+    span = lt.groupBy("run_id").agg(F.min("requested_at").alias("started"), F.max("requested_at").alias("finished"))
+    return span.select("run_id", E.run_duration_seconds(F.col("started"), F.col("finished")).alias("duration_s"))
+
+
 QUERIES.update({
+    "run_duration": q_run_duration,
     "scan_landing": q_scan_landing,
     "json_get_default": _cols("items", "meta_workspace_items", ["item_id", "created_by_email"]),
     "json_get_or": _cols("workspaces", "meta_workspaces", ["workspace_id", "capacity_id", "description"]),
