@@ -90,8 +90,9 @@ class Inventory:
     def ordered_models(self) -> DataFrame:
         """Models with ``_ws_order``, the position of their workspace in the listing (for
         "first viable model" in the extractor's iteration order)."""
+        models = self.models
         ws_order = self.workspaces.groupBy("workspace_id").agg(F.min(F.struct("_page", "_pos")).alias("_ws_order"))
-        return self.models.join(ws_order, "workspace_id", "left")
+        return models.join(ws_order, "workspace_id", "left")
 
     @cached_property
     def reports(self) -> DataFrame:

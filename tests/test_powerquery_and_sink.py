@@ -73,3 +73,37 @@ def test_sink_roundtrip(spark):
     assert spark.read.parquet(path).count() == 5
     assert write_table(spark.range(0), path, on_empty="overwrite") == 0
     assert spark.read.parquet(path).count() == 0
+
+
+def test_scope_validation(spark, landing):
+    import pytest
+
+    cap = capture(landing)
+    with pytest.raises(ValueError):
+        Inventory(cap, scope="some")
+    with pytest.raises(ValueError):
+        Inventory(cap, scope="current")
+
+
+def test_preflight_flag_and_case_insensitive_shortcuts(spark, landing):
+    ws = json.dumps({"value": [{"id": "ws-1", "displayName": "W"}]})
+    models = json.dumps({"value": [{"id": "m1", "name": "M1", "isRefreshable": False}]})
+    items = json.dumps({"value": [{"id": "lh", "displayName": "LH", "type": "Lakehouse"}]})
+    ds = json.dumps({"value": [{"datasourceId": "d1", "datasourceType": "Sql", "connectionDetails": {"server": "s"}}]})
+    sc = json.dumps({"value": [{"name": "a", "path": "/p", "target": {"type": "S3", "s3": {"location": "loc", "bucket": "b"}}}]})
+    rows = [
+        {"request_id": "w", "operation": "ListWorkspaces", "status": 200, "body": ws},
+        {"request_id": "d", "operation": "ListDatasets", "workspace_id": "ws-1", "status": 200, "body": models},
+        {"request_id": "i", "operation": "ListWorkspaceItems", "workspace_id": "ws-1", "status": 200, "body": items},
+        {"request_id": "x", "operation": "GetSemanticModelDatasources", "workspace_id": "ws-1", "item_id": "m1",
+         "status": 200, "body": ds},
+        {"request_id": "s", "operation": "GetLakehouseShortcuts", "workspace_id": "ws-1", "item_id": "lh",
+         "status": 200, "body": sc},
+    ]
+    cap = Capture(landing(rows), "2001-10-01 00:00:00")
+    assert Inventory(cap).datasource_branches()["SemanticModel"].count() == 0  # not refreshable: skipped
+    assert Inventory(cap, preflight=False).datasource_branches()["SemanticModel"].count() == 1
+    exact = Inventory(cap).datasource_branches()["Lakehouse"].first()
+    loose = Inventory(cap, case_insensitive_shortcuts=True).datasource_branches()["Lakehouse"].first()
+    assert (exact["server"], exact["database"]) == ("", "")
+    assert (loose["server"], loose["database"]) == ("loc", "b")
