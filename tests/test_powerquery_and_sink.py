@@ -107,3 +107,16 @@ def test_preflight_flag_and_case_insensitive_shortcuts(spark, landing):
     loose = Inventory(cap, case_insensitive_shortcuts=True).datasource_branches()["Lakehouse"].first()
     assert (exact["server"], exact["database"]) == ("", "")
     assert (loose["server"], loose["database"]) == ("loc", "b")
+
+
+def test_read_landing_parquet_and_json(spark, landing):
+    from lakecensus.sources.landing import read_landing
+
+    df = landing([{"request_id": "a", "operation": "ListReports", "status": 200, "body": '{"value": [1]}'},
+                  {"request_id": "b", "operation": "ListReports", "status": 404, "run_id": "other"}])
+    root = tempfile.mkdtemp(prefix="lakecensus-landing-")
+    df.write.partitionBy("operation").parquet(f"{root}/p")
+    df.write.json(f"{root}/j")
+    assert read_landing(spark, f"{root}/p").count() == 2
+    assert read_landing(spark, f"{root}/j", fmt="json", run_id="r").count() == 1
+    assert read_landing(spark, f"{root}/p").columns == df.columns
