@@ -2,21 +2,38 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from lakecensus.session import ensure_checkpoint_dir
+
+
+def _write(df: DataFrame, path: str, fmt: str) -> int:
+    obs = Observation(f"rows_{uuid.uuid4().hex}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite").option(
+        "overwriteSchema", "true").save(path)
+    return int(obs.get["rows"])
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", on_empty: str = "skip") -> int | None:
     """K1 / K2 / K4. Returns the rows written (observed during the write, no second pass), or
-    None when the frame was empty and ``on_empty == "skip"`` (the previous table is kept)."""
+    None when the frame was empty and ``on_empty == "skip"`` (the previous table is kept).
+
+    With ``skip`` the plan runs once, into an incoming folder under the checkpoint directory;
+    only a non-empty result is then copied over the table, so the old table survives an empty
+    run without computing the plan twice."""
     if on_empty not in ("skip", "overwrite"):
         raise ValueError(f"on_empty must be 'skip' or 'overwrite', not {on_empty!r}")
-    if on_empty == "skip" and df.isEmpty():
+    if on_empty == "overwrite":
+        return _write(df, path, fmt)
+    spark = df.sparkSession
+    incoming = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakecensus-incoming-{uuid.uuid4().hex}"
+    n = _write(df, incoming, "parquet")
+    if n == 0:
         return None
-    obs = Observation("rows_written")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").save(path)
-    return int(obs.get["rows"])
+    return _write(spark.read.parquet(incoming), path, fmt)
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", on_empty: str = "skip") -> dict[str, int | None]:
