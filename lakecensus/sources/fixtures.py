@@ -76,21 +76,25 @@ def _json(*fields: Column) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "true"})
 
 
-def _attempts(pattern: Column) -> Column:
-    """array<struct<attempt, status, error_kind, err_body>> for a pattern name."""
+def _sql_lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, int):
+        return str(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _attempt_map_sql() -> str:
+    """map(pattern -> array<struct<attempt, status, error_kind, err_body>>), as one SQL text."""
     entries = []
     for name, steps in PATTERNS.items():
         structs = [
-            F.struct(
-                F.lit(i + 1).alias("attempt"),
-                F.lit(st).cast("int").alias("status"),
-                F.lit(kind).cast("string").alias("error_kind"),
-                F.lit(body).cast("string").alias("err_body"),
-            )
+            f"named_struct('attempt', {i + 1}, 'status', CAST({_sql_lit(st)} AS INT), "
+            f"'error_kind', CAST({_sql_lit(kind)} AS STRING), 'err_body', CAST({_sql_lit(body)} AS STRING))"
             for i, (st, kind, body) in enumerate(steps)
         ]
-        entries += [F.lit(name), F.array(*structs)]
-    return F.element_at(F.create_map(*entries), pattern)
+        entries.append(f"'{name}', array({', '.join(structs)})")
+    return f"map({', '.join(entries)})"
 
 
 class Fixture:
@@ -110,7 +114,7 @@ class Fixture:
             path = f"{root.rstrip('/')}/lakecensus-landing-{uuid.uuid4().hex}/{kind}"
             build = {"inventory": self.inventory_landing, "attempts": self.attempts_landing,
                      "chains": self.chains_landing}[kind]
-            build().repartition("operation", "request_id").write.partitionBy("operation").parquet(path)
+            build().write.partitionBy("operation").parquet(path)
             self._stored[kind] = path
         return self.spark.read.schema(LANDING).parquet(self._stored[kind]).select(*LANDING.fieldNames())
 
@@ -121,7 +125,9 @@ class Fixture:
     def _landing(self, pages: DataFrame) -> DataFrame:
         """pages: operation, request_id, workspace_id, item_id, item_type, item_name, url,
         query, page_no, body, pattern -> one landing row per attempt."""
-        a = F.explode(_attempts(F.col("pattern"))).alias("a")
+        if not hasattr(self, "_attempt_map"):
+            self._attempt_map = F.expr(_attempt_map_sql())
+        a = F.explode(F.element_at(self._attempt_map, F.col("pattern"))).alias("a")
         rows = pages.select("*", a)
         body = F.when(F.col("a.status") == 200, F.col("body")).otherwise(F.col("a.err_body"))
         return rows.select(
@@ -635,16 +641,23 @@ class Fixture:
         ])
 
     # --- captures ---------------------------------------------------------------------------
+    def _inventory_builders(self):
+        return [
+            self.workspaces, self.current_workspace, self.users, self.items, self.models,
+            self.reports, self.dataflows, self.dataflow_schedules, self.dataflow_datasources,
+            self.model_datasources, self.gen2_datasources, self.shortcuts, self.refresh_schedules,
+            self.refresh_history, self.dax,
+        ]
+
+    @staticmethod
+    def _typed(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in LANDING.fields])
+
     def inventory_landing(self) -> DataFrame:
         """Every request of one full run (scope all, plus the current workspace's GET)."""
-        parts = [
-            self.workspaces(), self.current_workspace(), self.users(), self.items(), self.models(),
-            self.reports(), self.dataflows(), self.dataflow_schedules(), self.dataflow_datasources(),
-            self.model_datasources(), self.gen2_datasources(), self.shortcuts(), self.refresh_schedules(),
-            self.refresh_history(), self.dax(),
-        ]
+        parts = [b() for b in self._inventory_builders()]
         pages = reduce(DataFrame.unionByName, [p.select(*parts[0].columns) for p in parts])
-        return self._landing(pages).select(*[F.col(f.name).cast(f.dataType) for f in LANDING.fields])
+        return self._typed(self._landing(pages))
 
     def attempts_landing(self) -> DataFrame:
         """events -> a log of GET attempts: request = event_id div 3, attempt = event_id % 3 + 1.
