@@ -26,7 +26,8 @@ def _struct(spec: str, types: dict) -> StructType:
 _CODES = {"s": S, "b": B, "l": L, "t": T, "i": I}
 
 # One row per HTTP attempt (page_no is the 0-based position in a continuation chain,
-# attempt is 1-based). `query` holds the POST text for DAX calls and is null for GETs.
+# attempt is 1-based; (request_id, page_no, attempt) is unique, and request_id is unique per
+# operation within a run). `query` holds the POST text for DAX calls and is null for GETs.
 LANDING = _struct(
     "run_id s, operation s, request_id s, workspace_id s, item_id s, item_type s, item_name s, "
     "url s, query s, page_no i, attempt i, status i, retry_after i, error_kind s, body s, "
