@@ -5,7 +5,8 @@ read: it stops at the first page without a body (earlier pages are kept) and aft
 page without a continuation link. Clean chains -- almost all of them -- pass through a filter
 untouched; only "dirty" requests (a failed page, a page after the end, a gap) are cut. Their
 cut points come from one small aggregate, checkpointed once per capture and broadcast only when
-its row count is under a limit; above it, the same anti join runs as a shuffle join.
+its measured size is under the session's broadcast threshold; above it, the same anti join runs
+as a shuffle join.
 """
 
 from __future__ import annotations
@@ -21,8 +22,20 @@ from lakecensus.functions.scalars import stable_id
 from lakecensus.operators.outcomes import classify_outcomes, resolve_attempts
 from lakecensus.session import ensure_checkpoint_dir
 
-# Rows of (request_id, cut) that may be shipped to every task.
-BROADCAST_CUTS_MAX_ROWS = 2_000_000
+# Bytes of (request_id, cut) that may be shipped to every executor; None -> the session's
+# spark.sql.autoBroadcastJoinThreshold (10 MB by default).
+BROADCAST_CUTS_MAX_BYTES: int | None = None
+
+
+def _broadcast_limit(spark) -> int:
+    if BROADCAST_CUTS_MAX_BYTES is not None:
+        return BROADCAST_CUTS_MAX_BYTES
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix):
+            return int(float(raw[: -len(suffix)]) * units[suffix])
+    return int(raw)
 
 CONTEXT = ["run_id", "operation", "request_id", "workspace_id", "item_id", "item_type", "item_name"]
 
@@ -103,7 +116,9 @@ class Capture:
             ensure_checkpoint_dir(self.spark)
             scoped = self.outcomes.where(F.col("operation").isin(*missing))
             cuts = chain_cuts(scoped).checkpoint(eager=True)
-            frame = F.broadcast(cuts) if cuts.count() <= BROADCAST_CUTS_MAX_ROWS else cuts
+            # measured size of the materialised cut set (key bytes + the int and row overhead)
+            size = cuts.agg(F.sum(F.length("request_id") + 16)).first()[0] or 0
+            frame = F.broadcast(cuts) if size <= _broadcast_limit(self.spark) else cuts
             for op in missing:
                 cache[op] = frame
         return self

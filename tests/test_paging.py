@@ -37,9 +37,9 @@ CHAINS = {
 }
 
 
-@pytest.mark.parametrize("broadcast_rows", [2_000_000, -1])
-def test_stitching(spark, landing, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(paging, "BROADCAST_CUTS_MAX_ROWS", broadcast_rows)
+@pytest.mark.parametrize("broadcast_bytes", [None, -1])
+def test_stitching(spark, landing, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(paging, "BROADCAST_CUTS_MAX_BYTES", broadcast_bytes)
     rows = [r for name, (kw, _) in CHAINS.items() for r in chain(name, **kw)]
     cap = Capture(landing(rows), "2001-10-01 00:00:00")
     got = {}
