@@ -240,7 +240,7 @@ WHERE d.doc_id % 11 <> 0"""
 
 # --- attempt log (events) ----------------------------------------------------------------
 EVENTS = f"""
-SELECT e.*, event_id // 3 AS req, event_id % 3 + 1 AS attempt,
+SELECT e.*, event_id // 3 AS req, (event_id % 3 + 1)::INTEGER AS attempt,
   CASE WHEN event_id % 37 = 0 THEN NULL WHEN event_type = 'click' THEN 200 WHEN event_type = 'view' THEN 429
        WHEN event_type = 'purchase' THEN NULL
        WHEN event_type = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 403 ELSE 500 END
@@ -527,7 +527,7 @@ SELECT 'sm-' || m AS model_id, (doc_id % {X.DOCS_PER_MODEL})::INTEGER AS row_pos
   CASE WHEN doc_id % 11 = 0 THEN '' ELSE 'Partition-' || doc_id END AS name,
   CASE WHEN doc_id % 13 = 5 THEN NULL ELSE doc_id % 9 END AS type_code,
   doc_id % 7 AS mode_code,
-  CASE WHEN doc_id % 17 = 3 THEN NULL ELSE length(text) END AS query_chars
+  CASE WHEN doc_id % 17 = 3 THEN NULL ELSE length(text)::INTEGER END AS query_chars
 FROM (SELECT *, doc_id // {X.DOCS_PER_MODEL} AS m FROM documents)
 WHERE m IN (SELECT m FROM {_VIABLE}) AND m NOT IN ({BAD_P})"""
 
