@@ -173,4 +173,8 @@ class Inventory:
         return E.table_counts(self.tables())
 
     def write(self, root: str, fmt: str = "parquet", on_empty: str = "skip") -> dict[str, int | None]:
+        """Write all tables. Like the extractor, a run whose workspace list (or current
+        workspace) came back empty stops before writing anything, the error table included."""
+        if self.workspaces.isEmpty():  # a staged, small table: cheap
+            return {}
         return write_tables(self.tables(), root, fmt, on_empty)

@@ -120,3 +120,14 @@ def test_read_landing_parquet_and_json(spark, landing):
     assert read_landing(spark, f"{root}/p").count() == 2
     assert read_landing(spark, f"{root}/j", fmt="json", run_id="r").count() == 1
     assert read_landing(spark, f"{root}/p").columns == df.columns
+
+
+def test_run_without_workspaces_writes_nothing(spark, landing):
+    rows = [
+        {"request_id": "w", "operation": "ListWorkspaces", "status": 403, "body": '{"error": {"code": "X"}}'},
+        {"request_id": "d", "operation": "ListDatasets", "workspace_id": "ws-1", "status": 200, "body": '{"value": []}'},
+    ]
+    inv = Inventory(Capture(landing(rows), "2001-10-01 00:00:00"))
+    root = tempfile.mkdtemp(prefix="lakecensus-empty-run-")
+    assert inv.write(root) == {}
+    assert inv.errors.count() == 1  # the error is still visible as a DataFrame
