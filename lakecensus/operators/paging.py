@@ -4,16 +4,18 @@ Page stitching keeps, per request, the contiguous prefix of pages that the extra
 read: it stops at the first page without a body (earlier pages are kept) and after the first
 page without a continuation link. Clean chains -- almost all of them -- pass through a filter
 untouched; only "dirty" requests (a failed page, a page after the end, a gap) are cut. Their
-cut points come from one small aggregate, checkpointed once per capture and broadcast only when
+cut points come from one small aggregate, written once per capture to the shared checkpoint
+folder (its size measured while writing) and broadcast only when
 its measured size is under the session's broadcast threshold; above it, the same anti join runs
 as a shuffle join.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakecensus.functions import constants as K
@@ -45,48 +47,65 @@ def has_next_link(v: Column) -> Column:
     return J.truthy(v, "$.nextLink") | J.truthy(v, '$["@odata.nextLink"]')
 
 
-def chain_cuts(outcomes: DataFrame) -> DataFrame:
-    """(request_id, cut): for requests whose chain must be cut, the last page to keep (-1 = none).
-
-    Only the light columns of each page take part; bodies are parsed for the link but never
-    shuffled.
-    """
-    pages = outcomes.where(F.col("operation").isin(*K.PAGED_OPERATIONS)).select(
+def light_pages(outcomes: DataFrame) -> DataFrame:
+    """(request_id, page_no, ok, has_next) of the pages of paged endpoints; bodies are parsed
+    for the link but never shuffled."""
+    return outcomes.where(F.col("operation").isin(*K.PAGED_OPERATIONS)).select(
         "request_id",
         "page_no",
         (F.col("outcome") == "ok").alias("ok"),
         F.coalesce(has_next_link(F.col("v")), F.lit(False)).alias("has_next"),
     )
-    summary = pages.groupBy("request_id").agg(
+
+
+def chain_summary(pages: DataFrame) -> DataFrame:
+    """One row per request: first failed page, first page without a link, lowest and highest
+    page, page count (partial aggregation: a request with millions of pages is no hot spot)."""
+    return pages.groupBy("request_id").agg(
         F.min(F.when(~F.col("ok"), F.col("page_no"))).alias("first_bad"),
         F.min(F.when(F.col("ok") & ~F.col("has_next"), F.col("page_no"))).alias("first_end"),
         F.min("page_no").alias("lo"),
         F.max("page_no").alias("hi"),
         F.count(F.lit(1)).alias("n"),
     )
-    gapped = summary.where((F.col("lo") != 0) | (F.col("n") != F.col("hi") + 1)).select("request_id", "lo")
-    # first missing page number of a gapped chain: page p present, p + 1 absent
-    keys = pages.select("request_id", "page_no").join(gapped.select("request_id"), "request_id", "left_semi")
+
+
+def gapped(summary: DataFrame) -> DataFrame:
+    """Requests whose page numbers are not exactly 0..hi."""
+    return summary.where((F.col("lo") != 0) | (F.col("n") != F.col("hi") + 1)).select("request_id", "lo")
+
+
+def gap_holes(pages: DataFrame, gaps: DataFrame) -> DataFrame:
+    """(request_id, first_missing) for gapped requests: page p present and p + 1 absent."""
+    keys = pages.select("request_id", "page_no").join(gaps.select("request_id"), "request_id", "left_semi")
     nxt = keys.select("request_id", (F.col("page_no") - 1).alias("page_no"))
     holes = (
         keys.join(nxt, ["request_id", "page_no"], "left_anti")
         .groupBy("request_id")
         .agg((F.min("page_no") + 1).alias("first_missing"))
     )
-    holes = gapped.join(holes, "request_id", "left").select(
+    return gaps.join(holes, "request_id", "left").select(
         "request_id", F.when(F.col("lo") != 0, F.lit(0)).otherwise(F.col("first_missing")).alias("first_missing")
     )
+
+
+def cuts_from(summary: DataFrame, holes: DataFrame | None = None) -> DataFrame:
+    """(request_id, cut) for the requests whose chain must be cut; cut = last page kept (-1 = none)."""
+    s = summary if holes is None else summary.join(holes, "request_id", "left")
+    missing = F.col("first_missing") if holes is not None else F.lit(None).cast("long")
     cut = F.least(
         F.coalesce(F.col("first_bad") - 1, F.col("hi")),
         F.coalesce(F.col("first_end"), F.col("hi")),
-        F.coalesce(F.col("first_missing") - 1, F.col("hi")),
-    )
-    return (
-        summary.join(holes, "request_id", "left")
-        .select("request_id", "hi", cut.alias("cut"))
-        .where(F.col("cut") < F.col("hi"))
-        .select("request_id", "cut")
+        F.coalesce(missing - 1, F.col("hi")),
     )
+    return s.select("request_id", "hi", cut.alias("cut")).where(F.col("cut") < F.col("hi")).select("request_id", "cut")
+
+
+def chain_cuts(outcomes: DataFrame) -> DataFrame:
+    """All of the above as one plan (for reports over small captures; ``Capture`` stages it)."""
+    pages = light_pages(outcomes)
+    summary = chain_summary(pages)
+    return cuts_from(summary, gap_holes(pages, gapped(summary)))
 
 
 class Capture:
@@ -113,11 +132,20 @@ class Capture:
         cache = self.__dict__.setdefault("_cut_cache", {})
         missing = tuple(op for op in dict.fromkeys(operations) if op in K.PAGED_OPERATIONS and op not in cache)
         if missing:
-            ensure_checkpoint_dir(self.spark)
-            scoped = self.outcomes.where(F.col("operation").isin(*missing))
-            cuts = chain_cuts(scoped).checkpoint(eager=True)
-            # measured size of the materialised cut set (key bytes + the int and row overhead)
-            size = cuts.agg(F.sum(F.length("request_id") + 16)).first()[0] or 0
+            root = ensure_checkpoint_dir(self.spark).rstrip("/")
+            tag = uuid.uuid4().hex
+            pages = light_pages(self.outcomes.where(F.col("operation").isin(*missing)))
+            # the one pass over the pages: a per-request summary, written to the shared folder
+            chain_summary(pages).write.parquet(f"{root}/lakecensus-chains-{tag}")
+            summary = self.spark.read.parquet(f"{root}/lakecensus-chains-{tag}")
+            gaps = gapped(summary)
+            holes = None if gaps.isEmpty() else gap_holes(pages, gaps)  # gaps are rare
+            # write the cut set (cutting lineage) and measure its size while writing
+            obs = Observation(f"cuts_{tag}")
+            cuts_from(summary, holes).observe(obs, F.sum(F.length("request_id") + 16).alias("bytes")).write.parquet(
+                f"{root}/lakecensus-cuts-{tag}")
+            cuts = self.spark.read.parquet(f"{root}/lakecensus-cuts-{tag}")
+            size = obs.get["bytes"] or 0
             frame = F.broadcast(cuts) if size <= _broadcast_limit(self.spark) else cuts
             for op in missing:
                 cache[op] = frame
