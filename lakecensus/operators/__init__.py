@@ -1,2 +1,3 @@
-"""DataFrame -> DataFrame operators. None of them triggers an action, except the sized
-broadcast guard in ``paging`` (one small aggregate, checkpointed)."""
+"""DataFrame -> DataFrame operators. Transforms are lazy; the only eager steps are the chain-cut
+summary of a capture (written once to the shared checkpoint folder, its size measured before it
+is broadcast) and the staging of shared entity tables by ``plans.pipeline.Inventory``."""
