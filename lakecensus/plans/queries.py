@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from lakecensus.functions import constants as K
-from lakecensus.operators import datasources as D
 from lakecensus.operators import normalize as N
 from lakecensus.operators import outcomes as O
 from lakecensus.operators import planning as P
