@@ -19,9 +19,11 @@ def parse_ts(s: Column) -> Column:
     Naive values are read in the session time zone, which ``configure`` pins to UTC.
     """
     cleaned = F.regexp_replace(F.trim(s), "Z", "+00:00")
+    # HH:MM without seconds: Spark's cast wants the seconds when an offset follows
+    with_seconds = F.regexp_replace(cleaned, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})([+-]\d{2}:\d{2})?$", "$1:00$2")
     return F.when(
         (F.length(s) > 0) & cleaned.rlike(ISO_RE),
-        F.try_to_timestamp(cleaned),
+        F.try_to_timestamp(with_seconds),
     )
 
 

@@ -66,3 +66,29 @@ def test_labels(spark):
     rows = df.select(partition_type_label(F.col("c")), storage_mode_label(F.col("c"))).collect()
     assert [r[0] for r in rows] == ["Unknown", "Unknown", "Data", "M", "DAX", "SQL", "Unknown", "Unknown", "Historical", "Unknown"]
     assert [r[1] for r in rows][:7] == ["Unknown", "Import", "DirectQuery", "Default", "Push", "Streaming", "PushStreaming"]
+
+
+@st.composite
+def iso_strings(draw):
+    d = draw(st.dates(min_value=dt.date(1900, 1, 1), max_value=dt.date(2200, 12, 31)))
+    s = d.isoformat()
+    if draw(st.booleans()):
+        t = draw(st.times())
+        s += draw(st.sampled_from(["T", " "])) + f"{t.hour:02d}:{t.minute:02d}"
+        if draw(st.booleans()):
+            s += f":{t.second:02d}"
+            digits = draw(st.integers(min_value=0, max_value=7))
+            if digits:
+                s += "." + f"{t.microsecond:06d}{draw(st.integers(0, 9))}"[:digits]
+        zone = draw(st.sampled_from(["", "Z", "+00:00", "+02:00", "-05:30", "+14:00"]))
+        s += zone
+    pad = draw(st.sampled_from(["", " ", "  "]))
+    return pad + s + pad
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(iso_strings(), min_size=1, max_size=10))
+def test_parse_ts_property(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = [r[0] for r in df.select(parse_ts(F.col("s")).cast("timestamp_ntz")).collect()]
+    assert got == [py_parse_ts(v) for v in values]
