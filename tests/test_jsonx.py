@@ -2,6 +2,9 @@
 
 import json
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +96,30 @@ def test_json_or_empty(spark):
     df = spark.createDataFrame([('{"errorCode": "E1"}',), ("{bad",), ("",), (None,), ("[1]",)], "s string")
     got = [r[0] for r in df.select(J.get_or(J.json_or_empty(F.col("s")), "$.errorCode")).collect()]
     assert got == ["E1", "", "", "", ""]
+
+
+json_scalars = st.one_of(
+    st.none(), st.booleans(), st.integers(min_value=-(2**62), max_value=2**62),
+    st.floats(allow_nan=False, allow_infinity=False, width=64), st.text(max_size=5),
+)
+json_values = st.recursive(
+    json_scalars,
+    lambda inner: st.one_of(st.lists(inner, max_size=3), st.dictionaries(st.text(max_size=3), inner, max_size=3)),
+    max_leaves=6,
+)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.just("<missing>"), json_values), min_size=1, max_size=12))
+def test_truthiness_property(spark, values):
+    bodies = [json.dumps({} if v == "<missing>" else {"a": v}) for v in values]
+    df = spark.createDataFrame([(b,) for b in bodies], "body string").select(J.parse("body").alias("v"))
+    got = df.select(J.truthy("v", "$.a"), J.get_or("v", "$.a", "D"), J.present("v", "$.a")).collect()
+    for b, (t, g, p) in zip(bodies, got):
+        d = json.loads(b)
+        assert t == bool(d.get("a")), b
+        assert p == ("a" in d), b
+        if not d.get("a"):
+            assert g == "D", b
+        elif isinstance(d["a"], str):
+            assert g == d["a"], b
