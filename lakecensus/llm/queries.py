@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecensus.llm import chat, langid, merkle, mixing, packing, quality, sharding, tokencount
+from lakecensus.llm import chat, hmm, langid, merkle, minhash, mixing, packing, quality, sharding, tokencount
 from lakecensus.llm.common import table
 
 N_SHARDS = 16
@@ -53,6 +53,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), [1.0] * N_SHARDS).withColumn("law", F.lit("key"))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     learn = langid.may_learn()
@@ -70,6 +74,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(tokencount.flat_files(docs, path, packing.END_ID), packing.END_ID, width)
 
 
+def op8_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    return hmm.score(table(spark, sf_dir, "documents"), held)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
@@ -88,6 +97,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_chat_formatting, op2_merkle_fingerprints, op3_sharding, op5_language_id, op6_source_mixing,
-        op7_token_counts, op9_packing, op10_quality_rules)
+        op1_chat_formatting, op2_merkle_fingerprints, op3_sharding, op4_minhash_near_dedup,
+        op5_language_id, op6_source_mixing, op7_token_counts, op8_hidden_markov_scores, op9_packing,
+        op10_quality_rules)
 }
