@@ -11,7 +11,7 @@ columns of the input are kept by ``ledger`` and never read.
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,21 +22,20 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-# rule -> failure predicate over the measurements; the position is the rule's bit
-RULES: dict[str, str] = {
-    "few_words": "n_words < 10",
-    "repeated_windows": "100 * n_repeat_words > 20 * n_words",
-    "symbols": "10 * n_symbols > n_words",
-    "duplicate_lines": "2 * n_dup_lines > n_lines",
-    "word_length": "word_chars < 2 * n_words or word_chars > 12 * n_words",
-    "upper_case": "10 * n_upper > 4 * word_chars",
+# rule -> failure over the measurements; the position is the rule's bit
+RULES: dict[str, Callable[[Column], Column]] = {
+    "few_words": lambda m: m["n_words"] < 10,
+    "repeated_windows": lambda m: 100 * m["n_repeat_words"] > 20 * m["n_words"],
+    "symbols": lambda m: 10 * m["n_symbols"] > m["n_words"],
+    "duplicate_lines": lambda m: 2 * m["n_dup_lines"] > m["n_lines"],
+    "word_length": lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 12 * m["n_words"]),
+    "upper_case": lambda m: 10 * m["n_upper"] > 4 * m["word_chars"],
 }
 # versioned policies: a document is kept if none of these rules fails
 POLICIES: dict[str, tuple[str, ...]] = {
     "base-1": ("few_words", "repeated_windows"),
     "clean-1": tuple(RULES),
 }
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper")
 
 
 def bit(rule: str) -> int:
@@ -47,6 +46,12 @@ def policy_mask(policy: str) -> int:
     return sum(bit(r) for r in POLICIES[policy])
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once: a lambda over an array of one. Named columns
+    would be copied into every use when Spark moves a filter below them."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def repeated_words(windows: Column) -> Column:
     """Words inside windows found twice or more. Sorted by hash, equal windows are neighbours;
     their starts, sorted, cover min(WINDOW, distance to the start before) new words each."""
@@ -59,51 +64,49 @@ def repeated_words(windows: Column) -> Column:
 
         return F.array_sort(F.array_compact(F.transform(s, start)))
 
-    # a one-element array binds the sorted array once, so that it isn't evaluated per element
-    found = F.flatten(F.transform(F.array(order), starts))
     covered = F.aggregate(
-        found, F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n")),
+        let(order, starts), F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n")),
         lambda acc, p: F.struct(p.alias("last"), (acc["n"] + F.least(F.lit(WINDOW), p - acc["last"])).alias("n")),
         lambda acc: acc["n"])
     return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(covered)
 
 
-def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The input and its measurements as the struct ``_m``."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    bare = F.translate(t, SPACES, "")
-    lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = docs.withColumn("_w", words(F.col(text))).withColumn("_h", F.transform("_w", lambda w: F.xxhash64(w)))
-    window = F.transform(
-        F.sequence(F.lit(0), F.size("_h") - WINDOW),
-        lambda i: F.xxhash64(*[F.get(F.col("_h"), i + k) for k in range(WINDOW)]))
-    out = out.withColumn("_v", F.when(F.size("_h") >= WINDOW, window).otherwise(F.array().cast("array<bigint>")))
-    out = out.withColumn("_bare", bare).withColumn("_lines", lines)
-    measures = {
-        "n_words": F.size("_w"),
-        "word_chars": F.char_length("_bare"),
-        "n_symbols": F.char_length("_bare") - F.char_length(F.translate("_bare", SYMBOLS, "")),
-        "n_lines": F.size("_lines"),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "n_repeat_words": repeated_words(F.col("_v")),
-        "n_upper": F.char_length("_bare") - F.char_length(F.translate("_bare", UPPER, "")),
-    }
-    return out.withColumn("_m", F.struct(*[measures[m].cast("long").alias(m) for m in MEASURES])) \
-        .drop("_w", "_h", "_v", "_bare", "_lines")
-
-
-def fail_mask() -> Column:
-    """One bit per failing rule, from the struct ``_m`` of measurements."""
+def measures(text: Column) -> Column:
+    """The measurements of a text as one struct."""
+
+    def windows(h: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(0), F.size(h) - WINDOW),
+                           lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)]))
+        return F.when(F.size(h) >= WINDOW, each).otherwise(F.array().cast("array<bigint>"))
+
+    def gather(t: Column) -> Column:
+        lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+        hashes = F.transform(words(t), lambda w: F.xxhash64(w))
+        return let(hashes, lambda h: let(F.translate(t, SPACES, ""), lambda bare: let(lines, lambda ls: F.struct(*[
+            value.cast("long").alias(name) for name, value in {
+                "n_words": F.size(h),
+                "word_chars": F.char_length(bare),
+                "n_symbols": F.char_length(bare) - F.char_length(F.translate(bare, SYMBOLS, "")),
+                "n_lines": F.size(ls),
+                "n_dup_lines": F.size(ls) - F.size(F.array_distinct(ls)),
+                "n_repeat_words": let(windows(h), repeated_words),
+                "n_upper": F.char_length(bare) - F.char_length(F.translate(bare, UPPER, "")),
+            }.items()]))))
+
+    return gather(F.coalesce(text, F.lit("")))
+
+
+def fail_mask(m: Column) -> Column:
+    """One bit per failing rule, from the struct of measurements."""
     mask = F.lit(0).cast("long")
-    for rule, predicate in RULES.items():
-        failed = F.expr(re.sub(r"\b[a-z]\w*_\w+", r"_m.\g<0>", predicate))
-        mask = mask.bitwiseOR(F.when(failed, F.lit(bit(rule))).otherwise(F.lit(0)).cast("long"))
+    for rule, fails in RULES.items():
+        mask = mask.bitwiseOR(F.when(fails(m), F.lit(bit(rule))).otherwise(F.lit(0)).cast("long"))
     return mask
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     """The input, the struct ``_m`` of measurements and ``_fail_mask``."""
-    return measure(docs, text).withColumn("_fail_mask", fail_mask())
+    return docs.withColumn("_m", measures(F.col(text))).withColumn("_fail_mask", fail_mask(F.col("_m")))
 
 
 def passes(mask: Column, policy: str) -> Column:
@@ -126,4 +129,4 @@ def ablations(book: DataFrame, policy: str) -> DataFrame:
 
 def kept_documents(docs: DataFrame, policy: str = "clean-1") -> DataFrame:
     """The documents that pass a policy, with their own columns."""
-    return ledger(docs).where(passes(F.col("_fail_mask"), policy)).select(*docs.columns)
+    return docs.where(let(measures(F.col("text")), lambda m: passes(fail_mask(m), policy)))

@@ -13,6 +13,7 @@ from lakecensus.llm.common import table
 
 N_SHARDS = 16
 TOKENIZER = "word_bpe_49k.json"
+SEPARATOR = 49407  # its <|endoftext|>, which no ordinary text gives
 
 
 def tokenizer_path() -> str:
@@ -71,7 +72,7 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents"), tokenizer_path()
     width = 2  # bytes of an id: the vocabulary has fewer than 65,536
-    return tokencount.count_tokens(tokencount.flat_files(docs, path, packing.END_ID), packing.END_ID, width)
+    return tokencount.count_tokens(tokencount.flat_files(docs, path, SEPARATOR), SEPARATOR, width)
 
 
 def op8_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,12 +80,15 @@ def op8_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"), held)
 
 
-def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+def pieces(packed: DataFrame) -> DataFrame:
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = ~quality.passes(F.col("_fail_mask"), "base-1")
