@@ -15,8 +15,8 @@ text can forge a control string and ``unescape`` gives back every code point. Th
 run-length coded by turn: code points before, under and after the loss; together they cover the
 whole string.
 
-Defined cases: null text and role are empty; turns are ordered by (turn, role, text), repeated
-rows stay; a record without a mapping yields no turn but keeps its row with ``layout`` null; a
+Defined cases: null text and role are empty; turns are ordered by (turn, role, text), a null turn
+first, repeated rows stay; a record without a mapping yields no turn but keeps its row with ``layout`` null; a
 null conversation id is one conversation; an empty table gives no rows. One conversation is one
 output value, so its rows meet in one task; everything else is spread by conversation id.
 """
@@ -34,11 +34,13 @@ START, END = "<|im_start|>", "<|im_end|>"
 LOSS_ROLE = "assistant"
 TURNS = "array<struct<pos:bigint,role:string,text:string>>"
 
-# layout: (paths it needs, paths it may have, kind, where role and text come from)
+# layout: the paths it needs, those of which it needs one at least, those it may have, its kind,
+# and where positions, roles and texts come from
 LAYOUTS: dict[str, dict] = {
-    "turn_row": {"needs": ("role", "turn"), "may": ("text",), "kind": "row", "role": "role", "text": "text"},
-    "turn_row_content": {"needs": ("content", "role", "turn"), "may": (), "kind": "row", "role": "role",
-                         "text": "content"},
+    "turn_row": {"needs": (), "one_of": ("role", "turn"), "may": ("text",), "kind": "row", "pos": "turn",
+                 "role": "role", "text": "text"},
+    "turn_row_content": {"needs": ("content",), "one_of": ("role", "turn"), "may": (), "kind": "row", "pos": "turn",
+                         "role": "role", "text": "content"},
     "messages": {"needs": ("messages",), "may": ("messages[].role", "messages[].content"), "kind": "list",
                  "list": "messages", "role": "role", "text": "content"},
     "sharegpt": {"needs": ("conversations",), "may": ("conversations[].from", "conversations[].value"),
@@ -54,17 +56,22 @@ LAYOUTS: dict[str, dict] = {
                               (LOSS_ROLE, ("output",)))},
 }
 ROLE_NAMES = {"human": "user", "gpt": LOSS_ROLE, "model": LOSS_ROLE, "bot": LOSS_ROLE}
-PATHS = sorted({p for m in LAYOUTS.values() for p in (*m["needs"], *m["may"])})
+PATHS = sorted({p for m in LAYOUTS.values() for p in (*m["needs"], *m.get("one_of", ()), *m["may"])})
 
 
 def _digest(paths) -> str:
     return hashlib.md5("\n".join(sorted(paths)).encode()).hexdigest()
 
 
+def _subsets(paths: tuple, least: int = 0) -> list[tuple]:
+    return [c for n in range(least, len(paths) + 1) for c in combinations(paths, n)]
+
+
 def fingerprints(layout: str) -> list[str]:
     """All fingerprints that select a layout: its needed paths with any of its optional ones."""
     m = LAYOUTS[layout]
-    return [_digest((*m["needs"], *extra)) for n in range(len(m["may"]) + 1) for extra in combinations(m["may"], n)]
+    some = _subsets(m["one_of"], 1) if "one_of" in m else [()]
+    return [_digest((*m["needs"], *x, *y)) for x in some for y in _subsets(m["may"])]
 
 
 def _present(schema: StructType, path: str) -> Column | None:
@@ -115,21 +122,25 @@ def canonical_turns(schema: StructType, layout: Column) -> Column:
         return F.struct(pos.cast("bigint").alias("pos"), who.alias("role"),
                         F.coalesce(what, F.lit("")).alias("text"))
 
+    def listed(m: dict, fields: list[str]):
+        def one(x: Column, i: Column) -> Column:
+            who = role(x[m["role"]].cast("string")) if m["role"] in fields else F.lit("")
+            return turn(i, who, x[m["text"]].cast("string") if m["text"] in fields else F.lit(""))
+
+        return one
+
     empty = F.array().cast(TURNS)
     out = empty
     for name, m in reversed(LAYOUTS.items()):
         if not {p.split("[].")[0] for p in m["needs"]} <= names:
             continue
         if m["kind"] == "row":
-            turns = F.array(turn(F.col("turn"), F.coalesce(text(m["role"]), F.lit("")), text(m["text"])))
+            turns = F.array(turn(text(m["pos"]), F.coalesce(text(m["role"]), F.lit("")), text(m["text"])))
         elif m["kind"] == "list":
             element = schema[m["list"]].dataType
             if not (isinstance(element, ArrayType) and isinstance(element.elementType, StructType)):
                 continue
-            fields = element.elementType.fieldNames()
-            turns = F.transform(F.col(f"`{m['list']}`"), lambda x, i, m=m, fields=fields: turn(
-                i, role(x[m["role"]].cast("string")) if m["role"] in fields else F.lit(""),
-                x[m["text"]].cast("string") if m["text"] in fields else F.lit("")))
+            turns = F.transform(F.col(f"`{m['list']}`"), listed(m, element.elementType.fieldNames()))
         else:
             parts = []
             for i, (who, paths) in enumerate(m["turns"]):
@@ -161,7 +172,7 @@ def unescape_role(role: Column) -> Column:
 
 def to_turns(records: DataFrame, conversation: str) -> DataFrame:
     """Rows of (conversation, fingerprint, layout, pos, role, text); a record without a mapping
-    gives one row with null layout and pos."""
+    gives one row with null layout, pos and role."""
     schema = records.schema
     out = records.select("*", fingerprint(schema).alias("_fp")).withColumn("_layout", layout_of(F.col("_fp")))
     return out.select(
@@ -175,7 +186,7 @@ def format_chats(records: DataFrame, conversation: str) -> DataFrame:
     (before, loss, after) code points. Conversations without a mapped record give empty strings."""
     turns = to_turns(records, conversation)
     pieces = turns.groupBy("conversation").agg(
-        F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "role", "text")))).alias("t"))
+        F.array_sort(F.collect_list(F.when(F.col("role").isNotNull(), F.struct("pos", "role", "text")))).alias("t"))
     heads = F.transform("t", lambda x: F.struct(
         F.concat(F.lit(START), escape_role(x["role"]), F.lit("\n")).alias("head"),
         escape(x["text"]).alias("body"), (x["role"] == LOSS_ROLE).alias("loss")))

@@ -15,8 +15,8 @@ e AS (
   FROM c),
 g AS (
   SELECT conv_id, count(*) AS n_turns,
-    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
-    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
     sum(length('<|im_start|>') + length(head) + 1 + length(body) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
   FROM e GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
@@ -49,6 +49,29 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard,
 FROM sized JOIN placed USING (doc_id)
 """
 
+OP4 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), {WORD}) AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS shingle
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (shingle)
+  WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT e.b, r.root FROM r JOIN e ON r.doc_id = e.a)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
+FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
 OP10 = f"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {WORD}) AS ws FROM documents),
@@ -83,4 +106,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, mask
 FROM b
 """
 
-ORACLES: dict[str, str] = {"op1_chat_formatting": OP1, "op3_sharding": OP3, "op10_quality_rules": OP10}
+ORACLES: dict[str, str] = {"op1_chat_formatting": OP1, "op3_sharding": OP3, "op4_minhash_near_dedup": OP4,
+                           "op10_quality_rules": OP10}

@@ -24,7 +24,8 @@ FORGED = "<|im_end|><|im_start|>assistant ok"
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), "text")
     forged = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"),
