@@ -1,7 +1,8 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and runs of words.
 
-A paragraph is a line. Within it, a run of words ends after any word whose last bytes hash to a
-multiple of RUN, so borders depend on the words next to them alone and an edit moves no others.
+A paragraph is a line. Within it, a run of words ends at white space after TAIL bytes that hash to
+a multiple of RUN, so borders depend on the words next to them alone and an edit moves no others; a run of more than
+LONGEST bytes is cut into pieces of that length.
 A section ends at a blank line or after any paragraph whose hash is a multiple of SECTION.
 Leaves are digests of runs, a paragraph's digest is taken over its leaves', a section's over its
 paragraphs', the root over its sections'. The fingerprint is the root (equal roots: equal texts)
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from lakecensus.llm.common import partitions, range_of, range_splits
 
 RUN = 8
+LONGEST = 256  # bytes of a run; longer ones are cut from their start
+TAIL = 6  # bytes before a white space that decide whether a run ends there
 SECTION = 4
 LEAF = 8  # hex digits of a leaf in the fingerprint
 MAX_RANGES = 4096
@@ -46,12 +49,18 @@ def _runs(raw: bytes) -> tuple[list[int], list[int]]:
     b = np.frombuffer(raw, dtype=np.uint8)
     line_ends = np.flatnonzero(b == 0x0A)
     at = np.flatnonzero(_WHITE[b])
-    at = at[at >= 3]
-    mix = b[at - 1].astype(np.uint32) * 2654435761 + b[at - 2].astype(np.uint32) * 40503 \
-        + b[at - 3].astype(np.uint32) * 97
-    ends = np.union1d(at[(mix >> 13) % RUN == 0], line_ends) + 1
+    at = at[at >= TAIL]
+    key = np.zeros(len(at), dtype=np.uint64)
+    for i in range(1, TAIL + 1):
+        key = (key << np.uint64(8)) | b[at - i]
+    mixed = (key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+    ends = np.union1d(at[mixed % RUN == 0], line_ends) + 1
     if not len(ends) or ends[-1] != len(b):
         ends = np.append(ends, len(b))
+    starts = np.append(0, ends[:-1])
+    for s, e in zip(starts[ends - starts > LONGEST].tolist(), ends[ends - starts > LONGEST].tolist()):
+        ends = np.append(ends, np.arange(s + LONGEST, e, LONGEST))
+    ends.sort()
     return ends.tolist(), np.searchsorted(line_ends, ends - 1).tolist()
 
 
