@@ -28,11 +28,11 @@ BLOCK = 1 << 16  # tokens
 
 
 def flat_files(docs: DataFrame, path: str, separator: int, block: int = BLOCK, text: str = "text") -> DataFrame:
-    """Documents as flat token files, one per partition of the scan, in rows of (file, block,
+    """Documents as flat token files (a special token's string in a text is ordinary text), one per partition of the scan, in rows of (file, block,
     payload): little-endian ids, the separator after every document, cut without regard to them."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        file, at, tok = TaskContext.get().partitionId(), 0, tokenizer(path)
+        file, at, tok = TaskContext.get().partitionId(), 0, tokenizer(path, plain=True)
         end = np.array([separator], dtype=tok.dtype).tobytes()
         size, rest = block * len(end), b""
         for b in batches:
