@@ -12,7 +12,7 @@
 
 Only per-source totals reach the driver. A source holding most rows has as many more shards.
 Defined cases: null text has size 0 and nothing is taken from it; null source is a source (last
-in order); equal sizes and ids are ordered by text checksum; an empty table gives no rows.
+in order); equal sizes and ids are ordered by the text's MD5; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from lakecensus.llm.common import crc32, staged, words
+from lakecensus.llm.common import staged, words
 
 BLOCK = 64
 DOCS_PER_SHARD = 4096
@@ -86,18 +86,28 @@ def targets(sizes, weights, cap: float = CAP) -> np.ndarray:
     return out
 
 
+def text_tag(text: Column) -> Column:
+    """52 bits of a text's MD5; null is empty."""
+    return seeded(F.coalesce(text, F.lit("")))
+
+
+def seeded(*parts: Column) -> Column:
+    """52 bits of the MD5 of the parts, joined by colons; null parts are left out."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts])), 1, 13), 16, 10).cast("long")
+
+
 def _overlap(a: Column, b: Column, c: Column, d: Column) -> Column:
     return F.greatest(F.lit(0), F.least(b, d) - F.greatest(a, c))
 
 
 def mix(docs: DataFrame, cycle=CYCLE, cap: int = CAP, block: int = BLOCK,
         docs_per_shard: int = DOCS_PER_SHARD, seed: int = SEED) -> DataFrame:
-    """One light row per document: doc_id, crc (of its text), size, source_size, target, taken,
+    """One light row per document: doc_id, tag (of its text), size, source_size, target, taken,
     and what is taken: ``times`` whole copies plus the words [a1, b1) and [a2, b2) once more."""
     spark = docs.sparkSession
     sized = staged(docs.select(
         "doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"),
-        crc32(F.coalesce(F.col("text"), F.lit(""))).alias("crc")), "mix-sizes")
+        text_tag(F.col("text")).alias("tag")), "mix-sizes")
     per = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
     per.sort(key=lambda r: (r["source"] is None, r["source"] or ""))  # by code point, null last
     size = [r["size"] for r in per]
@@ -109,9 +119,9 @@ def mix(docs: DataFrame, cycle=CYCLE, cap: int = CAP, block: int = BLOCK,
     if len(per) <= BROADCAST_SOURCES:
         facts = F.broadcast(facts)
     keyed = sized.join(facts, sized["source"].eqNullSafe(F.col("name"))).select(
-        "doc_id", "src", "size", "crc", "source_size", "target",
-        F.pmod(F.xxhash64("doc_id", "crc", F.lit(seed)), "shards").alias("shard"),
-        F.xxhash64("doc_id", "crc", F.lit(seed + 1)).alias("at"))
+        "doc_id", "src", "size", "tag", "source_size", "target",
+        (seeded(F.lit(seed), F.col("doc_id"), F.col("tag")) % F.col("shards")).alias("shard"),
+        seeded(F.lit(seed + 1), F.col("doc_id"), F.col("tag")).alias("at"))
 
     # words and blocks of every shard; seats of every source
     shards = staged(keyed.groupBy("src", "shard").agg(F.sum("size").alias("words"))
@@ -132,9 +142,10 @@ def mix(docs: DataFrame, cycle=CYCLE, cap: int = CAP, block: int = BLOCK,
     quotas = (
         shards.join(seat_rows, "src").groupBy("src")
         .applyInPandas(deal, "src int, shard long, words long, blocks long, quota long")
-        .withColumn("start", F.when(F.col("blocks") > 0, F.pmod(F.xxhash64("src", "shard", F.lit(seed + 2)), "blocks")))
+        .withColumn("start", F.when(
+            F.col("blocks") > 0, seeded(F.lit(seed + 2), F.col("src"), F.col("shard")) % F.col("blocks")))
     )
-    order = Window.partitionBy("src", "shard").orderBy("at", "doc_id", "crc", "size")
+    order = Window.partitionBy("src", "shard").orderBy("at", "doc_id", "tag", "size")
     placed = keyed.withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))) \
         .join(quotas, ["src", "shard"], "left")
     begin, extra = F.col("end") - F.col("size"), F.col("quota") % F.col("blocks")
@@ -152,7 +163,7 @@ def mix(docs: DataFrame, cycle=CYCLE, cap: int = CAP, block: int = BLOCK,
         return F.coalesce(F.when(whole & (F.col("blocks") > 0), c), zero).cast("long")
 
     return placed.select(
-        "doc_id", "crc", "size", "source_size", "target",
+        "doc_id", "tag", "size", "source_size", "target",
         some(F.floor(F.col("quota") / F.col("blocks"))).alias("times"),
         some(F.greatest(s1, begin) - begin).alias("a1"),
         some(F.greatest(s1, begin) - begin + _overlap(begin, F.col("end"), s1, e1)).alias("b1"),
@@ -172,17 +183,23 @@ def passage(text: str, a: int, b: int) -> str:
 def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     """The mix as documents: each taken copy or passage is a row with its document's columns;
     a passage has its own text and n_chars. Documents the mix does not take go."""
-    plan = mix(docs, **params).where("taken > 0").select(
-        F.col("doc_id").alias("_mix_id"), F.col("crc").alias("_mix_crc"), "size", "times", "a1", "b1", "a2", "b2")
-    # rows repeated with id and text share one plan row, so that none is multiplied by the join
-    plan = plan.groupBy("_mix_id", "_mix_crc").agg(*[F.collect_list(F.struct(
-        "size", "times", "a1", "b1", "a2", "b2")).alias("_mix_plan")])
-    own = Window.partitionBy("doc_id", "_mix_crc").orderBy(F.lit(0))
-    rows = docs.withColumn("_mix_crc", crc32(F.coalesce(F.col("text"), F.lit("")))) \
-        .withColumn("_mix_nth", F.row_number().over(own) - 1)
-    joined = rows.alias("d").join(
-        plan, F.col("d.doc_id").eqNullSafe(F.col("_mix_id")) & (F.col("d._mix_crc") == plan["_mix_crc"])
-    ).select("d.*", F.get("_mix_plan", F.col("_mix_nth")).alias("_mix_part")).where("_mix_part is not null")
+    tag = text_tag(F.col("text"))
+    part = F.struct("size", "times", "a1", "b1", "a2", "b2")
+    plan = staged(
+        mix(docs, **params).where("taken > 0")
+        .groupBy(F.xxhash64("doc_id", "tag").alias("_mix_key"), F.col("doc_id").alias("_mix_id"),
+                 F.col("tag").alias("_mix_tag"))
+        .agg(F.collect_list(part).alias("_mix_parts")), "mix-plan")
+    rows = docs.withColumn("_mix_key", F.xxhash64("doc_id", tag)).withColumn("_mix_own", tag)
+    both = rows.join(plan, "_mix_key").where(
+        F.col("doc_id").eqNullSafe(F.col("_mix_id")) & (F.col("_mix_own") == F.col("_mix_tag")))
+    one = F.size("_mix_parts") == 1
+    joined = both.where(one).withColumn("_mix_part", F.get("_mix_parts", F.lit(0)))
+    more = plan.where(~one)
+    if not more.isEmpty():  # rows repeated with id and text take one part each
+        nth = F.row_number().over(Window.partitionBy("_mix_key").orderBy(F.lit(0))) - 1
+        again = both.where(~one).withColumn("_mix_part", F.get("_mix_parts", nth)).where("_mix_part is not null")
+        joined = joined.unionByName(again)
 
     spans = F.concat(
         F.array_repeat(F.struct(F.lit(0).cast("long").alias("a"), F.col("_mix_part.size").alias("b")),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lakecensus.llm import mixing
+
 WORD = r"'[^\x20\x09-\x0D]+'"
 
 OP1 = """
@@ -72,6 +74,64 @@ SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_i
 FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
 
+def op6(cap: int, block: int, docs_per_shard: int, seed: int) -> str:
+    """The mix as set operations: all quotients are listed and ranked, all else are sums."""
+    return f"""
+WITH w AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {WORD})) AS size,
+    ('0x' || md5(coalesce(text, ''))[1:13])::BIGINT AS tag
+  FROM documents),
+s AS (
+  SELECT *, 1 + src % 3 AS weight FROM (
+    SELECT source, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS src, sum(size)::BIGINT AS source_size,
+      CEIL(count(*) / {docs_per_shard}.0)::BIGINT AS shards
+    FROM w GROUP BY source)),
+-- the k sources with the least room per weight take all they may; the first level that the next allows holds
+f AS (
+  SELECT *, {cap}.0 * source_size / weight AS room,
+    (SELECT sum(source_size) FROM s) - coalesce(sum({cap} * source_size) OVER before, 0) AS rest,
+    (SELECT sum(weight) FROM s) - coalesce(sum(weight) OVER before, 0) AS weights
+  FROM s WINDOW before AS (ORDER BY {cap}.0 * source_size / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+v AS (SELECT rest, weights FROM f WHERE rest / weights <= room ORDER BY room, src LIMIT 1),
+t AS (
+  SELECT src, source, source_size, shards, CASE WHEN {cap}.0 * source_size / weight < (SELECT rest / weights FROM v)
+    THEN ({cap} * source_size)::DOUBLE
+    ELSE (SELECT rest FROM v)::DOUBLE * weight / (SELECT weights FROM v)::DOUBLE END AS target
+  FROM s),
+d AS (
+  SELECT doc_id, src, size, source_size, target, tag,
+    ('0x' || md5(concat_ws(':', {seed}, doc_id, tag))[1:13])::BIGINT % shards AS shard,
+    ('0x' || md5(concat_ws(':', {seed + 1}, doc_id, tag))[1:13])::BIGINT AS spot
+  FROM w JOIN t ON w.source IS NOT DISTINCT FROM t.source),
+h AS (
+  SELECT src, shard, sum(size)::BIGINT AS words, CEIL(sum(size) / {block}.0)::BIGINT AS blocks
+  FROM d GROUP BY src, shard),
+b AS (
+  SELECT src, blocks, CASE WHEN source_size > 0 THEN target * blocks / source_size ELSE 0 END AS votes
+  FROM t JOIN (SELECT src, sum(blocks)::BIGINT AS blocks FROM h GROUP BY src) USING (src)),
+q AS (SELECT src, votes / (2 * unnest(range({cap} * blocks)) + 1) AS quotient FROM b WHERE votes > 0),
+z AS (
+  SELECT src, count(*) AS seats FROM (SELECT src, row_number() OVER (ORDER BY quotient DESC, src) AS nth FROM q)
+  WHERE nth <= (SELECT round(sum(votes)) FROM b) GROUP BY src),
+p AS (SELECT src, shard, words / (2 * unnest(range({cap} * blocks)) + 1)::DOUBLE AS quotient FROM h WHERE words > 0),
+o AS (
+  SELECT src, shard, count(*) FILTER (nth <= seats) AS quota FROM (
+    SELECT src, shard, row_number() OVER (PARTITION BY src ORDER BY quotient DESC, shard) AS nth FROM p)
+  JOIN z USING (src) GROUP BY src, shard),
+c AS (
+  SELECT d.*, words, blocks, coalesce(quota, 0) AS quota, sum(size) OVER (PARTITION BY src, shard ORDER BY spot, doc_id, tag, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stop,
+    CASE WHEN blocks > 0 THEN ('0x' || md5(concat_ws(':', {seed + 2}, src, shard))[1:13])::BIGINT % blocks END AS first
+  FROM d JOIN h USING (src, shard) LEFT JOIN o USING (src, shard))
+SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE
+  (quota // blocks) * size
+  + greatest(0, least(stop, least(first + quota % blocks, blocks) * words // blocks) - greatest(stop - size, first * words // blocks))
+  + greatest(0, least(stop, greatest(0, first + quota % blocks - blocks) * words // blocks) - (stop - size))
+  END::BIGINT AS taken
+FROM c
+"""
+
+
 OP10 = f"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {WORD}) AS ws FROM documents),
@@ -107,4 +167,5 @@ FROM b
 """
 
 ORACLES: dict[str, str] = {"op1_chat_formatting": OP1, "op3_sharding": OP3, "op4_minhash_near_dedup": OP4,
+                           "op6_source_mixing": op6(mixing.CAP, mixing.BLOCK, mixing.DOCS_PER_SHARD, mixing.SEED),
                            "op10_quality_rules": OP10}

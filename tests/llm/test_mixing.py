@@ -1,3 +1,4 @@
+import hashlib
 from collections import defaultdict
 
 import numpy as np
@@ -37,11 +38,16 @@ def test_targets():
     assert mixing.targets([], []).tolist() == []
 
 
+def seeded(*parts):
+    return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:13], 16)
+
+
 def brute(docs, block, docs_per_shard, cap=mixing.CAP, seed=mixing.SEED):
-    """Every block of every shard by itself; only the seeded hashes come from Spark."""
-    got = docs.select(
-        "doc_id", "source", "text", F.xxhash64("doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary")), F.lit(seed)).alias("deal"),
-        F.xxhash64("doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary")), F.lit(seed + 1)).alias("at")).collect()
+    """Every block of every shard by itself."""
+    got = docs.collect()
+    tag = {id(r): seeded(r["text"] or "") for r in got}
+    deal = {id(r): seeded(seed, r["doc_id"], tag[id(r)]) for r in got}
+    at = {id(r): seeded(seed + 1, r["doc_id"], tag[id(r)]) for r in got}
     names = sorted({r["source"] for r in got}, key=lambda s: (s is None, s or ""))
     size = [sum(len(words(r["text"])) for r in got if r["source"] == s) for s in names]
     target = mixing.targets(size, [1 + i % 3 for i in range(len(names))], cap)
@@ -49,7 +55,7 @@ def brute(docs, block, docs_per_shard, cap=mixing.CAP, seed=mixing.SEED):
     for r in got:
         i = names.index(r["source"])
         n = -(-sum(x["source"] == r["source"] for x in got) // docs_per_shard)
-        shards[i, r["deal"] % n].append(r)
+        shards[i, deal[id(r)] % n].append(r)
     count = {k: sum(len(words(r["text"])) for r in v) for k, v in shards.items()}
     blocks = {k: -(-v // block) for k, v in count.items()}
     have = [sum(b for (i, _), b in blocks.items() if i == j) for j in range(len(names))]
@@ -63,21 +69,16 @@ def brute(docs, block, docs_per_shard, cap=mixing.CAP, seed=mixing.SEED):
             n, t = blocks[k], count[k]
             if not n:
                 continue
-            stream = [(r["doc_id"], r["at"]) for r in sorted(shards[k], key=lambda r: (r["at"], r["doc_id"])) for _ in words(r["text"])]
-            start = spark_start(docs, j, k[1], seed) % n
+            stream = [r["doc_id"] for r in sorted(shards[k], key=lambda r: (at[id(r)], r["doc_id"])) for _ in words(r["text"])]
+            start = seeded(seed + 2, j, k[1]) % n
             times = [q // n + ((b - start) % n < q % n) for b in range(n)]
             for b in range(n):
                 for d in stream[b * t // n:(b + 1) * t // n]:
-                    taken[d[0]] += times[b]
+                    taken[d] += times[b]
     return {r["doc_id"]: (len(words(r["text"])), size[names.index(r["source"])], target[names.index(r["source"])],
                           taken[r["doc_id"]]) for r in got}
 
 
-def spark_start(docs, src, shard, seed):
-    one = docs.sparkSession.range(1)
-    return one.select(F.xxhash64(F.lit(src).cast("int"), F.lit(shard).cast("long"), F.lit(seed + 2))).first()[0]
-
-
 @pytest.mark.parametrize("block,per", [(64, 4096), (7, 12)])
 def test_mix_by_brute_force(spark, block, per):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
@@ -129,3 +130,20 @@ def test_mixed_documents_hold_the_words_taken(spark):
 def test_passage_keeps_white_space():
     assert mixing.passage(" a  b\tc d ", 1, 3) == "b\tc"
     assert np.asarray(mixing.sainte_lague([], 3)).tolist() == []
+
+
+def test_sql_with_other_parameters_and_bound_caps(spark):
+    import duckdb
+
+    from lakecensus.llm.oracles import op6
+
+    docs = awkward(spark, [(100 + i, "a few words " * (i % 9), "en", f"s{i % 4}", 1) for i in range(60)]) \
+        .where("doc_id is not null and source is not null").dropDuplicates(["doc_id"])
+    got = sorted((r["doc_id"], r["size"], r["source_size"], round(r["target"], 6), r["taken"])
+                 for r in mixing.mix(docs, block=7, docs_per_shard=12).collect())
+    con = duckdb.connect()
+    con.register("frame", docs.toPandas())
+    con.execute("CREATE TABLE documents AS SELECT * FROM frame")
+    want = con.execute(op6(3, 7, 12, mixing.SEED)).fetchall()
+    assert got == sorted((d, n, s, round(t, 6), k) for d, n, s, t, k in want)
+    assert any(abs(t - 3 * s) < 1e-6 for _, _, s, t, _ in got)
