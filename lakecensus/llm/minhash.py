@@ -9,14 +9,16 @@
 * Texts with equal word sequences are one node (their smallest id) before anything is compared,
   so that copies cost one row each.
 * Links, without pairing a bucket's members all with all:
-  1. star: every node against the most connected member of its buckets;
-  2. best: in buckets that still hold several components, every node against the member of
-     another component whose signature is closest;
-  3. rest: all pairs across components in such buckets with a signature likeness of MIN_EST
-     (4.5 standard deviations below the threshold) or more.
-  Every link is confirmed on the two full shingle sets: 100 * common >= 75 * union. Members of
-  one component need no further link, so a large group of near copies takes one step. Buckets of
-  more than TILE members are compared in tiles, so that no task holds a bucket.
+  1. star: every node against the most connected member of its buckets; a large group of near
+     copies becomes one component, and members of one component need no further link;
+  2. clusters: in buckets that still hold several components, members of different components
+     whose signatures agree on MIN_EST (4.5 standard deviations below the threshold) or more of
+     the coordinates are put in one cluster;
+  3. inside a cluster, pairs across components with such signatures are confirmed, the likeliest
+     first, until every one is confirmed, refuted or already connected.
+  A link is confirmed on the two full shingle sets: 100 * common >= 75 * union. Buckets and
+  clusters are compared in tiles of blocks of about TILE members, so that no task holds a group;
+  only links that connect something leave a tile.
 * Components: alternating large-star and small-star steps over the links.
 
 Everything between the steps is staged on the shared checkpoint folder; ids and links never
@@ -46,7 +48,7 @@ UNIVERSE_BITS = 20
 SEED = 11
 NUMERATOR, DENOMINATOR = 75, 100
 MIN_EST = 0.75 - 4.5 * (0.75 * 0.25 / COORDINATES) ** 0.5
-TILE = 2048
+TILE = 1024
 BROADCAST_IDS = 2_000_000  # more ids than this are joined by a shuffle
 NO_ID = 1 << 62  # rows without an id are numbered from here while they are linked
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -80,7 +82,7 @@ def shingle_hashes(texts: list[list[bytes]]) -> list[np.ndarray]:
     one = pd.util.hash_array(flat, categorize=False) if len(flat) else np.zeros(0, dtype=np.uint64)
     h = np.zeros(max(0, len(one) - WORDS + 1), dtype=np.uint64)
     for k in range(WORDS):
-        h = h * _STEP + one[k:len(one) - WORDS + 1 + k]
+        h = h * _STEP + one[k:k + len(h)]
     h = _mixed(h)
     out, at = [], 0
     for n in counts.tolist():
@@ -98,6 +100,11 @@ def shingle_hashes(texts: list[list[bytes]]) -> list[np.ndarray]:
     return out
 
 
+def _linked(s: np.ndarray, t: np.ndarray) -> bool:
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return both > 0 and DENOMINATOR * both >= NUMERATOR * (len(s) + len(t) - both)
+
+
 @lru_cache(maxsize=4)
 def recent_shingles(text: str) -> np.ndarray:
     """A text's shingle hashes, remembered: a centre's pairs follow each other."""
@@ -149,9 +156,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
         for x, y in zip(left, right):
-            s, t = recent_shingles(x), recent_shingles(y)
-            both = len(np.intersect1d(s, t, assume_unique=True))
-            out.append(DENOMINATOR * both >= NUMERATOR * (len(s) + len(t) - both) and both > 0)
+            out.append(_linked(recent_shingles(x), recent_shingles(y)))
         return pd.Series(out, dtype=bool)
 
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("at"))
@@ -171,102 +176,146 @@ def components(links: DataFrame) -> DataFrame:
         state = now
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = staged(large.where("a <> b").distinct(), "edges")
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")) \
+            .where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b") \
-            .unionByName(low.select("a", F.col("m").alias("b")))
-        edges = staged(small.distinct(), "edges")
+        small = large.join(low, "a").select(F.explode(F.array(
+            F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
+        edges = staged(small.select("e.*").where("a <> b").distinct(), "edges")
     return edges.select(F.col("a").alias("id"), F.col("b").alias("comp")) \
         .unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct())
 
 
-def _tiles(rows: DataFrame) -> DataFrame:
-    """Rows of a bucket dealt into tiles: pairs of blocks of at most about TILE members."""
-    blocks = F.ceil(F.col("members") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("id", F.lit(SEED)), blocks).cast("int")
+def _tiles(rows: DataFrame, group: str, size: str) -> DataFrame:
+    """Rows of a group dealt into tiles (group, b1, b2): pairs of blocks of about TILE members."""
+    rows = rows.withColumn("blocks", F.ceil(F.col(size) / TILE).cast("int")) \
+        .withColumn("own", F.pmod(F.xxhash64("id", F.lit(SEED)), F.col("blocks")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(
         F.least(i, F.col("own")).alias("b1"), F.greatest(i, F.col("own")).alias("b2")))
-    return rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("t", F.explode(others)) \
-        .select("key", "t.b1", "t.b2", "own", "band", "id", "comp", "n", "hub", "sketch")
-
-
-def _compare(best_only: bool):
-    """Over rows sorted by tile: (a, b, est) of pairs across components that may be links."""
-
-    def pairs_of(t: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        comp, own, m = t["comp"].to_numpy(), t["own"].to_numpy(), len(t)
-        names, inverse, sizes = np.unique(comp, return_inverse=True, return_counts=True)
-        if len(names) < 2:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        main = inverse == sizes.argmax()
-        out_i, out_j = [], []
-        order = np.concatenate([np.flatnonzero(~main), np.flatnonzero(main)])
-        for k in range(int((~main).sum())):  # each against those after it: never two of the largest
-            i, rest = order[k], order[k + 1:]
-            rest = rest[comp[rest] != comp[i]]
-            if t["b1"].iat[0] != t["b2"].iat[0]:
-                rest = rest[own[rest] != own[i]]
-            out_i.append(np.full(len(rest), i))
-            out_j.append(rest)
-        return np.concatenate(out_i), np.concatenate(out_j)
-
-    def tile(t: pd.DataFrame) -> pd.DataFrame | None:
-        if len(t) < 2:
-            return None
-        i, j = pairs_of(t)
-        n, ids, hub = t["n"].to_numpy(), t["id"].to_numpy(), t["hub"].to_numpy()
-        fits = DENOMINATOR * np.minimum(n[i], n[j]) >= NUMERATOR * np.maximum(n[i], n[j])
-        fits &= (hub[i] != ids[j]) & (hub[j] != ids[i])
-        i, j = i[fits], j[fits]
-        if not len(i):
-            return None
-        sketch = np.frombuffer(b"".join(t["sketch"]), "<u2").reshape(len(t), COORDINATES)
-        band, found = int(t["band"].iat[0]), []
-        for s in range(0, len(i), 8192):
-            same = sketch[i[s:s + 8192]] == sketch[j[s:s + 8192]]
+    return rows.withColumn("t", F.explode(others)).withColumn("b1", F.col("t.b1")).withColumn("b2", F.col("t.b2")) \
+        .drop("t", "blocks", size).repartition(partitions(rows.sparkSession), group, "b1", "b2") \
+        .sortWithinPartitions(group, "b1", "b2")
+
+
+def _by_tile(batches: Iterator[pd.DataFrame], group: str, work) -> Iterator[pd.DataFrame]:
+    """``work`` of every tile of rows sorted by tile."""
+    held: list[pd.DataFrame] = []
+    now = None
+    for b in batches:
+        keys = [b[c].to_numpy() for c in (group, "b1", "b2")]
+        new = np.ones(len(b), dtype=bool)
+        new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in keys])
+        starts = [*np.flatnonzero(new).tolist(), len(b)]
+        for s, e in zip(starts[:-1], starts[1:]):
+            key = tuple(x[s] for x in keys)
+            if key != now and held:
+                out = work(pd.concat(held, ignore_index=True))
+                held = []
+                if out is not None:
+                    yield out
+            now = key
+            held.append(b.iloc[s:e])
+    if held and (out := work(pd.concat(held, ignore_index=True))) is not None:
+        yield out
+
+
+def _across(t: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a tile's rows (i, j) from different components whose sizes fit and whose signatures
+    agree enough, and the agreement; in a bucket, pairs that share no earlier band."""
+    comp, own, n, m = t["comp"].to_numpy(), t["own"].to_numpy(), t["n"].to_numpy(), len(t)
+    none = np.zeros(0, np.int64)
+    _, inverse, sizes = np.unique(comp, return_inverse=True, return_counts=True)
+    if len(sizes) < 2:
+        return none, none, none.astype(float)
+    main = inverse == sizes.argmax()  # never two of the largest component
+    order = np.concatenate([np.flatnonzero(~main), np.flatnonzero(main)])
+    sketch = np.frombuffer(b"".join(t["sketch"]), "<u2").reshape(m, COORDINATES)
+    crossing, band = t["b1"].iat[0] != t["b2"].iat[0], int(t["band"].iat[0]) if "band" in t else None
+    found = []
+    for k in range(int((~main).sum())):
+        i, rest = order[k], order[k + 1:]
+        ok = (comp[rest] != comp[i]) & (DENOMINATOR * np.minimum(n[rest], n[i]) >= NUMERATOR * np.maximum(n[rest], n[i]))
+        if crossing:
+            ok &= own[rest] != own[i]
+        rest = rest[ok]
+        if len(rest):
+            same = sketch[rest] == sketch[i]
             est = same.mean(axis=1)
-            # a pair is looked at in the first band that it shares
-            first = same[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
-            good = first & (est >= MIN_EST)
-            found.append((i[s:s + 8192][good], j[s:s + 8192][good], est[good]))
-        i, j, est = (np.concatenate(x) for x in zip(*found))
-        if not len(i):
-            return None
-        if best_only:
-            ends = pd.DataFrame({"x": np.concatenate([i, j]), "y": np.concatenate([j, i]), "est": np.tile(est, 2)})
-            ends = ends.sort_values(["est", "y"], ascending=[False, True]).drop_duplicates("x")
-            i, j, est = ends["x"].to_numpy(), ends["y"].to_numpy(), ends["est"].to_numpy()
-        return pd.DataFrame({"a": ids[i], "b": ids[j], "est": est})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for b in batches:
-            b = b if held is None else pd.concat([held, b], ignore_index=True)
-            tiles = b["key"].to_numpy(), b["b1"].to_numpy(), b["b2"].to_numpy()
-            new = np.ones(len(b), dtype=bool)
-            new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in tiles])
-            starts = np.flatnonzero(new).tolist()
-            out = [tile(b.iloc[s:e]) for s, e in zip(starts[:-1], starts[1:])]
-            held = b.iloc[starts[-1]:] if starts else None
-            if out := [x for x in out if x is not None]:
-                yield pd.concat(out)
-        if held is not None and (last := tile(held)) is not None:
-            yield last
-
-    return run
-
-
-def open_candidates(members: DataFrame, nodes: DataFrame, comps: DataFrame, hubs: DataFrame, best_only: bool) -> DataFrame:
-    """Pairs across components in the buckets that hold several, by their signatures."""
-    labelled = members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    several = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-        .where("lo <> hi").select("key")
-    rows = labelled.join(several, "key").join(nodes, "id").join(hubs, "id", "left") \
-        .withColumn("hub", F.coalesce("hub", F.lit(-1).cast("long")))
-    tiles = _tiles(rows).repartition(partitions(members.sparkSession), "key", "b1", "b2") \
-        .sortWithinPartitions("key", "b1", "b2")
-    return tiles.mapInPandas(_compare(best_only), "a long, b long, est double")
+            good = est >= MIN_EST
+            if band is not None and good.any():
+                good &= same[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+            found.append((np.full(int(good.sum()), i), rest[good], est[good]))
+    if not found:
+        return none, none, none.astype(float)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _cluster(t: pd.DataFrame) -> pd.DataFrame | None:
+    """Joins rows of a bucket that may be links across components: (a, b), b one of a's cluster."""
+    i, j, _ = _across(t)
+    if not len(i):
+        return None
+    label = np.arange(len(t))
+    while True:
+        least = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    ids, rows = t["id"].to_numpy(), np.unique(np.concatenate([i, j]))
+    rows = rows[label[rows] != rows]
+    return pd.DataFrame({"a": ids[rows], "b": ids[label[rows]]})
+
+
+def _links(t: pd.DataFrame) -> pd.DataFrame | None:
+    """Confirmed links (a, b) of a cluster's tile that connect components."""
+    i, j, est = _across(t)
+    parent = np.unique(t["comp"].to_numpy(), return_inverse=True)[1]
+    top = list(range(int(parent.max()) + 1))
+
+    def root(x: int) -> int:
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    sets: dict[int, np.ndarray] = {}
+    texts, ids, out = t["text"].tolist(), t["id"].to_numpy(), []
+    for k in np.argsort(-est, kind="stable").tolist():
+        x, y = int(i[k]), int(j[k])
+        a, b = root(parent[x]), root(parent[y])
+        if a == b:
+            continue
+        for z in (x, y):
+            if z not in sets:
+                sets[z] = shingle_hashes([word_list(texts[z])])[0]
+        if _linked(sets[x], sets[y]):
+            top[max(a, b)] = min(a, b)
+            out.append((ids[x], ids[y]))
+    return pd.DataFrame(out, columns=["a", "b"]) if out else None
+
+
+def _several(rows: DataFrame, group: str) -> DataFrame:
+    """The groups that hold several components, and their numbers of rows."""
+    return rows.groupBy(group).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")) \
+        .where("lo <> hi").select(group, "size")
+
+
+def clusters(members: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFrame:
+    """(a, b): nodes to be compared within one cluster, from buckets with several components."""
+    labelled = members.select("key", "band", "id").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    rows = labelled.join(_several(labelled, "key"), "key").join(nodes, "id")
+    return _tiles(rows, "key", "size").mapInPandas(lambda b: _by_tile(b, "key", _cluster), "a long, b long")
+
+
+def cluster_links(grouped: DataFrame, nodes: DataFrame, comps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) within the clusters (id, cluster)."""
+    labelled = grouped.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    rows = labelled.join(_several(labelled, "cluster"), "cluster").join(nodes, "id").join(texts, "id")
+    return _tiles(rows, "cluster", "size").mapInPandas(lambda b: _by_tile(b, "cluster", _links), "a long, b long")
 
 
 def near_links(nodes: DataFrame, docs_texts) -> DataFrame | None:
@@ -288,20 +337,15 @@ def near_links(nodes: DataFrame, docs_texts) -> DataFrame | None:
     star = staged(star, "star")
     links = staged(confirmed(star, texts), "links")
     comps = staged(components(links), "comps")
-    hubs = star.select(F.col("a").alias("id"), F.col("b").alias("hub"))
-    few = few.select("id", "n", "sketch")
 
-    # 2. and 3. what is left between components
-    for best_only in (True, False):
-        found = open_candidates(members, few, comps, hubs, best_only)
-        if best_only:
-            found = found.groupBy("a").agg(F.max_by("b", F.struct("est", -F.col("b"))).alias("b"))
-        found = staged(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        new = staged(confirmed(found, texts), "links")
-        links = links.unionByName(new)
-        if not new.isEmpty():
-            comps = staged(components(links), "comps")
-    return comps
+    # 2. and 3. what may still connect components
+    few = few.select("id", "n", "sketch")
+    joined = staged(clusters(members, few, comps), "clusters")
+    if joined.isEmpty():
+        return comps
+    grouped_ = staged(components(joined).withColumnRenamed("comp", "cluster"), "clusters")
+    more = staged(cluster_links(grouped_, few, comps, texts), "links")
+    return comps if more.isEmpty() else staged(components(links.unionByName(more)), "comps")
 
 
 def node_id(key: str, text: str) -> Column:
@@ -314,7 +358,8 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     """(id, n, comp) of every row, by node ids."""
     every = staged(signed(docs, key, text), "signed")
     lone = F.col("n") == 0
-    first = every.where(~lone).groupBy("same").agg(F.min("id").alias("rep"))
+    # staged, so that both sides of the join are dealt anew and Spark can split a large group of copies
+    first = staged(every.where(~lone).groupBy("same").agg(F.min("id").alias("rep")), "first")
     classed = staged(
         every.select("id", "n", "same").join(first, "same", "left")
         .select("id", "n", F.when(lone, F.col("id")).otherwise(F.col("rep")).alias("rep")), "classes")
