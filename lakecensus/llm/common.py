@@ -36,7 +36,7 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     lost executor re-reads files instead of repeating the work."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

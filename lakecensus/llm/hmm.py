@@ -43,7 +43,8 @@ ROUNDS = 3
 OWN, SUFFIXES = 16384, 4096
 END, UNKNOWN = OWN + SUFFIXES, OWN + SUFFIXES + 1
 CLASSES = OWN + SUFFIXES + 2
-BLOCK = 1 << 21  # tokens
+BLOCK = 1 << 21  # tokens of a block
+BATCH = 1 << 17  # tokens whose recursions run together
 STEP = 128
 RESCALE = 8
 STAY = 0.9  # first guess of a state's chance to go on
@@ -57,40 +58,46 @@ def blocks_of(docs: DataFrame, held: Column, key: str, text: str) -> DataFrame:
     """One row per block: ids, held flags and lengths of its texts, local word numbers, and per
     distinct word its hash, training count and suffix class."""
 
-    def block(number: int, ids, flags, lists) -> pd.DataFrame:
-        flat = np.empty(sum(map(len, lists)), dtype=object)
-        flat[:] = [w for t in lists for w in t]
-        at, distinct = pd.factorize(flat) if len(flat) else (np.zeros(0, np.int64), np.zeros(0, object))
-        lens = np.array([len(t) for t in lists], dtype=np.int64)
-        flags = np.array(flags, dtype=bool)
+    def block(number: int, ids, flags, lens, at, words) -> pd.DataFrame:
+        at, lens, flags = np.concatenate(at), np.array(lens, dtype=np.int64), np.array(flags, dtype=bool)
+        # frequent words get small numbers, kept as a low and a high part: these compress well
+        order = np.argsort(-np.bincount(at, minlength=len(words)), kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        at, distinct = rank[at], np.array(list(words), dtype=object)[order]
         counts = np.bincount(at[np.repeat(~flags, lens)], minlength=len(distinct))
-        hashes = pd.util.hash_array(np.asarray(distinct, dtype=object), categorize=False) if len(distinct) \
-            else np.zeros(0, np.uint64)
+        hashes = pd.util.hash_array(distinct, categorize=False) if len(distinct) else np.zeros(0, np.uint64)
         suffix = np.array([zlib.crc32(w[-3:]) % SUFFIXES for w in distinct], dtype="<u2")
         return pd.DataFrame({
             "block": [number], "ids": [list(ids)], "held": [flags.tobytes()],
-            "lens": [lens.astype("<i4").tobytes()], "at": [at.astype("<u4").tobytes()],
+            "lens": [lens.astype("<i4").tobytes()], "words": [len(distinct)],
+            "low": [(at & 0xFFFF).astype("<u2").tobytes()], "high": [(at >> 16).astype("<u2").tobytes()],
             "hashes": [hashes.view(np.int64).astype("<i8").tobytes()], "counts": [counts.astype("<i4").tobytes()],
             "suffixes": [suffix.tobytes()]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = TaskContext.get().partitionId() << 24
-        ids, flags, lists, size = [], [], [], 0
+        ids, flags, lens, at, words, size = [], [], [], [], {}, 0
         for b in batches:
-            for i, h, t in zip(b["id"], b["held"], b["text"]):
-                ids.append(i)
-                flags.append(h)
-                lists.append(word_list(t))
-                size += len(lists[-1])
-                if size >= BLOCK:
-                    yield block(number, ids, flags, lists)
-                    number, ids, flags, lists, size = number + 1, [], [], [], 0
+            lists = [word_list(t) for t in b["text"]]
+            flat = np.empty(sum(map(len, lists)), dtype=object)
+            flat[:] = [w for t in lists for w in t]
+            mine, distinct = pd.factorize(flat) if len(flat) else (np.zeros(0, np.int64), [])
+            numbers = np.array([words.setdefault(w, len(words)) for w in distinct], dtype=np.int64)
+            at.append(numbers[mine].astype(np.int32))
+            ids.extend(b["id"])
+            flags.extend(b["held"])
+            lens.extend(map(len, lists))
+            size += len(flat)
+            if size >= BLOCK:
+                yield block(number, ids, flags, lens, at, words)
+                number, ids, flags, lens, at, words, size = number + 1, [], [], [], [], {}, 0
         if ids:
-            yield block(number, ids, flags, lists)
+            yield block(number, ids, flags, lens, at, words)
 
     rows = docs.select(F.col(key).cast("string").alias("id"), held.alias("held"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, "block long, ids array<string>, held binary, lens binary, at binary, "
-                                 "hashes binary, counts binary, suffixes binary")
+    return rows.mapInPandas(run, "block long, ids array<string>, held binary, lens binary, words int, low binary, "
+                                 "high binary, hashes binary, counts binary, suffixes binary")
 
 
 def _words(blocks: DataFrame, trained_only: bool) -> DataFrame:
@@ -138,8 +145,8 @@ def sequences(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "t
         if not len(left):
             return pd.DataFrame()
         row = left.iloc[0]
-        at, lens = np.frombuffer(row["at"], "<u4"), np.frombuffer(row["lens"], "<i4").astype(np.int64)
-        size = len(row["hashes"]) // 8
+        at = np.frombuffer(row["high"], "<u2").astype(np.int64) << 16 | np.frombuffer(row["low"], "<u2")
+        lens, size = np.frombuffer(row["lens"], "<i4").astype(np.int64), int(row["words"])
         c, cls = np.zeros(size, np.int64), np.full(size, UNKNOWN, np.int64)
         c[right["i"].to_numpy()], cls[right["i"].to_numpy()] = right["c"].to_numpy(), right["cls"].to_numpy()
         doc = np.repeat(np.arange(len(lens)), lens)
@@ -153,7 +160,7 @@ def sequences(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "t
             "classes": [out.tobytes()], "known": [known.astype("<i8").tobytes()], "base": [base.astype("<f8").tobytes()]})
 
     looked = _words(blocks, False).select("block", "i", "h").join(classed, "h").select("block", "i", "c", "cls")
-    rows = blocks.select("block", "ids", "held", "lens", "at", "hashes").groupBy("block").cogroup(looked.groupBy("block")) \
+    rows = blocks.select("block", "ids", "held", "lens", "words", "low", "high").groupBy("block").cogroup(looked.groupBy("block")) \
         .applyInPandas(assemble, "ids array<string>, held binary, lens binary, classes binary, known binary, base binary")
     return staged(rows, "sequences"), facts
 
@@ -289,6 +296,17 @@ def _sequences(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             np.frombuffer(row.held, bool))
 
 
+def _batches(classes: np.ndarray, lens: np.ndarray) -> Iterator[Segments]:
+    """Runs of whole texts of about BATCH tokens, so that the recursions' arrays stay small."""
+    ends = np.cumsum(lens)
+    first = 0
+    while first < len(lens):
+        start = int(ends[first] - lens[first])
+        last = max(first + 1, int(np.searchsorted(ends, start + BATCH, side="right")))
+        yield Segments(classes[start:ends[last - 1]], lens[first:last])
+        first = last
+
+
 def baum_welch(rows: DataFrame, facts: dict, states: int = STATES, rounds: int = ROUNDS) -> dict:
     """Train on the texts that aren't held out."""
     spark, unigram = rows.sparkSession, facts["unigram"]
@@ -303,11 +321,10 @@ def baum_welch(rows: DataFrame, facts: dict, states: int = STATES, rounds: int =
             for b in batches:
                 for row in b.itertuples():
                     classes, lens, out = _sequences(row)
-                    if out.all():
-                        continue
-                    got = expected(Segments(classes[np.repeat(~out, lens)], lens[~out]), held.value)
-                    got = np.vstack([got[2], got[1], got[0][None, :]])
-                    sums = got if sums is None else sums + got
+                    for seg in _batches(classes[np.repeat(~out, lens)], lens[~out]):
+                        got = expected(seg, held.value)
+                        got = np.vstack([got[2], got[1], got[0][None, :]])
+                        sums = got if sums is None else sums + got
             if sums is not None:  # one row per class, then the moves and the start
                 yield pd.DataFrame({"row": np.arange(len(sums), dtype=np.int32),
                                     **{f"s{i}": sums[:, i] for i in range(sums.shape[1])}})
@@ -330,7 +347,7 @@ def scored(rows: DataFrame, model: dict) -> DataFrame:
             for row in b.itertuples():
                 classes, lens, out = _sequences(row)
                 base = np.frombuffer(row.base, "<f8")
-                _, _, lift = chained(Segments(classes, lens), held.value)
+                lift = np.concatenate([chained(seg, held.value)[2] for seg in _batches(classes, lens)])
                 yield pd.DataFrame({"id": list(row.ids), "held": out, "n_tokens": lens,
                                     "n_known": np.frombuffer(row.known, "<i8"), "base_score": base,
                                     "score": base + lift / np.log(10)})
