@@ -175,7 +175,8 @@ def components(links: DataFrame) -> DataFrame:
             break
         state = now
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        # staged, so that both sides of the join are dealt anew and Spark can split a centre's many rows
+        least = staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")) \
             .where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
