@@ -12,7 +12,11 @@ table gives no rows. ``key`` is carried as it is, null included.
 
 from __future__ import annotations
 
+import json
 import os
+import sys
+import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,53 +30,78 @@ from lakecensus.llm.common import staged
 
 WINDOW = 4096
 END_ID = 2
-CACHED_WORDS = 500_000  # most words a worker remembers; beyond it starts again
+CACHED = 600_000  # most words a worker remembers; beyond it starts again
 LONGEST_CACHED = 64
-_LOADED: dict[str, "WordTokenizer"] = {}
+TAIL = b".,!?;:&%$#*|"
+_STEM_ENDS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+_LOADED: dict[tuple[str, bool], "WordTokenizer"] = {}
 
 
-class WordTokenizer:
-    """Ids of whole texts by a tokenizer that drops white space: words are encoded on their own
-    and remembered, as no token spans white space. Ids are little-endian bytes of ``dtype``."""
+def _byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in a byte-level vocabulary: a printable byte is its own,
+    the others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
-    def __init__(self, path: str):
+
+class WordTokenizer(dict):
+    """Word -> ids as little-endian bytes of ``dtype``, for a tokenizer that lower-cases, drops white
+    space and never joins letters with other signs. Words are remembered; a new one is put together
+    from its stem and its tail of signs. Stems of letters alone need none of the tokenizer's text
+    steps and go straight to its merges; anything else is encoded as it is."""
+
+    def __init__(self, path: str, plain: bool = False):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.dtype = "<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        out = {}
-        for i in range(0, len(new), 4000):
-            part = new[i:i + 4000]
-            got = self.model.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(got.ids, dtype=self.dtype).tobytes()
-            at = np.searchsorted(np.array(got.word_ids, dtype=np.int64), np.arange(len(part) + 1)) \
-                * np.dtype(self.dtype).itemsize
-            out.update((w, ids[a:b]) for w, a, b in zip(part, at[:-1].tolist(), at[1:].tolist()))
-        return out
+        self.model.encode_special_tokens = plain  # their strings in a text are then ordinary text
+        self.code, self.dtype = ("H", "<u2") if self.model.get_vocab_size() <= 1 << 16 else ("I", "<u4")
+        steps = json.loads(self.model.to_str())
+        kinds = [[x["type"] for x in (steps[a] or {}).get(b, [])]
+                 for a, b in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        self.simple = kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]]
+        self.merges, self.signs = self.model.model.tokenize, _byte_signs()
+
+    def _ids(self, ids) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _encode(self, word: bytes) -> bytes:
+        text = word.decode()
+        if self.simple and text.isalpha() and unicodedata.is_normalized("NFC", text):
+            lower = "".join(map(str.lower, text))  # sign by sign, as the tokenizer does
+            if lower.isalpha():
+                mapped = lower if lower.isascii() else "".join(map(self.signs.__getitem__, lower.encode()))
+                return self._ids([t.id for t in self.merges(mapped)])
+        return self._ids(self.model.encode(text, add_special_tokens=False).ids)
+
+    def __missing__(self, word: bytes) -> bytes:
+        stem = word.rstrip(TAIL)
+        if not self.simple or b"<|" in word or not stem or stem[-1] not in _STEM_ENDS:  # <| may begin a special token
+            ids = self._encode(word)
+        else:
+            lower, tail = stem.lower(), word[len(stem):]
+            ids = self._encode(word) if lower == word else self[lower] + (self[tail] if tail else b"")
+        if len(word) <= LONGEST_CACHED:
+            if len(self) >= CACHED:
+                self.clear()
+            self[word] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode().split() for t in texts]  # splits bytes at the six ASCII white-space characters
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = set().union(*split)
-        got = self._learn(list(new))
-        rare = {w: got[w] for w in got if len(w) > LONGEST_CACHED}
-        self.known.update(got)
-        out = [b"".join(map(self.known.__getitem__, ws)) for ws in split]
-        for w in rare:
-            del self.known[w]
-        return out
-
-
-def tokenizer(path: str) -> WordTokenizer:
-    if path not in _LOADED:
-        _LOADED[path] = WordTokenizer(path)
-    return _LOADED[path]
+        # bytes are split at the six ASCII white-space characters, which no token holds
+        return [b"".join(map(self.__getitem__, t.encode().split())) for t in texts]
+
+
+def tokenizer(path: str, plain: bool = False) -> WordTokenizer:
+    if (path, plain) not in _LOADED:
+        _LOADED[path, plain] = WordTokenizer(path, plain)
+    return _LOADED[path, plain]
 
 
 def token_stream(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
