@@ -33,6 +33,7 @@ RIDGE = 1e-3
 UNKNOWN = "und"
 MIN_SCORE = 0.5  # the score of a tie between two languages
 _CHUNK = 128  # presence rows multiplied at a time
+_SPAN = 1 << 19  # code points whose n-grams are hashed at a time
 
 
 @lru_cache(maxsize=1)
@@ -46,19 +47,9 @@ def _letters() -> np.ndarray:
     return out
 
 
-def presence(texts: list[str]) -> np.ndarray:
-    """One row of DIM presence flags per text; no flag is set for a text without letters."""
-    n = len(texts)
-    flags = np.zeros(n * DIM, dtype=np.uint8)
-    lens = np.array([len(t) for t in texts], dtype=np.int64)
-    raw = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    c = _letters()[raw]
-    doc = np.repeat(np.arange(n, dtype=np.int64), lens)
-    blank = c == 32
-    keep = np.ones(len(c), dtype=bool)  # a run of blanks is one blank
-    keep[1:] = ~(blank[1:] & blank[:-1] & (doc[1:] == doc[:-1]))
-    c, doc, blank = c[keep], doc[keep], blank[keep]
-    row = doc * DIM
+def _mark(flags: np.ndarray, c: np.ndarray, doc: np.ndarray, starts: int) -> None:
+    """Set the bits of the n-grams that begin at the first ``starts`` places."""
+    row = doc.astype(np.int64) * DIM
     code = np.zeros(len(c), dtype=np.uint32)
     for g in range(1, max(GRAMS) + 1):
         m = len(c) - g + 1
@@ -68,14 +59,31 @@ def presence(texts: list[str]) -> np.ndarray:
         if g not in GRAMS:
             continue
         inside = doc[:m] == doc[g - 1:]
+        inside[starts:] = False
         if g == 1:
-            inside &= ~blank[:m]
+            inside &= c[:m] != 32
         mixed = code ^ (code >> np.uint32(15))
         mixed *= np.uint32(0x85EBCA6B)
         flags[(row[:m] + (mixed >> np.uint32(17)))[inside]] = 1
-    flags = flags.reshape(n, DIM)
+
+
+def presence(texts: list[str]) -> np.ndarray:
+    """One row of DIM presence flags per text; no flag is set for a text without letters."""
+    n = len(texts)
+    flags = np.zeros(n * DIM, dtype=np.uint8)
+    lens = np.array([len(t) for t in texts], dtype=np.int64)
+    raw = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    c = _letters()[raw]
+    doc = np.repeat(np.arange(n, dtype=np.int32), lens)
+    blank = c == 32
+    keep = np.ones(len(c), dtype=bool)  # a run of blanks is one blank
+    keep[1:] = ~(blank[1:] & blank[:-1] & (doc[1:] == doc[:-1]))
+    c, doc = c[keep], doc[keep]
+    for at in range(0, len(c), _SPAN):  # n-grams that begin in this span
+        _mark(flags, c[at:at + _SPAN + max(GRAMS) - 1], doc[at:at + _SPAN + max(GRAMS) - 1], min(_SPAN, len(c) - at))
     lettered = np.zeros(n, dtype=bool)
-    lettered[doc[~blank]] = True
+    lettered[doc[c != 32]] = True
+    flags = flags.reshape(n, DIM)
     flags[~lettered] = 0
     return flags
 

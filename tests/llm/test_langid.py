@@ -19,13 +19,15 @@ def grams(text):
     return {(n, tuple(out[i:i + n])) for n in langid.GRAMS for i in range(len(out) - n + 1) if n > 1 or out[i] != " "}
 
 
-def test_presence_counts_distinct_grams():
+def test_presence_counts_distinct_grams(monkeypatch):
     texts = ["The cat, the CAT.", "", "123", "é ñ", "a", "x" * 500, "the  cat"]
     flags = langid.presence(texts)
     assert flags.shape == (len(texts), langid.DIM)
     for t, f in zip(texts, flags):
         want = len(grams(t)) if any(c.isalpha() for c in t) else 0
         assert want - 1 <= f.sum() <= want  # two grams may share a bit
+    monkeypatch.setattr(langid, "_SPAN", 3)
+    assert (langid.presence(texts) == flags).all()
     assert (langid.presence(texts[::-1])[::-1] == flags).all()  # a row doesn't depend on its neighbours
 
 
