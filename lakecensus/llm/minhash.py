@@ -301,8 +301,9 @@ def _links(t: pd.DataFrame) -> pd.DataFrame | None:
 
 def _several(rows: DataFrame, group: str) -> DataFrame:
     """The groups that hold several components, and their numbers of rows."""
-    return rows.groupBy(group).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")) \
-        .where("lo <> hi").select(group, "size")
+    return staged(rows.groupBy(group).agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
+        .where("lo <> hi").select(group, "size"), "several")
 
 
 def clusters(members: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFrame:
@@ -322,7 +323,9 @@ def cluster_links(grouped: DataFrame, nodes: DataFrame, comps: DataFrame, texts:
 def near_links(nodes: DataFrame, docs_texts) -> DataFrame | None:
     """(id, comp) for the nodes (id, n, sketch) that are linked; ``docs_texts(ids)`` gives (id, text)."""
     keyed = bands(nodes)
-    crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    # aggregates that go back to their rows are staged: Spark can split a hot key only where both
+    # sides of the join are dealt anew
+    crowded = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "crowded")
     members = staged(keyed.join(crowded, "key"), "members")
     ids = staged(members.groupBy("id").agg(F.sum("members").alias("weight")), "ids")
     if ids.isEmpty():
@@ -332,7 +335,8 @@ def near_links(nodes: DataFrame, docs_texts) -> DataFrame | None:
 
     # 1. every node against its most connected bucket mate
     ranked = members.join(few.select("id", "weight", "n"), "id")
-    centre = ranked.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"), "n")).alias("c"))
+    centre = staged(ranked.groupBy("key").agg(
+        F.max(F.struct("weight", (-F.col("id")).alias("minus"), "n")).alias("c")), "centres")
     star = ranked.join(centre, "key").where((F.col("id") != -F.col("c.minus")) & _near(F.col("n"), F.col("c.n"))) \
         .groupBy("id").agg(F.max("c").alias("c")).select(F.col("id").alias("a"), (-F.col("c.minus")).alias("b"))
     star = staged(star, "star")
