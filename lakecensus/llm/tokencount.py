@@ -3,10 +3,11 @@
 A flat file is a run of token ids without an index; documents end with a separator id. Blocks of
 it are searched on their own, one vector comparison each, and give their separators' places. The
 documents are stitched by a prefix scan over the blocks of a file: a block's first token is the
-sum of the lengths before, and the separator before it is the last one of any earlier block.
-Only these places are shuffled, never a token.
+sum of the lengths before, and the separator before it is the last one of any earlier block. The
+scan reads four numbers a block; only places of separators are shuffled, never a token.
 
-Defined cases: a null payload is an empty block; consecutive separators bound documents without
+Defined cases: a file's blocks are numbered by distinct numbers in order, null
+first; a null file is a file; a null payload is an empty block; consecutive separators bound documents without
 tokens; tokens after a file's last separator are a document that isn't ``closed``; a file without
 separators is one such document; a file without tokens has none.
 """
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from lakecensus.llm.common import staged
 from lakecensus.llm.packing import tokenizer
 
 BLOCK = 1 << 16  # tokens
@@ -74,17 +76,23 @@ def separators(blocks: DataFrame, separator: int, width: int) -> DataFrame:
 
 def count_tokens(blocks: DataFrame, separator: int, width: int) -> DataFrame:
     """Rows of (file, doc_no, start, n_tokens without the separator, closed)."""
-    found = separators(blocks, separator, width)
+    found = staged(separators(blocks, separator, width), "separators")
     order = Window.partitionBy("file").orderBy("block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    placed = found.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))) \
-        .withColumn("docs", F.coalesce(F.sum(F.size("at")).over(before), F.lit(0))) \
-        .withColumn("last", F.coalesce(F.max(F.col("first") + F.get("at", F.size("at") - 1)).over(before), F.lit(-1))) \
-        .withColumn("next", F.lead("block").over(order))
+    # the scan runs over four numbers a block; the places join its result by block
+    light = found.select("file", "block", "n", F.size("at").alias("closings"),
+                         F.get("at", F.size("at") - 1).alias("end"))
+    scan = light.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))).select(
+        F.col("file").alias("_file"), F.col("block").alias("_block"), "first", "closings",
+        F.coalesce(F.sum("closings").over(before), F.lit(0)).alias("docs"),
+        F.coalesce(F.max(F.col("first") + F.col("end")).over(before), F.lit(-1)).alias("last"),
+        F.lead("block").over(order).alias("next"))
+    same = F.col("file").eqNullSafe(F.col("_file")) & F.col("block").eqNullSafe(F.col("_block"))
+    placed = found.join(scan, same)
     ends = F.transform("at", lambda p: F.col("first") + p)
     # the tail after a file's last separator ends at the file's end
     tail = F.when(F.col("next").isNull(), F.array(F.col("first") + F.col("n"))).otherwise(F.array().cast("array<long>"))
-    ends = placed.withColumn("closings", F.size("at")).withColumn("ends", F.concat(ends, tail))
+    ends = placed.withColumn("ends", F.concat(ends, tail))
     starts = ends.select("file", "docs", "closings", "ends", F.concat(F.array("last"), "ends").alias("marks"))
     rows = starts.select("file", "docs", "closings", "marks", F.posexplode("ends").alias("i", "end"))
     out = rows.select(

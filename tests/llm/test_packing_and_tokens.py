@@ -111,6 +111,9 @@ def test_null_and_empty_payloads(spark):
     blocks = spark.createDataFrame([(0, 0, None), (1, 0, bytearray()), (2, 0, bytearray(b"\x01\x00")), (2, 1, None)],
                                    "file int, block long, payload binary")
     assert [tuple(r) for r in tokencount.count_tokens(blocks, 9, 2).collect()] == [(2, 0, 0, 1, False)]
+    nulls = spark.createDataFrame([(None, None, bytearray(b"\x01\x00")), (None, 3, bytearray(b"\x01\x00\x09\x00"))],
+                                  "file int, block long, payload binary")
+    assert [tuple(r) for r in tokencount.count_tokens(nulls, 9, 2).collect()] == [(None, 0, 0, 2, True)]
 
 
 def test_flat_files_and_their_counts(spark, tmp_path):
