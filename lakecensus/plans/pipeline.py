@@ -7,6 +7,7 @@ write order (access errors last).
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -48,6 +49,7 @@ class Inventory:
         self.preflight = preflight
         self.case_insensitive_shortcuts = case_insensitive_shortcuts
         self.stage = stage
+        self._run = uuid.uuid4().hex
 
     def _staged(self, name: str, df: DataFrame) -> DataFrame:
         """Write an entity table that several later tables read (workspaces, items, models,
@@ -57,12 +59,18 @@ class Inventory:
         if not self.stage:
             return df
         spark = self.cap.spark
-        if not hasattr(self, "_stage_root"):
-            self._stage_root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakecensus-stage-{uuid.uuid4().hex}"
-        path = f"{self._stage_root}/{name}"
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakecensus-stage-{self._run}/{name}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
+    def _together(self, *names: str) -> None:
+        """Stage entity tables that don't depend on each other at the same time: each is a small
+        job, and one's last tasks don't leave the cluster idle."""
+        missing = [n for n in names if n not in self.__dict__]
+        if self.stage and len(missing) > 1:
+            with ThreadPoolExecutor(len(missing)) as pool:
+                list(pool.map(lambda n: getattr(self, n), missing))
+
     # --- entity tables (with listing-order columns) -------------------------------------
     @cached_property
     def workspaces(self) -> DataFrame:
@@ -111,6 +119,8 @@ class Inventory:
     # --- derived tables -----------------------------------------------------------------
     def datasource_branches(self) -> dict[str, DataFrame]:
         self.cap.warm((K.OP_LIST_WORKSPACES, K.OP_LIST_ITEMS, K.OP_LIST_DATASETS, K.OP_LIST_DATAFLOWS, K.OP_SHORTCUTS))
+        self.workspaces  # staged first: the others read it
+        self._together("items", "models", "dataflows")
         models = N.viable_models(self.models) if self.preflight else self.models
         return {
             "SemanticModel": D.ds_models(self.cap, models),
@@ -145,6 +155,8 @@ class Inventory:
     @cached_property
     def planned(self) -> DataFrame:
         self.cap.warm((K.OP_LIST_WORKSPACES, K.OP_LIST_ITEMS, K.OP_LIST_DATASETS, K.OP_LIST_DATAFLOWS))
+        self.workspaces  # staged first: the others read it
+        self._together("items", "models", "dataflows")
         return P.plan_workspace_requests(self.workspaces).unionByName(
             P.plan_entity_requests(self.models, self.dataflows, self.items, self.preflight)
         )
@@ -152,6 +164,8 @@ class Inventory:
     # --- run ----------------------------------------------------------------------------
     def tables(self) -> dict[str, DataFrame]:
         self.cap.warm(K.PAGED_OPERATIONS)
+        self.workspaces  # staged first: the others read it
+        self._together("items", "models", "dataflows")
         frames = {
             "meta_workspaces": self.workspaces,
             "meta_workspace_users": self.users,
