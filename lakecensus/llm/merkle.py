@@ -35,7 +35,7 @@ LONGEST = 256  # bytes of a run; longer ones are cut from their start
 TAIL = 6  # bytes before a white space that decide whether a run ends there
 SECTION = 4
 LEAF = 8  # hex digits of a leaf in the fingerprint
-MAX_RANGES = 4096
+MAX_RANGES = 8192
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
