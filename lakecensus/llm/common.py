@@ -15,8 +15,8 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 # Arrow batches into Python workers: whichever bound is met first closes the batch.
-ARROW_ROWS = "1000"
-ARROW_BYTES = str(8 << 20)
+ARROW_ROWS = "500"
+ARROW_BYTES = str(4 << 20)
 
 
 def tune(spark: SparkSession) -> SparkSession:

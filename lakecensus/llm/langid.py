@@ -33,7 +33,7 @@ RIDGE = 1e-3
 UNKNOWN = "und"
 MIN_SCORE = 0.5  # the score of a tie between two languages
 _CHUNK = 128  # presence rows multiplied at a time
-_SPAN = 1 << 19  # code points whose n-grams are hashed at a time
+_SPAN = 1 << 18  # code points whose n-grams are hashed at a time
 
 
 @lru_cache(maxsize=1)

@@ -30,7 +30,7 @@ from lakecensus.llm.common import staged
 
 WINDOW = 4096
 END_ID = 2
-CACHED = 600_000  # most words a worker remembers; beyond it starts again
+CACHED = 500_000  # most words a worker remembers; beyond it starts again
 LONGEST_CACHED = 64
 TAIL = b".,!?;:&%$#*|"
 _STEM_ENDS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
