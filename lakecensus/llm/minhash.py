@@ -49,7 +49,7 @@ SEED = 11
 NUMERATOR, DENOMINATOR = 75, 100
 MIN_EST = 0.75 - 4.5 * (0.75 * 0.25 / COORDINATES) ** 0.5
 TILE = 1024
-BROADCAST_IDS = 2_000_000  # more ids than this are joined by a shuffle
+BROADCAST_IDS = 1_000_000  # more ids than this are joined by a shuffle
 NO_ID = 1 << 62  # rows without an id are numbered from here while they are linked
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
