@@ -41,6 +41,7 @@ from lakecensus.llm.minhash import word_list
 STATES = 6
 ROUNDS = 3
 OWN, SUFFIXES = 16384, 4096
+QUANTILE = 100_000  # the rank of a quantile is right within a share of 1 / QUANTILE
 END, UNKNOWN = OWN + SUFFIXES, OWN + SUFFIXES + 1
 CLASSES = OWN + SUFFIXES + 2
 BLOCK = 1 << 21  # tokens of a block
@@ -130,7 +131,13 @@ def sequences(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "t
     total, kinds = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     tokens, types = (total or 0) + ends, kinds + (1 if ends else 0)
 
-    top = counts.orderBy(F.desc("c"), "h").limit(OWN).select("h").collect()  # at most OWN rows
+    # every task sends its own largest to the driver, so only words above a count that somewhat more
+    # than OWN words reach (an approximate quantile, its error allowed for) are sorted at all
+    often, share = counts, (2 * OWN + 2 * kinds / QUANTILE) / max(1, kinds)
+    if share < 1:
+        least = counts.agg(F.percentile_approx("c", 1 - share, QUANTILE)).first()[0]
+        often = counts.where(F.col("c") >= least)
+    top = often.orderBy(F.desc("c"), "h").limit(OWN).select("h").collect()  # at most OWN rows
     own = spark.createDataFrame([(r["h"], i) for i, r in enumerate(top)], "h long, own int")
     classed = counts.join(F.broadcast(own), "h", "left").select(
         "h", "c", F.coalesce("own", F.col("suffix") + OWN).alias("cls"))
