@@ -8,6 +8,11 @@ sample of labelled rows of at most ``max_rows`` (documented bound; spread evenly
 chosen by a hash of the key) of which ``landmarks`` serve as landmarks.
 Scoring: a batch's presence rows times one DIM x languages matrix (landmarks, Nyström root and
 ridge weights multiplied out), over whole texts.
+Acceptance: a text in a language or script that wasn't learned still has a best language, with a
+small lead. A text is accepted if its score reaches a bar that rises with its distinct n-grams,
+from 0.5 (a tie) to MIN_SCORE at SURE of them, and at least MIN_KNOWN of its letters occur in the
+sample. Texts of a few words have small leads in any language, so that for them it is mostly the
+letters that decide.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; a null label is
 not learned; without any labelled row everything is ``und``; ties go to the first language by
@@ -31,7 +36,10 @@ MAX_ROWS = 2000
 LANDMARKS = 256
 RIDGE = 1e-3
 UNKNOWN = "und"
-MIN_SCORE = 0.5  # the score of a tie between two languages
+TIE = 0.5  # the score of a tie between two languages
+MIN_SCORE = 0.7  # the score asked of a text of SURE distinct n-grams or more
+SURE = 500  # some fifty words
+MIN_KNOWN = 0.5  # share of a text's letters that the sample has
 _CHUNK = 128  # presence rows multiplied at a time
 _SPAN = 1 << 18  # code points whose n-grams are hashed at a time
 
@@ -47,6 +55,12 @@ def _letters() -> np.ndarray:
     return out
 
 
+def _lettered(text: str) -> np.ndarray:
+    """The letters of a text in lower case, in order."""
+    c = _letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+    return c[c != 32]
+
+
 def _mark(flags: np.ndarray, c: np.ndarray, doc: np.ndarray, starts: int) -> None:
     """Set the bits of the n-grams that begin at the first ``starts`` places."""
     row = doc.astype(np.int64) * DIM
@@ -98,6 +112,18 @@ def _products(flags: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out
 
 
+def _known(texts: list[str], letters: np.ndarray) -> np.ndarray:
+    """Share of each text's letters that are in ``letters`` (a flag per code point); 0 without a letter."""
+    out = np.zeros(len(texts))
+    for i, t in enumerate(texts):
+        had = total = 0
+        for at in range(0, len(t), _SPAN):
+            c = _lettered(t[at:at + _SPAN])
+            had, total = had + int(letters[c].sum()), total + len(c)
+        out[i] = had / max(total, 1)
+    return out
+
+
 def fit(flags: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE):
     """(languages, DIM x languages matrix) from presence rows and their labels."""
     names = sorted(set(labels))
@@ -144,36 +170,46 @@ def sample(docs: DataFrame, may_learn: Column, key: str, text: str, lang: str, m
 
 def train(docs: DataFrame, may_learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang",
           max_rows: int = MAX_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE):
-    """Fit on a bounded sample: presence rows (DIM / 8 bytes each) come to the driver, no texts."""
+    """(languages, matrix, flags of the letters that occur), fitted on a bounded sample: presence
+    rows (DIM / 8 bytes each) and distinct letters come to the driver, no texts."""
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             packed = np.packbits(presence(b["text"].tolist()), axis=1)
-            yield pd.DataFrame({"lang": b["lang"], "nth": b["nth"], "bits": [x.tobytes() for x in packed]})
+            yield pd.DataFrame({"lang": b["lang"], "nth": b["nth"], "bits": [x.tobytes() for x in packed],
+                                "letters": [np.unique(_lettered(t)).astype("<u4").tobytes() for t in b["text"]]})
 
     rows = sample(docs, may_learn, key, text, lang, max_rows)
     if "nth" not in rows.columns:
         return None
-    got = rows.select("lang", "text", "nth").mapInPandas(bits, "lang string, nth int, bits binary").collect()
+    got = rows.select("lang", "text", "nth").mapInPandas(
+        bits, "lang string, nth int, bits binary, letters binary").collect()
     got.sort(key=lambda r: (r["nth"], r["lang"]))  # landmarks: the first of every language in turn
     if not got:
         return None
     flags = np.unpackbits(np.array([np.frombuffer(r["bits"], np.uint8) for r in got]), axis=1)
-    return fit(flags, [r["lang"] for r in got], landmarks, ridge)
+    letters = np.zeros(0x110000, dtype=bool)
+    for r in got:
+        letters[np.frombuffer(r["letters"], "<u4")] = True
+    return *fit(flags, [r["lang"] for r in got], landmarks, ridge), letters
 
 
 def predict(docs: DataFrame, model, text: str = "text") -> DataFrame:
-    """The input and the struct ``_lang`` of (lang, score)."""
+    """The input and the struct ``_lang`` of (lang, score, distinct n-grams, share of known letters)."""
     if model is None:
-        return docs.withColumn("_lang", F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score")))
-    held = docs.sparkSession.sparkContext.broadcast(model)  # DIM floats per language
+        return docs.withColumn("_lang", F.struct(
+            F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("grams"),
+            F.lit(0.0).alias("known")))
+    held = docs.sparkSession.sparkContext.broadcast(model)  # DIM floats per language, a flag per code point
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, grams long, known double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        names, matrix = held.value
+        names, matrix, letters = held.value
         for texts in batches:
-            flags = presence([t or "" for t in texts])
-            yield decide(_products(flags, matrix), names, flags.any(axis=1))
+            texts = [t or "" for t in texts]
+            flags = presence(texts)
+            grams = flags.sum(axis=1, dtype=np.int64)
+            yield decide(_products(flags, matrix), names, grams > 0).assign(grams=grams, known=_known(texts, letters))
 
     return docs.withColumn("_lang", score(F.col(text)))
 
@@ -186,4 +222,6 @@ def may_learn(key: str = "doc_id") -> Column:
 def accepted_documents(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """Documents in a language that the labelled ones teach, with their own columns."""
     kept = predict(docs, train(docs, may_learn()))
-    return kept.where((F.col("_lang.lang") != UNKNOWN) & (F.col("_lang.score") >= min_score)).select(*docs.columns)
+    bar = TIE + (min_score - TIE) * F.least(F.lit(1.0), F.col("_lang.grams") / SURE)
+    return kept.where((F.col("_lang.lang") != UNKNOWN) & (F.col("_lang.score") >= bar)
+                      & (F.col("_lang.known") >= MIN_KNOWN)).select(*docs.columns)

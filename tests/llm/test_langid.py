@@ -79,3 +79,28 @@ def test_the_sample_is_bounded_and_even(spark):
                                         "if(id % 30 = 0, 'es', 'en') as lang")
     got = langid.sample(docs, F.lit(True), "doc_id", "text", "lang", 120).groupBy("lang").count().collect()
     assert dict(got) == {"en": 60, "es": 60}
+
+
+def test_accepted_documents_are_in_a_learned_language(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents")
+    clean = [r["text"] for r in docs.where("n_chars > 3000").orderBy("doc_id").limit(20).collect()]
+    scripts = [(0x430, 0x44F), (0x3B1, 0x3C9), (0x4E00, 0x9FA5), (0x627, 0x64A), (0x3041, 0x3096)]
+    rng, new = np.random.default_rng(7), []
+    for n in (1, 2, 5, 20, 100, 300, 3000):
+        for a, b in scripts:
+            new.append((" ".join("".join(map(chr, rng.integers(a, b, 6))) for _ in range(n)), False))
+        new += [(" ".join(t.split(" ")[:n]), True) for t in clean if n > 2]
+    extra = spark.createDataFrame([(10**9 + i, t) for i, (t, _) in enumerate(new)], "doc_id long, text string")
+    both = docs.unionByName(extra, allowMissingColumns=True)  # without a label, so not learned from
+    kept = {r["doc_id"] for r in langid.accepted_documents(both).select("doc_id").collect()}
+    assert not [t[:40] for i, (t, good) in enumerate(new) if not good and 10**9 + i in kept]
+    assert not [t[:40] for i, (t, good) in enumerate(new) if good and 10**9 + i not in kept]
+    gone = {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")} - kept
+    assert len(gone) <= 0.002 * docs.count()  # two languages in one text
+
+    spanish = F.col("lang") == "es"  # a language that isn't learned
+    taught = docs.withColumn("lang", F.when(~spanish, F.col("lang")))
+    left = langid.accepted_documents(taught.withColumn("was", F.col("doc_id"))).join(
+        docs.where(spanish & (F.col("n_chars") > 500)).select(F.col("doc_id").alias("was")), "was").count()
+    assert left <= 0.1 * docs.where(spanish & (F.col("n_chars") > 500)).count()
