@@ -12,8 +12,9 @@
   1. star: every node against the most connected member of its buckets; a large group of near
      copies becomes one component, and members of one component need no further link;
   2. clusters: in buckets that still hold several components, members of different components
-     whose signatures agree on MIN_EST (4.5 standard deviations below the threshold) or more of
-     the coordinates are put in one cluster;
+     whose signatures agree on MIN_EST (5.5 standard deviations below the threshold) or more of
+     the coordinates are put in one cluster; a pair at 0.75 agrees on fewer with probability 6e-8,
+     less than the bands' own;
   3. inside a cluster, pairs across components with such signatures are confirmed, the likeliest
      first, until every one is confirmed, refuted or already connected.
   A link is confirmed on the two full shingle sets: 100 * common >= 75 * union. Buckets and
@@ -47,7 +48,7 @@ COORDINATES = 256
 UNIVERSE_BITS = 20
 SEED = 11
 NUMERATOR, DENOMINATOR = 75, 100
-MIN_EST = 0.75 - 4.5 * (0.75 * 0.25 / COORDINATES) ** 0.5
+MIN_EST = 0.75 - 5.5 * (0.75 * 0.25 / COORDINATES) ** 0.5
 TILE = 1024
 BROADCAST_IDS = 1_000_000  # more ids than this are joined by a shuffle
 NO_ID = 1 << 62  # rows without an id are numbered from here while they are linked

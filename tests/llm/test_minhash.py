@@ -1,7 +1,9 @@
+import math
 import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from helpers import DOCS, PROSE, awkward, clashing, empty, rows
 
@@ -125,3 +127,15 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 201), (201, 200)]
     got = dict(minhash.components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}, 200: 200, 201: 200}
+
+
+def test_signatures_drop_fewer_pairs_than_the_bands():
+    n, low = minhash.COORDINATES, math.ceil(minhash.MIN_EST * minhash.COORDINATES)
+    tail = sum(math.comb(n, k) * 0.75 ** k * 0.25 ** (n - k) for k in range(low))
+    assert tail < (1 - 0.75 ** minhash.ROWS) ** minhash.BANDS < 3e-7
+    one = np.arange(n, dtype="<u2")
+    for agree, found in ((low, 1), (low - 1, 0)):
+        other = np.where(np.arange(n) < agree, one, one + 1000).astype("<u2")
+        tile = pd.DataFrame({"comp": [1, 2], "own": [0, 0], "n": [90, 100], "b1": 0, "b2": 0,
+                             "sketch": [one.tobytes(), other.tobytes()]})
+        assert len(minhash._across(tile)[0]) == found
