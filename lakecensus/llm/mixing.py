@@ -32,6 +32,7 @@ BLOCK = 64
 DOCS_PER_SHARD = 4096
 CAP = 3
 SEED = 20240
+DEALS = 64  # hands into which the rows of one id and text are dealt to be numbered
 CYCLE = (1.0, 2.0, 3.0)
 BROADCAST_SOURCES = 100_000  # the facts of more sources are joined by a shuffle
 
@@ -180,26 +181,46 @@ def passage(text: str, a: int, b: int) -> str:
     return text[spans[a][0]:spans[b - 1][1]]
 
 
+def _same(doc_id: Column, tag: Column) -> Column:
+    """One string of a row's id and its text's tag; a null id is left out."""
+    return F.concat_ws(":", tag.cast("string"), doc_id.cast("string"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows with ``_mix_nth``, their number from 0 among those of equal ``_mix_same``.
+
+    Rows are dealt into DEALS hands, counted and numbered by hand, so that no task holds all rows
+    of a hot value; they are staged with their places, so that a retry numbers them alike.
+    """
+    place = F.monotonically_increasing_id()
+    dealt = staged(rows.withColumn("_mix_place", place), "mix-dealt") \
+        .withColumn("_mix_hand", F.pmod(F.xxhash64("_mix_place"), F.lit(DEALS)).cast("int"))
+    before = Window.partitionBy("_mix_same").orderBy("_mix_hand").rowsBetween(Window.unboundedPreceding, -1)
+    hands = dealt.groupBy("_mix_same", "_mix_hand").agg(F.count(F.lit(1)).alias("_mix_rows")) \
+        .withColumn("_mix_base", F.coalesce(F.sum("_mix_rows").over(before), F.lit(0))).drop("_mix_rows")
+    inside = Window.partitionBy("_mix_same", "_mix_hand").orderBy("_mix_place")
+    return dealt.withColumn("_mix_at", F.row_number().over(inside)).join(hands, ["_mix_same", "_mix_hand"]) \
+        .withColumn("_mix_nth", F.col("_mix_base") + F.col("_mix_at") - 1) \
+        .drop("_mix_place", "_mix_hand", "_mix_base", "_mix_at")
+
+
 def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     """The mix as documents: each taken copy or passage is a row with its document's columns;
     a passage has its own text and n_chars. Documents the mix does not take go."""
-    tag = text_tag(F.col("text"))
-    part = F.struct("size", "times", "a1", "b1", "a2", "b2")
-    plan = staged(
-        mix(docs, **params).where("taken > 0")
-        .groupBy(F.xxhash64("doc_id", "tag").alias("_mix_key"), F.col("doc_id").alias("_mix_id"),
-                 F.col("tag").alias("_mix_tag"))
-        .agg(F.collect_list(part).alias("_mix_parts")), "mix-plan")
-    rows = docs.withColumn("_mix_key", F.xxhash64("doc_id", tag)).withColumn("_mix_own", tag)
-    both = rows.join(plan, "_mix_key").where(
-        F.col("doc_id").eqNullSafe(F.col("_mix_id")) & (F.col("_mix_own") == F.col("_mix_tag")))
-    one = F.size("_mix_parts") == 1
-    joined = both.where(one).withColumn("_mix_part", F.get("_mix_parts", F.lit(0)))
-    more = plan.where(~one)
-    if not more.isEmpty():  # rows repeated with id and text take one part each
-        nth = F.row_number().over(Window.partitionBy("_mix_key").orderBy(F.lit(0))) - 1
-        again = both.where(~one).withColumn("_mix_part", F.get("_mix_parts", nth)).where("_mix_part is not null")
-        joined = joined.unionByName(again)
+    same = _same(F.col("doc_id"), text_tag(F.col("text")))
+    plan = staged(mix(docs, **params).select(
+        _same(F.col("doc_id"), F.col("tag")).alias("_mix_same"),
+        F.struct("size", "times", "a1", "b1", "a2", "b2").alias("_mix_part"), (F.col("taken") > 0).alias("_mix_taken")),
+        "mix-plan")
+    parts = plan.where("_mix_taken").drop("_mix_taken")
+    many = staged(plan.groupBy("_mix_same").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_mix_same"), "mix-many")
+    rows = docs.withColumn("_mix_same", same)
+    if many.isEmpty():
+        joined = rows.join(parts, "_mix_same")
+    else:  # rows repeated with id and text take one part each
+        again = _numbered(rows.join(many, "_mix_same", "left_semi")).join(
+            _numbered(parts.join(many, "_mix_same", "left_semi")), ["_mix_same", "_mix_nth"]).drop("_mix_nth")
+        joined = rows.join(many, "_mix_same", "left_anti").join(parts, "_mix_same").unionByName(again)
 
     spans = F.concat(
         F.array_repeat(F.struct(F.lit(0).cast("long").alias("a"), F.col("_mix_part.size").alias("b")),

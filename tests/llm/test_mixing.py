@@ -147,3 +147,21 @@ def test_sql_with_other_parameters_and_bound_caps(spark):
     want = con.execute(op6(3, 7, 12, mixing.SEED)).fetchall()
     assert got == sorted((d, n, s, round(t, 6), k) for d, n, s, t, k in want)
     assert any(abs(t - 3 * s) < 1e-6 for _, _, s, t, _ in got)
+
+
+def test_repeated_rows_take_one_part_each(spark):
+    text = "some words that a few rows of this table have in common with others"
+    docs = spark.createDataFrame([(1000 + i % 40, text, "en", f"s{i % 40}", 1) for i in range(80)], awkward(spark).schema)
+    plan = mixing.mix(docs, block=8).groupBy("doc_id").agg(F.sum("taken").alias("n")).where("n > 0")
+    got = defaultdict(int)
+    for r in mixing.mixed_documents(docs, block=8).collect():
+        got[r["doc_id"]] += len(words(r["text"]))
+    assert got == {r["doc_id"]: r["n"] for r in plan.collect()}
+
+
+def test_numbers_of_a_hot_value_come_from_several_hands(spark):
+    rows_ = spark.range(5000).selectExpr("if(id < 4990, 'hot', 'rare') as _mix_same", "id")
+    got = mixing._numbered(rows_).collect()
+    for name, n in (("hot", 4990), ("rare", 10)):
+        assert sorted(r["_mix_nth"] for r in got if r["_mix_same"] == name) == list(range(n))
+    assert sorted(r["id"] for r in got) == list(range(5000))
