@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecensus.llm import chat, hmm, langid, merkle, minhash, mixing, packing, quality, sharding, tokencount
+from lakecensus.llm import bytebpe, chat, hmm, langid, merkle, minhash, mixing, packing, quality, sharding, tokencount
 from lakecensus.llm.common import table
 
 N_SHARDS = 16
 TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 SEPARATOR = 49407  # its <|endoftext|>, which no ordinary text gives
 
 
@@ -100,9 +101,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_fail_mask").alias("fail_mask"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bytebpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chat_formatting, op2_merkle_fingerprints, op3_sharding, op4_minhash_near_dedup,
         op5_language_id, op6_source_mixing, op7_token_counts, op8_hidden_markov_scores, op9_packing,
-        op10_quality_rules)
+        op10_quality_rules, op13_byte_bpe)
 }
