@@ -25,18 +25,18 @@ from __future__ import annotations
 import base64
 import struct
 from collections.abc import Callable, Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-MAX_STATES = 100_000  # deterministic states that a worker keeps, and four times as many steps
-MAX_PIECES = 200_000  # pieces whose ids a worker keeps
+MAX_STATES = 250_000  # deterministic states that a worker keeps, and twice as many steps
+MAX_PIECES = 300_000  # pieces whose ids a worker keeps
 LONGEST_KEPT = 32  # characters of such a piece
 LONG_TEXT = 1 << 20  # from here on the pieces of a text aren't listed at once
-ROOT = 0
+ROOT = START = 0
 _LOADED: dict[tuple[str, str], "Transducer"] = {}
 
 
@@ -82,15 +82,16 @@ class Transducer:
         self.parts: dict[bytes, tuple] = {}
         self.plain: dict[bytes, bool] = {}
         self.edges: dict[tuple[bytes, int], list] = {}
-        self.closing: dict[int, int] = {}  # last << 32 | node -> the token it may close, or -1
+        # a live state is last token + 1 << 32 | node
+        self.closes: dict[int, int] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.states: list[tuple] = []
+        self.states: list[tuple] = []  # live state, tokens it holds back, live state, ...
         self.number: dict[tuple, int] = {}
         self.steps: dict[int, tuple[int, tuple]] = {}  # state << 8 | byte -> state, tokens emitted
         self.ends: dict[int, tuple] = {}
-        self._state(((-1, ROOT, ()),))
+        self._state((START, ()))
 
     def _state(self, live: tuple) -> int:
         n = self.number.setdefault(live, len(self.states))
@@ -151,41 +152,45 @@ class Transducer:
                     return False
         return True
 
-    def _closing(self, last: int, node: int) -> int:
+    def _closing(self, one: int) -> int:
         """The token that a live state may close at its node, or -1."""
+        last, node = one >> 32, one & 0xFFFFFFFF
         token = self.spelt.get(node, -1)
-        if token >= 0 and not self.fits(last, token):
+        if token >= 0 and not self.fits(last - 1, token):
             token = -1
-        if len(self.closing) >= 4 * self.max_states:
-            self.closing.clear()
-        self.closing[last << 32 | node] = token
+        if len(self.closes) >= 2 * self.max_states:
+            self.closes.clear()
+        self.closes[one] = token
         return token
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple]:
-        live, down, closing = [], self.down, self.closing
-        for last, node, held in self.states[state]:
+        live, down, closes = [], self.down, self.closes
+        pairs = iter(self.states[state])
+        for one, held in zip(pairs, pairs):
+            node = one & 0xFFFFFFFF
             below = down.get(node << 8 | byte)
             if below is not None:
-                live.append((last, below, held))
-            if node != ROOT:
-                token = closing.get(last << 32 | node)
+                live += one - node + below, held
+            if node:
+                token = closes.get(one)
                 if token is None:
-                    token = self._closing(last, node)
+                    token = self._closing(one)
                 if token >= 0:
-                    live.append((token, down[byte], (*held, token)))  # the root's children are the single bytes
-        held = live[0][2]
-        agreed = len(held)
-        for _, _, other in live:
-            if not agreed:
-                break
-            same = 0
-            while same < agreed and same < len(other) and other[same] == held[same]:
-                same += 1
-            agreed = same
-        held = held[:agreed]
-        if agreed:
-            live = [(last, node, other[agreed:]) for last, node, other in live]
-        if len(self.states) >= self.max_states or len(self.steps) >= 4 * self.max_states:
+                    live += (token + 1 << 32) + down[byte], (*held, token)  # the root's children are the single bytes
+        held = live[1]
+        if held:
+            agreed = len(held)
+            for other in live[3::2]:
+                same = 0
+                while same < agreed and same < len(other) and other[same] == held[same]:
+                    same += 1
+                agreed = same
+                if not agreed:
+                    break
+            held = held[:agreed]
+            if agreed:
+                live[1::2] = [x[agreed:] for x in live[1::2]]
+        if len(self.states) >= self.max_states or len(self.steps) >= 2 * self.max_states:
             self._forget()
             return self._state(tuple(live)), held
         step = self.steps[state << 8 | byte] = (self._state(tuple(live)), held)
@@ -193,8 +198,9 @@ class Transducer:
 
     def _end(self, state: int) -> tuple:
         # the merges of the whole piece are one sequence: one live state can close
-        for last, node, held in self.states[state]:
-            if node != ROOT and (token := self._closing(last, node)) >= 0:
+        pairs = iter(self.states[state])
+        for one, held in zip(pairs, pairs):
+            if one & 0xFFFFFFFF and (token := self._closing(one)) >= 0:
                 return (*held, token)
         return ()
 
@@ -232,6 +238,7 @@ class Utf8Machine:
     def __init__(self, bytes_of: dict[int, bytes] | None = None):
         self.bytes_of = bytes_of or {}
         self.given: dict[bytes, dict[int, tuple[str, bytes]]] = {b"": {}}
+        self.whole: dict[int, str] = {}
 
     @staticmethod
     def read(state: bytes, data: bytes) -> tuple[str, bytes]:
@@ -258,14 +265,20 @@ class Utf8Machine:
                 out.append(REPLACEMENT)
         return "".join(out), state
 
-    def text(self, ids) -> str:
+    def text(self, ids: list[int]) -> str:
         """A whole text, one token after the other."""
+        # tokens of whole characters leave the first state as it is
+        chars = [*map(self.whole.get, ids)]
+        if None not in chars:
+            return "".join(chars)
         state, out, given = b"", [], self.given
         row = given[state]
         for i in ids:
             got = row.get(i)
             if got is None:
                 got = row[i] = self.read(state, self.bytes_of[i])
+                if not state and not got[1]:
+                    self.whole[i] = got[0]
             chars, after = got
             out.append(chars)
             if after != state:
@@ -305,7 +318,7 @@ class Codec(dict):
     def decode(self, ids: bytes | None) -> str:
         if not ids:
             return ""
-        return self.machine.text(chain.from_iterable(struct.iter_unpack("<I", ids)))
+        return self.machine.text(np.frombuffer(ids, "<u4").tolist())
 
 
 def codec(path: str, pattern: str) -> Codec:
