@@ -166,6 +166,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, mask
 FROM b
 """
 
+# a term's weight is of documents and document frequencies; all else is integer arithmetic
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+n AS (SELECT doc_id, r, ts, len(ts)::BIGINT AS n FROM d WHERE len(ts) > 0),
+z AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS tokens FROM n),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+p AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS term FROM n)
+  WHERE term IN (SELECT term FROM i) GROUP BY r, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, z GROUP BY term, docs),
+s AS (
+  SELECT item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // tokens))))::BIGINT AS score
+  FROM p JOIN w USING (term) JOIN n USING (r) JOIN i USING (term), z GROUP BY item_id, r),
+k AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM s JOIN n USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 50
+"""
+
 ORACLES: dict[str, str] = {"op1_chat_formatting": OP1, "op3_sharding": OP3, "op4_minhash_near_dedup": OP4,
                            "op6_source_mixing": op6(mixing.CAP, mixing.BLOCK, mixing.DOCS_PER_SHARD, mixing.SEED),
-                           "op10_quality_rules": OP10}
+                           "op10_quality_rules": OP10, "op11_lexical_search": OP11}
