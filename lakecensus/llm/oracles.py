@@ -192,6 +192,48 @@ k AS (
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 50
 """
 
+# a node is the text of its turns' digests, one after the other, so that a prefix is a left part
+OP12 = f"""
+WITH crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS first, xor(list_reduce(list_prepend(4294967295, list_transform(
+        regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda b: ('0x' || b)::BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), crc_table),
+m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d,
+    len(regexp_extract_all(coalesce(text, ''), {WORD}))::BIGINT AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, d) - 1 AS pos FROM m),
+r AS (
+  SELECT c.conv_id, 0 AS own, pos, d, words FROM c JOIN o ON o.conv_id = first WHERE pos < h
+  UNION ALL SELECT conv_id, 1, pos, d, words FROM c JOIN o USING (conv_id) WHERE pos >= h),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth FROM r),
+k AS (
+  SELECT conv_id, count(d) AS len, coalesce(string_agg(d, '' ORDER BY depth), '') AS line
+  FROM c LEFT JOIN n USING (conv_id) GROUP BY conv_id),
+p AS (
+  SELECT conv_id, len, depth, left(line, 32 * depth) AS node, coalesce(words, 0) AS words
+  FROM (SELECT conv_id, len, line, unnest(range(len + 1)) AS depth FROM k) LEFT JOIN n USING (conv_id, depth)),
+g AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len = depth), '')) AS ends_sha256
+  FROM p GROUP BY node, depth),
+a AS (SELECT left(node, 32 * (depth - 1)::BIGINT) AS node, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN a USING (node)),
+u AS (
+  SELECT left(node, 32 * top) AS node, sum((n_convs - 1) * words)::BIGINT AS saved_tokens,
+    count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS top FROM f) GROUP BY ALL)
+SELECT f.conv_id, f.depth, above.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM f JOIN u USING (node) LEFT JOIN f above ON f.depth > 0 AND above.node = left(f.node, 32 * (f.depth - 1)::BIGINT)
+"""
+
 ORACLES: dict[str, str] = {"op1_chat_formatting": OP1, "op3_sharding": OP3, "op4_minhash_near_dedup": OP4,
                            "op6_source_mixing": op6(mixing.CAP, mixing.BLOCK, mixing.DOCS_PER_SHARD, mixing.SEED),
-                           "op10_quality_rules": OP10, "op11_lexical_search": OP11}
+                           "op10_quality_rules": OP10, "op11_lexical_search": OP11,
+                           "op12_prefix_trie": OP12}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecensus.llm import bytebpe, chat, hmm, langid, merkle, minhash, mixing, packing, quality, search, sharding, tokencount
+from lakecensus.llm import bytebpe, chat, hmm, langid, merkle, minhash, mixing, packing, quality, search, sharding, tokencount, trie
 from lakecensus.llm.common import table
 
 N_SHARDS = 16
@@ -105,6 +105,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -115,5 +119,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chat_formatting, op2_merkle_fingerprints, op3_sharding, op4_minhash_near_dedup,
         op5_language_id, op6_source_mixing, op7_token_counts, op8_hidden_markov_scores, op9_packing,
-        op10_quality_rules, op11_lexical_search, op13_byte_bpe)
+        op10_quality_rules, op11_lexical_search, op12_prefix_trie,
+        op13_byte_bpe)
 }
