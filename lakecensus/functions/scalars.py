@@ -6,25 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lakecensus.functions import constants as K
-
-# ISO-8601 forms accepted by both the extractor's parser and Spark's cast: a calendar date,
-# optionally a 'T' or ' ' and HH:MM[:SS[.fraction]], optionally a numeric UTC offset
-# (every 'Z' has already been rewritten to +00:00).
-ISO_RE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?([+-]\d{2}:\d{2})?)?$"
+from lakecensus.functions import isotime
 
 
 def parse_ts(s: Column) -> Column:
     """Falsy -> NULL; strip; every 'Z' -> '+00:00'; ISO-8601 -> timestamp; failure -> NULL.
 
-    Naive values are read in the session time zone, which ``configure`` pins to UTC.
-    """
-    cleaned = F.regexp_replace(F.trim(s), "Z", "+00:00")
-    # HH:MM without seconds: Spark's cast wants the seconds when an offset follows
-    with_seconds = F.regexp_replace(cleaned, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})([+-]\d{2}:\d{2})?$", "$1:00$2")
-    return F.when(
-        (F.length(s) > 0) & cleaned.rlike(ISO_RE),
-        F.try_to_timestamp(with_seconds),
-    )
+    Naive values are UTC (the session time zone, which ``configure`` pins)."""
+    return F.when(F.length(s) > 0, isotime.parse(F.replace(isotime.strip(s), F.lit("Z"), F.lit("+00:00"))))
 
 
 def _label(code: Column, mapping: dict[int, str]) -> Column:
@@ -45,7 +34,7 @@ def storage_mode_label(code: Column) -> Column:
 def strip_bracket_name(key: Column) -> Column:
     """'[C]' and '[T].[C]' -> 'C': trim, drop one leading '[' and one trailing ']',
     keep what follows the last '].['."""
-    inner = F.regexp_replace(F.regexp_replace(F.trim(key), r"^\[", ""), r"\]$", "")
+    inner = F.regexp_replace(F.regexp_replace(isotime.strip(key), r"^\[", ""), r"\]\z", "")
     return F.element_at(F.split(inner, r"\]\.\["), -1)
 
 

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from lakecensus.functions import constants as K
 from lakecensus.functions import jsonx as J
+from lakecensus.functions.isotime import strip
 from lakecensus.functions.scalars import partition_type_label, stable_id, storage_mode_label, strip_bracket_name
 from lakecensus.operators.normalize import viable_models
 from lakecensus.operators.paging import Capture
 
+INT_TEXT = r"^[+-]?\d+(_\d+)*\z"
 DAX_RESULT = "struct<results:array<struct<tables:array<struct<rows:array<map<string,variant>>>>>>>"
 
 
@@ -38,10 +40,11 @@ def int_of(x: Column, default: int | None = None) -> Column:
     """``int(value)``: integral numbers as is, other numbers truncated, numeric text
     parsed; anything else (and a missing value) -> ``default``."""
     k = _kind(x)
+    text = strip(F.try_variant_get(x, "$", "string"))
     as_int = (
         F.when(k.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), F.try_variant_get(x, "$", "bigint"))
         .when(k.startswith("DECIMAL") | k.isin("FLOAT", "DOUBLE"), F.try_variant_get(x, "$", "double").cast("bigint"))
-        .when(k == "STRING", F.trim(F.try_variant_get(x, "$", "string")).try_cast("bigint"))
+        .when(k == "STRING", F.when(text.rlike(INT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint")))
     )
     return F.coalesce(as_int, F.lit(default).cast("bigint")) if default is not None else as_int
 

@@ -602,3 +602,17 @@ ORACLES.update({
     "stable_ids": STABLE_IDS,
     "sink_roundtrip": ORACLES["run_summary"],
 })
+
+# --- forms of timestamps and column names: what each form keeps of the value ------------------------
+_S = "date_trunc('second', ts)"
+_FORMS = [
+    _S, _S, "date_trunc('minute', ts)", "date_trunc('hour', ts)", "date_trunc('day', ts)", _S, "date_trunc('day', ts)",
+    "date_trunc('minute', ts)", "date_trunc('day', ts)", "date_trunc('week', ts)", _S,
+    f"{_S} + INTERVAL 250000 MICROSECOND", f"{_S} + INTERVAL 123456 MICROSECOND", f"{_S} - INTERVAL 90 MINUTE",
+    f"{_S} + INTERVAL 2 HOUR", f"{_S} - INTERVAL 30 SECOND", f"{_S} - INTERVAL 1215 MINUTE", "NULL", "NULL", "NULL",
+]
+ORACLES["timestamp_forms"] = (
+    f"SELECT event_id, (CASE event_id % {len(_FORMS)} "
+    + " ".join(f"WHEN {i} THEN {sql}" for i, sql in enumerate(_FORMS))
+    + " END)::TIMESTAMP AS parsed FROM events")
+ORACLES["column_name_forms"] = "SELECT p_partkey, p_name AS column_name FROM part"

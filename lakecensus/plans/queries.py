@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from lakecensus.functions import constants as K
+from lakecensus.functions.scalars import parse_ts, strip_bracket_name
 from lakecensus.operators import normalize as N
 from lakecensus.operators import outcomes as O
 from lakecensus.operators import planning as P
@@ -350,3 +351,52 @@ QUERIES.update({
     "stable_ids": q_stable_ids,
     "sink_roundtrip": q_sink_roundtrip,
 })
+
+
+# --- inputs in the forms that the extractor's parsers take ---------------------------------------
+WHITE_EDGES = ("", " ", "\t", "\n", "\u00a0", "\u2003", "\x1c")
+
+
+def edged(text, n):
+    """A text with white space around it, by a number."""
+    pads = F.array(*[F.lit(p) for p in WHITE_EDGES])
+    return F.concat(F.get(pads, (n % len(WHITE_EDGES)).cast("int")), text, F.get(pads, (n % 5).cast("int")))
+
+
+def timestamp_texts(events: DataFrame) -> DataFrame:
+    """An event's time written in one of twenty forms, by its id, with white space around it."""
+    e, t = F.col("event_id"), F.col("ts").cast("timestamp")
+
+    def form(pattern, at=t):
+        return F.date_format(at, pattern)
+
+    day = F.concat(F.year(F.date_add(F.date_trunc("week", t).cast("date"), 3)).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(t).cast("string"), 2, "0"))
+    forms = [
+        form("yyyy-MM-dd'T'HH:mm:ss'Z'"), form("yyyy-MM-dd HH:mm:ss"), form("yyyy-MM-dd'T'HH:mm"), form("yyyy-MM-dd'T'HH"),
+        form("yyyy-MM-dd"), form("yyyyMMdd'T'HHmmss"), form("yyyyMMdd"), form("yyyy-MM-dd'x'HHmm"),
+        F.concat(day, F.lit("-"), (F.weekday(t) + 1).cast("string")), F.replace(day, F.lit("-"), F.lit("")),
+        F.concat(day, F.lit("-"), (F.weekday(t) + 1).cast("string"), form("'T'HH:mm:ss'Z'")),
+        form("yyyy-MM-dd'T'HH:mm:ss',250'"), form("yyyy-MM-dd'T'HH:mm:ss'.1234567Z'"), form("yyyy-MM-dd'T'HH:mm:ss'+0130'"),
+        form("yyyy-MM-dd'T'HH:mm:ss'-02'"), form("yyyy-MM-dd'T'HH:mm:ss'+00:00:30'"), form("yyyy-MM-dd'T'HH:mm:ss' +20:15'"),
+        form("yyyy-MM'/'dd HH:mm"), F.lit(""), form("yyyy-MM-dd'T25'':00'"),
+    ]
+    return events.select("event_id", edged(F.get(F.array(*forms), (e % len(forms)).cast("int")), e).alias("text"))
+
+
+def q_timestamp_forms(spark, sf_dir):
+    """Every form of a timestamp that the extractor's parser takes, and some that it doesn't."""
+    configure(spark)
+    texts = timestamp_texts(fixture(spark, sf_dir).table("events"))
+    return for_compare(texts.select("event_id", parse_ts(F.col("text")).alias("parsed")))
+
+
+def q_column_name_forms(spark, sf_dir):
+    """Column names of part names, bare, bracketed or qualified, with white space around them."""
+    i, name = F.col("p_partkey"), F.col("p_name")
+    forms = [name, F.concat(F.lit("["), name, F.lit("]")), F.concat(F.lit("[Table].["), name, F.lit("]")),
+             F.concat(F.lit("[A].[B].["), name, F.lit("]")), F.concat(F.lit("["), name)]
+    text = edged(F.get(F.array(*forms), (i % len(forms)).cast("int")), i)
+    return fixture(spark, sf_dir).table("part").select("p_partkey", strip_bracket_name(text).alias("column_name"))
+
+
+QUERIES.update({"timestamp_forms": q_timestamp_forms, "column_name_forms": q_column_name_forms})

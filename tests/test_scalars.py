@@ -32,10 +32,54 @@ def test_parse_ts_cases(spark):
         assert g == py_parse_ts(c), c
 
 
-def test_parse_ts_forms_python_rejects_are_null(spark):
-    # accepted by Spark's cast, rejected by the ISO guard (documented difference)
-    df = spark.createDataFrame([("2024",), ("2024-1-2",), ("20240102T030405",)], "s string")
-    assert [r[0] for r in df.select(parse_ts(F.col("s"))).collect()] == [None, None, None]
+def odd_forms(r):
+    """A text near the grammar of timestamps: any date and time build, separators, offsets, slips."""
+    year = r.choice(["2024", "2020", "0001", "9999", "0000", "1969", "2015", "2026"])
+    date = r.choice([
+        f"{year}-{r.randint(0, 13):02}-{r.randint(0, 32):02}", f"{year}{r.randint(1, 12):02}{r.randint(1, 31):02}",
+        f"{year}-W{r.randint(0, 54):02}", f"{year}W{r.randint(0, 54):02}",
+        f"{year}-W{r.randint(1, 53):02}-{r.randint(0, 9)}", f"{year}W{r.randint(1, 53):02}{r.randint(0, 9)}"])
+
+    def clock(hours=24):
+        h, m, s = r.randint(0, hours), r.randint(0, 60), r.randint(0, 60)
+        if r.random() < 0.7:
+            h, m, s = h % 24, m % 60, s % 60
+        return r.choice([f"{h:02}", f"{h:02}:{m:02}", f"{h:02}{m:02}", f"{h:02}:{m:02}:{s:02}", f"{h:02}{m:02}{s:02}", f"{h:02}:{m:02}{s:02}"])
+
+    def fraction():
+        return r.choice(["", "", r.choice([".", ",", ":", ""]) + "".join(r.choice("0123456789") for _ in range(r.randint(0, 9)))])
+
+    time = clock() + fraction() + r.choice(["", "", "", r.choice([" ", "x", ":", ".", "  ", "5", "é", "xyz"])]) if r.random() < 0.85 else ""
+    offset = r.choice(["", "", "Z", "+00:00", r.choice("+-") + clock(25) + fraction() + r.choice(["", "", "", ":", " "])])
+    separator = r.choice(["T", " ", "T", " ", "x", "-", "+", "1", "", "\n", "é", "😀", "TT", ":"])
+    if not time and r.random() < 0.7:
+        separator, offset = "", ""
+    pads = ["", "", "", "\t", "\n", " ", "\x85", "\u2003", "\x1c", "\u200b"]
+    text = r.choice(pads) + date + separator + time + offset + r.choice(pads)
+    if r.random() < 0.1:
+        at = r.randrange(len(text))
+        text = text[:at] + r.choice(["", "x", "-", ":", "1", "W"]) + text[at + 1:]
+    return text
+
+
+def test_parse_ts_takes_the_whole_grammar(spark):
+    import random
+
+    r = random.Random(20)
+    values = [odd_forms(r) for _ in range(20000)] + ["2024", "2024-1-2", "20240102T030405", "2024-W01-1", "2024-01-02T03:04 +01:00",
+                                                     "2024-01-02T03:04:05,123", "2024-01-02T03", "2024-01-02T03:04:05+00:00:00"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, s string").repartition(8)
+    got = dict(df.select("i", F.unix_micros(parse_ts(F.col("s")))).collect())
+    valid = 0
+    for i, v in enumerate(values):
+        try:
+            want = py_parse_ts(v)
+        except OverflowError:  # moved out of the years 1 to 9999 by its offset
+            continue
+        valid += want is not None
+        want = None if want is None else (want - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+        assert got[i] == want, v
+    assert valid > 4000
 
 
 def py_strip(key):
@@ -48,7 +92,7 @@ def py_strip(key):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(alphabet="[]. abT", max_size=12), min_size=1, max_size=8))
+@given(st.lists(st.text(alphabet="[]. abT\t\n\x0b\x1c\x85\xa0\u2003\u200b", max_size=12), min_size=1, max_size=8))
 def test_strip_bracket_name_property(spark, keys):
     df = spark.createDataFrame([(k,) for k in keys], "k string")
     got = [r[0] for r in df.select(strip_bracket_name(F.col("k"))).collect()]
