@@ -13,7 +13,9 @@ def parse_ts(s: Column) -> Column:
     """Falsy -> NULL; strip; every 'Z' -> '+00:00'; ISO-8601 -> timestamp; failure -> NULL.
 
     Naive values are UTC (the session time zone, which ``configure`` pins)."""
-    return F.when(F.length(s) > 0, isotime.parse(F.replace(isotime.strip(s), F.lit("Z"), F.lit("+00:00"))))
+    # bound in a lambda, so that the text is made once however often the grammar looks at it
+    text = F.replace(isotime.strip(s), F.lit("Z"), F.lit("+00:00"))
+    return F.get(F.transform(F.array(text), isotime.parse), F.lit(0))
 
 
 def _label(code: Column, mapping: dict[int, str]) -> Column:

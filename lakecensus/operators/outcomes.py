@@ -1,15 +1,20 @@
 """Attempt resolution (E1), outcome classification (E2, E3, E6), error rows
 and rate-limit waits (E8).
 
-Scale notes. A page is normally settled by its first attempt (200, 403, 404, ...). Those rows
-are resolved by a filter, with no shuffle, and their bodies never move. Only pages whose first
-attempt was retriable (429 or timeout) are grouped, by (request_id, page_no), so a hot request
-with many pages is spread over many groups.
+Scale notes. Attempts are resolved by exception, without moving a body. An answer that ends its
+page (anything but a retriable 429 or timeout) passes by a filter. Which pages break that rule is
+found from the light columns alone (``odd_pages``: one grouped row per page): pages with several
+ending answers (an attempt captured twice, answers after the end), pages without a first attempt,
+and pages whose attempts were used up. Those are few; their rows are picked by a join on the page.
+
+Everything is keyed by run, so a landing may hold many runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakecensus.functions import constants as K
@@ -31,49 +36,82 @@ def retriable(status: Column, error_kind: Column, dax: Column) -> Column:
     return ~dax & F.coalesce((status == 429) | (error_kind == "timeout"), F.lit(False))
 
 
-def resolve_attempts(landing: DataFrame, max_attempts: int = K.MAX_ATTEMPTS) -> DataFrame:
-    """One row per (request_id, page_no) -- the first terminal attempt within the budget,
-    else the last attempt (``exhausted`` = true)."""
-    dax = is_dax(F.col("operation"))
-    retry = retriable(F.col("status"), F.col("error_kind"), dax)
-    base = landing.select(*ATTEMPT_COLS)
+PAGE = ["run_id", "operation", "request_id", "page_no"]
 
-    settled_first = base.where((F.col("attempt") == 1) & ~retry).select(
-        *ATTEMPT_COLS, F.lit(False).alias("exhausted"), F.lit(1).alias("attempts_used")
-    )
 
-    retried = base.where(
-        ((F.col("attempt") == 1) & retry)
-        | (~dax & F.col("attempt").between(2, max_attempts))
-    )
-    row = F.struct(*ATTEMPT_COLS)
-    resolved_retries = (
-        retried.groupBy("request_id", "page_no")
-        .agg(
-            F.bool_or(F.col("attempt") == 1).alias("_has_first"),
-            F.min_by(row, F.when(~retry, F.col("attempt"))).alias("_terminal"),
-            F.max_by(row, F.col("attempt")).alias("_last"),
-            F.count(F.lit(1)).cast("int").alias("attempts_used"),
-        )
-        # later attempts of a page whose first attempt was already terminal are ignored
-        .where("_has_first")
-        .select(
-            F.coalesce("_terminal", "_last").alias("_a"),
-            F.col("_terminal").isNull().alias("exhausted"),
-            "attempts_used",
-        )
-        .select("_a.*", "exhausted", "attempts_used")
+def same(left: str, right: str, columns: list[str]) -> Column:
+    """Equality of two aliased frames on columns that may be null."""
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
+
+
+def counted(landing: DataFrame, max_attempts: int = K.MAX_ATTEMPTS) -> DataFrame:
+    """The attempts within the budget, with ``ends``: whether an answer ends its page. DAX calls
+    are never retried, so only their first attempt counts."""
+    dax = is_dax(F.col("operation"))
+    within = F.coalesce(F.col("attempt") == 1, F.lit(False)) | (~F.coalesce(dax, F.lit(False)) & F.col("attempt").between(2, max_attempts))
+    ends = ~F.coalesce(retriable(F.col("status"), F.col("error_kind"), F.coalesce(dax, F.lit(False))), F.lit(False))
+    return landing.select(*ATTEMPT_COLS, ends.alias("ends")).where(within)
+
+
+def odd_pages(landing: DataFrame, max_attempts: int = K.MAX_ATTEMPTS) -> DataFrame:
+    """Pages that the filter alone doesn't settle: PAGE, ``chosen`` (the attempt that stands; null if
+    the first attempt is missing) and ``exhausted``. Reads and shuffles light columns only."""
+    pages = counted(landing, max_attempts).groupBy(*PAGE).agg(
+        F.count_if("ends").alias("n_ends"),
+        F.bool_or(F.col("attempt") == 1).alias("begun"),
+        F.min(F.when(F.col("ends"), F.col("attempt"))).alias("first_end"),
+        F.max("attempt").alias("last"),
     )
-    return settled_first.unionByName(resolved_retries)
+    exhausted = F.col("n_ends") == 0
+    return pages.where((F.col("n_ends") > 1) | ~F.col("begun") | exhausted).select(
+        *PAGE, F.when(F.col("begun"), F.coalesce("first_end", "last")).alias("chosen"), exhausted.alias("exhausted"))
+
+
+def resolve_attempts(landing: DataFrame, max_attempts: int = K.MAX_ATTEMPTS, odd: DataFrame | None = None,
+                     repeated: bool = True, used_up: bool = True) -> DataFrame:
+    """One row per (run, operation, request, page) -- the first ending answer within the
+    budget, else the last attempt (``exhausted`` = true, without its body, which nobody reads).
+    Of an attempt captured more than once one row stays (the earliest, ties by content).
+
+    ``odd``: ``odd_pages`` as a stored table, so that its size decides how it is joined;
+    ``repeated=False`` says that none of them has an ending answer, ``used_up=False`` that none
+    is exhausted."""
+    attempts = counted(landing, max_attempts)
+    out = [*ATTEMPT_COLS, "exhausted", "attempts_used"]
+
+    def done(df: DataFrame, exhausted: bool) -> DataFrame:
+        return df.withColumns({"exhausted": F.lit(exhausted), "attempts_used": F.col("attempt")}).select(*out)
+
+    ending = attempts.where("ends").drop("ends")
+    if odd is None and (repeated or used_up):
+        odd = odd_pages(landing, max_attempts)
+
+    def picked(rows: DataFrame, pages: DataFrame) -> DataFrame:
+        """One row of the chosen attempt of each of the pages."""
+        mine = rows.alias("a").join(
+            pages.alias("o"), same("a", "o", PAGE) & (F.col("a.attempt") == F.col("o.chosen")), "inner").select("a.*")
+        order = Window.partitionBy(*PAGE).orderBy(
+            F.col("requested_at").asc_nulls_last(), "status", "error_kind", F.xxhash64("body"), "retry_after")
+        return mine.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+
+    if repeated:
+        odd_ends = odd.where(~F.col("exhausted"))
+        clean = ending.alias("a").join(odd_ends.alias("o"), same("a", "o", PAGE), "left_anti")
+        parts = [done(clean, False), done(picked(ending, odd_ends), False)]
+    else:
+        parts = [done(ending, False)]
+    if used_up:
+        bare = attempts.where(~F.col("ends")).drop("ends").withColumn("body", F.lit(None).cast("string"))
+        parts.append(done(picked(bare, odd.where("exhausted")), True))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def classify_outcomes(resolved: DataFrame) -> DataFrame:
     """Outcome in {ok, logged, silent}, with the logged status code, the text to
     parse as the error body, and requires_admin. Adds ``v`` (the body as VARIANT) for 200s."""
+    resolved = resolved.select("*", F.when(F.col("status") == 200, J.parse("body")).alias("v"))
     dax = is_dax(F.col("operation"))
-    st = F.col("status")
-    kind = F.col("error_kind")
-    v = F.when(st == 200, J.parse("body"))
+    st, kind, v = F.col("status"), F.col("error_kind"), F.col("v")
     not_json = (st == 200) & v.isNull()
     json_null = (st == 200) & v.isNotNull() & F.is_variant_null(v)
     exhausted = F.col("exhausted")
@@ -101,7 +139,6 @@ def classify_outcomes(resolved: DataFrame) -> DataFrame:
     )
     return resolved.select(
         "*",
-        v.alias("v"),
         outcome.alias("outcome"),
         code.alias("http_status_code"),
         error_text.alias("error_text"),
@@ -109,6 +146,19 @@ def classify_outcomes(resolved: DataFrame) -> DataFrame:
     )
 
 
+LIGHT_COLS = ["run_id", "operation", "request_id", "page_no", "workspace_id", "item_id", "item_type", "item_name", "url",
+              "query", "outcome", "http_status_code", "error_text", "requires_admin"]
+
+
+def light_outcomes(resolved: DataFrame, **more: Column) -> DataFrame:
+    """Outcomes without bodies: LIGHT_COLS (``error_text`` of logged outcomes alone) and further
+    columns made from the parsed body ``v``. A body is parsed once; nothing filters on what came of
+    it, as a filter would be pushed below the parse and repeat it."""
+    text = F.when(F.col("outcome") == "logged", F.col("error_text")).alias("error_text")
+    return classify_outcomes(resolved).select(
+        *[text if c == "error_text" else F.col(c) for c in LIGHT_COLS], *[c.alias(n) for n, c in more.items()])
+
+
 def parse_error_text(text: Column) -> tuple[Column, Column]:
     """(error_code, error_message) from an error body. A JSON object with an ``error``
     object gives its code (default "") and message (default: the raw text); anything else
@@ -145,14 +195,10 @@ def error_rows(outcomes: DataFrame, run_ts: Column) -> DataFrame:
 
 
 def rate_limit_waits(landing: DataFrame, max_attempts: int = K.MAX_ATTEMPTS) -> DataFrame:
-    """Per operation, the 429 answers inside the attempt budget and the seconds waited."""
-    return (
-        landing.where(
-            (F.col("status") == 429) & ~is_dax(F.col("operation")) & (F.col("attempt") <= max_attempts)
-        )
-        .groupBy("operation")
-        .agg(
-            F.count(F.lit(1)).alias("waits"),
-            F.sum(F.coalesce("retry_after", F.lit(K.DEFAULT_RETRY_AFTER_S))).cast("long").alias("wait_seconds"),
-        )
-    )
+    """Per operation, the 429 answers inside the attempt budget and the seconds waited; an
+    attempt captured more than once counts once."""
+    waited = landing.where(
+        (F.col("status") == 429) & ~is_dax(F.col("operation")) & (F.col("attempt") <= max_attempts)
+    ).groupBy(*PAGE, "attempt").agg(F.max(F.coalesce("retry_after", F.lit(K.DEFAULT_RETRY_AFTER_S))).alias("seconds"))
+    return waited.groupBy("operation").agg(
+        F.count(F.lit(1)).alias("waits"), F.sum("seconds").cast("long").alias("wait_seconds"))

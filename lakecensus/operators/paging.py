@@ -3,17 +3,19 @@
 Page stitching keeps, per request, the contiguous prefix of pages that the extractor would have
 read: it stops at the first page without a body (earlier pages are kept) and after the first
 page without a continuation link. Clean chains -- almost all of them -- pass through a filter
-untouched; only "dirty" requests (a failed page, a page after the end, a gap) are cut. Their
-cut points come from one small aggregate, written once per capture to the shared checkpoint
-folder (its size measured while writing) and broadcast only when
-its measured size is under the session's broadcast threshold; above it, the same anti join runs
-as a shuffle join.
+untouched; only "dirty" requests (a failed page, a page after the end, a gap) are cut.
+
+What several tables need is staged once a run, without bodies: the odd pages of attempt
+resolution, the light outcomes of each operation (one parse of its bodies), and the chain cuts
+made from them. Small staged tables are broadcast when their measured size is under the session's
+broadcast threshold; above it the same joins run by a shuffle. Tables read their elements straight
+from the resolved bodies, one parse each.
 """
 
 from __future__ import annotations
 
 import uuid
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 from lakecensus.functions import constants as K
 from lakecensus.functions import jsonx as J
 from lakecensus.functions.scalars import stable_id
-from lakecensus.operators.outcomes import classify_outcomes, resolve_attempts
-from lakecensus.session import ensure_checkpoint_dir
+from lakecensus.operators.outcomes import classify_outcomes, light_outcomes, odd_pages, resolve_attempts, same
+from lakecensus.session import Staging
 
 # Bytes of (request_id, cut) that may be shipped to every executor; None -> the session's
 # spark.sql.autoBroadcastJoinThreshold (10 MB by default).
@@ -40,6 +42,7 @@ def _broadcast_limit(spark) -> int:
     return int(raw)
 
 CONTEXT = ["run_id", "operation", "request_id", "workspace_id", "item_id", "item_type", "item_name"]
+CHAIN = ["run_id", "operation", "request_id"]
 
 
 def has_next_link(v: Column) -> Column:
@@ -47,21 +50,16 @@ def has_next_link(v: Column) -> Column:
     return J.truthy(v, "$.nextLink") | J.truthy(v, '$["@odata.nextLink"]')
 
 
-def light_pages(outcomes: DataFrame) -> DataFrame:
-    """(request_id, page_no, ok, has_next) of the pages of paged endpoints; bodies are parsed
-    for the link but never shuffled."""
-    return outcomes.where(F.col("operation").isin(*K.PAGED_OPERATIONS)).select(
-        "request_id",
-        "page_no",
-        (F.col("outcome") == "ok").alias("ok"),
-        F.coalesce(has_next_link(F.col("v")), F.lit(False)).alias("has_next"),
-    )
+def light_pages(light: DataFrame) -> DataFrame:
+    """(CHAIN, page_no, ok, has_next) of the pages of paged endpoints."""
+    return light.where(F.col("operation").isin(*K.PAGED_OPERATIONS)).select(
+        *CHAIN, "page_no", (F.col("outcome") == "ok").alias("ok"), F.coalesce("has_next", F.lit(False)).alias("has_next"))
 
 
 def chain_summary(pages: DataFrame) -> DataFrame:
     """One row per request: first failed page, first page without a link, lowest and highest
     page, page count (partial aggregation: a request with millions of pages is no hot spot)."""
-    return pages.groupBy("request_id").agg(
+    return pages.groupBy(*CHAIN).agg(
         F.min(F.when(~F.col("ok"), F.col("page_no"))).alias("first_bad"),
         F.min(F.when(F.col("ok") & ~F.col("has_next"), F.col("page_no"))).alias("first_end"),
         F.min("page_no").alias("lo"),
@@ -72,119 +70,192 @@ def chain_summary(pages: DataFrame) -> DataFrame:
 
 def gapped(summary: DataFrame) -> DataFrame:
     """Requests whose page numbers are not exactly 0..hi."""
-    return summary.where((F.col("lo") != 0) | (F.col("n") != F.col("hi") + 1)).select("request_id", "lo")
+    return summary.where((F.col("lo") != 0) | (F.col("n") != F.col("hi") + 1)).select(*CHAIN, "lo")
 
 
 def gap_holes(pages: DataFrame, gaps: DataFrame) -> DataFrame:
-    """(request_id, first_missing) for gapped requests: page p present and p + 1 absent."""
-    keys = pages.select("request_id", "page_no").join(gaps.select("request_id"), "request_id", "left_semi")
-    nxt = keys.select("request_id", (F.col("page_no") - 1).alias("page_no"))
+    """(CHAIN, first_missing) for gapped requests: page p present and p + 1 absent."""
+    keys = pages.select(*CHAIN, "page_no").join(gaps.select(*CHAIN), CHAIN, "left_semi")
+    nxt = keys.select(*CHAIN, (F.col("page_no") - 1).alias("page_no"))
     holes = (
-        keys.join(nxt, ["request_id", "page_no"], "left_anti")
-        .groupBy("request_id")
+        keys.join(nxt, [*CHAIN, "page_no"], "left_anti")
+        .groupBy(*CHAIN)
         .agg((F.min("page_no") + 1).alias("first_missing"))
     )
-    return gaps.join(holes, "request_id", "left").select(
-        "request_id", F.when(F.col("lo") != 0, F.lit(0)).otherwise(F.col("first_missing")).alias("first_missing")
+    return gaps.join(holes, CHAIN, "left").select(
+        *CHAIN, F.when(F.col("lo") != 0, F.lit(0)).otherwise(F.col("first_missing")).alias("first_missing")
     )
 
 
 def cuts_from(summary: DataFrame, holes: DataFrame | None = None) -> DataFrame:
-    """(request_id, cut) for the requests whose chain must be cut; cut = last page kept (-1 = none)."""
-    s = summary if holes is None else summary.join(holes, "request_id", "left")
+    """(CHAIN, cut) for the requests whose chain must be cut; cut = last page kept (-1 = none)."""
+    s = summary if holes is None else summary.join(holes, CHAIN, "left")
     missing = F.col("first_missing") if holes is not None else F.lit(None).cast("long")
     cut = F.least(
         F.coalesce(F.col("first_bad") - 1, F.col("hi")),
         F.coalesce(F.col("first_end"), F.col("hi")),
         F.coalesce(missing - 1, F.col("hi")),
     )
-    return s.select("request_id", "hi", cut.alias("cut")).where(F.col("cut") < F.col("hi")).select("request_id", "cut")
+    return s.select(*CHAIN, "hi", cut.alias("cut")).where(F.col("cut") < F.col("hi")).select(*CHAIN, "cut")
 
 
-def chain_cuts(outcomes: DataFrame) -> DataFrame:
+def chain_cuts(light: DataFrame) -> DataFrame:
     """All of the above as one plan (for reports over small captures; ``Capture`` stages it)."""
-    pages = light_pages(outcomes)
+    pages = light_pages(light)
     summary = chain_summary(pages)
     return cuts_from(summary, gap_holes(pages, gapped(summary)))
 
 
+def chain_audit(cap: "Capture", operation: str) -> DataFrame:
+    """Per chain of an operation, pages captured and read, and whether a failed page ended it."""
+    out = cap.light(operation)
+    cuts = chain_cuts(out)
+    summary = out.groupBy(*CHAIN).agg(
+        F.count(F.lit(1)).alias("pages_captured"),
+        F.min(F.when(F.col("outcome") != "ok", F.col("page_no"))).alias("_bad"),
+    )
+    kept = out.join(cuts, CHAIN, "left").where((F.col("outcome") == "ok") & (F.col("cut").isNull() | (F.col("page_no") <= F.col("cut"))))
+    read = kept.groupBy(*CHAIN).agg(F.count(F.lit(1)).alias("pages_read"))
+    by_error = (F.col("_bad") - 1) == F.coalesce(F.col("cut"), F.col("_bad") - 1)
+    return summary.join(cuts, CHAIN, "left").join(read, CHAIN, "left").select(
+        *CHAIN, "pages_captured", F.coalesce("pages_read", F.lit(0)).alias("pages_read"),
+        F.coalesce(by_error, F.lit(False)).alias("ended_by_error"))
+
+
 class Capture:
-    """All responses of one extraction run, resolved and ready to be read per endpoint."""
+    """The responses of a landing, resolved and ready to be read per endpoint. ``run_id`` reads
+    one run of a landing that holds several."""
 
-    def __init__(self, landing: DataFrame, run_ts: Column | str, max_attempts: int = K.MAX_ATTEMPTS):
-        self.landing = landing
+    def __init__(self, landing: DataFrame, run_ts: Column | str, max_attempts: int = K.MAX_ATTEMPTS,
+                 run_id: str | None = None):
+        self.landing = landing if run_id is None else landing.where(F.col("run_id") == run_id)
         self.spark = landing.sparkSession
         self.run_ts = F.lit(run_ts).cast("timestamp") if isinstance(run_ts, str) else run_ts
         self.max_attempts = max_attempts
+        self._light: dict[str | None, DataFrame] = {}
+        self._cut_cache: dict[str, DataFrame | None] = {}
+
+    @cached_property
+    def staging(self) -> Staging:
+        return Staging(self.spark)
+
+    def _sized(self, table: DataFrame, size: int | None) -> DataFrame:
+        return F.broadcast(table) if (size or 0) <= _broadcast_limit(self.spark) else table
+
+    @cached_property
+    def _odd(self) -> tuple[DataFrame, dict, dict]:
+        """The odd pages, staged and measured; of which kinds there are any; the runs of the landing."""
+        runs = Observation(f"runs_{uuid.uuid4().hex}")
+        seen = self.landing.observe(runs, F.min("run_id").alias("first"), F.max("run_id").alias("last"))
+        odd, size = self.staging.put(
+            "odd", odd_pages(seen, self.max_attempts), rows=F.count(F.lit(1)), used_up=F.count_if("exhausted"),
+            bytes=F.sum(F.length("request_id") + F.coalesce(F.length("run_id"), F.lit(0)) + 40))
+        kinds = {"repeated": size["rows"] > size["used_up"], "used_up": size["used_up"] > 0}
+        return self._sized(odd, size["bytes"]), kinds, runs.get
+
+    def one_run(self) -> "Capture":
+        """Refuse a landing of several runs: the tables of a run can't be told apart in it."""
+        runs = self._odd[2]
+        if runs["first"] != runs["last"]:
+            raise ValueError(f"the landing holds runs {runs['first']!r} to {runs['last']!r}: choose one with run_id")
+        return self
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return resolve_attempts(self.landing, self.max_attempts)
+        odd, kinds, _ = self._odd
+        return resolve_attempts(self.landing, self.max_attempts, odd, **kinds)
 
     @cached_property
     def outcomes(self) -> DataFrame:
-        """One row per (request, page) with outcome ok / logged / silent."""
+        """One row per page with outcome ok / logged / silent, and the body."""
         return classify_outcomes(self.resolved)
 
+    def light(self, *operations: str) -> DataFrame:
+        """Outcomes without bodies (LIGHT_COLS, ``has_next``) of the operations, or of all: staged,
+        each operation once a run."""
+        next_link = F.when(F.col("operation").isin(*K.PAGED_OPERATIONS), has_next_link(F.col("v")))
+        known = [op for op in self._light if op is not None]
+        if operations:
+            missing = [op for op in dict.fromkeys(operations) if op not in self._light and None not in self._light]
+            rows = self.resolved.where(F.col("operation").isin(*missing)) if missing else None
+        else:
+            missing = [] if None in self._light else [None]
+            rows = self.resolved.where(~F.coalesce(F.col("operation").isin(*known), F.lit(False))) if known else self.resolved
+        if missing:
+            table, _ = self.staging.put("light", light_outcomes(rows, has_next=next_link))
+            for op in missing:
+                self._light[op] = table
+        tables = {id(t): t for op, t in self._light.items() if not operations or op in operations or op is None}
+        every = reduce(DataFrame.unionByName, tables.values())
+        return every.where(F.col("operation").isin(*operations)) if operations else every
+
     def warm(self, operations=K.PAGED_OPERATIONS) -> "Capture":
-        """Compute the chain cuts of several paged endpoints in one job (one scan of their
-        pages), so that a plan reading several listings pays for one checkpoint, not one each."""
-        cache = self.__dict__.setdefault("_cut_cache", {})
-        missing = tuple(op for op in dict.fromkeys(operations) if op in K.PAGED_OPERATIONS and op not in cache)
+        """Compute the chain cuts of several paged endpoints in one job, so that a plan reading
+        several listings pays for one pass, not one each."""
+        missing = [op for op in dict.fromkeys(operations) if op in K.PAGED_OPERATIONS and op not in self._cut_cache]
         if missing:
-            root = ensure_checkpoint_dir(self.spark).rstrip("/")
-            tag = uuid.uuid4().hex
-            pages = light_pages(self.outcomes.where(F.col("operation").isin(*missing)))
-            # the one pass over the pages: a per-request summary, written to the shared folder
-            chain_summary(pages).write.parquet(f"{root}/lakecensus-chains-{tag}")
-            summary = self.spark.read.parquet(f"{root}/lakecensus-chains-{tag}")
-            gaps = gapped(summary)
-            holes = None if gaps.isEmpty() else gap_holes(pages, gaps)  # gaps are rare
-            # write the cut set (cutting lineage) and measure its size while writing
-            obs = Observation(f"cuts_{tag}")
-            cuts_from(summary, holes).observe(obs, F.sum(F.length("request_id") + 16).alias("bytes")).write.parquet(
-                f"{root}/lakecensus-cuts-{tag}")
-            cuts = self.spark.read.parquet(f"{root}/lakecensus-cuts-{tag}")
-            size = obs.get["bytes"] or 0
-            frame = F.broadcast(cuts) if size <= _broadcast_limit(self.spark) else cuts
+            pages = light_pages(self.light(*missing))
+            # one row per request that isn't plainly 0..hi, all of them read, ending at hi
+            plain = ((F.col("lo") == 0) & (F.col("n") == F.col("hi") + 1) & F.col("first_bad").isNull()
+                     & (F.coalesce("first_end", "hi") == F.col("hi")))
+            odd, n = self.staging.put("chains", chain_summary(pages).where(~plain), rows=F.count(F.lit(1)),
+                                      gaps=F.count_if((F.col("lo") != 0) | (F.col("n") != F.col("hi") + 1)))
+            cuts = None
+            if n["rows"]:
+                holes = gap_holes(pages, gapped(odd)) if n["gaps"] else None
+                cuts, size = self.staging.put("cuts", cuts_from(odd, holes), rows=F.count(F.lit(1)),
+                                              bytes=F.sum(F.length("request_id") + F.coalesce(F.length("run_id"), F.lit(0)) + 40))
+                cuts = self._sized(cuts, size["bytes"]) if size["rows"] else None
             for op in missing:
-                cache[op] = frame
+                self._cut_cache[op] = cuts
         return self
 
-    def _cuts_for(self, operation: str) -> DataFrame:
-        self.warm((operation,))
-        return self._cut_cache[operation]
-
-    def pages(self, operation: str, paged: bool | None = None) -> DataFrame:
-        """OK pages of one endpoint, after stitching; ``v`` is the parsed body."""
+    def bodies(self, operation: str, paged: bool | None = None) -> DataFrame:
+        """Resolved rows of one endpoint with an answer that was read (200), after stitching. The
+        body may still be no JSON: then it has no elements and no object."""
         if paged is None:
             paged = operation in K.PAGED_OPERATIONS
-        ok = self.outcomes.where((F.col("operation") == operation) & (F.col("outcome") == "ok"))
+        kind = F.coalesce(F.col("error_kind"), F.lit(""))
+        dax = operation in K.DAX_OPERATIONS
+        ok = self.resolved.where(
+            (F.col("operation") == operation) & (F.col("status") == 200) & ~F.col("exhausted")
+            & ~kind.isin("exception", *(["timeout"] if dax else [])))
         if not paged:
             return ok.where(F.col("page_no") == 0)
-        cuts = self._cuts_for(operation).select(F.col("request_id").alias("_cut_req"), F.col("cut").alias("_cut"))
-        return ok.join(
-            cuts,
-            (F.col("request_id") == F.col("_cut_req")) & (F.col("page_no") > F.col("_cut")),
-            "left_anti",
-        )
+        self.warm((operation,))
+        cuts = self._cut_cache[operation]
+        if cuts is None:
+            return ok
+        return ok.alias("p").join(
+            cuts.alias("c"), same("p", "c", CHAIN) & (F.col("p.page_no") > F.col("c.cut")), "left_anti")
+
+    def pages(self, operation: str, paged: bool | None = None) -> DataFrame:
+        """OK pages of one endpoint, after stitching; ``v`` is the parsed body."""
+        v = F.filter(F.array(J.parse("body")), lambda x: x.isNotNull() & ~F.is_variant_null(x))
+        return self.bodies(operation, paged).select("*", F.explode(v).alias("v"))
 
     def elements(self, operation: str, value_key: str = "value", paged: bool | None = None) -> DataFrame:
         """One row per element of the page array, with request context, page_no, pos,
-        a stable element id (``eid``) and the element ``e`` as VARIANT."""
-        pages = self.pages(operation, paged)
+        a stable element id (``eid``) and the element ``e`` as VARIANT. One parse a body: what is
+        no JSON, or null, has no elements, so nothing needs to be filtered before."""
         path = "$." + value_key if value_key.isidentifier() else f'$["{value_key}"]'
-        exploded = pages.select(
-            *CONTEXT, "page_no", F.posexplode(J.vget("v", path, "array<variant>")).alias("pos", "e")
-        )
+        exploded = self.bodies(operation, paged).select(
+            *CONTEXT, "page_no", F.posexplode(J.vget(J.parse("body"), path, "array<variant>")).alias("pos", "e"))
         return exploded.withColumn(
-            "eid", stable_id(F.col("run_id"), F.col("request_id"), F.col("page_no"), F.col("pos"))
-        )
+            "eid", stable_id(F.col("run_id"), F.col("request_id"), F.col("page_no"), F.col("pos")))
 
     def objects(self, operation: str) -> DataFrame:
         """Single-object endpoints: the body itself as ``e`` (one row per request)."""
         return self.pages(operation, paged=False).select(*CONTEXT, "page_no", F.col("v").alias("e"))
 
     def outcomes_of(self, operation: str) -> DataFrame:
-        """Page-0 outcome per request (for left joins that need to know 'no body')."""
-        return self.outcomes.where((F.col("operation") == operation) & (F.col("page_no") == 0))
+        """Page-0 light outcome per request (for joins that need to know 'no body')."""
+        return self.light(operation).where(F.col("page_no") == 0)
+
+    def clean(self) -> None:
+        """Delete what the run has staged, once its results are written."""
+        self.staging.clean()
+        self._light.clear()
+        self._cut_cache.clear()
+        for name in ("staging", "_odd", "resolved", "outcomes"):
+            self.__dict__.pop(name, None)

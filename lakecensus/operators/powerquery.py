@@ -21,9 +21,10 @@ def dax_rows(cap: Capture, operation: str) -> DataFrame:
     one row per result row, keys normalised ('[T].[C]' -> 'C'; a later duplicate wins).
 
     Columns: request context, ``model_id`` (= item_id), ``row_pos``, ``r`` (map<string,variant>).
-    The body is parsed with a schema of maps (not VARIANT) to keep the key order of each row.
+    The body is parsed with a schema of maps (not VARIANT) to keep the key order of each row; a body
+    that is no JSON has no rows, so its outcome isn't asked for.
     """
-    ok = cap.outcomes_of(operation).where(F.col("outcome") == "ok")
+    ok = cap.bodies(operation)
     parsed = F.from_json(F.col("body"), DAX_RESULT)
     rows = F.try_element_at(F.try_element_at(parsed["results"], F.lit(1))["tables"], F.lit(1))["rows"]
     return ok.select(
@@ -78,8 +79,11 @@ def power_queries(cap: Capture, ordered_models: DataFrame) -> DataFrame:
     """One row per named partition of every viable model whose two DAX calls succeeded,
     provided the probe passed."""
     viable = viable_models(ordered_models).select("workspace_id", "model_id", "model_name")
-    ok_tables = cap.outcomes_of(K.OP_DAX_TABLES).where(F.col("outcome") == "ok").select("workspace_id", F.col("item_id").alias("model_id"))
-    ok_parts = cap.outcomes_of(K.OP_DAX_PARTITIONS).where(F.col("outcome") == "ok").select("workspace_id", F.col("item_id").alias("model_id"))
+    ok = cap.light(K.OP_DAX_TABLES, K.OP_DAX_PARTITIONS, K.OP_DAX_PROBE).where(
+        (F.col("page_no") == 0) & (F.col("outcome") == "ok"))
+    ok_tables, ok_parts = (
+        ok.where(F.col("operation") == op).select("workspace_id", F.col("item_id").alias("model_id"))
+        for op in (K.OP_DAX_TABLES, K.OP_DAX_PARTITIONS))
     served = (
         viable.join(ok_tables, ["workspace_id", "model_id"], "left_semi")
         .join(ok_parts, ["workspace_id", "model_id"], "left_semi")  # J11

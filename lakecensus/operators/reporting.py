@@ -107,12 +107,21 @@ def uncovered_requests(planned: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Planned requests whose first page gave no body -- logged, silent, or never
     captured -- with the reason."""
     first = outcomes.where(F.col("page_no") == 0).select("request_id", "outcome", "http_status_code")
-    return (
-        planned.join(first.where(F.col("outcome") == "ok"), "request_id", "left_anti")
-        .join(first, "request_id", "left")
-        .select(
-            "request_id", "operation", "workspace_id", "item_id",
-            F.coalesce("outcome", F.lit("missing")).alias("reason"),
-            F.col("http_status_code"),
-        )
-    )
+    reason = F.coalesce(F.col("outcome"), F.lit("missing"))
+    return planned.join(first, "request_id", "left").where(reason != "ok").select(
+        "request_id", "operation", "workspace_id", "item_id", reason.alias("reason"), "http_status_code")
+
+
+def find_item(items: DataFrame, workspaces: DataFrame, name: str) -> DataFrame:
+    """the first item, in listing order, whose display name is exactly ``name`` (no row if none)."""
+    order = workspaces.select("workspace_id", F.struct("_page", "_pos").alias("_ws"))
+    return (items.where(F.col("item_name") == name).join(order, "workspace_id")
+            .orderBy("_ws", "_page", "_pos").limit(1).select("item_id", "workspace_id", "item_name", "item_type"))
+
+
+def model_names(reports: DataFrame, ordered_models: DataFrame) -> DataFrame:
+    """Each report's model and its name (a later listing row wins; "" for unknown ids)."""
+    names = ordered_models.groupBy("model_id").agg(
+        F.max_by("model_name", F.struct("_ws_order", "_page", "_pos")).alias("model_name"))
+    return reports.select("report_id", F.col("linked_model_id").alias("model_id")).join(names, "model_id", "left").select(
+        "report_id", "model_id", F.coalesce("model_name", F.lit("")).alias("model_name"))

@@ -6,7 +6,6 @@ write order (access errors last).
 
 from __future__ import annotations
 
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -22,7 +21,6 @@ from lakecensus.operators import refresh as R
 from lakecensus.operators import reporting as E
 from lakecensus.operators.outcomes import error_rows
 from lakecensus.operators.paging import Capture
-from lakecensus.session import ensure_checkpoint_dir
 from lakecensus.sources.schemas import OUTPUTS, conform
 from lakecensus.sources.sink import write_tables
 
@@ -40,16 +38,15 @@ class Inventory:
     def __init__(self, capture: Capture, scope: str = "all", current_workspace_id: str | None = None,
                  preflight: bool = True, case_insensitive_shortcuts: bool = False, stage: bool = True):
         if scope not in SCOPES:
-            raise ValueError(f"Invalid scope {scope!r}. Must be 'current' (testing) or 'all' (production).")
+            raise ValueError(f"scope {scope!r} is not one of {', '.join(SCOPES)}")
         if scope == "current" and not current_workspace_id:
             raise ValueError("scope='current' needs current_workspace_id")
-        self.cap = capture
+        self.cap = capture.one_run()
         self.scope = scope
         self.current = current_workspace_id
         self.preflight = preflight
         self.case_insensitive_shortcuts = case_insensitive_shortcuts
         self.stage = stage
-        self._run = uuid.uuid4().hex
 
     def _staged(self, name: str, df: DataFrame) -> DataFrame:
         """Write an entity table that several later tables read (workspaces, items, models,
@@ -58,10 +55,7 @@ class Inventory:
         its real size) instead of re-parsing the landing, and the lineage is cut."""
         if not self.stage:
             return df
-        spark = self.cap.spark
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakecensus-stage-{self._run}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return self.cap.staging.put(name, df)[0]
 
     def _together(self, *names: str) -> None:
         """Stage entity tables that don't depend on each other at the same time: each is a small
@@ -147,7 +141,7 @@ class Inventory:
 
     @cached_property
     def errors(self) -> DataFrame:
-        raw = error_rows(self.cap.outcomes, self.cap.run_ts)
+        raw = error_rows(self.cap.light(), self.cap.run_ts)
         if self.scope == "current":
             raw = raw.where(F.col("workspace_id").isin(self.current, ""))
         return E.errors_enriched(raw, self.workspaces)

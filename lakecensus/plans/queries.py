@@ -20,7 +20,7 @@ from lakecensus.operators import outcomes as O
 from lakecensus.operators import planning as P
 from lakecensus.operators import powerquery as Q
 from lakecensus.operators import reporting as E
-from lakecensus.operators.paging import Capture, chain_cuts
+from lakecensus.operators.paging import Capture, chain_audit
 from lakecensus.plans.pipeline import Inventory
 from lakecensus.session import configure
 from lakecensus.sources import fixtures as X
@@ -94,12 +94,12 @@ def q_resolve_attempts(spark, sf_dir):
 
 def q_classify_outcomes(spark, sf_dir):
     cap = capture(spark, sf_dir, "attempts")
-    return cap.outcomes.select("request_id", "page_no", "outcome", "http_status_code", "requires_admin")
+    return cap.light().select("request_id", "page_no", "outcome", "http_status_code", "requires_admin")
 
 
 def q_error_rows(spark, sf_dir):
     cap = capture(spark, sf_dir, "attempts")
-    return for_compare(conform(O.error_rows(cap.outcomes, cap.run_ts), OUTPUTS["meta_access_errors"]))
+    return for_compare(conform(O.error_rows(cap.light(), cap.run_ts), OUTPUTS["meta_access_errors"]))
 
 
 def q_rate_limit_waits(spark, sf_dir):
@@ -116,22 +116,7 @@ def q_stitch_pages(spark, sf_dir):
 
 def q_page_chain_audit(spark, sf_dir):
     """Per chain, pages captured and read, and whether a failed page ended it."""
-    cap = capture(spark, sf_dir, "chains")
-    out = cap.outcomes.where(F.col("operation") == K.OP_LIST_LAKEHOUSES)
-    cuts = chain_cuts(out)
-    read = cap.pages(K.OP_LIST_LAKEHOUSES).groupBy("request_id").agg(F.count(F.lit(1)).alias("pages_read"))
-    summary = out.groupBy("request_id").agg(
-        F.count(F.lit(1)).alias("pages_captured"),
-        F.min(F.when(F.col("outcome") != "ok", F.col("page_no"))).alias("_bad"),
-    )
-    return (
-        summary.join(cuts, "request_id", "left").join(read, "request_id", "left")
-        .select(
-            "request_id", "pages_captured",
-            F.coalesce("pages_read", F.lit(0)).alias("pages_read"),
-            F.coalesce((F.col("_bad") - 1) == F.coalesce(F.col("cut"), F.col("_bad") - 1), F.lit(False)).alias("ended_by_error"),
-        )
-    )
+    return chain_audit(capture(spark, sf_dir, "chains"), K.OP_LIST_LAKEHOUSES).drop("run_id", "operation")
 
 
 def q_errors_admin(spark, sf_dir):
@@ -157,7 +142,7 @@ def q_run_summary(spark, sf_dir):
 
 def q_classify_dax_outcomes(spark, sf_dir):
     cap = capture(spark, sf_dir)
-    out = cap.outcomes.where(O.is_dax(F.col("operation")))
+    out = cap.light(*K.DAX_OPERATIONS)
     return out.select(
         "request_id", "item_id", "outcome", "http_status_code", "requires_admin",
         F.substring(F.concat(F.lit(K.DAX_LABEL_PREFIX), F.col("query")), 1, len(K.DAX_LABEL_PREFIX) + K.DAX_LABEL_CHARS).alias("label"),
@@ -191,7 +176,7 @@ def q_pq_coverage(spark, sf_dir):
 
 def q_ds_coverage(spark, sf_dir):
     inv = inventory(spark, sf_dir)
-    return E.ds_coverage(inv.planned, inv.cap.outcomes, inv.models)
+    return E.ds_coverage(inv.planned, inv.cap.light(K.OP_MODEL_DATASOURCES), inv.models)
 
 
 def q_plan_workspace_requests(spark, sf_dir):
@@ -205,26 +190,17 @@ def q_plan_entity_requests(spark, sf_dir):
 
 def q_uncovered_requests(spark, sf_dir):
     inv = inventory(spark, sf_dir)
-    return E.uncovered_requests(inv.planned, inv.cap.outcomes)
+    return E.uncovered_requests(inv.planned, inv.cap.light())
 
 
 def q_model_name_lookup(spark, sf_dir):
-    """Model id -> name (a later listing row wins); reports keep "" for unknown ids."""
     inv = inventory(spark, sf_dir)
-    names = inv.ordered_models.groupBy("model_id").agg(
-        F.max_by("model_name", F.struct("_ws_order", "_page", "_pos")).alias("model_name"))
-    return inv.reports.select("report_id", F.col("linked_model_id").alias("model_id")).join(names, "model_id", "left").select(
-        "report_id", "model_id", F.coalesce("model_name", F.lit("")).alias("model_name"))
+    return E.model_names(inv.reports, inv.ordered_models)
 
 
 def q_find_item(spark, sf_dir):
-    """the first item (listing order) whose display name is exactly 'red widget'."""
     inv = inventory(spark, sf_dir)
-    ws_order = inv.workspaces.select("workspace_id", F.struct("_page", "_pos").alias("_ws"))
-    return (
-        inv.items.where(F.col("item_name") == "red widget").join(ws_order, "workspace_id")
-        .orderBy("_ws", "_page", "_pos").limit(1).select("item_id", "workspace_id", "item_name", "item_type")
-    )
+    return E.find_item(inv.items, inv.workspaces, "red widget")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -31,7 +31,7 @@ def test_query_matches_oracle(results, name):
 
 def test_invariants(spark):
     inv = QM.inventory(spark, SF)
-    out = inv.cap.outcomes
+    out = inv.cap.light()
     # one outcome per (request, page), and exactly one of ok / logged / silent
     assert out.count() == out.select("request_id", "page_no").distinct().count()
     assert {r[0] for r in out.select("outcome").distinct().collect()} <= {"ok", "logged", "silent"}

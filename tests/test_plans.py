@@ -4,7 +4,7 @@ import contextlib
 import io
 import re
 
-from lakecensus.operators.outcomes import resolve_attempts
+from lakecensus.operators.outcomes import light_outcomes, odd_pages, resolve_attempts
 from lakecensus.plans import queries as QM
 
 SF = "/root/testdata/sf0.001"
@@ -24,12 +24,28 @@ def test_landing_scan_prunes_operation_partitions(spark):
     assert "ReadSchema: struct<request_id:string,body:string>" in plan
 
 
-def test_attempt_resolution_shuffles_only_retried_pages(spark):
-    landing = QM.fixture(spark, SF).stored("attempts")
-    plan = plan_of(resolve_attempts(landing))
-    # one exchange: the group-by over pages whose first attempt was retriable
-    exchanges = [ln for ln in plan.splitlines() if re.match(r"^\(\d+\) Exchange", ln)]
-    assert len(exchanges) == 1 and "hashpartitioning(request_id" in plan
+def test_odd_pages_read_and_shuffle_no_body(spark):
+    plan = plan_of(odd_pages(QM.fixture(spark, SF).stored("attempts")))
+    assert "body" not in plan
+    assert len([ln for ln in plan.splitlines() if re.match(r"^\(\d+\) Exchange", ln)]) == 1
+
+
+def test_clean_pages_pass_without_an_exchange(spark):
+    landing = QM.fixture(spark, SF).stored("inventory")
+    assert "Exchange" not in plan_of(resolve_attempts(landing, repeated=False, used_up=False))
+    # pages whose attempts were used up move too, but without bodies and of the operation alone
+    plan = plan_of(QM.capture(spark, SF).resolved.where("operation = 'ListWorkspaceItems'"))
+    scans = re.findall(r"PartitionFilters: \[([^\n]*)\n(?:PushedFilters[^\n]*\n)?ReadSchema: ([^\n]*)", plan)
+    scans = [(filters, schema) for filters, schema in scans if "operation" in filters]
+    assert len(scans) == 2 and all("ListWorkspaceItems" in filters for filters, _ in scans)
+    assert sum("body:string" in schema for _, schema in scans) == 1
+
+
+def test_bodies_are_parsed_once_a_table(spark):
+    elements = QM.capture(spark, SF).elements("ListWorkspaceItems").select("eid", "e")
+    assert plan_of(elements).count("parseJson") == 1
+    light = plan_of(light_outcomes(resolve_attempts(QM.fixture(spark, SF).stored("inventory"), repeated=False, used_up=False)))
+    assert light.count("parseJson") == 1
 
 
 def test_refresh_history_has_no_window(spark):
