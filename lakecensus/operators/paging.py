@@ -153,9 +153,14 @@ class Capture:
         kinds = {"repeated": size["rows"] > size["used_up"], "used_up": size["used_up"] > 0}
         return self._sized(odd, size["bytes"]), kinds, runs.get
 
+    @property
+    def run_ids(self) -> dict:
+        """The first and the last run of the landing, by name."""
+        return self._odd[2]
+
     def one_run(self) -> "Capture":
         """Refuse a landing of several runs: the tables of a run can't be told apart in it."""
-        runs = self._odd[2]
+        runs = self.run_ids
         if runs["first"] != runs["last"]:
             raise ValueError(f"the landing holds runs {runs['first']!r} to {runs['last']!r}: choose one with run_id")
         return self

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakecensus.functions import constants as K
@@ -37,46 +35,47 @@ def errors_admin(errors: DataFrame) -> DataFrame:
     return errors.where(F.col("requires_admin"))
 
 
-def error_counts(errors: DataFrame) -> DataFrame:
+SOURCE_COUNTERS = {"semantic_model_sources": "SemanticModel", "dataflow_gen1_sources": "Dataflow",
+                   "dataflow_gen2_sources": "DataflowGen2", "lakehouse_shortcuts": "Lakehouse"}
+PARTITION_COUNTERS = {"m_partitions": "M", "sql_partitions": "SQL", "dax_partitions": "DAX"}
+
+
+def counters() -> dict[str, dict[str, Column]]:
+    """Aggregates by table, beside its rows (A1, K4), observed while it is written."""
+    return {
+        "meta_datasources": {n: F.count_if(F.col("source_item_type") == t) for n, t in SOURCE_COUNTERS.items()},
+        "meta_power_queries": {n: F.count_if(F.col("partition_type") == t) for n, t in PARTITION_COUNTERS.items()},
+        "meta_access_errors": {"errors_requiring_admin": F.count_if(F.col("requires_admin"))},
+    }
+
+
+def ledger_row(ledger: DataFrame, table: str, names: dict[str, str]) -> DataFrame:
+    """One row of a table's counters in its last run: {counter: column name}."""
+    rows = ledger.where(F.col("table_name") == table)
+    return rows.agg(*[F.max_by(F.when(F.col("metric") == m, F.col("value")), F.when(F.col("metric") == m, F.col("version"))).alias(c)
+                      for m, c in names.items()])
+
+
+def error_counts(ledger: DataFrame) -> DataFrame:
     """A6."""
-    return errors.agg(
-        F.count(F.lit(1)).alias("errors"),
-        F.count_if(F.col("requires_admin")).alias("errors_requiring_admin"),
-    )
+    return ledger_row(ledger, "meta_access_errors", {"rows": "errors", "errors_requiring_admin": "errors_requiring_admin"})
 
 
-def ds_counts(datasources: DataFrame) -> DataFrame:
+def ds_counts(ledger: DataFrame) -> DataFrame:
     """A2: datasources by source type (the run summary's four sub-counts) and in total."""
-    t = F.col("source_item_type")
-    return datasources.agg(
-        F.count(F.lit(1)).alias("datasources"),
-        F.count_if(t == "SemanticModel").alias("semantic_model_sources"),
-        F.count_if(t == "Dataflow").alias("dataflow_gen1_sources"),
-        F.count_if(t == "DataflowGen2").alias("dataflow_gen2_sources"),
-        F.count_if(t == "Lakehouse").alias("lakehouse_shortcuts"),
-    )
+    return ledger_row(ledger, "meta_datasources", {"rows": "datasources", **{n: n for n in SOURCE_COUNTERS}})
 
 
-def pq_counts(power_queries: DataFrame) -> DataFrame:
+def pq_counts(ledger: DataFrame) -> DataFrame:
     """A3: partitions by type (M, SQL, DAX) and in total."""
-    t = F.col("partition_type")
-    return power_queries.agg(
-        F.count(F.lit(1)).alias("partitions"),
-        F.count_if(t == "M").alias("m_partitions"),
-        F.count_if(t == "SQL").alias("sql_partitions"),
-        F.count_if(t == "DAX").alias("dax_partitions"),
-    )
+    return ledger_row(ledger, "meta_power_queries", {"rows": "partitions", **{n: n for n in PARTITION_COUNTERS}})
 
 
-def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """A1: one row per output table with its row count (a single job over a union)."""
-    parts = [df.select(F.lit(name).alias("table_name")) for name, df in tables.items()]
-    counts = reduce(lambda a, b: a.unionByName(b), parts).groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"))
-    spark = next(iter(tables.values())).sparkSession
-    names = spark.createDataFrame([(n, i) for i, n in enumerate(tables)], "table_name string, table_order int")
-    return names.join(counts, "table_name", "left").select(
-        "table_order", "table_name", F.coalesce("rows", F.lit(0)).alias("rows")
-    )
+def run_summary(ledger: DataFrame, tables: list[str]) -> DataFrame:
+    """A1: rows per output table in its last run, as observed when it was written."""
+    order = F.array_position(F.array(*[F.lit(t) for t in tables]), F.col("table_name"))
+    return (ledger.where(F.col("metric") == "rows").groupBy("table_name").agg(F.max_by("value", "version").alias("rows"))
+            .where(order > 0).select((order - 1).cast("int").alias("table_order"), "table_name", "rows"))
 
 
 def run_duration_seconds(started, finished):

@@ -616,3 +616,51 @@ ORACLES["timestamp_forms"] = (
     + " ".join(f"WHEN {i} THEN {sql}" for i, sql in enumerate(_FORMS))
     + " END)::TIMESTAMP AS parsed FROM events")
 ORACLES["column_name_forms"] = "SELECT p_partkey, p_name AS column_name FROM part"
+
+_COUNTERS = {name: {"rows": "count(*)"} for name in _TABLE_SQL}
+_COUNTERS["meta_datasources"] |= {
+    n: f"count(*) FILTER (WHERE source_item_type = '{t}')"
+    for n, t in (("semantic_model_sources", "SemanticModel"), ("dataflow_gen1_sources", "Dataflow"),
+                 ("dataflow_gen2_sources", "DataflowGen2"), ("lakehouse_shortcuts", "Lakehouse"))}
+_COUNTERS["meta_power_queries"] |= {n: f"count(*) FILTER (WHERE partition_type = '{t}')"
+                                    for n, t in (("m_partitions", "M"), ("sql_partitions", "SQL"), ("dax_partitions", "DAX"))}
+_COUNTERS["meta_access_errors"]["errors_requiring_admin"] = "count(*) FILTER (WHERE requires_admin)"
+_LEDGER = [(table, metric, f"(SELECT {agg} FROM ({_TABLE_SQL[table]}))") for table, found in _COUNTERS.items() for metric, agg in found.items()]
+_LEDGER += [("datasource_coverage", m, f"(SELECT {m} FROM ({DS_COVERAGE}))") for m in ("tried", "ok", "failed", "skipped_preflight")]
+_LEDGER += [("power_query_coverage", m, f"(SELECT {m} FROM ({PQ_COVERAGE}))")
+            for m in ("models_total", "models_skipped_preflight", "models_skipped", "models_succeeded", "probe_ok")]
+ORACLES["run_ledger"] = " UNION ALL ".join(
+    f"SELECT 1::BIGINT AS version, {RUN} AS run_id, '{t}' AS table_name, '{m}' AS metric, {sql}::BIGINT AS value" for t, m, sql in _LEDGER)
+
+
+# --- two runs: the tables' SQL over what each run sees --------------------------------------------------
+def _seen(sql: str, run: str) -> str:
+    for table, (where, changed) in X.RUNS[run].items():
+        replaced = f" REPLACE ({', '.join(f'{e} AS {c}' for c, e in changed.items())})" if changed else ""
+        sql = sql.replace(f"FROM {table}", f"FROM (SELECT *{replaced} FROM {table} WHERE {where})")
+    return sql
+
+
+def _of_run(sql: str, run: str) -> str:
+    return _seen(f"SELECT * FROM ({sql}) WHERE workspace_id IN (SELECT 'ws-' || c_custkey FROM customer)", run)
+
+
+_RUN_TABLES = [("meta_workspaces", WORKSPACES, "workspace_id", ""), ("meta_workspace_users", USERS, "workspace_id, display_name", "id, "),
+               ("meta_workspace_items", ITEMS, "item_id", ""), ("meta_semantic_models", MODELS, "model_id", ""),
+               ("meta_reports", REPORTS, "report_id", ""), ("meta_other_assets", OTHER_ASSETS, "asset_id", "")]
+
+
+def _run_changes(table: str, sql: str, key: str, ignore: str) -> str:
+    old, new = (f"(SELECT {key}, t::VARCHAR AS v FROM (SELECT * EXCLUDE ({ignore}extracted_at) FROM ({_of_run(sql, run)})) t)" for run in X.RUNS)
+    return f"""SELECT '{table}' AS table_name, count(*) FILTER (o.v IS NULL) AS added, count(*) FILTER (n.v IS NULL) AS removed,
+      count(*) FILTER (o.v <> n.v) AS changed, count(*) FILTER (o.v = n.v) AS same FROM {old} o FULL JOIN {new} n USING ({key})"""
+
+
+ORACLES["run_changes"] = " UNION ALL ".join(_run_changes(*t) for t in _RUN_TABLES)
+_OLD, _NEW = (f"(SELECT item_id, item_name, t::VARCHAR AS v FROM (SELECT * EXCLUDE (extracted_at) FROM ({_of_run(ITEMS, run)})) t)" for run in X.RUNS)
+_SECOND = f"TIMESTAMP '{X.SECOND_TS}'"
+ORACLES["item_history"] = f"""
+SELECT o.item_id, o.item_name, {TS} AS valid_from, CASE WHEN n.v = o.v THEN NULL ELSE {_SECOND} END AS valid_to
+FROM {_OLD} o LEFT JOIN {_NEW} n USING (item_id)
+UNION ALL
+SELECT n.item_id, n.item_name, {_SECOND}, NULL FROM {_NEW} n LEFT JOIN {_OLD} o USING (item_id) WHERE o.v IS NULL OR o.v <> n.v"""

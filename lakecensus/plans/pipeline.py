@@ -22,7 +22,8 @@ from lakecensus.operators import reporting as E
 from lakecensus.operators.outcomes import error_rows
 from lakecensus.operators.paging import Capture
 from lakecensus.sources.schemas import OUTPUTS, conform
-from lakecensus.sources.sink import write_tables
+from lakecensus.sources.sink import write_table
+from lakecensus.sources.store import Store
 
 SCOPES = ("current", "all")
 
@@ -176,13 +177,31 @@ class Inventory:
         }
         return {name: conform(df, OUTPUTS[name]) for name, df in frames.items()}
 
-    def run_summary(self) -> DataFrame:
-        """A1: rows per output table."""
-        return E.table_counts(self.tables())
+    def coverage(self) -> dict[str, dict[str, int]]:
+        """R4 / R5 as counters, from the staged outcomes and models."""
+        datasources = E.ds_coverage(self.planned, self.cap.light(K.OP_MODEL_DATASOURCES), self.models).first()
+        queries = Q.pq_coverage(self.cap, self.ordered_models).first()
+        return {name: {k: int(v) for k, v in row.asDict().items()}
+                for name, row in (("datasource_coverage", datasources), ("power_query_coverage", queries))}
+
+    def publish(self, store: Store, on_empty: str = "skip") -> dict | None:
+        """Write all tables and counters as the store's next version, together; the commit record.
+        Like the extractor, a run whose workspace list (or current workspace) came back empty stops
+        before writing anything, the error table included (None)."""
+        if self.workspaces.isEmpty():  # a staged, small table: cheap
+            return None
+        run = self.cap.run_ids["first"]
+        return store.publish(self.tables(), run, on_empty, E.counters(), self.coverage())
 
     def write(self, root: str, fmt: str = "parquet", on_empty: str = "skip") -> dict[str, int | None]:
-        """Write all tables. Like the extractor, a run whose workspace list (or current
-        workspace) came back empty stops before writing anything, the error table included."""
-        if self.workspaces.isEmpty():  # a staged, small table: cheap
+        """``publish`` into a store under ``root``; rows written by table (None: kept as it was).
+        ``fmt="delta"`` writes each table in place instead, errors last."""
+        if fmt == "delta":
+            if self.workspaces.isEmpty():
+                return {}
+            return {n: write_table(df, f"{root.rstrip('/')}/{n}", fmt, on_empty) for n, df in self.tables().items()}
+        record = self.publish(Store(self.cap.spark, root), on_empty)
+        if record is None:
             return {}
-        return write_tables(self.tables(), root, fmt, on_empty)
+        return {n: record["metrics"][n]["rows"] if e["version"] == record["version"] else None
+                for n, e in ((n, record["tables"].get(n, {"version": None})) for n in OUTPUTS)}

@@ -7,6 +7,7 @@ Timestamps are returned as TIMESTAMP_NTZ in UTC so that they compare with DuckDB
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql.types import TimestampType
 
 from lakecensus.functions import constants as K
 from lakecensus.functions.scalars import parse_ts, strip_bracket_name
+from lakecensus.operators import changes as C
 from lakecensus.operators import normalize as N
 from lakecensus.operators import outcomes as O
 from lakecensus.operators import planning as P
@@ -22,17 +24,19 @@ from lakecensus.operators import powerquery as Q
 from lakecensus.operators import reporting as E
 from lakecensus.operators.paging import Capture, chain_audit
 from lakecensus.plans.pipeline import Inventory
-from lakecensus.session import configure
+from lakecensus.session import configure, ensure_checkpoint_dir
 from lakecensus.sources import fixtures as X
 from lakecensus.sources.schemas import OUTPUTS, conform
+from lakecensus.sources.store import Store
 
 _FIXTURES: dict[tuple[int, str], X.Fixture] = {}
 _CAPTURES: dict[tuple[int, str, str], Capture] = {}
+_STORES: dict[tuple[int, str], Store] = {}
 _INVENTORIES: dict[tuple[int, str, str], Inventory] = {}
 
 
 def reset() -> None:
-    """Forget resolved captures and staged runs (the stored landing tables are kept)."""
+    """Forget resolved captures and staged runs (stored landings and published runs are kept)."""
     _CAPTURES.clear()
     _INVENTORIES.clear()
 
@@ -124,20 +128,36 @@ def q_errors_admin(spark, sf_dir):
     return for_compare(conform(E.errors_admin(inv.errors), OUTPUTS["meta_access_errors"]))
 
 
+def published(spark: SparkSession, sf_dir: str) -> Store:
+    """The store that a run over the capture was published to; like the landing, it is written
+    once per process, and counts are read from its ledger as a user would, after the run."""
+    key = (id(spark), sf_dir)
+    if key not in _STORES:
+        store = Store(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakecensus-store-{uuid.uuid4().hex}")
+        inventory(spark, sf_dir).publish(store)
+        _STORES[key] = store
+    return _STORES[key]
+
+
 def q_error_counts(spark, sf_dir):
-    return E.error_counts(inventory(spark, sf_dir).errors)
+    return E.error_counts(published(spark, sf_dir).ledger())
 
 
 def q_ds_counts(spark, sf_dir):
-    return E.ds_counts(inventory(spark, sf_dir).datasources)
+    return E.ds_counts(published(spark, sf_dir).ledger())
 
 
 def q_pq_counts(spark, sf_dir):
-    return E.pq_counts(inventory(spark, sf_dir).power_queries)
+    return E.pq_counts(published(spark, sf_dir).ledger())
 
 
 def q_run_summary(spark, sf_dir):
-    return inventory(spark, sf_dir).run_summary()
+    return E.run_summary(published(spark, sf_dir).ledger(), list(OUTPUTS))
+
+
+def q_run_ledger(spark, sf_dir):
+    """Every counter of the run."""
+    return published(spark, sf_dir).ledger()
 
 
 def q_classify_dax_outcomes(spark, sf_dir):
@@ -228,6 +248,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ds_counts": q_ds_counts,
     "pq_counts": q_pq_counts,
     "run_summary": q_run_summary,
+    "run_ledger": q_run_ledger,
     "resolve_attempts": q_resolve_attempts,
     "classify_outcomes": q_classify_outcomes,
     "error_rows": q_error_rows,
@@ -285,18 +306,12 @@ def q_stable_ids(spark, sf_dir):
 
 
 def q_sink_roundtrip(spark, sf_dir):
-    """K1-K4: write all twelve tables (errors last) to a fresh folder, read them back."""
-    import uuid
-
-    from lakecensus.session import ensure_checkpoint_dir
-    from lakecensus.sources.sink import write_tables
-
-    inv = inventory(spark, sf_dir)
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakecensus-sink-{uuid.uuid4().hex}"
-    written = write_tables(inv.tables(), root)
+    """K1-K4: all twelve tables published together, read back through the commit record."""
+    store = published(spark, sf_dir)
     out = None
-    for i, (name, n) in enumerate(written.items()):
-        back = (spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("rows")) if n is not None
+    for i, name in enumerate(OUTPUTS):
+        there = name in store.record()["tables"]
+        back = (store.read(name).agg(F.count(F.lit(1)).alias("rows")) if there
                 else spark.range(1).select(F.lit(0).cast("long").alias("rows")))
         back = back.select(F.lit(i).alias("table_order"), F.lit(name).alias("table_name"), "rows")
         out = back if out is None else out.unionByName(back)
@@ -376,3 +391,36 @@ def q_column_name_forms(spark, sf_dir):
 
 
 QUERIES.update({"timestamp_forms": q_timestamp_forms, "column_name_forms": q_column_name_forms})
+
+
+# --- two runs in one landing ---------------------------------------------------------------------
+RUN_TABLES = {"meta_workspaces": "workspaces", "meta_workspace_users": "users", "meta_workspace_items": "items",
+              "meta_semantic_models": "models", "meta_reports": "reports", "meta_other_assets": "other_assets"}
+
+
+def two_runs(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """The listing tables of both runs of a landing that holds them, by table."""
+    configure(spark)
+    landing = fixture(spark, sf_dir).stored("runs")
+    for run in X.RUNS:
+        if (id(spark), sf_dir, run) not in _INVENTORIES:
+            _INVENTORIES[id(spark), sf_dir, run] = Inventory(Capture(landing, X.RUN_TS, run_id=run))
+    runs = [_INVENTORIES[id(spark), sf_dir, run] for run in X.RUNS]
+    return {t: tuple(conform(getattr(inv, a), OUTPUTS[t]) for inv in runs) for t, a in RUN_TABLES.items()}
+
+
+def q_run_changes(spark, sf_dir):
+    """Keys added, removed, changed and the same from one run of a landing to the next, by table."""
+    return C.difference_counts(two_runs(spark, sf_dir))
+
+
+def q_item_history(spark, sf_dir):
+    """Validity intervals of the items over both runs."""
+    old, new = two_runs(spark, sf_dir)["meta_workspace_items"]
+    key, ignore = C.KEYS["meta_workspace_items"]
+    first, second = (F.lit(t).cast("timestamp") for t in (X.RUN_TS, X.SECOND_TS))
+    history = C.close_intervals(C.close_intervals(None, old, first, key, ignore), new, second, key, ignore)
+    return for_compare(history.select("item_id", "item_name", "valid_from", "valid_to"))
+
+
+QUERIES.update({"run_changes": q_run_changes, "item_history": q_item_history})

@@ -22,6 +22,7 @@ from lakecensus.sources.schemas import LANDING
 
 RUN_ID = "run-0001"
 RUN_TS = "2001-10-01 00:00:00"
+SECOND_TS = "2001-10-08 00:00:00"
 CURRENT_WORKSPACE = "ws-1"
 PAGE_SIZE = 100
 USER_WORKSPACES = 150      # orders spread over ws-0 .. ws-149 (users and reports)
@@ -97,12 +98,33 @@ def _attempt_map_sql() -> str:
     return f"map({', '.join(entries)})"
 
 
+# Two runs over a world that moves between them: rows that a run doesn't see, columns that it sees
+# changed. The texts are SQL that the oracles read too.
+RUNS: dict[str, dict[str, tuple[str, dict[str, str]]]] = {
+    "run-0001": {
+        "customer": ("c_custkey % 8 <> 5", {}),
+        "orders": ("o_orderkey % 11 <> 3", {}),
+        "part": ("p_partkey % 14 <> 9", {}),
+        "supplier": ("s_suppkey % 6 <> 5", {}),
+    },
+    "run-0002": {
+        "customer": ("c_custkey % 9 <> 4", {"c_name": "CASE WHEN c_custkey % 7 = 2 THEN concat(c_name, ' v2') ELSE c_name END"}),
+        "orders": ("o_orderkey % 13 <> 7", {
+            "o_orderpriority": "CASE WHEN o_orderkey % 17 = 5 THEN '1-URGENT' ELSE o_orderpriority END",
+            "o_orderdate": "CASE WHEN o_orderkey % 19 = 6 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END"}),
+        "part": ("p_partkey % 15 <> 2", {"p_name": "CASE WHEN p_partkey % 12 = 1 THEN concat(p_name, ' v2') ELSE p_name END"}),
+        "supplier": ("s_suppkey % 8 <> 3", {"s_name": "CASE WHEN s_suppkey % 9 = 1 THEN concat(s_name, ' v2') ELSE s_name END"}),
+    },
+}
+
+
 class Fixture:
-    """Landing tables derived from the test tables in ``sf_dir``."""
+    """Landing tables derived from the test tables in ``sf_dir``; of one of the RUNS, if named."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, run: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.run_id, self.edits = run or RUN_ID, RUNS.get(run, {})
         self._stored: dict[str, str] = {}
 
     def stored(self, kind: str) -> DataFrame:
@@ -113,13 +135,15 @@ class Fixture:
             root = ensure_checkpoint_dir(self.spark)
             path = f"{root.rstrip('/')}/lakecensus-landing-{uuid.uuid4().hex}/{kind}"
             build = {"inventory": self.inventory_landing, "attempts": self.attempts_landing,
-                     "chains": self.chains_landing}[kind]
+                     "chains": self.chains_landing, "runs": self.runs_landing}[kind]
             build().write.partitionBy("operation").parquet(path)
             self._stored[kind] = path
         return self.spark.read.schema(LANDING).parquet(self._stored[kind]).select(*LANDING.fieldNames())
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        seen, changed = self.edits.get(name, ("true", {}))
+        return df.where(seen).withColumns({c: F.expr(sql).cast(df.schema[c].dataType) for c, sql in changed.items()})
 
     # --- landing assembly ---------------------------------------------------------------
     def _landing(self, pages: DataFrame) -> DataFrame:
@@ -131,7 +155,7 @@ class Fixture:
         rows = pages.select("*", a)
         body = F.when(F.col("a.status") == 200, F.col("body")).otherwise(F.col("a.err_body"))
         return rows.select(
-            F.lit(RUN_ID).alias("run_id"),
+            F.lit(self.run_id).alias("run_id"),
             "operation", "request_id", "workspace_id", "item_id", "item_type", "item_name", "url", "query",
             F.col("page_no").cast("int").alias("page_no"),
             F.col("a.attempt").alias("attempt"),
@@ -659,6 +683,15 @@ class Fixture:
         pages = reduce(DataFrame.unionByName, [p.select(*parts[0].columns) for p in parts])
         return self._typed(self._landing(pages))
 
+    def runs_landing(self) -> DataFrame:
+        """The listings of all RUNS, in one landing."""
+        parts = []
+        for run in RUNS:
+            fx = Fixture(self.spark, self.sf_dir, run)
+            pages = [b() for b in (fx.workspaces, fx.users, fx.items, fx.models, fx.reports)]
+            parts.append(fx._landing(reduce(DataFrame.unionByName, [p.select(*pages[0].columns) for p in pages])))
+        return self._typed(reduce(DataFrame.unionByName, parts))
+
     def attempts_landing(self) -> DataFrame:
         """events -> a log of GET attempts: request = event_id div 3, attempt = event_id % 3 + 1.
         click -> 200 with props as body (every 41st: an html body); view -> 429; purchase ->

@@ -1,52 +1,50 @@
-"""Sinks K1-K4: overwrite each table (schema replaced), skip empty frames by default."""
+"""Single tables in a place of their own (K1, K2, K4), for formats and readers that know no store.
+
+The tables of a run are published together by ``lakecensus.sources.store``.
+"""
 
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lakecensus.session import ensure_checkpoint_dir
-
-WRITERS = 4  # tables written at the same time
+from lakecensus.session import Staging
 
 
 def _write(df: DataFrame, path: str, fmt: str) -> int:
-    obs = Observation(f"rows_{uuid.uuid4().hex}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite").option(
+    seen = Observation(f"rows_{uuid.uuid4().hex}")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite").option(
         "overwriteSchema", "true").save(path)
-    return int(obs.get["rows"])
+    return int(seen.get["rows"])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", on_empty: str = "skip") -> int | None:
-    """K1 / K2 / K4. Returns the rows written (observed during the write, no second pass), or
-    None when the frame was empty and ``on_empty == "skip"`` (the previous table is kept).
+    """Overwrite a table, schema replaced; an empty frame keeps the table unless ``on_empty`` is
+    ``"overwrite"``. Returns the rows written (observed while writing), None when kept.
 
-    With ``skip`` the plan runs once, into an incoming folder under the checkpoint directory;
-    only a non-empty result is then copied over the table, so the old table survives an empty
-    run without computing the plan twice."""
+    Files are written once, beside the table, and moved in its place. Formats with commits of their
+    own (delta) write in place; there the plan is staged first to know whether it is empty."""
     if on_empty not in ("skip", "overwrite"):
-        raise ValueError(f"on_empty must be 'skip' or 'overwrite', not {on_empty!r}")
-    if on_empty == "overwrite":
-        return _write(df, path, fmt)
+        raise ValueError(f"on_empty is {on_empty!r}, not 'skip' or 'overwrite'")
     spark = df.sparkSession
-    incoming = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakecensus-incoming-{uuid.uuid4().hex}"
-    n = _write(df, incoming, "parquet")
-    if n == 0:
+    if fmt == "delta":
+        if on_empty == "skip":
+            df, seen = Staging(spark).put("incoming", df, rows=F.count(F.lit(1)))
+            if not seen["rows"]:
+                return None
+        return _write(df, path, fmt)
+    path = path.rstrip("/")
+    incoming, outgoing = (f"{path}.{what}-{uuid.uuid4().hex}" for what in ("incoming", "outgoing"))
+    n = _write(df, incoming, fmt)
+    new, at, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (incoming, path, outgoing))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if n == 0 and on_empty == "skip":
+        fs.delete(new, True)
         return None
-    return _write(spark.read.parquet(incoming), path, fmt)
-
-
-def write_tables(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", on_empty: str = "skip") -> dict[str, int | None]:
-    """K3: the last table (access errors) is written after all others, which are independent plans:
-    a few are submitted at a time, so that one's last tasks don't leave the cluster idle."""
-    *first, last = tables
-
-    def write(name: str) -> int | None:
-        return write_table(tables[name], f"{root.rstrip('/')}/{name}", fmt, on_empty)
-
-    with ThreadPoolExecutor(WRITERS) as pool:
-        done = dict(zip(first, pool.map(write, first)))
-    return {**done, last: write(last)}
+    if fs.exists(at):
+        fs.rename(at, old)
+    fs.rename(new, at)
+    fs.delete(old, True)
+    return n

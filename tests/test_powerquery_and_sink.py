@@ -1,4 +1,4 @@
-"""DAX rows, gates and fallbacks (N13), and the sink (K1-K4)."""
+"""DAX rows, gates and fallbacks (N13), and single tables (K1, K2, K4)."""
 
 import json
 import tempfile
