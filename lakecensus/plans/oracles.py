@@ -664,3 +664,21 @@ SELECT o.item_id, o.item_name, {TS} AS valid_from, CASE WHEN n.v = o.v THEN NULL
 FROM {_OLD} o LEFT JOIN {_NEW} n USING (item_id)
 UNION ALL
 SELECT n.item_id, n.item_name, {_SECOND}, NULL FROM {_NEW} n LEFT JOIN {_OLD} o USING (item_id) WHERE o.v IS NULL OR o.v <> n.v"""
+
+
+# --- link walks: step by step, with the pages seen so far ---------------------------------------------
+ORACLES["follow_links"] = """
+WITH RECURSIVE p AS (
+  SELECT conv_id AS c, turn AS t, role, text, max(turn) OVER (PARTITION BY conv_id) AS mx FROM conversations),
+pages AS (
+  SELECT c || '/' || t AS url, role, text, NOT (c % 5 = 3 AND t = 2) AS ok,
+    CASE WHEN c % 10 = 7 AND t = 1 THEN 'gone' WHEN c % 6 = 1 AND t = 1 THEN (c - 1) || '/2'
+      WHEN c % 9 = 2 AND t = mx THEN c || '/' || least(1, t) WHEN t < mx THEN c || '/' || (t + 1) END AS next
+  FROM p),
+walk AS (
+  SELECT 'wire|' || conv_id AS request_id, 0 AS page_no, conv_id || '/0' AS url, [conv_id || '/0'] AS seen
+  FROM conversations WHERE turn = 0
+  UNION ALL
+  SELECT request_id, page_no + 1, pages.next, list_append(seen, pages.next) FROM walk JOIN pages USING (url)
+  WHERE pages.ok AND pages.next IS NOT NULL AND NOT list_contains(seen, pages.next))
+SELECT request_id, page_no, role, text FROM walk JOIN pages USING (url) WHERE ok"""

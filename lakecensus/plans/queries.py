@@ -22,6 +22,7 @@ from lakecensus.operators import outcomes as O
 from lakecensus.operators import planning as P
 from lakecensus.operators import powerquery as Q
 from lakecensus.operators import reporting as E
+from lakecensus.operators.links import number_pages
 from lakecensus.operators.paging import Capture, chain_audit
 from lakecensus.plans.pipeline import Inventory
 from lakecensus.session import configure, ensure_checkpoint_dir
@@ -424,3 +425,18 @@ def q_item_history(spark, sf_dir):
 
 
 QUERIES.update({"run_changes": q_run_changes, "item_history": q_item_history})
+
+
+def q_follow_links(spark, sf_dir):
+    """P1 / P2 without page numbers: every element of every walk, with the page's place in it."""
+    configure(spark)
+    fx = fixture(spark, sf_dir)
+    key = (id(spark), sf_dir, "wire")
+    if key not in _CAPTURES:
+        _CAPTURES[key] = Capture(number_pages(fx.stored("wire"), fx.wire_starts()), X.RUN_TS)
+    return _CAPTURES[key].elements(K.OP_LIST_LAKEHOUSES).select(
+        "request_id", "page_no", F.try_variant_get("e", "$.role", "string").alias("role"),
+        F.try_variant_get("e", "$.text", "string").alias("text"))
+
+
+QUERIES["follow_links"] = q_follow_links

@@ -135,7 +135,7 @@ class Fixture:
             root = ensure_checkpoint_dir(self.spark)
             path = f"{root.rstrip('/')}/lakecensus-landing-{uuid.uuid4().hex}/{kind}"
             build = {"inventory": self.inventory_landing, "attempts": self.attempts_landing,
-                     "chains": self.chains_landing, "runs": self.runs_landing}[kind]
+                     "chains": self.chains_landing, "runs": self.runs_landing, "wire": self.wire_landing}[kind]
             build().write.partitionBy("operation").parquet(path)
             self._stored[kind] = path
         return self.spark.read.schema(LANDING).parquet(self._stored[kind]).select(*LANDING.fieldNames())
@@ -770,3 +770,33 @@ class Fixture:
             pattern.alias("pattern"),
         )
         return self._landing(pages).select(*[F.col(f.name).cast(f.dataType) for f in LANDING.fields])
+
+    def wire_landing(self) -> DataFrame:
+        """conversations -> answers as they come off the wire, without page numbers and request ids:
+        page = turn, URL by conversation and turn. Every 6th conversation's second page links to the
+        third of the one before (walks meet), every 9th's last page back to its second (a circle),
+        every 10th's second page to a page that isn't there, and every 5th's third page fails."""
+        cv = self.table("conversations")
+        c, t = F.col("conv_id"), F.col("turn")
+        cv = cv.join(cv.groupBy("conv_id").agg(F.max("turn").alias("mx")), "conv_id")
+        url = lambda conv, turn: F.concat(F.lit("wire/"), conv.cast("string"), F.lit("?page="), turn.cast("string"))
+        to = (F.when((c % 10 == 7) & (t == 1), F.lit("wire/gone"))
+              .when((c % 6 == 1) & (t == 1), url(c - 1, F.lit(2)))
+              .when((c % 9 == 2) & (t == F.col("mx")), url(c, F.least(F.lit(1), t)))
+              .when(t < F.col("mx"), url(c, t + 1)))
+        link = F.when(t % 2 == 0, J.field("nextLink", J.s(to))).otherwise(J.field("@odata.nextLink", J.s(to)))
+        elem = J.obj(J.field("role", J.s(F.col("role"))), J.field("text", J.s(F.col("text"))))
+        body = J.obj(J.field("value", J.arr_of(elem)), F.when(to.isNotNull(), link))
+        pages = cv.select(
+            F.lit(K.OP_LIST_LAKEHOUSES).alias("operation"), F.lit(None).cast("string").alias("request_id"),
+            F.concat(F.lit("ws-"), c % 25).alias("workspace_id"),
+            *[F.lit(None).cast("string").alias(n) for n in ("item_id", "item_type", "item_name")],
+            url(c, t).alias("url"), F.lit(None).cast("string").alias("query"), F.lit(None).cast("int").alias("page_no"),
+            body.alias("body"), F.when((c % 5 == 3) & (t == 2), "server_error").when(t % 3 == 1, "retry429").otherwise("ok").alias("pattern"))
+        return self._typed(self._landing(pages)).orderBy(F.xxhash64("url", "attempt"))
+
+    def wire_starts(self) -> DataFrame:
+        """The first URL of every conversation's request."""
+        return self.table("conversations").where("turn = 0").select(
+            F.lit(K.OP_LIST_LAKEHOUSES).alias("operation"), F.concat(F.lit("wire|"), F.col("conv_id")).alias("request_id"),
+            F.concat(F.lit("wire/"), F.col("conv_id"), F.lit("?page=0")).alias("url"))
