@@ -254,8 +254,7 @@ SELECT e.*, event_id // 3 AS req, (event_id % 3 + 1)::INTEGER AS attempt,
        WHEN event_type = 'signup' THEN {_q(ERR['404'])} END AS body,
   ['{K.OP_LIST_LAKEHOUSES}', '{K.OP_LIST_ITEMS}', '{K.OP_LIST_REPORTS}'][(event_id // 3) % 3 + 1] AS operation,
   'ws-' || (user_id % 25) AS workspace_id
-FROM events e LEFT JOIN (SELECT page_id, html FROM pages WHERE page_id < {X.EVENT_PAGES}) pg
-  ON pg.page_id = e.event_id % {X.EVENT_PAGES}"""
+FROM events e LEFT JOIN pages pg ON pg.page_id = e.event_id % (SELECT count(*) FROM pages)"""
 
 RESOLVED = f"""
 WITH ev AS ({EVENTS}),
@@ -682,3 +681,39 @@ walk AS (
   SELECT request_id, page_no + 1, pages.next, list_append(seen, pages.next) FROM walk JOIN pages USING (url)
   WHERE pages.ok AND pages.next IS NOT NULL AND NOT list_contains(seen, pages.next))
 SELECT request_id, page_no, role, text FROM walk JOIN pages USING (url) WHERE ok"""
+
+
+# --- blocked time: one sweep per operation, and one over all --------------------------------------------
+_WAITS = f"""SELECT operation, epoch_us(ts) AS s, epoch_us(ts) + 1000000 * (trunc(value)::INTEGER % 5) AS e
+FROM ({EVENTS}) WHERE status = 429"""
+ORACLES["blocked_time"] = f"""
+WITH w AS (SELECT operation, s, e FROM ({_WAITS}) UNION ALL SELECT NULL, s, e FROM ({_WAITS})),
+f AS (SELECT *, max(e) OVER (PARTITION BY operation ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM w)
+SELECT {RUN} AS run_id, operation, count(*) AS waits, (sum(e - s) // 1000000)::BIGINT AS wait_seconds,
+  sum(greatest(0, e - greatest(s, coalesce(far, s))))::BIGINT AS blocked_us
+FROM f GROUP BY operation"""
+
+# --- schema drift: kinds of each field by the rules that the listings follow ------------------------------
+_WS_FIELDS = {
+    ("id", "STRING"): "TRUE", ("displayName", "STRING"): "TRUE", ("type", "STRING"): "TRUE", ("state", "STRING"): "TRUE",
+    ("capacityId", "NULL"): "k % 4 = 0", ("capacityId", "STRING"): "k % 4 >= 2",
+    ("description", "NULL"): "k % 6 = 3", ("description", "STRING"): "k % 6 NOT IN (0, 3)"}
+_REFRESHABLE_KIND = "CASE WHEN k % 5 = 0 THEN 'b' WHEN k % 17 = 6 THEN '' WHEN k % 11 = 3 THEN 's' WHEN k % 13 = 4 THEN 'n' ELSE 'b' END"
+_MODEL_FIELDS = {
+    ("id", "STRING"): "TRUE", ("name", "STRING"): "TRUE", ("configuredBy", "NULL"): "k % 4 = 0", ("configuredBy", "STRING"): "k % 4 <> 0",
+    ("targetStorageMode", "STRING"): "k % 7 <> 3", ("isRefreshable", "BOOLEAN"): f"{_REFRESHABLE_KIND} = 'b'",
+    ("isRefreshable", "STRING"): f"{_REFRESHABLE_KIND} = 's'", ("isRefreshable", "NUMBER"): f"{_REFRESHABLE_KIND} = 'n'",
+    ("contentProviderType", "STRING"): "k % 3 < 2", ("createdDate", "STRING"): "TRUE", ("LastRefreshTime", "STRING"): "k % 4 <> 1",
+    ("lastRefreshTime", "STRING"): "k % 4 = 1"}
+
+
+def _drift(op: str, source: str, found: dict) -> str:
+    what = lambda p, k: "unknown" if p == "lastRefreshTime" else "other kind" if p == "isRefreshable" and k in ("STRING", "NUMBER") else "read"
+    return " UNION ALL ".join(
+        f"""SELECT * FROM (SELECT '{op}' AS operation, '{p}' AS path, '{k}' AS kind, count(*) FILTER ({rule}) AS rows,
+          count(*) FILTER ({rule}) / count(*) AS share, '{what(p, k)}' AS finding FROM ({source})) WHERE rows > 0"""
+        for (p, k), rule in found.items())
+
+
+ORACLES["schema_drift"] = (_drift(K.OP_LIST_WORKSPACES, "SELECT c_custkey AS k FROM customer", _WS_FIELDS) + " UNION ALL "
+                           + _drift(K.OP_LIST_DATASETS, "SELECT s_suppkey AS k FROM supplier", _MODEL_FIELDS))

@@ -17,11 +17,13 @@ from pyspark.sql.types import TimestampType
 from lakecensus.functions import constants as K
 from lakecensus.functions.scalars import parse_ts, strip_bracket_name
 from lakecensus.operators import changes as C
+from lakecensus.operators import drift as D
 from lakecensus.operators import normalize as N
 from lakecensus.operators import outcomes as O
 from lakecensus.operators import planning as P
 from lakecensus.operators import powerquery as Q
 from lakecensus.operators import reporting as E
+from lakecensus.operators import waits as W
 from lakecensus.operators.links import number_pages
 from lakecensus.operators.paging import Capture, chain_audit
 from lakecensus.plans.pipeline import Inventory
@@ -440,3 +442,17 @@ def q_follow_links(spark, sf_dir):
 
 
 QUERIES["follow_links"] = q_follow_links
+
+
+def q_blocked_time(spark, sf_dir):
+    """Waits, seconds waited and time blocked, by operation and in all."""
+    cap = capture(spark, sf_dir, "attempts")
+    return W.blocked_time(cap.landing, cap.staging)
+
+
+def q_schema_drift(spark, sf_dir):
+    """Fields of workspaces and models against those that are read; a field of another case is planted."""
+    return D.schema_drift(capture(spark, sf_dir), (K.OP_LIST_WORKSPACES, K.OP_LIST_DATASETS))
+
+
+QUERIES.update({"blocked_time": q_blocked_time, "schema_drift": q_schema_drift})

@@ -29,9 +29,8 @@ USER_WORKSPACES = 150      # orders spread over ws-0 .. ws-149 (users and report
 ITEM_SPREAD = 99           # items outside ws-0 spread over ws-1 .. ws-99
 MODEL_WORKSPACES = 25      # models spread over ws-0 .. ws-24
 DATAFLOW_WORKSPACES = 50   # dataflows spread over ws-0 .. ws-49
-HISTORY_CAPTURED = 100     # rows per refresh-history response
+HISTORY_CAPTURED = 100     # most rows of a refresh-history response (the request asks for 50)
 DOCS_PER_MODEL = 10
-EVENT_PAGES = 50           # html error bodies come from pages 0 .. 49
 
 # Item types, indexed by p_size % 19: the other-asset types, the Gen2 spellings, two more.
 ITEM_TYPES = list(K.OTHER_ASSET_TYPES) + list(K.DATAFLOW_GEN2_TYPES) + ["Report", "SemanticModel"]
@@ -698,10 +697,10 @@ class Fixture:
         timeout; error -> 403 / 500 (props as body); signup -> 404 / 500 with a page's html;
         every 37th event -> a transport exception."""
         ev = self.table("events")
-        html = self.table("pages").where(F.col("page_id") < EVENT_PAGES).select(
-            F.col("page_id").alias("_pid"), F.col("html"))
+        pages = self.table("pages")
+        html = pages.select(F.col("page_id").alias("_pid"), F.col("html"))
         e = F.col("event_id")
-        ev = ev.join(html, (e % EVENT_PAGES) == F.col("_pid"), "left")
+        ev = ev.join(html, (e % pages.count()) == F.col("_pid"), "left")
         t = F.col("event_type")
         exc = e % 37 == 0
         status = (
