@@ -26,9 +26,8 @@ def datasource_row(e: Column, source_type: str, run_ts: Column) -> list[Column]:
     """A datasource record; server falls back to the connection url."""
     return [
         F.coalesce(J.vget(e, "$.datasourceId"), F.col("eid")).alias("datasource_id"),
-        F.col("source_item_id"),
+        F.col("item_id").alias("source_item_id"),
         F.lit(source_type).alias("source_item_type"),
-        F.col("source_item_name"),
         F.col("workspace_id"),
         J.get_default(e, "$.datasourceType").alias("datasource_type"),
         J.first_truthy(e, ["$.connectionDetails.server", "$.connectionDetails.url"]).alias("server"),
@@ -58,9 +57,8 @@ def shortcut_row(e: Column, run_ts: Column, case_insensitive: bool = False) -> l
     server = J.first_truthy(conn, ["$.location", "$.url", "$.endpoint"])
     return [
         F.col("eid").alias("datasource_id"),
-        F.col("source_item_id"),
+        F.col("item_id").alias("source_item_id"),
         F.lit("Lakehouse").alias("source_item_type"),
-        F.col("source_item_name"),
         F.col("workspace_id"),
         target_type.alias("datasource_type"),
         server.alias("server"),
@@ -76,22 +74,22 @@ def shortcut_row(e: Column, run_ts: Column, case_insensitive: bool = False) -> l
     ]
 
 
-def _responses(cap: Capture, operation: str, sources: DataFrame, paged: bool = False) -> DataFrame:
-    """Elements of `operation` for the given (workspace_id, source_item_id, source_item_name)."""
-    el = cap.elements(operation, paged=paged).withColumnRenamed("item_id", "source_item_id")
-    return el.join(sources, ["workspace_id", "source_item_id"], "inner")
+def _responses(cap: Capture, operation: str, sources: DataFrame, row: list[Column]) -> DataFrame:
+    """Rows of `operation`'s elements for the given (workspace_id, source_item_id, source_item_name);
+    fields are extracted before the join."""
+    return cap.elements(operation).select(*row).join(sources, ["workspace_id", "source_item_id"], "inner").select(*DS_COLUMNS)
 
 
 def ds_models(cap: Capture, models: DataFrame) -> DataFrame:
     """[A] datasources of the (viable) semantic models."""
     src = models.select("workspace_id", F.col("model_id").alias("source_item_id"), F.col("model_name").alias("source_item_name"))
-    return _responses(cap, K.OP_MODEL_DATASOURCES, src).select(*datasource_row(F.col("e"), "SemanticModel", cap.run_ts))
+    return _responses(cap, K.OP_MODEL_DATASOURCES, src, datasource_row(F.col("e"), "SemanticModel", cap.run_ts))
 
 
 def ds_gen1(cap: Capture, dataflows: DataFrame) -> DataFrame:
     """[B] datasources of Gen1 dataflows."""
     src = dataflows.select("workspace_id", F.col("dataflow_id").alias("source_item_id"), F.col("dataflow_name").alias("source_item_name"))
-    return _responses(cap, K.OP_DATAFLOW_DATASOURCES, src).select(*datasource_row(F.col("e"), "Dataflow", cap.run_ts))
+    return _responses(cap, K.OP_DATAFLOW_DATASOURCES, src, datasource_row(F.col("e"), "Dataflow", cap.run_ts))
 
 
 def gen2_items(items: DataFrame) -> DataFrame:
@@ -107,13 +105,13 @@ def lakehouse_items(items: DataFrame) -> DataFrame:
 def ds_gen2(cap: Capture, items: DataFrame) -> DataFrame:
     """[C] datasources of Gen2 dataflows (items catalogue, same endpoint family)."""
     src = gen2_items(items).select("workspace_id", F.col("item_id").alias("source_item_id"), F.col("item_name").alias("source_item_name"))
-    return _responses(cap, K.OP_GEN2_DATASOURCES, src).select(*datasource_row(F.col("e"), "DataflowGen2", cap.run_ts))
+    return _responses(cap, K.OP_GEN2_DATASOURCES, src, datasource_row(F.col("e"), "DataflowGen2", cap.run_ts))
 
 
 def ds_shortcuts(cap: Capture, items: DataFrame, case_insensitive: bool = False) -> DataFrame:
     """[D] lakehouse shortcuts (a paged listing per lakehouse)."""
     src = lakehouse_items(items).select("workspace_id", F.col("item_id").alias("source_item_id"), F.col("item_name").alias("source_item_name"))
-    return _responses(cap, K.OP_SHORTCUTS, src, paged=True).select(*shortcut_row(F.col("e"), cap.run_ts, case_insensitive))
+    return _responses(cap, K.OP_SHORTCUTS, src, shortcut_row(F.col("e"), cap.run_ts, case_insensitive))
 
 
 def datasources_all(branches: list[DataFrame]) -> DataFrame:

@@ -54,9 +54,9 @@ def in_scope(elements: DataFrame, workspaces: DataFrame) -> DataFrame:
 def norm_users(cap: Capture, workspaces: DataFrame) -> DataFrame:
     """Role assignments; id = '{workspace}_{principal id}', email = first truthy of three."""
     e = F.col("e")
-    el = in_scope(cap.elements(K.OP_ROLE_ASSIGNMENTS), workspaces)
+    el = cap.elements(K.OP_ROLE_ASSIGNMENTS)
     principal_id = F.coalesce(J.vget(e, "$.principal.id", "string"), F.col("eid"))
-    return el.select(
+    return in_scope(el.select(
         F.concat_ws("_", F.col("workspace_id"), principal_id).alias("id"),
         F.col("workspace_id"),
         J.first_truthy(
@@ -72,14 +72,14 @@ def norm_users(cap: Capture, workspaces: DataFrame) -> DataFrame:
         J.get_default(e, "$.role").alias("workspace_role"),
         cap.run_ts.alias("extracted_at"),
         *[F.expr(x) for x in ORDER],
-    )
+    ), workspaces)
 
 
 def norm_items(cap: Capture, workspaces: DataFrame) -> DataFrame:
     """The item catalogue of every workspace."""
     e = F.col("e")
-    el = in_scope(cap.elements(K.OP_LIST_ITEMS), workspaces)
-    return el.select(
+    el = cap.elements(K.OP_LIST_ITEMS)
+    return in_scope(el.select(
         J.get_default(e, "$.id").alias("item_id"),
         F.col("workspace_id"),
         J.get_default(e, "$.displayName").alias("item_name"),
@@ -90,15 +90,15 @@ def norm_items(cap: Capture, workspaces: DataFrame) -> DataFrame:
         J.get_default(e, "$.createdBy.userIdentity.userPrincipalName").alias("created_by_email"),
         cap.run_ts.alias("extracted_at"),
         *[F.expr(x) for x in ORDER],
-    )
+    ), workspaces)
 
 
 def norm_models(cap: Capture, workspaces: DataFrame) -> DataFrame:
     """Semantic models. ``LastRefreshTime`` is read with its capital L (keys are case
     sensitive)."""
     e = F.col("e")
-    el = in_scope(cap.elements(K.OP_LIST_DATASETS), workspaces)
-    return el.select(
+    el = cap.elements(K.OP_LIST_DATASETS)
+    return in_scope(el.select(
         J.get_default(e, "$.id").alias("model_id"),
         F.col("workspace_id"),
         J.get_default(e, "$.name").alias("model_name"),
@@ -110,14 +110,14 @@ def norm_models(cap: Capture, workspaces: DataFrame) -> DataFrame:
         parse_ts(J.vget(e, "$.LastRefreshTime")).alias("modified_date"),
         cap.run_ts.alias("extracted_at"),
         *[F.expr(x) for x in ORDER],
-    )
+    ), workspaces)
 
 
 def norm_reports(cap: Capture, workspaces: DataFrame) -> DataFrame:
     """Reports; linked_model_id is the report's datasetId."""
     e = F.col("e")
-    el = in_scope(cap.elements(K.OP_LIST_REPORTS), workspaces)
-    return el.select(
+    el = cap.elements(K.OP_LIST_REPORTS)
+    return in_scope(el.select(
         J.get_default(e, "$.id").alias("report_id"),
         F.col("workspace_id"),
         J.get_default(e, "$.name").alias("report_name"),
@@ -130,34 +130,30 @@ def norm_reports(cap: Capture, workspaces: DataFrame) -> DataFrame:
         parse_ts(J.vget(e, "$.modifiedDateTime")).alias("modified_date"),
         cap.run_ts.alias("extracted_at"),
         *[F.expr(x) for x in ORDER],
-    )
+    ), workspaces)
 
 
 def norm_dataflows(cap: Capture, workspaces: DataFrame) -> DataFrame:
     """N11 + J5: Gen1 dataflows, left-joined to their schedule (no schedule -> {})."""
     e = F.col("e")
-    flows = in_scope(cap.elements(K.OP_LIST_DATAFLOWS), workspaces).select(
-        "workspace_id", "e", "page_no", "pos", J.get_default(e, "$.objectId").alias("dataflow_id")
-    )
+    flows = in_scope(cap.elements(K.OP_LIST_DATAFLOWS).select(
+        "workspace_id", J.get_default(e, "$.objectId").alias("dataflow_id"), J.get_default(e, "$.name").alias("dataflow_name"),
+        J.get_or(e, "$.description").alias("description"), J.get_or(e, "$.configuredBy").alias("configured_by"),
+        J.vget(e, "$.lastRefreshTime").alias("_last"), *[F.expr(x) for x in ORDER]), workspaces)
+    schedule = {
+        "is_refresh_scheduled": (J.truthy(e, "$.enabled"), F.lit(False)), "refresh_schedule_days": (J.array_csv(e, "$.days"), F.lit("")),
+        "refresh_schedule_times": (J.array_csv(e, "$.times"), F.lit("")), "notify_option": (J.get_or(e, "$.notifyOption"), F.lit("")),
+        "notification_email": (J.get_or(e, "$.notificationGroupMailAddress"), F.lit("")),
+    }
     sched = cap.objects(K.OP_DATAFLOW_SCHEDULE).select(
-        "workspace_id", F.col("item_id").alias("dataflow_id"), F.col("e").alias("s")
-    )
-    s = F.col("s")
+        "workspace_id", F.col("item_id").alias("dataflow_id"), *[c.alias(n) for n, (c, _) in schedule.items()])
     return flows.join(sched, ["workspace_id", "dataflow_id"], "left").select(
-        "dataflow_id",
-        "workspace_id",
-        J.get_default(e, "$.name").alias("dataflow_name"),
-        J.get_or(e, "$.description").alias("description"),
-        J.get_or(e, "$.configuredBy").alias("configured_by"),
-        J.truthy(s, "$.enabled").alias("is_refresh_scheduled"),
-        J.array_csv(s, "$.days").alias("refresh_schedule_days"),
-        J.array_csv(s, "$.times").alias("refresh_schedule_times"),
-        J.get_or(s, "$.notifyOption").alias("notify_option"),
-        J.get_or(s, "$.notificationGroupMailAddress").alias("notification_email"),
-        parse_ts(J.vget(e, "$.lastRefreshTime")).alias("last_refresh_time"),
+        "dataflow_id", "workspace_id", "dataflow_name", "description", "configured_by",
+        *[F.coalesce(F.col(n), none).alias(n) for n, (_, none) in schedule.items()],
+        parse_ts(F.col("_last")).alias("last_refresh_time"),
         F.lit("").alias("last_refresh_status"),
         cap.run_ts.alias("extracted_at"),
-        *[F.expr(x) for x in ORDER],
+        "_page", "_pos",
     )
 
 

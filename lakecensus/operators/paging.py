@@ -253,6 +253,12 @@ class Capture:
         """Single-object endpoints: the body itself as ``e`` (one row per request)."""
         return self.pages(operation, paged=False).select(*CONTEXT, "page_no", F.col("v").alias("e"))
 
+    def dax_rows(self, operation: str) -> DataFrame:
+        """Rows in the answers of a DAX call, with request context."""
+        from lakecensus.operators.powerquery import read_dax_rows
+
+        return read_dax_rows(self.bodies(operation))
+
     def outcomes_of(self, operation: str) -> DataFrame:
         """Page-0 light outcome per request (for joins that need to know 'no body')."""
         return self.light(operation).where(F.col("page_no") == 0)

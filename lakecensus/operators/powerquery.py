@@ -21,15 +21,17 @@ def dax_rows(cap: Capture, operation: str) -> DataFrame:
     one row per result row, keys normalised ('[T].[C]' -> 'C'; a later duplicate wins).
 
     Columns: request context, ``model_id`` (= item_id), ``row_pos``, ``r`` (map<string,variant>).
-    The body is parsed with a schema of maps (not VARIANT) to keep the key order of each row; a body
-    that is no JSON has no rows, so its outcome isn't asked for.
     """
-    ok = cap.bodies(operation)
+    return cap.dax_rows(operation).withColumnRenamed("item_id", "model_id")
+
+
+def read_dax_rows(bodies: DataFrame) -> DataFrame:
+    """The rows in answers of DAX calls. The body is parsed with a schema of maps (not VARIANT) to
+    keep the key order of each row; one that is no JSON has no rows, so its outcome isn't asked for."""
     parsed = F.from_json(F.col("body"), DAX_RESULT)
     rows = F.try_element_at(F.try_element_at(parsed["results"], F.lit(1))["tables"], F.lit(1))["rows"]
-    return ok.select(
-        "run_id", "request_id", "workspace_id", F.col("item_id").alias("model_id"), "item_name",
-        F.posexplode(rows).alias("row_pos", "r"),
+    return bodies.select(
+        "run_id", "request_id", "workspace_id", "item_id", "item_name", F.posexplode(rows).alias("row_pos", "r"),
     ).withColumn("r", F.transform_keys("r", lambda k, v: strip_bracket_name(k)))
 
 

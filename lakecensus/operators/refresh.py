@@ -18,12 +18,11 @@ def refreshable(models: DataFrame) -> DataFrame:
 
 def refresh_schedules(cap: Capture, models: DataFrame) -> DataFrame:
     """One row per refreshable model whose schedule response is a non-empty object."""
-    m = refreshable(models).select("workspace_id", F.col("model_id").alias("item_id"), "model_id")
+    m = refreshable(models).select("workspace_id", "model_id")
     s = F.col("e")
     resp = cap.objects(K.OP_REFRESH_SCHEDULE).where(J.truthy_value(s))  # `if not data: continue`
-    return m.join(resp, ["workspace_id", "item_id"], "inner").select(
-        F.concat_ws("_", F.col("model_id"), F.col("workspace_id")).alias("schedule_id"),
-        "model_id",
+    return resp.select(
+        F.col("item_id").alias("model_id"),
         "workspace_id",
         J.truthy(s, "$.enabled").alias("is_enabled"),
         J.get_or(s, "$.notifyOption").alias("notify_option"),
@@ -32,7 +31,7 @@ def refresh_schedules(cap: Capture, models: DataFrame) -> DataFrame:
         J.array_csv(s, "$.times").alias("times"),
         J.get_or(s, "$.localTimeZoneId", "UTC").alias("timezone"),
         cap.run_ts.alias("extracted_at"),
-    )
+    ).join(m, ["workspace_id", "model_id"], "inner").withColumn("schedule_id", F.concat_ws("_", "model_id", "workspace_id"))
 
 
 def refresh_history(
@@ -48,26 +47,29 @@ def refresh_history(
     response order" is a position filter on page 0 -- no window, no shuffle, and a model with
     a huge history costs the same as any other.
     """
-    m = refreshable(models).select("workspace_id", F.col("model_id").alias("item_id"), "model_id")
+    m = refreshable(models).select("workspace_id", "model_id")
     e = F.col("e")
-    rows = cap.elements(K.OP_REFRESH_HISTORY, paged=False).where(F.col("pos") < top)
     cutoff = cap.run_ts - F.expr(f"INTERVAL {int(days)} DAYS")
-    start = parse_ts(J.vget(e, "$.startTime"))
     svc = J.json_or_empty(J.get_or(e, "$.serviceExceptionJson", None))
+    rows = cap.elements(K.OP_REFRESH_HISTORY).where(F.col("pos") < top).select(
+        F.col("eid").alias("refresh_id"), F.col("item_id").alias("model_id"), "workspace_id",
+        J.vget(e, "$.startTime").alias("_start"), J.vget(e, "$.endTime").alias("_end"),
+        J.get_default(e, "$.status").alias("status"), J.get_or(e, "$.refreshType").alias("refresh_type"), svc.alias("_svc"))
+    # bound in an array, so that the filter doesn't parse the time a second time
+    timed = rows.select("*", F.explode(F.array(parse_ts(F.col("_start")))).alias("start_time"))
     return (
-        rows.select("*", start.alias("start_time"))
-        .where(F.col("start_time").isNull() | (F.col("start_time") >= cutoff))
-        .join(m, ["workspace_id", "item_id"], "inner")
+        timed.where(F.col("start_time").isNull() | (F.col("start_time") >= cutoff))
+        .join(m, ["workspace_id", "model_id"], "inner")
         .select(
-            F.col("eid").alias("refresh_id"),
+            "refresh_id",
             "model_id",
             "workspace_id",
             "start_time",
-            parse_ts(J.vget(e, "$.endTime")).alias("end_time"),
-            J.get_default(e, "$.status").alias("status"),
-            J.get_or(e, "$.refreshType").alias("refresh_type"),
-            J.get_or(svc, "$.errorCode").alias("service_exception_code"),
-            J.get_or(svc, "$.errorDescription").alias("service_exception_message"),
+            parse_ts(F.col("_end")).alias("end_time"),
+            "status",
+            "refresh_type",
+            J.get_or("_svc", "$.errorCode").alias("service_exception_code"),
+            J.get_or("_svc", "$.errorDescription").alias("service_exception_message"),
             cap.run_ts.alias("extracted_at"),
         )
     )

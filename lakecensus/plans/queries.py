@@ -30,16 +30,19 @@ from lakecensus.plans.pipeline import Inventory
 from lakecensus.session import configure, ensure_checkpoint_dir
 from lakecensus.sources import fixtures as X
 from lakecensus.sources.schemas import OUTPUTS, conform
+from lakecensus.sources.shredded import ShreddedCapture, shred
 from lakecensus.sources.store import Store
 
 _FIXTURES: dict[tuple[int, str], X.Fixture] = {}
 _CAPTURES: dict[tuple[int, str, str], Capture] = {}
+_SHREDDED: dict[tuple[int, str], str] = {}
 _STORES: dict[tuple[int, str], Store] = {}
 _INVENTORIES: dict[tuple[int, str, str], Inventory] = {}
 
 
 def reset() -> None:
-    """Forget resolved captures and staged runs (stored landings and published runs are kept)."""
+    """Forget resolved captures and staged runs (stored landings, stored captures and published runs
+    are kept)."""
     _CAPTURES.clear()
     _INVENTORIES.clear()
 
@@ -59,11 +62,22 @@ def capture(spark: SparkSession, sf_dir: str, kind: str = "inventory") -> Captur
     return _CAPTURES[key]
 
 
+def shredded(spark: SparkSession, sf_dir: str) -> ShreddedCapture:
+    """The capture stored as typed values; like the landing it comes from, written once per process."""
+    key = (id(spark), sf_dir)
+    if key not in _SHREDDED:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakecensus-shredded-{uuid.uuid4().hex}"
+        shred(capture(spark, sf_dir), path)
+        _SHREDDED[key] = path
+    return ShreddedCapture(spark, _SHREDDED[key], X.RUN_TS)
+
+
 def inventory(spark: SparkSession, sf_dir: str, scope: str = "all") -> Inventory:
+    configure(spark)
     key = (id(spark), sf_dir, scope)
     if key not in _INVENTORIES:
         cur = X.CURRENT_WORKSPACE if scope == "current" else None
-        _INVENTORIES[key] = Inventory(capture(spark, sf_dir), scope=scope, current_workspace_id=cur)
+        _INVENTORIES[key] = Inventory(shredded(spark, sf_dir), scope=scope, current_workspace_id=cur)
     return _INVENTORIES[key]
 
 
