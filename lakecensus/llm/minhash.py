@@ -400,10 +400,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def kept_documents(docs: DataFrame) -> DataFrame:
     """One document of each group (its smallest id; of rows that share it, one), with its columns."""
     found = staged(grouped(docs).groupBy("id").agg(F.min("comp").alias("comp"), F.count(F.lit(1)).alias("rows")), "kept")
-    rows = docs.withColumn("_node", node_id("doc_id", "text"))
-    once = found.where("id = comp and rows = 1").select(F.col("id").alias("_node"))
-    more = found.where("id = comp and rows > 1").select(F.col("id").alias("_node"))
-    out = rows.join(_sized(once), "_node", "left_semi")
+    # the row travels as one value, so that no column of the caller's can be taken for the node
+    rows = docs.select(node_id("doc_id", "text").alias("node"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    once = found.where("id = comp and rows = 1").select(F.col("id").alias("node"))
+    more = found.where("id = comp and rows > 1").select(F.col("id").alias("node"))
+    out = rows.join(_sized(once), "node", "left_semi")
     if not more.isEmpty():  # only repeated rows are shuffled
-        out = out.unionByName(rows.join(_sized(more), "_node", "left_semi").dropDuplicates(["_node"]))
-    return out.select(*docs.columns)
+        out = out.unionByName(rows.join(_sized(more), "node", "left_semi").dropDuplicates(["node"]))
+    return out.select("row.*")

@@ -214,7 +214,8 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
         "mix-plan")
     parts = plan.where("_mix_taken").drop("_mix_taken")
     many = staged(plan.groupBy("_mix_same").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_mix_same"), "mix-many")
-    rows = docs.withColumn("_mix_same", same)
+    # the row travels as one value, so that no column of the caller's can be taken for one made here
+    rows = docs.select(same.alias("_mix_same"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_mix_row"))
     if many.isEmpty():
         joined = rows.join(parts, "_mix_same")
     else:  # rows repeated with id and text take one part each
@@ -234,9 +235,10 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     def taken_text(text: pd.Series, a: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
         return pd.Series([t if i == 0 and j == k else passage(t, i, j) for t, i, j, k in zip(text, a, b, n)])
 
-    new = taken_text("text", "_mix_span.a", "_mix_span.b", "_mix_part.size")
+    new = taken_text("_mix_row.text", "_mix_span.a", "_mix_span.b", "_mix_part.size")
     out = out.withColumn("_mix_text", new)
     return out.select(*[
         F.col("_mix_text").alias(c) if c == "text" else
-        F.char_length("_mix_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
+        F.char_length("_mix_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
+        F.col("_mix_row").getField(c).alias(c)
         for c in docs.columns])

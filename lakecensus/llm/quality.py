@@ -105,7 +105,8 @@ def fail_mask(m: Column) -> Column:
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The input, the struct ``_m`` of measurements and ``_fail_mask``."""
+    """The input with the struct ``_m`` of measurements and ``_fail_mask``; columns of the caller's
+    that have these two names are replaced, all others are kept."""
     return docs.withColumn("_m", measures(F.col(text))).withColumn("_fail_mask", fail_mask(F.col("_m")))
 
 

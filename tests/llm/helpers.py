@@ -36,7 +36,8 @@ def clashing(docs):
     from pyspark.sql import functions as F
 
     names = ("id", "key", "size", "shard", "slot", "n", "comp", "rep", "block", "h", "c", "words", "start", "length",
-             "rng", "guest", "held", "ids", "part", "score", "kept", "target", "taken", "src", "name", "file", "times")
+             "rng", "guest", "held", "ids", "part", "score", "kept", "target", "taken", "src", "name", "file", "times", "_lang",
+             "_node", "node", "row", "lead", "_m", "_fail_mask", "_mix_same", "_mix_text", "_mix_part", "_mix_row", "_mix_span", "_mix_nth")
     return docs.select("*", *[F.lit(f"x-{n}").alias(n) for n in names])
 
 

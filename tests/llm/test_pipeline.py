@@ -1,7 +1,7 @@
 import corpus_pipeline
 import numpy as np
 import pytest
-from helpers import awkward, clashing, empty, words
+from helpers import DOCS, awkward, clashing, empty, words
 from pyspark.sql import functions as F
 from test_minhash import brute as components
 from test_packing_and_tokens import check, whole
@@ -77,7 +77,10 @@ def test_every_stage_takes_awkward_and_empty_tables(spark):
         docs = start
         for name, stage in corpus_pipeline.STAGES[:-1]:
             docs = staged(stage(spark, docs, SF), f"test-{name}")
-            assert docs.columns == start.columns
+            assert docs.columns == start.columns and docs.schema.simpleString() == start.schema.simpleString()
+            # columns named like the operators' own keep their values
+            own = [c for c in docs.columns if c not in DOCS.fieldNames()]
+            assert all(r[c] == f"x-{c}" for r in docs.select(own).collect() for c in own)
         packed = stage_of("packing")(spark, docs, SF)
         assert np.sum([r["length"] for r in packed.collect()]) == sum(len(whole(r["text"])) + 1 for r in docs.collect())
 
