@@ -26,6 +26,7 @@ a null id is a key like any other; an empty table gives no rows; other columns a
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections.abc import Iterator
 
@@ -39,7 +40,8 @@ from lakecensus.llm.common import staged
 from lakecensus.llm.minhash import word_list
 
 STATES = 6
-ROUNDS = 3
+TOLERANCE = 0.02  # training ends when a round gains less log10 likelihood a token than this
+MOST_ROUNDS = 30  # a stop that is reported when it is hit
 OWN, SUFFIXES = 16384, 4096
 QUANTILE = 100_000  # the rank of a quantile is right within a share of 1 / QUANTILE
 END, UNKNOWN = OWN + SUFFIXES, OWN + SUFFIXES + 1
@@ -167,7 +169,10 @@ def sequences(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "t
             "classes": [out.tobytes()], "known": [known.astype("<i8").tobytes()], "base": [base.astype("<f8").tobytes()]})
 
     looked = _words(blocks, False).select("block", "i", "h").join(classed, "h").select("block", "i", "c", "cls")
-    rows = blocks.select("block", "ids", "held", "lens", "words", "low", "high").groupBy("block").cogroup(looked.groupBy("block")) \
+    # dealt by the number of blocks: a task holds one or a few of them, however large the input
+    n = max(1, blocks.count())
+    whole = blocks.select("block", "ids", "held", "lens", "words", "low", "high").repartition(n, "block")
+    rows = whole.groupBy("block").cogroup(looked.repartition(n, "block").groupBy("block")) \
         .applyInPandas(assemble, "ids array<string>, held binary, lens binary, classes binary, known binary, base binary")
     return staged(rows, "sequences"), facts
 
@@ -257,10 +262,10 @@ def chained(seg: Segments, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndar
     return before, after, total
 
 
-def expected(seg: Segments, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts: (start, moves, emissions by class)."""
+def expected(seg: Segments, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected counts: (start, moves, emissions by class), and the log likelihood lift of all texts."""
     k = len(model["start"])
-    before, beta, _ = chained(seg, model)
+    before, beta, lift = chained(seg, model)
     alphas, alpha = [], before.copy()
     for t in range(seg.steps):
         m = seg.active[t]
@@ -285,7 +290,7 @@ def expected(seg: Segments, model: dict) -> tuple[np.ndarray, np.ndarray, np.nda
     emit = np.stack([np.bincount(cls, weights=weight[:, s], minlength=CLASSES) for s in range(k)], axis=1)
     first = seg.place[seg.first]
     start = before[first] * beta[first]
-    return (start / start.sum(axis=1, keepdims=True)).sum(axis=0), moves, emit
+    return (start / start.sum(axis=1, keepdims=True)).sum(axis=0), moves, emit, float(lift.sum())
 
 
 def update(model: dict, start: np.ndarray, moves: np.ndarray, emit: np.ndarray, unigram: np.ndarray) -> dict:
@@ -314,13 +319,17 @@ def _batches(classes: np.ndarray, lens: np.ndarray) -> Iterator[Segments]:
         first = last
 
 
-def baum_welch(rows: DataFrame, facts: dict, states: int = STATES, rounds: int = ROUNDS) -> dict:
-    """Train on the texts that aren't held out."""
+def baum_welch(rows: DataFrame, facts: dict, states: int = STATES, tolerance: float = TOLERANCE,
+               most_rounds: int = MOST_ROUNDS) -> dict:
+    """Train on the texts that aren't held out, until a round gains less than ``tolerance`` (log10 a
+    token). ``gains`` of the result are the log10 likelihoods a token, over the unigram base, of the
+    models before each round."""
     spark, unigram = rows.sparkSession, facts["unigram"]
     model = first_guess(unigram, states)
     if not facts["ends"]:
-        return {**model, "lift": np.ones_like(model["lift"])}
-    for _ in range(rounds):
+        return {**model, "lift": np.ones_like(model["lift"]), "gains": []}
+    gains: list[float] = []
+    for _ in range(most_rounds):
         held = spark.sparkContext.broadcast(model)  # CLASSES x STATES numbers
 
         def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
@@ -329,20 +338,25 @@ def baum_welch(rows: DataFrame, facts: dict, states: int = STATES, rounds: int =
                 for row in b.itertuples():
                     classes, lens, out = _sequences(row)
                     for seg in _batches(classes[np.repeat(~out, lens)], lens[~out]):
-                        got = expected(seg, held.value)
-                        got = np.vstack([got[2], got[1], got[0][None, :]])
+                        start, moves, emit, lift = expected(seg, held.value)
+                        got = np.vstack([emit, moves, start[None, :], np.full((1, states), lift)])
                         sums = got if sums is None else sums + got
-            if sums is not None:  # one row per class, then the moves and the start
+            if sums is not None:  # one row per class, then the moves, the start and the likelihood
                 yield pd.DataFrame({"row": np.arange(len(sums), dtype=np.int32),
                                     **{f"s{i}": sums[:, i] for i in range(sums.shape[1])}})
 
         names = [f"s{i}" for i in range(states)]
         parts = rows.select("classes", "lens", "held").mapInPandas(run, "row int, " + ", ".join(f"{n} double" for n in names))
-        table = np.zeros((CLASSES + states + 1, states))
-        for r in parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).collect():  # CLASSES + STATES + 1 rows
+        table = np.zeros((CLASSES + states + 2, states))
+        for r in parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).collect():  # CLASSES + STATES + 2 rows
             table[r["row"]] = [r[n] for n in names]
-        model = update(model, table[-1], table[CLASSES:CLASSES + states], table[:CLASSES], unigram)
-    return model
+        model = update(model, table[-2], table[CLASSES:CLASSES + states], table[:CLASSES], unigram)
+        gains.append(float(table[-1, 0] / np.log(10) / facts["tokens"]))
+        if len(gains) > 1 and gains[-1] - gains[-2] < tolerance:
+            break
+    else:
+        warnings.warn(f"Baum-Welch stopped after {most_rounds} rounds, before a round gained less than {tolerance}", stacklevel=2)
+    return {**model, "gains": gains}
 
 
 def scored(rows: DataFrame, model: dict) -> DataFrame:
@@ -363,10 +377,10 @@ def scored(rows: DataFrame, model: dict) -> DataFrame:
 
 
 def score(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text", states: int = STATES,
-          rounds: int = ROUNDS) -> DataFrame:
+          tolerance: float = TOLERANCE, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """Train on the rows that aren't ``held`` and score all."""
     rows, facts = sequences(docs, held, key, text)
-    out = scored(rows, baum_welch(rows, facts, states, rounds))
+    out = scored(rows, baum_welch(rows, facts, states, tolerance, most_rounds))
     return out.select(F.col("id").cast(docs.schema[key].dataType).alias(key), F.col("held").alias("held_out"),
                       "n_tokens", "n_known", F.lit(facts["tokens"]).cast("long").alias("train_tokens"),
                       "base_score", "score")

@@ -54,7 +54,8 @@ def test_forward_and_expected_counts_by_plain_recursion(model, monkeypatch):
     flat = np.concatenate([np.array(s) for s in seqs])
     _, _, lift = hmm.chained(hmm.Segments(flat, lens), m)
     assert lift.tolist() == pytest.approx([w[0] for w in want])
-    start, moves, emit = hmm.expected(hmm.Segments(flat, lens), m)
+    start, moves, emit, lift = hmm.expected(hmm.Segments(flat, lens), m)
+    assert abs(lift - hmm.chained(hmm.Segments(flat, lens), m)[2].sum()) < 1e-9
     assert np.allclose(start, sum(w[1] for w in want)) and np.allclose(moves, sum(w[2] for w in want))
     assert np.allclose(emit, sum(w[3] for w in want))
 
@@ -81,7 +82,7 @@ def test_training_raises_the_likelihood_and_keeps_a_distribution(model):
         seen.append(hmm.chained(seg, m)[2].sum())
         assert np.allclose((uni[:, None] * m["lift"]).sum(axis=0), 1) and (m["lift"][hmm.UNKNOWN] == 1).all()
         assert np.allclose(m["move"].sum(axis=1), 1)
-        m = hmm.update(m, *hmm.expected(seg, m), uni)
+        m = hmm.update(m, *hmm.expected(seg, m)[:3], uni)
     assert all(b > a - 1 for a, b in zip(seen, seen[1:])) and seen[-1] > seen[0] + 100
 
 
@@ -115,11 +116,10 @@ def test_query_by_brute_force(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_awkward_rows_and_blocks(spark, monkeypatch):
-    monkeypatch.setattr(hmm, "ROUNDS", 1)
+def test_awkward_rows_and_blocks(spark):
     held = F.coalesce(F.col("doc_id") % 3 == 0, F.lit(False))
     docs = awkward(spark)
-    out = hmm.score(docs, held, rounds=1)
+    out = hmm.score(docs, held, most_rounds=1)
     want = Counter()
     pairs = [(i, r["doc_id"], r["text"]) for i, r in enumerate(docs.collect())]
     scores = base_scores([(i, t) for i, _, t in pairs], lambda i: (pairs[i][1] or 1) % 3 == 0)
@@ -127,7 +127,7 @@ def test_awkward_rows_and_blocks(spark, monkeypatch):
         want[d, *scores[i][:3], round(scores[i][3], 3)] += 1
     got = Counter((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 3)) for r in out.collect())
     assert got == want
-    other = hmm.score(clashing(docs), held, rounds=1)
+    other = hmm.score(clashing(docs), held, most_rounds=1)
     assert rows(other.selectExpr("doc_id", "round(score, 6)")) == rows(out.selectExpr("doc_id", "round(score, 6)"))
     assert rows(hmm.score(empty(spark), held)) == []
 
@@ -137,3 +137,42 @@ def test_without_training_rows_the_base_is_the_score(spark):
     assert len(out) == 2
     for r in out:
         assert (r["train_tokens"], r["n_known"]) == (0, 0) and r["score"] == pytest.approx(r["base_score"]) == 0.0
+
+
+def test_scores_of_all_documents_by_the_plain_recursion(spark):
+    """The query's scores with its own trained model, word by word."""
+    import zlib
+    from collections import Counter
+
+    import pandas as pd
+
+    from helpers import words
+    from lakecensus.llm.common import table
+
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    rows_, facts = hmm.sequences(docs, held)
+    model = hmm.baum_welch(rows_, facts)
+    gains = model["gains"]
+    assert gains == sorted(gains) and gains[-1] - gains[-2] < hmm.TOLERANCE <= gains[-2] - gains[-3]
+    texts = {r["doc_id"]: ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in words(r["text"])] for r in docs.collect()}
+    train = {i for i in texts if zlib.crc32(str(i).encode()) % 7 != 2}
+    counts = Counter(w for i in train for w in texts[i])
+    hashes = dict(zip(counts, pd.util.hash_array(np.array([w.encode() for w in counts], dtype=object), categorize=False).view(np.int64)))
+    own = {w: n for n, w in enumerate(sorted(counts, key=lambda w: (-counts[w], hashes[w]))[:hmm.OWN])}
+    every = sum(counts.values()) + len(train) + len(counts) + 1 + 1
+    assert facts["tokens"] == sum(counts.values()) + len(train) and facts["types"] == len(counts) + 1
+
+    def plain(ws):
+        a, log, base = model["start"], 0.0, 0.0
+        for w in [*ws, None]:
+            cls = hmm.END if w is None else own.get(w, hmm.OWN + zlib.crc32(w.encode()[-3:]) % hmm.SUFFIXES) if w in counts else hmm.UNKNOWN
+            a = (a @ model["move"]) * model["lift"][cls]
+            log, a = log + np.log10(a.sum()), a / a.sum()
+            base += np.log10((len(train) if w is None else counts[w]) + 1) - np.log10(every)
+        return log + base, base
+
+    got = {r["doc_id"]: (r["score"], r["base_score"]) for r in hmm.scored(rows_, model).withColumn("doc_id", F.col("id").cast("long")).collect()}
+    assert set(got) == set(texts)
+    for i, ws in texts.items():
+        assert np.allclose(got[i], plain(ws), rtol=1e-9, atol=1e-6), i
