@@ -222,8 +222,8 @@ def may_learn(key: str = "doc_id") -> Column:
 def accepted_documents(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """Documents in a language that the labelled ones teach, with their own columns."""
     # the row travels as one value, so that no column of the caller's can be taken for one made here
-    rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    kept = predict(rows, train(docs, may_learn()))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kept = predict(rows, train(docs, may_learn()), "row.text")
     bar = TIE + (min_score - TIE) * F.least(F.lit(1.0), F.col("_lang.grams") / SURE)
     return kept.where((F.col("_lang.lang") != UNKNOWN) & (F.col("_lang.score") >= bar)
                       & (F.col("_lang.known") >= MIN_KNOWN)).select("row.*")
