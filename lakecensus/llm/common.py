@@ -31,11 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def staged_path(spark: SparkSession, what: str) -> str:
+    """A new folder's path under the session's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, what: str) -> DataFrame:
     """Write to the session's shared checkpoint folder and read back: cuts the lineage, and a
     lost executor re-reads files instead of repeating the work."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
+    path = staged_path(spark, what)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

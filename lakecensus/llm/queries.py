@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakecensus.llm import bytebpe, chat, hmm, langid, merkle, minhash, mixing, packing, quality, search, sharding, tokencount, trie
-from lakecensus.llm.common import table
+from lakecensus.llm.common import staged_path, table
 
 N_SHARDS = 16
 TOKENIZER = "word_bpe_49k.json"
@@ -74,7 +74,10 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents"), tokenizer_path()
     width = 2  # bytes of an id: the vocabulary has fewer than 65,536
-    return tokencount.count_tokens(tokencount.flat_files(docs, path, SEPARATOR), SEPARATOR, width)
+    folder = staged_path(spark, "flat-files")
+    keys = tokencount.write_flat_files(docs, path, folder, SEPARATOR)
+    # a file's name differs from run to run; its number is that of the scan's partition
+    return tokencount.count_documents(keys, folder, SEPARATOR, width).withColumn("file", F.substring("file", 1, 6).cast("int"))
 
 
 def op8_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,8 +128,66 @@ def test_flat_files_and_their_counts(spark, tmp_path):
     assert tokencount.flat_files(empty(spark), tokenizer_path(), SEPARATOR).count() == 0
 
 
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([0, 9]), max_size=40), min_size=1, max_size=3), st.integers(1, 3))
+def test_scan_of_ranges_by_brute_force(spark, files, ranges):
+    parts = [(f, b, bytearray(np.array(ids[b * 2:b * 2 + 2], dtype="<u2").tobytes()))
+             for f, ids in enumerate(files) for b in range(-(-len(ids) // 2))]
+    blocks = spark.createDataFrame(parts, "file int, block long, payload binary")
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(tokencount, "RANGE", ranges)
+        got = sorted(tuple(r) for r in tokencount.count_tokens(blocks, 9, 2).collect())
+    assert got == [(f, i, *d) for f, ids in enumerate(files) for i, d in enumerate(counted(ids, 9))]
+
+
+@pytest.mark.parametrize("block", [3, 64, 1 << 16])
+def test_files_are_read_in_byte_ranges(spark, tmp_path, block):
+    folder = tmp_path / "a folder, 100% odd"
+    folder.mkdir()
+    streams = {"a b.bin": [9] * 5 + [1] * 700 + [9], "é#%20.bin": [1] * 130, "empty.bin": [], "c.bin": [9, 9, 2]}
+    for name, ids in streams.items():
+        (folder / name).write_bytes(np.array(ids, dtype="<u4").tobytes() + (b"xyz" if name == "c.bin" else b""))
+    got = sorted((r["file"].split("/")[-1], *tuple(r)[1:])
+                 for r in tokencount.count_flat_files(spark, str(folder), 9, 4, block).collect())
+    assert got == sorted((name, i, *d) for name, ids in streams.items() for i, d in enumerate(counted(ids, 9)))
+    for r in tokencount.read_flat_files(spark, str(folder), 4, block).groupBy("file").agg(
+            F.sum(F.octet_length("payload")).alias("n")).collect():
+        assert r["n"] == 4 * len(streams[r["file"].split("/")[-1]])
+
+
+def test_a_file_beyond_two_gigabytes(spark, tmp_path):
+    tokens = (1 << 30) + 50  # of two bytes; the file has a hole and takes no disk
+    with open(tmp_path / "large.bin", "wb") as f:
+        f.truncate(2 * tokens)
+        for at in (7, (1 << 30) + 20):
+            f.seek(2 * at)
+            f.write(np.array([9], dtype="<u2").tobytes())
+    got = sorted(tuple(r)[1:] for r in tokencount.count_flat_files(spark, str(tmp_path), 9, 2, 1 << 20).collect())
+    assert got == [(0, 0, 7, True), (1, 8, (1 << 30) + 12, True), (2, (1 << 30) + 21, 29, False)]
+
+
+def test_written_files_and_their_documents(spark, tmp_path):
+    for docs, n in ((awkward(spark).repartition(3), "a"), (clashing(awkward(spark)), "b")):
+        folder = f"file://{tmp_path}/{n}"
+        keys = tokencount.write_flat_files(docs, tokenizer_path(), folder, SEPARATOR)
+        (tmp_path / n / "999999-lost.bin").write_bytes(b"\x01\x00")  # what a lost attempt left
+        got = tokencount.count_documents(keys, folder, SEPARATOR, 2, block=100).collect()
+        assert sorted((repr(r["doc_id"]), r["n_tokens"]) for r in got) == sorted(
+            (repr(r["doc_id"]), len(whole(r["text"], True))) for r in docs.collect())
+        assert all(r["closed"] for r in got) and len({(r["file"], r["start"]) for r in got}) == len(got)
+    keys = tokencount.write_flat_files(empty(spark), tokenizer_path(), f"{tmp_path}/c", SEPARATOR)
+    assert rows(tokencount.count_documents(keys, f"{tmp_path}/c", SEPARATOR, 2)) == []
+
+
+def test_file_systems_of_paths():
+    for path in ("/a b/c%20.bin", "file:/a b/c%20.bin", "file:///a b/c%20.bin"):
+        system, where = tokencount.file_system(path)
+        assert system.type_name == "local" and where == "/a b/c%20.bin"
+
+
 def test_token_count_query(spark):
     sf = "/root/testdata/sf0.001"
-    got = op7_token_counts(spark, sf)
-    want = sorted(len(whole(r["text"], True)) for r in table(spark, sf, "documents").collect())
-    assert sorted(r["n_tokens"] for r in got.collect()) == want and got.where(~F.col("closed")).count() == 0
+    got = op7_token_counts(spark, sf).collect()
+    want = {r["doc_id"]: len(whole(r["text"], True)) for r in table(spark, sf, "documents").collect()}
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == want and len(got) == len(want)
+    assert all(r["closed"] for r in got)
