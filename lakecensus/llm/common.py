@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +73,18 @@ def range_splits(df: DataFrame, key: str, n: int) -> list:
     return sorted(set(got or []))
 
 
+def hot_splits(df: DataFrame, key: str, n: int) -> tuple[list, dict, int]:
+    """``range_splits``, the keys that are more than one of the cut points with how many they are (at most n in sum),
+    and how many of n ranges the rows without a key fill (at least 1)."""
+    cuts = F.lit(None)
+    if n > 1:
+        cuts = F.percentile_approx(key, F.expr(f"array({', '.join(f'{i / n!r}D' for i in range(1, n))})"), F.lit(20 * n))
+    got = df.agg(cuts.alias("s"), F.count(F.lit(1)).alias("rows"), F.count(key).alias("keys")).first()
+    times = Counter(got["s"] or [])
+    nulls = max(1, round(n * (got["rows"] - got["keys"]) / max(1, got["rows"])))
+    return sorted(times), {k: m for k, m in times.items() if m > 1}, nulls
+
+
 def range_of(key: Column, splits: list) -> Column:
     """Number of cut points at or below the key: 0 to len(splits); null keys come first.
 

@@ -55,6 +55,32 @@ def test_growth_moves_rows_only_into_the_new_shard(spark):
     assert 1.6 < heavy / (4000 / 17) < 2.4
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 10000])
+def test_hot_keys_and_copies_are_numbered_in_order(spark, monkeypatch, chunk):
+    monkeypatch.setattr(sharding, "CHUNK", chunk)
+    made = spark.range(2000).selectExpr(
+        # keys: null, 5 and -3 hold most rows; texts: one of them mostly the same
+        "case when id % 3 = 0 then null when id % 3 = 1 then 5 when id % 5 = 0 then -3 else id end as doc_id",
+        "case when id % 3 = 1 and id % 7 > 0 then 'same' when id % 11 = 0 then null else cast(id % 400 as string) end as text")
+    out = sharding.shard(made, [1.0, 2.0, 1.0]).collect()
+    want = sorted((r["doc_id"] is not None, r["doc_id"] or 0, zlib.crc32((r["text"] or "").encode()),
+                   len((r["text"] or "").encode()) + 1) for r in made.collect())
+    for s in range(3):
+        got = sorted((r["slot"], r["doc_id"], r["text_crc32"], r["size"]) for r in out if r["shard"] == s)
+        assert [g[0] for g in got] == list(range(len(got)))
+        mine = [w for w in want if brute(w[1] if w[0] else None, [1.0, 2.0, 1.0]) == s]
+        assert [(k is not None, k or 0, c, n) for _, k, c, n in got] == mine
+
+
+def test_hot_keys_get_ranges_of_their_own(spark):
+    from lakecensus.llm.common import hot_splits
+
+    docs = spark.range(900).selectExpr("case when id % 3 = 0 then null when id % 3 = 1 then 5 else id end as doc_id")
+    splits, hot, nulls = hot_splits(docs, "doc_id", 12)
+    assert list(hot) == [5] and 5 <= hot[5] <= 7 and nulls == 4 and splits == sorted(set(splits))
+    assert hot_splits(docs.limit(0), "doc_id", 12) == ([], {}, 1) == hot_splits(docs, "doc_id", 1)
+
+
 def test_other_columns_and_empty_tables(spark):
     docs = awkward(spark)
     assert rows(sharding.shard(clashing(docs), [1.0] * 4)) == rows(sharding.shard(docs, [1.0] * 4))
