@@ -19,7 +19,8 @@
      first, until every one is confirmed, refuted or already connected.
   A link is confirmed on the two full shingle sets: 100 * common >= 75 * union. Buckets and
   clusters are compared in tiles of blocks of about TILE members, so that no task holds a group;
-  only links that connect something leave a tile.
+  only links that connect something leave a tile. The tiles of a cluster of several blocks are dealt
+  without texts: each text is written once, in its block's file, and a tile reads those that it confirms.
 * Components: alternating large-star and small-star steps over the links.
 
 Everything between the steps is staged on the shared checkpoint folder; ids and links never
@@ -32,15 +33,17 @@ gives no rows; other columns are never read.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow.dataset as ds
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakecensus.llm.common import partitions, staged
+from lakecensus.llm.common import file_system, partitions, staged, staged_path
 
 WORDS = 5
 BANDS, ROWS = 40, 4
@@ -188,14 +191,18 @@ def components(links: DataFrame) -> DataFrame:
         .unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct())
 
 
-def _tiles(rows: DataFrame, group: str, size: str) -> DataFrame:
-    """Rows of a group dealt into tiles (group, b1, b2): pairs of blocks of about TILE members."""
-    rows = rows.withColumn("blocks", F.ceil(F.col(size) / TILE).cast("int")) \
-        .withColumn("own", F.pmod(F.xxhash64("id", F.lit(SEED)), F.col("blocks")).cast("int"))
+def _blocks(rows: DataFrame, size: str) -> DataFrame:
+    """Rows with their group's number of blocks of about TILE members, and the block of their own."""
+    return rows.withColumn("blocks", F.ceil(F.col(size) / TILE).cast("int")) \
+        .withColumn("own", F.pmod(F.xxhash64("id", F.lit(SEED)), F.col("blocks")).cast("int")).drop(size)
+
+
+def _tiles(rows: DataFrame, group: str) -> DataFrame:
+    """Rows in blocks dealt into tiles (group, b1, b2): pairs of their group's blocks."""
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(
         F.least(i, F.col("own")).alias("b1"), F.greatest(i, F.col("own")).alias("b2")))
     return rows.withColumn("t", F.explode(others)).withColumn("b1", F.col("t.b1")).withColumn("b2", F.col("t.b2")) \
-        .drop("t", "blocks", size).repartition(partitions(rows.sparkSession), group, "b1", "b2") \
+        .drop("t", "blocks").repartition(partitions(rows.sparkSession), group, "b1", "b2") \
         .sortWithinPartitions(group, "b1", "b2")
 
 
@@ -272,9 +279,25 @@ def _cluster(t: pd.DataFrame) -> pd.DataFrame | None:
     return pd.DataFrame({"a": ids[rows], "b": ids[label[rows]]})
 
 
-def _links(t: pd.DataFrame) -> pd.DataFrame | None:
-    """Confirmed links (a, b) of a cluster's tile that connect components."""
+def _block_texts(folder: str, tile: pd.DataFrame, rows: np.ndarray) -> dict[int, list[str]]:
+    """The texts of a tile's rows, by id, from its blocks' files."""
+    system, where = file_system(folder)
+    found: dict[int, list[str]] = defaultdict(list)
+    own, ids = tile["own"].to_numpy()[rows], tile["id"].to_numpy()[rows]
+    for block in np.unique(own).tolist():
+        files = ds.dataset(f"{where}/cluster={tile['cluster'].iat[0]}/own={block}", filesystem=system, format="parquet")
+        for b in files.to_batches(columns=["id", "text"], filter=ds.field("id").isin(ids[own == block].tolist()), batch_size=64):
+            for z, text in zip(b["id"].to_pylist(), b["text"].to_pylist()):
+                found[z].append(text)
+    return found
+
+
+def _links(t: pd.DataFrame, folder: str | None = None) -> pd.DataFrame | None:
+    """Confirmed links (a, b) of a cluster's tile that connect components; ``folder`` holds the texts
+    of rows that come without."""
     i, j, est = _across(t)
+    if not len(i):
+        return None
     parent = np.unique(t["comp"].to_numpy(), return_inverse=True)[1]
     top = list(range(int(parent.max()) + 1))
 
@@ -284,8 +307,14 @@ def _links(t: pd.DataFrame) -> pd.DataFrame | None:
             x = top[x]
         return x
 
-    sets: dict[int, np.ndarray] = {}
-    texts, ids, out = t["text"].tolist(), t["id"].to_numpy(), []
+    ids, out = t["id"].to_numpy(), []
+    if folder is None:
+        texts = {z: [x] for z, x in enumerate(t["text"])}
+    else:
+        rows = np.unique(np.concatenate([i, j]))
+        read = _block_texts(folder, t, rows)
+        texts = {z: read[ids[z]] for z in rows.tolist()}
+    sets: dict[int, list[np.ndarray]] = {}
     for k in np.argsort(-est, kind="stable").tolist():
         x, y = int(i[k]), int(j[k])
         a, b = root(parent[x]), root(parent[y])
@@ -293,8 +322,8 @@ def _links(t: pd.DataFrame) -> pd.DataFrame | None:
             continue
         for z in (x, y):
             if z not in sets:
-                sets[z] = shingle_hashes([word_list(texts[z])])[0]
-        if _linked(sets[x], sets[y]):
+                sets[z] = shingle_hashes([word_list(text) for text in texts[z]])
+        if any(_linked(u, v) for u in sets[x] for v in sets[y]):
             top[max(a, b)] = min(a, b)
             out.append((ids[x], ids[y]))
     return pd.DataFrame(out, columns=["a", "b"]) if out else None
@@ -311,14 +340,33 @@ def clusters(members: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFram
     """(a, b): nodes to be compared within one cluster, from buckets with several components."""
     labelled = members.select("key", "band", "id").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     rows = labelled.join(_several(labelled, "key"), "key").join(nodes, "id")
-    return _tiles(rows, "key", "size").mapInPandas(lambda b: _by_tile(b, "key", _cluster), "a long, b long")
+    return _tiles(_blocks(rows, "size"), "key").mapInPandas(lambda b: _by_tile(b, "key", _cluster), "a long, b long")
 
 
 def cluster_links(grouped: DataFrame, nodes: DataFrame, comps: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) within the clusters (id, cluster)."""
     labelled = grouped.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    rows = labelled.join(_several(labelled, "cluster"), "cluster").join(nodes, "id").join(texts, "id")
-    return _tiles(rows, "cluster", "size").mapInPandas(lambda b: _by_tile(b, "cluster", _links), "a long, b long")
+    several = _several(labelled, "cluster")
+    rows = _blocks(labelled.join(several, "cluster").join(nodes, "id"), "size")
+    # a cluster of one block is one tile: its texts go there once
+    links = _tiles(rows.where("blocks = 1").join(texts, "id"), "cluster").mapInPandas(
+        lambda b: _by_tile(b, "cluster", _links), "a long, b long")
+    if several.where(F.col("size") > TILE).isEmpty():
+        return links
+    many = rows.where("blocks > 1")
+    folder = block_files(many, texts)
+    return links.unionByName(_tiles(many, "cluster").mapInPandas(
+        lambda b: _by_tile(b, "cluster", lambda t: _links(t, folder)), "a long, b long"))
+
+
+def block_files(rows: DataFrame, texts: DataFrame) -> str:
+    """Write the texts of rows (id, cluster, own) once each, a folder for every block; the folder of all."""
+    spark = rows.sparkSession
+    folder = staged_path(spark, "blocks")
+    rows.select("id", "cluster", "own").distinct().join(texts, "id") \
+        .repartition(partitions(spark), "cluster", "own") \
+        .write.option("compression", "zstd").partitionBy("cluster", "own").parquet(folder)
+    return folder
 
 
 def near_links(nodes: DataFrame, docs_texts) -> DataFrame | None:

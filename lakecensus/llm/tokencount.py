@@ -20,20 +20,17 @@ Written files: a null text is empty; null and repeated keys are listed as they a
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterator
-from urllib.parse import quote
 
 import numpy as np
 import pandas as pd
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from lakecensus.llm.common import partitions, staged
+from lakecensus.llm.common import file_system, partitions, staged
 from lakecensus.llm.packing import tokenizer
 
 BLOCK = 1 << 16  # tokens
@@ -62,14 +59,6 @@ def flat_files(docs: DataFrame, path: str, separator: int, block: int = BLOCK, t
     return docs.select(F.col(text).alias("text")).mapInPandas(run, "file int, block long, payload binary")
 
 
-def file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a URI as Spark writes it, and the path there."""
-    named = re.match(r"([A-Za-z][A-Za-z0-9+.-]+):(.*)", uri, re.DOTALL)
-    if not named or named[1] == "file":
-        return fs.LocalFileSystem(), "/" + (named[2] if named else uri).lstrip("/")
-    return fs.FileSystem.from_uri(quote({"s3a": "s3", "s3n": "s3"}.get(named[1], named[1]) + f":{named[2]}", safe=":/@"))
-
-
 def write_flat_files(docs: DataFrame, path: str, folder: str, separator: int, key: str = "doc_id",
                      text: str = "text") -> DataFrame:
     """Write documents to flat token files under ``folder``, one per partition of the scan, the separator after every

@@ -81,7 +81,23 @@ def test_large_group_and_chains_by_brute_force(group):
 
 def test_tiles_lose_no_link(group, monkeypatch):
     monkeypatch.setattr(minhash, "TILE", 16)
-    check(group.where("doc_id % 2 = 0"))
+    folders, write = [], minhash.block_files
+    monkeypatch.setattr(minhash, "block_files", lambda *a: folders.append(write(*a)) or folders[-1])
+    docs = group.where("doc_id % 2 = 0")
+    check(docs)
+    # clusters of several blocks have each text in one block's file
+    written = [r["id"] for f in folders for r in docs.sparkSession.read.parquet(f).collect()]
+    assert written and len(written) == len(set(written))
+
+
+def test_texts_of_a_block_by_id(spark):
+    rows = spark.createDataFrame([(1, 7, 0), (2, 7, 0), (3, 7, 1), (4, -9, 0)], "id long, cluster long, own int")
+    texts = spark.createDataFrame([(1, "a"), (2, "é 😀"), (2, "again"), (3, ""), (4, "d"), (5, "not asked for")], "id long, text string")
+    folder = minhash.block_files(rows, texts)
+    tile = pd.DataFrame({"id": [1, 2, 3], "own": [0, 0, 1], "cluster": 7})
+    got = minhash._block_texts(folder, tile, np.array([1, 2]))
+    assert {k: sorted(v) for k, v in got.items()} == {2: ["again", "é 😀"], 3: [""]}
+    assert minhash._block_texts(folder, pd.DataFrame({"id": [4], "own": [0], "cluster": -9}), np.array([0])) == {4: ["d"]}
 
 
 def test_awkward_rows(spark):
