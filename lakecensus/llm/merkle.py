@@ -12,7 +12,7 @@ subtrees, so two fingerprints are compared from the top and only differing branc
 Likeness is the share of leaves in common: matched leaves / the larger number of leaves.
 
 Defined cases: null texts count as empty; empty texts have a root and no leaf, and are alike;
-repeated keys and null keys have an order (nulls first, then by text); the last document's next
+repeated keys and null keys have an order (nulls first, then by the text's CRC-32, then by text); the last document's next
 is the first, of a single document itself; an empty table gives no rows.
 """
 
@@ -25,10 +25,10 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakecensus.llm.common import partitions, range_of, range_splits
+from lakecensus.llm.common import crc32, hot_splits, partitions, range_of
 
 RUN = 8
 LONGEST = 256  # bytes of a run; longer ones are cut from their start
@@ -195,32 +195,60 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return docs.select(key, run(F.col(text)).alias("fingerprint"))
 
 
+def key_ranges(key: Column, crc: Column, splits: list, hot: dict, nulls: int) -> tuple[Column, int]:
+    """Number of the range of a row in the order of (key, checksum), and how many ranges there are.
+
+    Ranges are cut on the key (nulls first); a key that would fill several, and rows without a key,
+    fill as many of their own, cut on the checksum, before the other keys of their range.
+    """
+    times = [nulls, *(hot.get(s, 0) for s in splits)]  # ranges of the null key, then of each cut point's
+    last = [*np.cumsum([m + 1 for m in times])] if times else []
+    start = [0, *last[:-1]]
+
+    def listed(values: list) -> Column:
+        return F.expr(f"array({', '.join(str(int(v)) for v in values)})")
+
+    def inside(m: Column) -> Column:
+        return F.shiftright(crc * m, 32).cast("int")
+
+    r = range_of(key, splits)
+    place = F.when(key.isNull(), inside(F.lit(nulls)) if nulls > 1 else F.lit(0))
+    if hot:
+        cut = F.get(F.expr(f"array({', '.join(map(repr, splits))})"), r - 1)
+        m = F.get(listed(times), r)
+        place = place.when((m > 0) & (key == cut), F.get(listed(start), r) + inside(m))
+    return place.otherwise(F.get(listed(last), r) - 1).cast("int"), int(last[-1])
+
+
 def with_next(docs: DataFrame, each, columns: dict[str, str], key: str = "doc_id", text: str = "text") -> DataFrame:
     """The key and ``each(text, next text)``, named and typed by ``columns``, for every document in
     ascending order of key.
 
-    Keys are cut into ranges of about equal numbers of rows. A range's task reads its documents in
-    order, and, as a guest, the first document of the next range (of the first range, after the
-    last), so that texts are shuffled once and no task holds more than two of them.
+    Rows are cut into ranges of about equal numbers, on the key and, inside keys that fill several
+    ranges, on the text's checksum. A range's task reads its documents in order, and, as a guest, the
+    first document of the next range (of the first range, after the last), so that texts are shuffled
+    once and no task holds more than two of them.
     """
     spark = docs.sparkSession
-    splits = range_splits(docs, key, min(MAX_RANGES, partitions(spark)))
-    ranged = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")) \
-        .withColumn("rng", range_of(F.col("key"), splits))
-    # the range before, by the ranges that have rows: at most MAX_RANGES of them
-    heads = docs.select(F.col(key).alias("key")).withColumn("rng", range_of(F.col("key"), splits)) \
-        .groupBy("rng").agg(F.min("key").alias("head"), F.max(F.col("key").isNull()).alias("nulls")).collect()
+    splits, hot, nulls = hot_splits(docs, key, min(MAX_RANGES, partitions(spark)))
+    light = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rng, ranges = key_ranges(F.col("key"), crc32(F.col("text")), splits, hot, nulls)
+    ranged = light.withColumn("rng", rng)
+    # the range before, by the ranges that have rows: at most 2 * MAX_RANGES + 1 of them; texts are read
+    # here only where a key is hot
+    heads = ranged.groupBy("rng").agg(F.min("key").alias("head"), F.max(F.col("key").isNull()).alias("nulls")).collect()
     heads.sort(key=lambda r: r["rng"])
     before = {r["rng"]: heads[i - 1]["rng"] for i, r in enumerate(heads)}
     guests = [(before[r["rng"]], r["rng"], None if r["nulls"] else r["head"]) for r in heads]
     kind = docs.schema[key].dataType.simpleString()
     guest_rows = spark.createDataFrame(guests, f"host int, g_rng int, head {kind}")
-    first = ranged.join(F.broadcast(guest_rows), (F.col("rng") == F.col("g_rng")) & F.col("key").eqNullSafe(F.col("head"))) \
-        .groupBy("host").agg(F.min(F.struct("text", "key")).alias("g")) \
+    ordered = ranged.withColumn("crc", crc32(F.col("text")))
+    first = ordered.join(F.broadcast(guest_rows), (F.col("rng") == F.col("g_rng")) & F.col("key").eqNullSafe(F.col("head"))) \
+        .groupBy("host").agg(F.min(F.struct("crc", "text", "key")).alias("g")) \
         .select(F.col("g.key").alias("key"), F.col("g.text").alias("text"), F.col("host").alias("rng"),
-                F.lit(True).alias("guest"))
-    rows = ranged.withColumn("guest", F.lit(False)).unionByName(first) \
-        .repartitionById(len(splits) + 1, "rng").sortWithinPartitions("rng", "guest", "key", "text") \
+                F.col("g.crc").alias("crc"), F.lit(True).alias("guest"))
+    rows = ordered.withColumn("guest", F.lit(False)).unionByName(first) \
+        .repartitionById(ranges, "rng").sortWithinPartitions("rng", "guest", "key", "crc", "text").drop("crc") \
         .withColumn("key", F.col("key").cast("string"))  # pandas would make floats of integers beside a null
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,13 +1,14 @@
 import hashlib
+import zlib
 
 import pytest
-from helpers import awkward, clashing, empty, rows
+from helpers import DOCS, awkward, clashing, empty, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakecensus.llm import merkle
-from lakecensus.llm.common import table
+from lakecensus.llm.common import crc32, hot_splits, table
 from lakecensus.llm.queries import op2_merkle_fingerprints
 
 TEXT = st.text(alphabet=st.sampled_from(list("abcdefgh   \n\té日")), max_size=200)
@@ -79,22 +80,45 @@ def test_query_by_brute_force(spark):
     assert 0.35 < sum(near_edited) / len(near_edited) < 0.65
 
 
-@pytest.mark.parametrize("ranges", ["1", "3", "40"])
-def test_next_documents(spark, ranges):
-    def each(text, following):
-        return text, following
+def in_order(docs):
+    """Nulls first, then by key, the text's checksum and the text."""
+    order = sorted((r["doc_id"] is not None, r["doc_id"] or 0, zlib.crc32((r["text"] or "").encode()), r["text"] or "")
+                   for r in docs.collect())
+    return [(d if has else None, t) for has, d, _, t in order]
 
+
+def check_next(spark, docs, ranges):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", ranges)
     try:
-        for docs in (awkward(spark), clashing(awkward(spark)), awkward(spark).where("doc_id = 3"), empty(spark)):
-            order = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or "") for r in docs.collect())
-            want = sorted(((d if has else None, t, n[2]) for (has, d, t), n in zip(order, order[1:] + order[:1])), key=repr)
-            assert rows(merkle.with_next(docs, each, {"own": "string", "following": "string"})) == want
+        order = in_order(docs)
+        want = sorted(((d, t, n) for (d, t), (_, n) in zip(order, order[1:] + order[:1])), key=repr)
+        got = merkle.with_next(docs, lambda text, following: (text, following), {"own": "string", "following": "string"})
+        assert rows(got) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+@pytest.mark.parametrize("ranges", ["1", "3", "40"])
+def test_next_documents(spark, ranges):
+    for docs in (awkward(spark), clashing(awkward(spark)), awkward(spark).where("doc_id = 3"), empty(spark)):
+        check_next(spark, docs, ranges)
+
+
+@pytest.mark.parametrize("hot, null", [(400, 0), (0, 300), (300, 300)])
+def test_next_documents_of_hot_keys(spark, hot, null):
+    texts = [f"text {i} of a key" for i in range(hot)] + ["twice", "twice"]
+    docs = spark.createDataFrame(
+        [(7, t, "en", "a", 1) for t in texts] + [(None, f"none {i}", "en", "a", 1) for i in range(null)]
+        + [(i, f"other {i}", "en", "a", 1) for i in range(-50, 100) if i != 7] + [(8, None, "en", "a", 0)], DOCS)
+    check_next(spark, docs, "12")
+    splits, many, nulls = hot_splits(docs, "doc_id", 12)
+    rng, ranges = merkle.key_ranges(F.col("doc_id"), crc32(F.coalesce("text", F.lit(""))), splits, many, nulls)
+    sizes = docs.groupBy(rng.alias("rng")).count().collect()
+    assert 0 <= min(r["rng"] for r in sizes) and max(r["rng"] for r in sizes) < ranges
+    assert max(r["count"] for r in sizes) < 0.3 * (hot + null + 150)  # a key of more than half is several ranges
+
+
 def test_fingerprints_of_a_table(spark):
     docs = awkward(spark)
     got = merkle.fingerprints(docs).join(docs.select("doc_id", "text"), "doc_id").where(F.col("doc_id") != 8).collect()
