@@ -599,6 +599,7 @@ ORACLES.update({
     "partition_labels": f"SELECT query_id, partition_type, storage_mode FROM ({POWER_QUERIES})",
     "strip_bracket_names": STRIP_NAMES,
     "stable_ids": STABLE_IDS,
+    "repeated_ids": f"SELECT user_email AS id, count(*) AS rows FROM ({USERS}) GROUP BY 1 HAVING count(*) > 1",
     "sink_roundtrip": ORACLES["run_summary"],
 })
 

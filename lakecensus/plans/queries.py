@@ -23,6 +23,7 @@ from lakecensus.operators import outcomes as O
 from lakecensus.operators import planning as P
 from lakecensus.operators import powerquery as Q
 from lakecensus.operators import reporting as E
+from lakecensus.operators import uniqueness as U
 from lakecensus.operators import waits as W
 from lakecensus.operators.links import number_pages
 from lakecensus.operators.paging import Capture, chain_audit
@@ -316,12 +317,17 @@ def q_stable_ids(spark, sf_dir):
     ]
     out = None
     for name, df, key in parts:
-        agg = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("distinct_ids")).select(
-            F.lit(name).alias("table_name"), "rows", "distinct_ids")
-        out = agg if out is None else out.unionByName(agg)
+        counts = U.id_counts(df, key, inv.cap.staging).select(F.lit(name).alias("table_name"), "rows", "distinct_ids")
+        out = counts if out is None else out.unionByName(counts)
     return out
 
 
+def q_repeated_ids(spark, sf_dir):
+    """Principals with several role assignments, ids that a table repeats."""
+    inv = inventory(spark, sf_dir)
+    return U.repeated_ids(inv.users, "user_email", inv.cap.staging)
+
+
 def q_sink_roundtrip(spark, sf_dir):
     """K1-K4: all twelve tables published together, read back through the commit record."""
     store = published(spark, sf_dir)
@@ -357,6 +363,7 @@ QUERIES.update({
     "partition_labels": _cols("power_queries", "meta_power_queries", ["query_id", "partition_type", "storage_mode"]),
     "strip_bracket_names": q_strip_bracket_names,
     "stable_ids": q_stable_ids,
+    "repeated_ids": q_repeated_ids,
     "sink_roundtrip": q_sink_roundtrip,
 })
 
