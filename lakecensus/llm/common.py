@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import math
-import re
 import uuid
 from collections import Counter
-from urllib.parse import quote
 
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,14 +46,6 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a URI as Spark writes it, and the path there."""
-    named = re.match(r"([A-Za-z][A-Za-z0-9+.-]+):(.*)", uri, re.DOTALL)
-    if not named or named[1] == "file":
-        return fs.LocalFileSystem(), "/" + (named[2] if named else uri).lstrip("/")
-    return fs.FileSystem.from_uri(quote({"s3a": "s3", "s3n": "s3"}.get(named[1], named[1]) + f":{named[2]}", safe=":/@"))
-
-
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
