@@ -259,6 +259,10 @@ class Capture:
 
         return read_dax_rows(self.bodies(operation))
 
+    def asked(self, operation: str) -> None:
+        """Which workspaces have elements is known of a stored capture alone (``ShreddedCapture``):
+        here every body would have to be parsed for it."""
+
     def outcomes_of(self, operation: str) -> DataFrame:
         """Page-0 light outcome per request (for joins that need to know 'no body')."""
         return self.light(operation).where(F.col("page_no") == 0)

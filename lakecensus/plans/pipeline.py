@@ -22,6 +22,7 @@ from lakecensus.operators import reporting as E
 from lakecensus.operators.outcomes import error_rows
 from lakecensus.operators.paging import Capture
 from lakecensus.sources.schemas import OUTPUTS, conform
+from lakecensus.sources.shredded import STORED
 from lakecensus.sources.sink import write_table
 from lakecensus.sources.store import Store
 
@@ -94,7 +95,8 @@ class Inventory:
         """Models with ``_ws_order``, the position of their workspace in the listing (for
         "first viable model" in the extractor's iteration order)."""
         models = self.models
-        ws_order = self.workspaces.groupBy("workspace_id").agg(F.min(F.struct("_page", "_pos")).alias("_ws_order"))
+        held = self.workspaces.join(models.select("workspace_id").distinct(), "workspace_id", "left_semi")
+        ws_order = held.groupBy("workspace_id").agg(F.min(F.struct("_page", "_pos")).alias("_ws_order"))
         return models.join(ws_order, "workspace_id", "left")
 
     @cached_property
@@ -158,7 +160,7 @@ class Inventory:
 
     # --- run ----------------------------------------------------------------------------
     def tables(self) -> dict[str, DataFrame]:
-        self.cap.warm(K.PAGED_OPERATIONS)
+        self.cap.warm(STORED)
         self.workspaces  # staged first: the others read it
         self._together("items", "models", "dataflows")
         frames = {
@@ -188,6 +190,7 @@ class Inventory:
         """Write all tables and counters as the store's next version, together; the commit record.
         Like the extractor, a run whose workspace list (or current workspace) came back empty stops
         before writing anything, the error table included (None)."""
+        self.cap.warm(STORED)  # all endpoints at once
         if self.workspaces.isEmpty():  # a staged, small table: cheap
             return None
         run = self.cap.run_ids["first"]

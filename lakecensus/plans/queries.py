@@ -31,12 +31,12 @@ from lakecensus.plans.pipeline import Inventory
 from lakecensus.session import configure, ensure_checkpoint_dir
 from lakecensus.sources import fixtures as X
 from lakecensus.sources.schemas import OUTPUTS, conform
-from lakecensus.sources.shredded import ShreddedCapture, shred
+from lakecensus.sources.shredded import STORED, GrowingCapture
 from lakecensus.sources.store import Store
 
 _FIXTURES: dict[tuple[int, str], X.Fixture] = {}
 _CAPTURES: dict[tuple[int, str, str], Capture] = {}
-_SHREDDED: dict[tuple[int, str], str] = {}
+_SHREDDED: dict[tuple[int, str], GrowingCapture] = {}
 _STORES: dict[tuple[int, str], Store] = {}
 _INVENTORIES: dict[tuple[int, str, str], Inventory] = {}
 
@@ -63,14 +63,15 @@ def capture(spark: SparkSession, sf_dir: str, kind: str = "inventory") -> Captur
     return _CAPTURES[key]
 
 
-def shredded(spark: SparkSession, sf_dir: str) -> ShreddedCapture:
-    """The capture stored as typed values; like the landing it comes from, written once per process."""
+def shredded(spark: SparkSession, sf_dir: str) -> GrowingCapture:
+    """The capture stored as typed values; like the landing it comes from, an operation is written once
+    per process, when a table is first made from it."""
     key = (id(spark), sf_dir)
     if key not in _SHREDDED:
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakecensus-shredded-{uuid.uuid4().hex}"
-        shred(capture(spark, sf_dir), path)
-        _SHREDDED[key] = path
-    return ShreddedCapture(spark, _SHREDDED[key], X.RUN_TS)
+        landing = fixture(spark, sf_dir).stored
+        _SHREDDED[key] = GrowingCapture(spark, path, X.RUN_TS, lambda *ops: Capture(landing("inventory", *ops), X.RUN_TS))
+    return _SHREDDED[key]
 
 
 def inventory(spark: SparkSession, sf_dir: str, scope: str = "all") -> Inventory:
@@ -228,7 +229,8 @@ def q_plan_entity_requests(spark, sf_dir):
 
 def q_uncovered_requests(spark, sf_dir):
     inv = inventory(spark, sf_dir)
-    return E.uncovered_requests(inv.planned, inv.cap.light())
+    outcomes = inv.cap.light()  # first, so that all operations are captured together
+    return E.uncovered_requests(inv.planned, outcomes)
 
 
 def q_model_name_lookup(spark, sf_dir):
@@ -310,6 +312,7 @@ def q_strip_bracket_names(spark, sf_dir):
 def q_stable_ids(spark, sf_dir):
     """Rows and distinct surrogate or given ids per table."""
     inv = inventory(spark, sf_dir)
+    inv.cap.warm(STORED)  # the errors are those of all operations
     parts = [
         ("meta_workspace_users", inv.users, "id"), ("meta_datasources", inv.datasources, "datasource_id"),
         ("meta_refresh_history", inv.history, "refresh_id"), ("meta_power_queries", inv.power_queries, "query_id"),
@@ -420,17 +423,22 @@ QUERIES.update({"timestamp_forms": q_timestamp_forms, "column_name_forms": q_col
 # --- two runs in one landing ---------------------------------------------------------------------
 RUN_TABLES = {"meta_workspaces": "workspaces", "meta_workspace_users": "users", "meta_workspace_items": "items",
               "meta_semantic_models": "models", "meta_reports": "reports", "meta_other_assets": "other_assets"}
+RUN_OPERATIONS = {"meta_workspaces": K.OP_LIST_WORKSPACES, "meta_workspace_users": K.OP_ROLE_ASSIGNMENTS,
+                  "meta_workspace_items": K.OP_LIST_ITEMS, "meta_semantic_models": K.OP_LIST_DATASETS,
+                  "meta_reports": K.OP_LIST_REPORTS, "meta_other_assets": K.OP_LIST_ITEMS}
 
 
-def two_runs(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """The listing tables of both runs of a landing that holds them, by table."""
+def two_runs(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = tuple(RUN_TABLES)) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Listing tables of both runs of a landing that holds them, by table, from their operations alone."""
     configure(spark)
-    landing = fixture(spark, sf_dir).stored("runs")
-    for run in X.RUNS:
-        if (id(spark), sf_dir, run) not in _INVENTORIES:
-            _INVENTORIES[id(spark), sf_dir, run] = Inventory(Capture(landing, X.RUN_TS, run_id=run))
-    runs = [_INVENTORIES[id(spark), sf_dir, run] for run in X.RUNS]
-    return {t: tuple(conform(getattr(inv, a), OUTPUTS[t]) for inv in runs) for t, a in RUN_TABLES.items()}
+    operations = tuple(dict.fromkeys([K.OP_LIST_WORKSPACES, *(RUN_OPERATIONS[t] for t in tables)]))
+    landing = fixture(spark, sf_dir).stored("runs", *operations)
+    keys = {run: (id(spark), sf_dir, "|".join((run, *operations))) for run in X.RUNS}
+    for run, key in keys.items():
+        if key not in _INVENTORIES:
+            _INVENTORIES[key] = Inventory(Capture(landing, X.RUN_TS, run_id=run).warm(operations))
+    runs = [_INVENTORIES[key] for key in keys.values()]
+    return {t: tuple(conform(getattr(inv, RUN_TABLES[t]), OUTPUTS[t]) for inv in runs) for t in tables}
 
 
 def q_run_changes(spark, sf_dir):
@@ -440,7 +448,7 @@ def q_run_changes(spark, sf_dir):
 
 def q_item_history(spark, sf_dir):
     """Validity intervals of the items over both runs."""
-    old, new = two_runs(spark, sf_dir)["meta_workspace_items"]
+    old, new = two_runs(spark, sf_dir, ("meta_workspace_items",))["meta_workspace_items"]
     key, ignore = C.KEYS["meta_workspace_items"]
     first, second = (F.lit(t).cast("timestamp") for t in (X.RUN_TS, X.SECOND_TS))
     history = C.close_intervals(C.close_intervals(None, old, first, key, ignore), new, second, key, ignore)

@@ -8,6 +8,7 @@ outputs straight from the same columns, never by re-reading this JSON.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from functools import cached_property, reduce
 
@@ -125,19 +126,32 @@ class Fixture:
         self.sf_dir = sf_dir.rstrip("/")
         self.run_id, self.edits = run or RUN_ID, RUNS.get(run, {})
         self._stored: dict[str, str] = {}
+        self._has: dict[str, set[str]] = {}  # operations that are stored, by kind
+        self._storing = threading.RLock()
 
-    def stored(self, kind: str) -> DataFrame:
-        """The landing of ``kind`` ('inventory', 'attempts', 'chains') as a stored table:
+    def stored(self, kind: str, *operations: str) -> DataFrame:
+        """The landing of ``kind`` ('inventory', 'attempts', 'chains', 'runs', 'wire') as a stored table:
         written once, partitioned by operation, under the session's checkpoint directory
-        (a shared folder on a cluster), then read back so that operation filters prune files."""
-        if kind not in self._stored:
-            root = ensure_checkpoint_dir(self.spark)
-            path = f"{root.rstrip('/')}/lakecensus-landing-{uuid.uuid4().hex}/{kind}"
-            build = {"inventory": self.inventory_landing, "attempts": self.attempts_landing,
-                     "chains": self.chains_landing, "runs": self.runs_landing, "wire": self.wire_landing}[kind]
-            build().write.partitionBy("operation").parquet(path)
-            self._stored[kind] = path
-        return self.spark.read.schema(LANDING).parquet(self._stored[kind]).select(*LANDING.fieldNames())
+        (a shared folder on a cluster), then read back so that operation filters prune files.
+        Of 'inventory' and 'runs', ``operations`` alone may be asked for: a table's endpoints are
+        captured when it is first read, all that are still missing in one job."""
+        with self._storing:
+            if kind not in self._stored:
+                root = ensure_checkpoint_dir(self.spark)
+                self._stored[kind] = f"{root.rstrip('/')}/lakecensus-landing-{uuid.uuid4().hex}/{kind}"
+            path, has = self._stored[kind], self._has.setdefault(kind, set())
+            if kind in ("inventory", "runs"):
+                missing = [op for op in self._builders(kind == "runs") if op not in has and (not operations or op in operations)]
+                if missing or not has:
+                    build = self.runs_landing if kind == "runs" else self.inventory_landing
+                    build(missing).write.mode("append").partitionBy("operation").parquet(path)
+                    has.update(missing)
+            elif not has:
+                build = {"attempts": self.attempts_landing, "chains": self.chains_landing, "wire": self.wire_landing}[kind]
+                build().write.partitionBy("operation").parquet(path)
+                has.add(kind)
+        landing = self.spark.read.schema(LANDING).parquet(path).select(*LANDING.fieldNames())
+        return landing.where(F.col("operation").isin(*operations)) if operations else landing
 
     def table(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -174,15 +188,18 @@ class Fixture:
         pages = elements.groupBy(key, "page_no").agg(
             F.array_sort(F.collect_list(F.struct("pos", "elem"))).alias("items")
         )
+        # the last page is looked up for workspaces with elements alone: an empty one has page 0, so that
+        # nothing of the size of the workspace list is joined
+        last = elements.groupBy(key).agg(F.max("page_no").alias("last_page"))
+        kind = pages.schema["items"].dataType
+        pages = pages.join(last, "_k")
         if all_workspaces is not None:
             present = elements.select(key).distinct()
-            empty = all_workspaces.select(F.col("workspace_id").alias("_k")).join(present, "_k", "left_anti")
-            pages = pages.unionByName(
-                empty.select("_k", F.lit(0).cast("long").alias("page_no"),
-                             F.array().cast(pages.schema["items"].dataType).alias("items"))
-            )
-        last = pages.groupBy("_k").agg(F.max("page_no").alias("last_page"))
-        pages = pages.join(last, "_k").withColumn("workspace_id", F.nullif(F.col("_k"), F.lit("")))
+            empty = all_workspaces.select(F.col("workspace_id").alias("_k")).where("_k IS NOT NULL").join(present, "_k", "left_anti")
+            first = F.lit(0).cast("long")
+            pages = pages.unionByName(empty.select(
+                "_k", first.alias("page_no"), F.array().cast(kind).alias("items"), first.alias("last_page")))
+        pages = pages.withColumn("workspace_id", F.nullif(F.col("_k"), F.lit("")))
         base_url = url
         next_url = J.s(F.concat(base_url, F.lit("?page="), (F.col("page_no") + 1).cast("string")))
         p = F.col("page_no")
@@ -664,31 +681,46 @@ class Fixture:
         ])
 
     # --- captures ---------------------------------------------------------------------------
-    def _inventory_builders(self):
-        return [
-            self.workspaces, self.current_workspace, self.users, self.items, self.models,
-            self.reports, self.dataflows, self.dataflow_schedules, self.dataflow_datasources,
-            self.model_datasources, self.gen2_datasources, self.shortcuts, self.refresh_schedules,
-            self.refresh_history, self.dax,
-        ]
+    def _builders(self, listings: bool = False) -> dict:
+        """What makes an operation's pages, by operation; of the ``listings`` that all RUNS have alone."""
+        of = {
+            K.OP_LIST_WORKSPACES: self.workspaces, K.OP_ROLE_ASSIGNMENTS: self.users, K.OP_LIST_ITEMS: self.items,
+            K.OP_LIST_DATASETS: self.models, K.OP_LIST_REPORTS: self.reports,
+        }
+        return of if listings else of | {
+            K.OP_GET_WORKSPACE: self.current_workspace, K.OP_LIST_DATAFLOWS: self.dataflows,
+            K.OP_DATAFLOW_SCHEDULE: self.dataflow_schedules, K.OP_DATAFLOW_DATASOURCES: self.dataflow_datasources,
+            K.OP_MODEL_DATASOURCES: self.model_datasources, K.OP_GEN2_DATASOURCES: self.gen2_datasources,
+            K.OP_SHORTCUTS: self.shortcuts, K.OP_REFRESH_SCHEDULE: self.refresh_schedules,
+            K.OP_REFRESH_HISTORY: self.refresh_history, **{op: self.dax for op in K.DAX_OPERATIONS},
+        }
+
+    def _pages_of(self, operations: list[str], listings: bool = False) -> DataFrame:
+        builders = self._builders(listings)
+        parts = [b() for b in dict.fromkeys(builders[op] for op in operations)]
+        pages = reduce(DataFrame.unionByName, [p.select(*parts[0].columns) for p in parts])
+        return pages.where(F.col("operation").isin(*operations))
 
     @staticmethod
     def _typed(df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType) for f in LANDING.fields])
 
-    def inventory_landing(self) -> DataFrame:
-        """Every request of one full run (scope all, plus the current workspace's GET)."""
-        parts = [b() for b in self._inventory_builders()]
-        pages = reduce(DataFrame.unionByName, [p.select(*parts[0].columns) for p in parts])
-        return self._typed(self._landing(pages))
-
-    def runs_landing(self) -> DataFrame:
-        """The listings of all RUNS, in one landing."""
+    def inventory_landing(self, operations: list[str] | None = None) -> DataFrame:
+        """Every request of one full run (scope all, plus the current workspace's GET), or those of some operations."""
+        wanted = list(self._builders()) if operations is None else operations
+        if not wanted:
+            return self.spark.createDataFrame([], LANDING)
+        return self._typed(self._landing(self._pages_of(wanted)))
+
+    def runs_landing(self, operations: list[str] | None = None) -> DataFrame:
+        """The listings of all RUNS, or some of them, in one landing."""
+        wanted = list(self._builders(True)) if operations is None else operations
+        if not wanted:
+            return self.spark.createDataFrame([], LANDING)
         parts = []
         for run in RUNS:
             fx = Fixture(self.spark, self.sf_dir, run)
-            pages = [b() for b in (fx.workspaces, fx.users, fx.items, fx.models, fx.reports)]
-            parts.append(fx._landing(reduce(DataFrame.unionByName, [p.select(*pages[0].columns) for p in pages])))
+            parts.append(fx._landing(fx._pages_of(wanted, True)))
         return self._typed(reduce(DataFrame.unionByName, parts))
 
     def attempts_landing(self) -> DataFrame:

@@ -13,7 +13,11 @@ tables and reports are made from either.
 
 from __future__ import annotations
 
+import threading
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,14 +36,18 @@ LISTINGS = (
 )
 
 
-def shred(cap: Capture, path: str) -> "ShreddedCapture":
-    """Store a capture of one run under ``path``, which must not exist yet."""
+STORED = (*LISTINGS, *OBJECTS, *K.DAX_OPERATIONS)
+
+
+def shred(cap: Capture, path: str, operations: tuple[str, ...] = STORED) -> "ShreddedCapture":
+    """Store a capture of one run, or these operations of it, under ``path``, which must not exist yet."""
     path = path.rstrip("/")
-    cap.one_run().warm(K.PAGED_OPERATIONS)
-    tables = {"light": cap.light}
-    tables |= {f"elements/{op}": lambda op=op: cap.elements(op).drop("eid") for op in LISTINGS}
-    tables |= {f"objects/{op}": lambda op=op: cap.objects(op) for op in OBJECTS}
-    tables |= {f"dax/{op}": lambda op=op: cap.dax_rows(op) for op in K.DAX_OPERATIONS}
+    cap.one_run().warm([op for op in K.PAGED_OPERATIONS if op in operations])
+    every = set(STORED) <= set(operations)
+    tables = {"light": lambda: cap.light() if every else cap.light(*operations)}
+    tables |= {f"elements/{op}": lambda op=op: cap.elements(op).drop("eid") for op in LISTINGS if op in operations}
+    tables |= {f"objects/{op}": lambda op=op: cap.objects(op) for op in OBJECTS if op in operations}
+    tables |= {f"dax/{op}": lambda op=op: cap.dax_rows(op) for op in K.DAX_OPERATIONS if op in operations}
     with ThreadPoolExecutor(WRITERS) as pool:
         list(pool.map(lambda name: tables[name]().write.parquet(f"{path}/{name}"), tables))
     return ShreddedCapture(cap.spark, path, cap.run_ts)
@@ -64,6 +72,10 @@ class ShreddedCapture:
         runs = self.light().agg(F.min("run_id").alias("first"), F.max("run_id").alias("last")).first()
         return runs.asDict()
 
+    def asked(self, operation: str) -> DataFrame:
+        """The workspaces that an operation has elements of, from that column alone."""
+        return self._table(f"elements/{operation}").select("workspace_id").distinct()
+
     def one_run(self) -> "ShreddedCapture":
         return self  # only captures of one run are stored
 
@@ -91,3 +103,34 @@ class ShreddedCapture:
         """Delete what a run over the stored capture has staged; the capture itself stays."""
         self.staging.clean()
         self.staging = Staging(self.spark)
+
+
+class GrowingCapture(ShreddedCapture):
+    """A stored capture that takes an operation in when it is first read: a table pays for the endpoints
+    that it is made from, and a run of all tables for each of them once. ``source`` gives the capture of
+    some operations; those asked for together (``warm``, ``light``) are resolved and stored together."""
+
+    def __init__(self, spark: SparkSession, path: str, run_ts: Column | str, source: Callable[..., Capture]):
+        super().__init__(spark, path, run_ts)
+        self.source = source
+        self._parts: dict[str, ShreddedCapture] = {}
+        self._growing = threading.Lock()
+
+    def warm(self, operations=STORED) -> "GrowingCapture":
+        with self._growing:
+            missing = tuple(op for op in dict.fromkeys(operations) if op in STORED and op not in self._parts)
+            if missing:
+                cap = self.source(*missing)
+                part = shred(cap, f"{self.path}/{uuid.uuid4().hex}", missing)
+                cap.clean()  # what it staged is in the stored tables
+                self._parts.update({op: part for op in missing})
+        return self
+
+    def _table(self, name: str) -> DataFrame:
+        operation = name.split("/")[-1]
+        return self.warm((operation,))._parts[operation]._table(name)
+
+    def light(self, *operations: str) -> DataFrame:
+        self.warm(operations or STORED)
+        parts = {id(p): p for p in (self._parts[op] for op in (operations or STORED))}
+        return reduce(DataFrame.unionByName, [p.light(*operations) for p in parts.values()])
