@@ -57,10 +57,11 @@ def light_pages(light: DataFrame) -> DataFrame:
 
 
 def chain_summary(pages: DataFrame) -> DataFrame:
-    """One row per request: first failed page, first page without a link, lowest and highest
-    page, page count (partial aggregation: a request with millions of pages is no hot spot)."""
+    """One row per request: first failed page, last answered one, first page without a link, lowest and
+    highest page, page count (partial aggregation: a request with millions of pages is no hot spot)."""
     return pages.groupBy(*CHAIN).agg(
         F.min(F.when(~F.col("ok"), F.col("page_no"))).alias("first_bad"),
+        F.max(F.when(F.col("ok"), F.col("page_no"))).alias("last_ok"),
         F.min(F.when(F.col("ok") & ~F.col("has_next"), F.col("page_no"))).alias("first_end"),
         F.min("page_no").alias("lo"),
         F.max("page_no").alias("hi"),
@@ -87,8 +88,9 @@ def gap_holes(pages: DataFrame, gaps: DataFrame) -> DataFrame:
     )
 
 
-def cuts_from(summary: DataFrame, holes: DataFrame | None = None) -> DataFrame:
-    """(CHAIN, cut) for the requests whose chain must be cut; cut = last page kept (-1 = none)."""
+def cuts_from(summary: DataFrame, holes: DataFrame | None = None, end: str = "hi") -> DataFrame:
+    """(CHAIN, cut) for the requests whose chain must be cut; cut = last page kept (-1 = none).
+    ``end="last_ok"`` lists those alone that have an answer behind the cut: others lose nothing by it."""
     s = summary if holes is None else summary.join(holes, CHAIN, "left")
     missing = F.col("first_missing") if holes is not None else F.lit(None).cast("long")
     cut = F.least(
@@ -96,7 +98,7 @@ def cuts_from(summary: DataFrame, holes: DataFrame | None = None) -> DataFrame:
         F.coalesce(F.col("first_end"), F.col("hi")),
         F.coalesce(missing - 1, F.col("hi")),
     )
-    return s.select(*CHAIN, "hi", cut.alias("cut")).where(F.col("cut") < F.col("hi")).select(*CHAIN, "cut")
+    return s.select(*CHAIN, end, cut.alias("cut")).where(F.col("cut") < F.col(end)).select(*CHAIN, "cut")
 
 
 def chain_cuts(light: DataFrame) -> DataFrame:
@@ -134,6 +136,7 @@ class Capture:
         self.max_attempts = max_attempts
         self._light: dict[str | None, DataFrame] = {}
         self._cut_cache: dict[str, DataFrame | None] = {}
+        self._asked: dict[str, DataFrame] = {}
 
     @cached_property
     def staging(self) -> Staging:
@@ -176,9 +179,11 @@ class Capture:
         return classify_outcomes(self.resolved)
 
     def light(self, *operations: str) -> DataFrame:
-        """Outcomes without bodies (LIGHT_COLS, ``has_next``) of the operations, or of all: staged,
-        each operation once a run."""
-        next_link = F.when(F.col("operation").isin(*K.PAGED_OPERATIONS), has_next_link(F.col("v")))
+        """Outcomes without bodies (LIGHT_COLS, ``has_next``, ``has_items``) of the operations, or of all:
+        staged, each operation once a run."""
+        paged = F.col("operation").isin(*K.PAGED_OPERATIONS)
+        next_link = F.when(paged, has_next_link(F.col("v")))
+        items = F.when(paged, J.present(F.col("v"), "$.value[0]"))
         known = [op for op in self._light if op is not None]
         if operations:
             missing = [op for op in dict.fromkeys(operations) if op not in self._light and None not in self._light]
@@ -187,7 +192,7 @@ class Capture:
             missing = [] if None in self._light else [None]
             rows = self.resolved.where(~F.coalesce(F.col("operation").isin(*known), F.lit(False))) if known else self.resolved
         if missing:
-            table, _ = self.staging.put("light", light_outcomes(rows, has_next=next_link))
+            table, _ = self.staging.put("light", light_outcomes(rows, has_next=next_link, has_items=items))
             for op in missing:
                 self._light[op] = table
         tables = {id(t): t for op, t in self._light.items() if not operations or op in operations or op is None}
@@ -196,23 +201,29 @@ class Capture:
 
     def warm(self, operations=K.PAGED_OPERATIONS) -> "Capture":
         """Compute the chain cuts of several paged endpoints in one job, so that a plan reading
-        several listings pays for one pass, not one each."""
+        several listings pays for one pass, not one each; and which workspaces they have elements of.
+        An endpoint joins its own cuts alone, and only those with an answer behind them, so a listing
+        that most workspaces refuse doesn't make the bodies of all listings move."""
         missing = [op for op in dict.fromkeys(operations) if op in K.PAGED_OPERATIONS and op not in self._cut_cache]
         if missing:
-            pages = light_pages(self.light(*missing))
+            light = self.light(*missing)
+            pages = light_pages(light)
+            asked, _ = self.staging.put("asked", light.where("has_items").select("operation", "workspace_id").distinct())
             # one row per request that isn't plainly 0..hi, all of them read, ending at hi
             plain = ((F.col("lo") == 0) & (F.col("n") == F.col("hi") + 1) & F.col("first_bad").isNull()
                      & (F.coalesce("first_end", "hi") == F.col("hi")))
             odd, n = self.staging.put("chains", chain_summary(pages).where(~plain), rows=F.count(F.lit(1)),
                                       gaps=F.count_if((F.col("lo") != 0) | (F.col("n") != F.col("hi") + 1)))
-            cuts = None
+            cuts, size = None, {}
             if n["rows"]:
                 holes = gap_holes(pages, gapped(odd)) if n["gaps"] else None
-                cuts, size = self.staging.put("cuts", cuts_from(odd, holes), rows=F.count(F.lit(1)),
-                                              bytes=F.sum(F.length("request_id") + F.coalesce(F.length("run_id"), F.lit(0)) + 40))
-                cuts = self._sized(cuts, size["bytes"]) if size["rows"] else None
+                width = F.length("request_id") + F.coalesce(F.length("run_id"), F.lit(0)) + 40
+                cuts, size = self.staging.put("cuts", cuts_from(odd, holes, "last_ok"), **{
+                    op: F.sum(F.when(F.col("operation") == op, width)) for op in missing})
             for op in missing:
-                self._cut_cache[op] = cuts
+                self._asked[op] = asked.where(F.col("operation") == op).select("workspace_id")
+                mine = cuts.where(F.col("operation") == op) if size.get(op) else None
+                self._cut_cache[op] = None if mine is None else self._sized(mine, size[op])
         return self
 
     def bodies(self, operation: str, paged: bool | None = None) -> DataFrame:
@@ -259,9 +270,9 @@ class Capture:
 
         return read_dax_rows(self.bodies(operation))
 
-    def asked(self, operation: str) -> None:
-        """Which workspaces have elements is known of a stored capture alone (``ShreddedCapture``):
-        here every body would have to be parsed for it."""
+    def asked(self, operation: str) -> DataFrame:
+        """The workspaces that a listing has elements of, each once."""
+        return self.warm((operation,))._asked[operation]
 
     def outcomes_of(self, operation: str) -> DataFrame:
         """Page-0 light outcome per request (for joins that need to know 'no body')."""
@@ -272,5 +283,6 @@ class Capture:
         self.staging.clean()
         self._light.clear()
         self._cut_cache.clear()
+        self._asked.clear()
         for name in ("staging", "_odd", "resolved", "outcomes"):
             self.__dict__.pop(name, None)

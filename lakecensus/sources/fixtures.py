@@ -188,11 +188,12 @@ class Fixture:
         pages = elements.groupBy(key, "page_no").agg(
             F.array_sort(F.collect_list(F.struct("pos", "elem"))).alias("items")
         )
-        # the last page is looked up for workspaces with elements alone: an empty one has page 0, so that
-        # nothing of the size of the workspace list is joined
+        # the last page is looked up for workspaces with elements alone: an empty one has page 0. The listings
+        # above spread over USER_WORKSPACES at most, whatever the tables' size, so it is broadcast: pages are
+        # not moved again, nor gathered by workspace (all of a listing without one)
         last = elements.groupBy(key).agg(F.max("page_no").alias("last_page"))
         kind = pages.schema["items"].dataType
-        pages = pages.join(last, "_k")
+        pages = pages.join(F.broadcast(last), "_k")
         if all_workspaces is not None:
             present = elements.select(key).distinct()
             empty = all_workspaces.select(F.col("workspace_id").alias("_k")).where("_k IS NOT NULL").join(present, "_k", "left_anti")

@@ -79,6 +79,37 @@ def test_empty_pages_of_null_and_repeated_workspaces(spark, world):
     assert re.search(r"AdaptiveSparkPlan \(\d+\)\n\+- Union", plan_of(pages.select("*")))
 
 
+def test_pages_of_a_listing_move_once(spark, world):
+    """The whole listing of workspaces has one key: looking its last page up must not gather it."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pages = QM.fixture(spark, world).workspaces()
+        assert pages.count() == 2 and "SortMergeJoin" not in plan_of(pages)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_listings_join_their_own_cuts_and_the_workspaces_that_have_elements(spark, landing):
+    def page(op, ws, no, body, status=200):
+        return {"operation": op, "request_id": f"{op}|{ws}", "workspace_id": ws, "page_no": no, "status": status, "body": body}
+
+    one, more, none = '{"value":[{"id":"a"}]}', '{"value":[{"id":"a"}],"nextLink":"n"}', '{"value":[]}'
+    users, reports = K.OP_ROLE_ASSIGNMENTS, K.OP_LIST_REPORTS
+    cap = Capture(landing([
+        page(users, "refused", 0, "no", 403), page(users, "empty", 0, none), page(users, "broken", 0, more),
+        page(users, "broken", 1, "no", 500), page(users, "broken", 2, one), page(users, "fails last", 0, more),
+        page(users, "fails last", 1, "no", 500), page(reports, "empty", 0, none), page(reports, "full", 0, more),
+        page(reports, "full", 1, one), page(reports, "null", 0, '{"value":[null]}')]), "2001-10-01").warm((users, reports))
+    # only the chain with an answer behind its cut is cut, and no other listing's bodies are joined with it
+    assert [(r["request_id"], r["cut"]) for r in cap._cut_cache[users].collect()] == [(f"{users}|broken", 0)]
+    assert cap._cut_cache[reports] is None and "Join" not in plan_of(cap.bodies(reports))
+    assert sorted((r["workspace_id"], r["page_no"]) for r in cap.elements(users).collect()) == [("broken", 0), ("fails last", 0)]
+    assert sorted(r["workspace_id"] for r in cap.asked(reports).collect()) == ["full", "null"]
+    assert sorted(r["workspace_id"] for r in cap.asked(users).collect()) == ["broken", "fails last"]
+    assert cap.elements(reports).count() == 3
+
+
 def test_scope_and_names_join_what_has_answers(spark):
     ws = spark.createDataFrame([("ws-1", "one", 0, 0), ("ws-1", "later", 0, 1), ("ws-2", "two", 0, 2), (None, "none", 0, 3)],
                                "workspace_id string, workspace_name string, _page int, _pos int")
