@@ -2,6 +2,7 @@
 
     path/light                    outcomes of every page, without bodies
     path/elements/<operation>     elements of listings, stitched: request context, page_no, pos, e
+    path/asked/<operation>        the workspaces that a listing has elements of
     path/objects/<operation>      answers that are one object
     path/dax/<operation>          rows of DAX results, keys normalised
 
@@ -42,10 +43,12 @@ STORED = (*LISTINGS, *OBJECTS, *K.DAX_OPERATIONS)
 def shred(cap: Capture, path: str, operations: tuple[str, ...] = STORED) -> "ShreddedCapture":
     """Store a capture of one run, or these operations of it, under ``path``, which must not exist yet."""
     path = path.rstrip("/")
-    cap.one_run().warm([op for op in K.PAGED_OPERATIONS if op in operations])
+    paged = [op for op in K.PAGED_OPERATIONS if op in operations]
+    cap.one_run().warm(paged)
     every = set(STORED) <= set(operations)
     tables = {"light": lambda: cap.light() if every else cap.light(*operations)}
     tables |= {f"elements/{op}": lambda op=op: cap.elements(op).drop("eid") for op in LISTINGS if op in operations}
+    tables |= {f"asked/{op}": lambda op=op: cap.asked(op) for op in paged}
     tables |= {f"objects/{op}": lambda op=op: cap.objects(op) for op in OBJECTS if op in operations}
     tables |= {f"dax/{op}": lambda op=op: cap.dax_rows(op) for op in K.DAX_OPERATIONS if op in operations}
     with ThreadPoolExecutor(WRITERS) as pool:
@@ -73,8 +76,8 @@ class ShreddedCapture:
         return runs.asDict()
 
     def asked(self, operation: str) -> DataFrame:
-        """The workspaces that an operation has elements of, from that column alone."""
-        return self._table(f"elements/{operation}").select("workspace_id").distinct()
+        """The workspaces that a listing has elements of, each once."""
+        return self._table(f"asked/{operation}")
 
     def one_run(self) -> "ShreddedCapture":
         return self  # only captures of one run are stored

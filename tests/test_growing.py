@@ -60,6 +60,11 @@ def test_grown_by_and_by_it_is_the_whole_capture(spark, world, tmp_path):
     columns = raw.light().columns
     assert sorted(map(repr, grown.light().select(columns).collect())) == sorted(map(repr, raw.light().collect()))
     assert set(grown._parts) == set(STORED)
+    for op in (K.OP_ROLE_ASSIGNMENTS, K.OP_LIST_REPORTS, K.OP_LIST_DATAFLOWS):
+        asked = grown.asked(op)  # a stored list, not the elements again
+        assert "HashAggregate" not in plan_of(asked.select("*"))
+        found = raw.elements(op).select("workspace_id").distinct()
+        assert sorted(map(tuple, asked.collect())) == sorted(map(tuple, raw.asked(op).collect())) and found.exceptAll(asked).isEmpty()
     a, b = Inventory(raw).tables(), Inventory(grown).tables()
     for name in a:
         rows = sorted(map(repr, a[name].collect()))
