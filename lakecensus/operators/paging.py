@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from lakecensus.functions import constants as K
 from lakecensus.functions import jsonx as J
 from lakecensus.functions.scalars import stable_id
+from lakecensus.operators.joins import broadcast_limit, side
 from lakecensus.operators.outcomes import classify_outcomes, light_outcomes, odd_pages, resolve_attempts, same
 from lakecensus.session import Staging
 
@@ -32,19 +33,18 @@ BROADCAST_CUTS_MAX_BYTES: int | None = None
 
 
 def _broadcast_limit(spark) -> int:
-    if BROADCAST_CUTS_MAX_BYTES is not None:
-        return BROADCAST_CUTS_MAX_BYTES
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix):
-            return int(float(raw[: -len(suffix)]) * units[suffix])
-    return int(raw)
+    return broadcast_limit(spark) if BROADCAST_CUTS_MAX_BYTES is None else BROADCAST_CUTS_MAX_BYTES
+
 
 CONTEXT = ["run_id", "operation", "request_id", "workspace_id", "item_id", "item_type", "item_name"]
 CHAIN = ["run_id", "operation", "request_id"]
 
 
+def broadcast_width() -> Column:
+    """Bytes that a row of pages or chain cuts takes in a broadcast, which holds its key and the row."""
+    return sum((F.coalesce(F.length(c), F.lit(0)) for c in CHAIN), F.lit(80)) * 2
+
+
 def has_next_link(v: Column) -> Column:
     """``data.get("nextLink") or data.get("@odata.nextLink")`` is truthy."""
     return J.truthy(v, "$.nextLink") | J.truthy(v, '$["@odata.nextLink"]')
@@ -143,7 +143,7 @@ class Capture:
         return Staging(self.spark)
 
     def _sized(self, table: DataFrame, size: int | None) -> DataFrame:
-        return F.broadcast(table) if (size or 0) <= _broadcast_limit(self.spark) else table
+        return side(table, (size or 0) <= _broadcast_limit(self.spark))
 
     @cached_property
     def _odd(self) -> tuple[DataFrame, dict, dict]:
@@ -152,7 +152,7 @@ class Capture:
         seen = self.landing.observe(runs, F.min("run_id").alias("first"), F.max("run_id").alias("last"))
         odd, size = self.staging.put(
             "odd", odd_pages(seen, self.max_attempts), rows=F.count(F.lit(1)), used_up=F.count_if("exhausted"),
-            bytes=F.sum(F.length("request_id") + F.coalesce(F.length("run_id"), F.lit(0)) + 40))
+            bytes=F.sum(broadcast_width()))
         kinds = {"repeated": size["rows"] > size["used_up"], "used_up": size["used_up"] > 0}
         return self._sized(odd, size["bytes"]), kinds, runs.get
 
@@ -217,9 +217,8 @@ class Capture:
             cuts, size = None, {}
             if n["rows"]:
                 holes = gap_holes(pages, gapped(odd)) if n["gaps"] else None
-                width = F.length("request_id") + F.coalesce(F.length("run_id"), F.lit(0)) + 40
                 cuts, size = self.staging.put("cuts", cuts_from(odd, holes, "last_ok"), **{
-                    op: F.sum(F.when(F.col("operation") == op, width)) for op in missing})
+                    op: F.sum(F.when(F.col("operation") == op, broadcast_width())) for op in missing})
             for op in missing:
                 self._asked[op] = asked.where(F.col("operation") == op).select("workspace_id")
                 mine = cuts.where(F.col("operation") == op) if size.get(op) else None
