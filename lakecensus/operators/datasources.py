@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lakecensus.functions import constants as K
 from lakecensus.functions import jsonx as J
+from lakecensus.operators.joins import side
 from lakecensus.operators.paging import Capture
 
 DS_COLUMNS = [
@@ -77,7 +78,7 @@ def shortcut_row(e: Column, run_ts: Column, case_insensitive: bool = False) -> l
 def _responses(cap: Capture, operation: str, sources: DataFrame, row: list[Column]) -> DataFrame:
     """Rows of `operation`'s elements for the given (workspace_id, source_item_id, source_item_name);
     fields are extracted before the join."""
-    return cap.elements(operation).select(*row).join(sources, ["workspace_id", "source_item_id"], "inner").select(*DS_COLUMNS)
+    return cap.elements(operation).select(*row).join(side(sources), ["workspace_id", "source_item_id"], "inner").select(*DS_COLUMNS)
 
 
 def ds_models(cap: Capture, models: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakecensus.functions import constants as K
 from lakecensus.functions import jsonx as J
 from lakecensus.functions.scalars import parse_ts
+from lakecensus.operators.joins import side
 from lakecensus.operators.paging import Capture
 
 
@@ -31,7 +32,7 @@ def refresh_schedules(cap: Capture, models: DataFrame) -> DataFrame:
         J.array_csv(s, "$.times").alias("times"),
         J.get_or(s, "$.localTimeZoneId", "UTC").alias("timezone"),
         cap.run_ts.alias("extracted_at"),
-    ).join(m, ["workspace_id", "model_id"], "inner").withColumn("schedule_id", F.concat_ws("_", "model_id", "workspace_id"))
+    ).join(side(m), ["workspace_id", "model_id"], "inner").withColumn("schedule_id", F.concat_ws("_", "model_id", "workspace_id"))
 
 
 def refresh_history(
@@ -59,7 +60,7 @@ def refresh_history(
     timed = rows.select("*", F.explode(F.array(parse_ts(F.col("_start")))).alias("start_time"))
     return (
         timed.where(F.col("start_time").isNull() | (F.col("start_time") >= cutoff))
-        .join(m, ["workspace_id", "model_id"], "inner")
+        .join(side(m), ["workspace_id", "model_id"], "inner")
         .select(
             "refresh_id",
             "model_id",

@@ -3,8 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lakecensus.functions import constants as K
 from lakecensus.operators.joins import is_few
 from lakecensus.operators.normalize import in_scope
+from lakecensus.operators.paging import Capture
+from lakecensus.operators.refresh import refresh_history, refresh_schedules
+from lakecensus.operators.reporting import errors_enriched
 
 MANY = 60_000  # more than 10 MB of rows, in files of less
 
@@ -55,6 +59,28 @@ def test_scope_broadcasts_the_short_list_alone(spark, stored):
     assert len(whole.collect()) == MANY and broadcast_rows(whole) == []
 
 
+def test_names_of_many_errors_are_not_broadcast(stored):
+    named = errors_enriched(stored["errors"], stored["workspaces"])
+    assert {tuple(r) for r in named.select("workspace_name").collect()} == {("name",)}
+    assert broadcast_rows(named) == []
+    few = errors_enriched(stored["errors"].limit(5), stored["workspaces"])
+    assert [r["workspace_name"] for r in few.collect()] == ["name"] * 5
+    assert broadcast_rows(few) and max(broadcast_rows(few)) <= 5
+
+
+def test_answers_of_many_models_join_by_a_shuffle(landing, stored):
+    def page(op, body):
+        return {"operation": op, "request_id": f"{op}|ws-7", "workspace_id": "ws-7", "item_id": "sm-7", "status": 200, "body": body}
+
+    cap = Capture(landing([page(K.OP_REFRESH_SCHEDULE, '{"enabled":true}'), page(K.OP_REFRESH_HISTORY, '{"value":[{"status":"ok"}]}')]),
+                  "2001-10-01")
+    for made in (refresh_schedules, refresh_history):
+        table = made(cap, stored["models"])
+        assert [r["model_id"] for r in table.collect()] == ["sm-7"] and max(broadcast_rows(table), default=0) <= 1
+        table = made(cap, stored["models"].where("model_id IN ('sm-7', 'sm-8')"))
+        assert [r["model_id"] for r in table.collect()] == ["sm-7"] and broadcast_rows(table) == [2]
+
+
 def test_the_threshold_of_the_session_holds(spark):
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
