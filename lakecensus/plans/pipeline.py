@@ -19,6 +19,7 @@ from lakecensus.operators import planning as P
 from lakecensus.operators import powerquery as Q
 from lakecensus.operators import refresh as R
 from lakecensus.operators import reporting as E
+from lakecensus.operators.joins import is_few, side
 from lakecensus.operators.outcomes import error_rows
 from lakecensus.operators.paging import Capture
 from lakecensus.sources.schemas import OUTPUTS, conform
@@ -95,9 +96,11 @@ class Inventory:
         """Models with ``_ws_order``, the position of their workspace in the listing (for
         "first viable model" in the extractor's iteration order)."""
         models = self.models
-        held = self.workspaces.join(models.select("workspace_id").distinct(), "workspace_id", "left_semi")
+        of_models = models.select("workspace_id").distinct()
+        few = is_few(of_models)
+        held = self.workspaces.join(side(of_models, few), "workspace_id", "left_semi")
         ws_order = held.groupBy("workspace_id").agg(F.min(F.struct("_page", "_pos")).alias("_ws_order"))
-        return models.join(ws_order, "workspace_id", "left")
+        return models.join(side(ws_order, few), "workspace_id", "left")
 
     @cached_property
     def reports(self) -> DataFrame:
